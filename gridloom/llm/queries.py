@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm import line_dedup, mixing
+from gridloom.llm import line_dedup, mixing, ngram_join
 from gridloom.llm.common import table
 
 
@@ -43,8 +43,13 @@ FROM marked GROUP BY doc_id
 """
 
 
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    joined = ngram_join.join(table(spark, sf_dir, "documents"))
+    return joined.select("doc_id", "class_id", "n_links", "n_text_links", "group_id", F.col("doc_id").eqNullSafe(F.col("group_id")).alias("kept"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_mixing, op5_line_dedup)}
+    return {f.__name__: f for f in (op2_mixing, op5_line_dedup, op8_ngram_join)}
 
 
 def oracle_sql() -> dict[str, str]:
