@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm import line_dedup, mixing, ngram_join
-from gridloom.llm.common import table
+from gridloom.llm import line_dedup, mixing, ngram_join, token_store
+from gridloom.llm.common import shared_path, table
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,13 +43,23 @@ FROM marked GROUP BY doc_id
 """
 
 
+def op6_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = shared_path(spark, "tokens")
+    files, held = token_store.stored(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    rows = held.select("file", "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+    starts = token_store.file_starts(files)
+    return rows.join(starts, F.col("file") == F.col("name")).select("doc_id", (F.col("start") + F.col("before")).alias("start"), "n_tokens", "ids_crc32")
+
+
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = ngram_join.join(table(spark, sf_dir, "documents"))
     return joined.select("doc_id", "class_id", "n_links", "n_text_links", "group_id", F.col("doc_id").eqNullSafe(F.col("group_id")).alias("kept"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_mixing, op5_line_dedup, op8_ngram_join)}
+    return {f.__name__: f for f in (op2_mixing, op5_line_dedup, op6_token_store, op8_ngram_join)}
 
 
 def oracle_sql() -> dict[str, str]:
