@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm import line_dedup, mixing, ngram_join, token_store
+from gridloom.llm import line_dedup, mixing, ngram_join, packing, token_store
 from gridloom.llm.common import shared_path, table
 
 
@@ -53,13 +53,20 @@ def op6_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.join(starts, F.col("file") == F.col("name")).select("doc_id", (F.col("start") + F.col("before")).alias("start"), "n_tokens", "ids_crc32")
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    written, places = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=0, capacity=2048)
+    return packing.digest(written, places)
+
+
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = ngram_join.join(table(spark, sf_dir, "documents"))
     return joined.select("doc_id", "class_id", "n_links", "n_text_links", "group_id", F.col("doc_id").eqNullSafe(F.col("group_id")).alias("kept"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_mixing, op5_line_dedup, op6_token_store, op8_ngram_join)}
+    return {f.__name__: f for f in (op2_mixing, op5_line_dedup, op6_token_store, op7_packing, op8_ngram_join)}
 
 
 def oracle_sql() -> dict[str, str]:
