@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm import line_dedup, mixing, ngram_join, packing, token_store
-from gridloom.llm.common import shared_path, table
+from gridloom.llm import line_dedup, mixing, ngram_join, packing, token_store, toxicity
+from gridloom.llm.common import doc_fold, shared_path, table
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +21,16 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), doc_fold(5) != 0)
+    return _judged(toxicity.score(docs, model), doc_fold(5) == 0)
+
+
+def _judged(scored: DataFrame, held_out: Column) -> DataFrame:
+    return scored.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 LINE_DEDUP_SQL = r"""
 WITH lines AS (
   SELECT doc_id, pos, line, lower_key AS key
@@ -66,7 +76,7 @@ def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_mixing, op5_line_dedup, op6_token_store, op7_packing, op8_ngram_join)}
+    return {f.__name__: f for f in (op2_mixing, op5_line_dedup, op6_token_store, op7_packing, op8_ngram_join, op9_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
