@@ -7,10 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm import line_dedup, mixing, ngram_join, packing, token_store, toxicity
+from gridloom.llm import line_dedup, mixing, ngram_join, packing, quality, token_store, toxicity
 from gridloom.llm.common import doc_fold, shared_path, table
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"), doc_fold(3) != 1)
+    return _judged(quality.score(docs, model), doc_fold(3) == 1)
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.mix(table(spark, sf_dir, "documents"))
     return plan.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("times")).alias("taken"))
@@ -76,7 +82,7 @@ def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_mixing, op5_line_dedup, op6_token_store, op7_packing, op8_ngram_join, op9_toxicity)}
+    return {f.__name__: f for f in (op1_quality, op2_mixing, op5_line_dedup, op6_token_store, op7_packing, op8_ngram_join, op9_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
