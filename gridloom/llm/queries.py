@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm import line_dedup, mixing, ngram_join, packing, quality, token_store, toxicity
+from gridloom.llm import html_main, line_dedup, mixing, ngram_join, packing, quality, token_store, toxicity
 from gridloom.llm.common import doc_fold, shared_path, table
 
 
@@ -33,6 +33,10 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _judged(toxicity.score(docs, model), doc_fold(5) == 0)
 
 
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_main.extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def _judged(scored: DataFrame, held_out: Column) -> DataFrame:
     return scored.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
@@ -82,7 +86,7 @@ def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality, op2_mixing, op5_line_dedup, op6_token_store, op7_packing, op8_ngram_join, op9_toxicity)}
+    return {f.__name__: f for f in (op1_quality, op2_mixing, op5_line_dedup, op6_token_store, op7_packing, op8_ngram_join, op9_toxicity, op10_html_extraction)}
 
 
 def oracle_sql() -> dict[str, str]:
