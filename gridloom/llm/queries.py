@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm import html_main, knn_join, line_dedup, mixing, ngram_join, packing, quality, token_store, toxicity
+from gridloom.llm import embedding_dedup, html_main, knn_join, line_dedup, mixing, ngram_join, packing, quality, token_store, toxicity
 from gridloom.llm.common import doc_fold, shared_path, table
 
 
@@ -26,6 +26,10 @@ def op3_knn_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return knn_join.join(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64)
 
 
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.links(table(spark, sf_dir, "embeddings"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents"))
     return done.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
@@ -90,7 +94,7 @@ def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality, op2_mixing, op3_knn_join, op5_line_dedup, op6_token_store, op7_packing, op8_ngram_join, op9_toxicity, op10_html_extraction)}
+    return {f.__name__: f for f in (op1_quality, op2_mixing, op3_knn_join, op4_embedding_dedup, op5_line_dedup, op6_token_store, op7_packing, op8_ngram_join, op9_toxicity, op10_html_extraction)}
 
 
 def oracle_sql() -> dict[str, str]:
