@@ -155,9 +155,13 @@ def _links_of(held: list[tuple], asking: list[tuple], size: int, threshold: floa
     error = np.array([r[8] for r in held])
     reach = math.sqrt(max(0.0, 2 - 2 * threshold)) + error + 1e-6  # distance of unit vectors at the threshold, and the code's
     near = quantiser.distances(q, here, codes) <= reach[None, :] ** 2
+    home_q = np.array([r[6] for r in asking])
+    for h in {int(h) for h in home_q if h < here}:  # of two lists where a pair would meet, only the smaller one counts it
+        near[np.ix_(home_q == h, [h in r[9] for r in held])] = False
+    place = {r[3]: b for b, r in enumerate(held)}
+    own = [(a, b) for a, r in enumerate(asking) if (b := place.get(r[3])) is not None]
+    near[tuple(np.array(own, np.int64).reshape(-1, 2).T)] = False
     i, j = np.nonzero(near)
-    exact = np.fromiter((asking[a][3] != held[b][3] and _counts(asking[a], held[b], here) for a, b in zip(i, j, strict=True)), bool, len(i))
-    i, j = i[exact], j[exact]
     if not len(i):
         return
     x, v = stacked([r[5] for r in asking], size), np.zeros((len(held), size))
@@ -170,10 +174,9 @@ def _links_of(held: list[tuple], asking: list[tuple], size: int, threshold: floa
         s, t = i[a : a + 8192], j[a : a + 8192]
         linked[s, t] = np.einsum("ij,ij->i", x[s], v[t]) / np.sqrt(square_x[s] * square_v[t]) >= threshold
     # a pair of home members meets twice here, once each way round; any other pair meets once, and counts for both
-    home_q = np.array([r[6] == here for r in asking])
     copies_q, copies_v = np.array([r[4] for r in asking]), np.array([r[4] for r in held])
     marks = [r[3] for r in asking] + [r[3] for r in held]
-    n = np.concatenate([linked @ copies_v, (linked & ~home_q[:, None]).T @ copies_q])
+    n = np.concatenate([linked @ copies_v, (linked & (home_q != here)[:, None]).T @ copies_q])
     both = np.zeros((len(marks), len(marks)), bool)  # BLOCK and QUERIES bound it
     both[: len(asking), len(asking) :] = linked
     both |= both.T
@@ -183,7 +186,3 @@ def _links_of(held: list[tuple], asking: list[tuple], size: int, threshold: floa
     columns = [pa.array([marks[a] for a in k]), pa.array(n[k], pa.int64()), pa.array([marks[k[r]] for r in root])]
     yield pa.RecordBatch.from_arrays(columns, ["mark", "n_links", "parent"])
 
-
-def _counts(query: tuple, member: tuple, here: int) -> bool:
-    """Whether a pair counts in this list: of two lists where it would meet, only in the smaller one."""
-    return query[6] == here or not (query[6] < here and query[6] in member[9])

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from gridloom.llm.common import ASCII_SPACE, HIDDEN
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-LINES, GONE, ID = f"{HIDDEN}lines", f"{HIDDEN}gone", f"{HIDDEN}id"
+LINES, KEPT, GONE, ID = (f"{HIDDEN}{x}" for x in ("lines", "kept", "gone", "id"))
 
 
 def line_key(line: Column) -> Column:
@@ -50,8 +50,8 @@ def hashed_lines(docs: DataFrame, min_chars: int) -> DataFrame:
     )
 
 
-def drop_repeated_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> DataFrame:
-    """``docs`` with ``text`` rewritten, and the columns ``n_lines`` and ``n_dropped`` (replaced if there)."""
+def drop_repeated_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, counts: bool = True) -> DataFrame:
+    """``docs`` with ``text`` rewritten and, if asked for, columns ``n_lines`` and ``n_dropped`` (replaced if there)."""
     keepers = repeated_lines(docs, min_chars, min_docs)
     gone = (
         hashed_lines(docs, min_chars)
@@ -62,15 +62,14 @@ def drop_repeated_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3)
     )
     lines = F.col(LINES)
     stays = F.filter(lines, lambda x: ~F.array_contains(F.col(GONE), F.xxhash64(line_key(x))) | (F.length(line_key(x)) < min_chars))
-    kept = F.when(F.col(GONE).isNull(), lines).otherwise(stays)
-    rest = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    return (
+    rest = [c for c in docs.columns if not (counts and c in ("n_lines", "n_dropped"))]
+    done = (
         docs.select(*(F.col(f"`{c}`") for c in rest))
         .join(gone, F.col("doc_id") == F.col(ID), "left")
         .withColumn(LINES, _lines(F.col("text")))
-        .withColumn("n_lines", F.size(lines).cast("long"))
-        .withColumn(LINES + "kept", kept)
-        .withColumn("n_dropped", F.col("n_lines") - F.size(LINES + "kept"))
-        .withColumn("text", F.array_join(LINES + "kept", "\n"))
-        .drop(LINES, LINES + "kept", GONE, ID)
+        .withColumn(KEPT, F.when(F.col(GONE).isNull(), lines).otherwise(stays))
+        .withColumn("text", F.array_join(KEPT, "\n"))
     )
+    if counts:
+        done = done.withColumn("n_lines", F.size(lines).cast("long")).withColumn("n_dropped", (F.size(lines) - F.size(KEPT)).cast("long"))
+    return done.drop(LINES, KEPT, GONE, ID)

@@ -329,12 +329,12 @@ class Scores(dict):
             at += len(ws)
 
 
-def score(docs: DataFrame, model: Model | None) -> DataFrame:
-    """``docs`` with a column ``score``, from 0 to 1; it goes last and replaces one of that name."""
-    rest = [c for c in docs.columns if c != "score"]
+def score(docs: DataFrame, model: Model | None, name: str = "score") -> DataFrame:
+    """``docs`` with a column of scores from 0 to 1; it goes last and replaces one of that name."""
+    rest = [c for c in docs.columns if c != name]
     plain = docs.select(*(F.col(f"`{c}`") for c in rest))
     if model is None:
-        return plain.withColumn("score", F.lit(0.0))
+        return plain.withColumn(name, F.lit(0.0))
     shared = docs.sparkSession.sparkContext.broadcast(model)  # a table of 64 ** 3 numbers
     place = rest.index("text")
 
@@ -347,6 +347,6 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
                 bags = [tokens_of(t) for t in texts[low : low + 200]]
                 scores.learn(set().union(*bags))
                 value[low : low + len(bags)] = [max(map(scores.__getitem__, b), default=shared.value.bias) for b in bags]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(shared.value.probability(value))], [*rest, "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(shared.value.probability(value))], [*rest, name])
 
-    return plain.mapInArrow(run, plain.withColumn("score", F.lit(0.0)).schema)
+    return plain.mapInArrow(run, plain.withColumn(name, F.lit(0.0)).schema)
