@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from gridloom.operators import borders, grid, ingest_log, pairs, ranges
 from gridloom.operators import predicates as p
 from gridloom.plans import decision, strategies
+from gridloom.session import cut
 from gridloom.sources import files, xlsx
 
 #: The widest sheet that is read; wider ones are logged as SKIP.
@@ -17,8 +18,8 @@ WIDEST = 200
 def sheets(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(rows, cells, merges) of all workbooks of a folder: merged ranges filled, cells long with their edges."""
     found = files.scan(spark, folder, extensions=(".xlsx",))
-    cells = xlsx.cells(found).withColumn("sheet", xlsx.sheet_key()).where(F.col("error").isNull())
-    merged = xlsx.merges(found).withColumn("sheet", xlsx.sheet_key())
+    cells = cut(xlsx.cells(found).withColumn("sheet", xlsx.sheet_key()).where(F.col("error").isNull()))
+    merged = cut(xlsx.merges(found).withColumn("sheet", xlsx.sheet_key()))
     strips = merged.select("sheet", F.explode(F.sequence("r0", "r1")).alias("row_idx"), "c0", "c1")
     covered = strips.select("sheet", "row_idx", F.explode(F.sequence("c0", "c1")).alias("col_idx")).withColumn("value", F.lit(None).cast("string"))
     own = cells.where(F.col("col_idx") < WIDEST).select("sheet", "row_idx", "col_idx", "value")
@@ -29,7 +30,7 @@ def sheets(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, Data
     every = span.select("sheet", "right", F.explode(F.sequence(F.lit(0), F.col("last"))).alias("row_idx"))
     value = F.transform(F.sequence(F.lit(0), F.col("right")), lambda i: F.try_element_at("m", i))
     rows = every.join(at, ["sheet", "row_idx"], "left").select("sheet", "row_idx", value.alias("cells"))
-    return rows, cells, merged
+    return cut(rows), cells, merged
 
 
 def profile(rows: DataFrame, cells: DataFrame, merged: DataFrame) -> DataFrame:
@@ -41,8 +42,10 @@ def profile(rows: DataFrame, cells: DataFrame, merged: DataFrame) -> DataFrame:
     span = pairs.record_span_scores(rows.where(F.col("row_idx") > 0).withColumn("row_idx", F.col("row_idx") - 1)).groupBy("sheet").agg(F.max("score").alias("span_score"))
     splits = ranges.vertical_splits(rows).groupBy("sheet").agg(F.count(F.lit(1)).alias("n_splits"))
     across = ranges.split_column(ranges.blank_columns(grid.to_cells(rows)))
-    joined = base
-    for other in (by_border, span, splits, across, ranges.data_start(grid.trim_blank_rows(rows)), merged.groupBy("sheet").agg(F.count(F.lit(1)).alias("n_merges"))):
+    joined = cut(base)
+    for other in map(cut, (by_border, span, splits, across)):  # one row a sheet
+        joined = joined.join(other, "sheet", "left")
+    for other in (ranges.data_start(grid.trim_blank_rows(rows)), merged.groupBy("sheet").agg(F.count(F.lit(1)).alias("n_merges"))):
         joined = joined.join(other, "sheet", "left")
     return joined.fillna({"n_splits": 0, "n_merges": 0, "span_score": 0.0, "data_start": -1})
 
@@ -53,9 +56,10 @@ def ingest(spark: SparkSession, folder: str, log: DataFrame | None = None) -> tu
     if log is not None:
         todo = ingest_log.unprocessed(rows.select("sheet").distinct(), log, ["sheet"])
         rows, cells, merged = (x.join(todo, "sheet", "left_semi") for x in (rows, cells, merged))
-    facts = profile(rows, cells, merged)
+    facts = cut(profile(rows, cells, merged))
     decided = decision.classify(facts).join(facts.select("sheet", "width", "n_filled"), "sheet")
     status = ingest_log.guarded(F.col("width"), F.col("n_filled"))
     logged = decided.select("sheet", "strategy", F.when(F.col("strategy") == "SKIP", "SKIP").otherwise(status).alias("status"), F.col("width").alias("column_count"))
+    logged = cut(logged)
     good = logged.where(F.col("status") == "SUCCESS").select("sheet", "strategy")
     return logged, strategies.run_all(rows, good), strategies.header_names(rows)
