@@ -64,7 +64,13 @@ def queue(docs: DataFrame, seed: int) -> DataFrame:
 
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = (1.0, 2.0, 3.0), max_epochs: int = 3, budget: float | None = None, seed: int = 7) -> DataFrame:
-    """(doc_id, source, mark, size, source_size, target, times): how many times the mix takes each entry."""
+    """(doc_id, source, mark, size, source_size, target, times), a row a document: how many times the mix takes it."""
+    planned = plan(docs, weights, max_epochs, budget, seed)
+    return planned.withColumn("copies", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int")))).drop("copies")
+
+
+def plan(docs: DataFrame, weights: tuple[float, ...] = (1.0, 2.0, 3.0), max_epochs: int = 3, budget: float | None = None, seed: int = 7) -> DataFrame:
+    """Like mix, but a row an entry, with its number of copies."""
     flat = cut(queue(docs.select("doc_id", "source", "text"), seed))
     entries = flat.groupBy("doc_id", "source", "mark", "size", "u").agg(F.count(F.lit(1)).alias("copies"))
     sizes = flat.groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("source_size"))
@@ -91,11 +97,11 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (1.0, 2.0, 3.0), max_epoch
     epochs = epochs.withColumn("finish", served / F.col("weight"))
     taken = _first(epochs).groupBy("doc_id", "source", "mark", "size", "u").agg(F.count(F.lit(1)).alias("times"))
     key = ["doc_id", "source", "mark", "size", "u"]
-    mine = placed.select(*key, "source_size", "target")
+    mine = placed.select(*key, "copies", "source_size", "target")
     other = taken.select(*(F.col(c).alias(f"t_{c}") for c in key), "times")
     same = [F.col(c).eqNullSafe(F.col(f"t_{c}")) for c in key]
     joined = mine.join(other, (same[0]) & same[1] & same[2] & same[3] & same[4], "left")
-    return joined.select("doc_id", "source", "mark", "size", "source_size", "target", F.coalesce("times", F.lit(0)).alias("times"))
+    return joined.select("doc_id", "source", "mark", "size", "copies", "source_size", "target", F.coalesce("times", F.lit(0)).alias("times"))
 
 
 def _first(epochs: DataFrame) -> DataFrame:
@@ -119,8 +125,8 @@ def _first(epochs: DataFrame) -> DataFrame:
 
 def mixed_documents(docs: DataFrame, **options: object) -> DataFrame:
     """``docs`` as the mix takes them: a row once for each time, not at all if it isn't taken."""
-    plan = mix(docs, **options).where(F.col("times") > 0)
-    mine = plan.select(*(F.col(c).alias(f"{HIDDEN}{c}") for c in ("doc_id", "source", "mark", "times")))
+    taken = plan(docs, **options).where(F.col("times") > 0)
+    mine = taken.select(*(F.col(c).alias(f"{HIDDEN}{c}") for c in ("doc_id", "source", "mark", "times")))
     marked = docs.withColumn(f"{HIDDEN}text", F.xxhash64("text"))
     same = F.col("doc_id").eqNullSafe(F.col(f"{HIDDEN}doc_id")) & F.col("source").eqNullSafe(F.col(f"{HIDDEN}source")) & (F.col(f"{HIDDEN}text") == F.col(f"{HIDDEN}mark"))
     copies = F.explode(F.array_repeat(F.lit(0), F.col(f"{HIDDEN}times").cast("int"))).alias(f"{HIDDEN}copy")
