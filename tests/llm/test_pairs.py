@@ -130,6 +130,7 @@ def test_recall_of_the_index(spark):
 @pytest.mark.parametrize("k", [3, 500])
 def test_knn_join(spark, k):
     df, good = vectors(spark)
+    good.append((1002, [0.0] * 16, None, 0))  # links with nothing, but has scores
     ids = np.array([r[0] for r in good])
     v = np.floor(np.array([r[1] for r in good], np.float32).astype(float) * 64).astype(np.int64)
     expected = []

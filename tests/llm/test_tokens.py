@@ -33,7 +33,7 @@ def test_encoder_is_the_library(name):
     encoder.most = 50  # forgets often
 
     @settings(max_examples=300, deadline=None)
-    @given(st.lists(st.text(st.one_of(st.characters(max_codepoint=0x180), st.characters(), st.sampled_from(" \n\t'smt"))), max_size=4))
+    @given(st.lists(st.text(st.one_of(st.characters(max_codepoint=0x180), st.characters(exclude_categories=("Cs",)), st.sampled_from(" \n\t'smt"))), max_size=4))
     def check(texts):
         for text, ids in zip(texts, encoder.encode(texts), strict=True):
             assert ids.tolist() == own.encode(text, add_special_tokens=False).ids
