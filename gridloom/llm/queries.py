@@ -93,9 +93,56 @@ def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select("doc_id", "class_id", "n_links", "n_text_links", "group_id", F.col("doc_id").eqNullSafe(F.col("group_id")).alias("kept"))
 
 
+KNN_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0
+)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank, vec_id, score FROM s
+QUALIFY rank <= 20
+"""
+
+EMBEDDING_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE list_cosine_similarity(a.e, b.e) >= 0.9
+), reach AS (
+  SELECT vec_id AS node, vec_id AS root FROM v UNION SELECT l.a, r.root FROM reach r JOIN links l ON l.b = r.node
+), counts AS (SELECT a, count(*) AS n FROM links GROUP BY a), roots AS (SELECT node, min(root) AS root FROM reach GROUP BY node)
+SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(root, vec_id) AS component_id, vec_id = coalesce(root, vec_id) AS kept
+FROM embeddings LEFT JOIN counts ON a = vec_id LEFT JOIN roots ON node = vec_id
+"""
+
+NGRAM_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+), g AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s FROM w
+), n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id), shared AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM g x JOIN g y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b, c = x.n AND c = y.n AS same FROM shared JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE c >= 0.8 * (x.n + y.n - c) - 1e-9
+), classes AS (
+  SELECT d.doc_id, least(d.doc_id, coalesce(min(b), d.doc_id)) AS class_id FROM documents d LEFT JOIN links l ON l.a = d.doc_id AND same GROUP BY d.doc_id
+), reach AS (
+  SELECT doc_id AS node, doc_id AS root FROM documents UNION SELECT l.a, r.root FROM reach r JOIN links l ON l.b = r.node
+), roots AS (SELECT node, min(root) AS root FROM reach GROUP BY node), counts AS (
+  SELECT a, count(*) AS n_links, count(DISTINCT k.class_id) FILTER (WHERE NOT same) AS n_text_links FROM links JOIN classes k ON k.doc_id = b GROUP BY a
+)
+SELECT doc_id, class_id, coalesce(n_links, 0) AS n_links, coalesce(n_text_links, 0) AS n_text_links, root AS group_id, doc_id = root AS kept
+FROM classes JOIN roots ON node = doc_id LEFT JOIN counts ON a = doc_id
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_quality, op2_mixing, op3_knn_join, op4_embedding_dedup, op5_line_dedup, op6_token_store, op7_packing, op8_ngram_join, op9_toxicity, op10_html_extraction)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_line_dedup": LINE_DEDUP_SQL}
+    return {"op3_knn_join": KNN_SQL, "op4_embedding_dedup": EMBEDDING_SQL, "op5_line_dedup": LINE_DEDUP_SQL, "op8_ngram_join": NGRAM_SQL}
