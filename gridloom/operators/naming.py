@@ -42,3 +42,12 @@ def repair_digits(source: Column, english: Column) -> Column:
     wanted, found = F.regexp_extract_all(source, F.lit(r"(\d+)"), 1), F.regexp_extract_all(english, F.lit(r"(\d+)"), 1)
     prefix = F.btrim(F.regexp_replace(F.regexp_replace(english, r"\d+", ""), "_+", "_"), F.lit("_"))
     return F.when((F.size(wanted) == 0) | (wanted == found), english).otherwise(F.concat_ws("_", F.nullif(prefix, F.lit("")), F.array_join(wanted, "_")))
+
+
+def repair_meaning(source: Column, english: Column, words: dict[str, str]) -> Column:
+    """The English name, or the source's known words joined, where none of them is in it and it is not long and detailed."""
+    pairs = F.array(*(F.struct(F.lit(k).alias("k"), F.lit(v).alias("v")) for k, v in words.items()))
+    held = F.transform(F.filter(pairs, lambda x: source.contains(x.k)), lambda x: x.v)
+    missing = ~F.exists(held, lambda v: F.lower(english).contains(v))
+    detailed = (F.length(english) >= 15) & (F.length(english) - F.length(F.replace(english, F.lit("_"), F.lit(""))) >= 2)
+    return F.when((F.size(held) > 0) & missing & ~detailed, F.array_join(F.array_distinct(held), "_")).otherwise(english)

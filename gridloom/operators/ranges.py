@@ -9,9 +9,6 @@ from pyspark.sql import functions as F
 from gridloom.functions import text as t
 from gridloom.operators import predicates as p
 
-CELLS = F.col
-
-
 def sheet_window() -> W:
     return W.partitionBy("sheet").orderBy("row_idx")
 
@@ -59,6 +56,46 @@ def header_start_from_end(rows: DataFrame, header_end: DataFrame) -> DataFrame:
     return marked.withColumn("at", stops).groupBy("sheet", "header_end").agg(F.coalesce(kept, F.col("header_end")).alias("header_start"))
 
 
+def header_range(rows: DataFrame) -> DataFrame:
+    """(sheet, header_start, header_end): the header block above the data; (0, 0) if there is none.
+
+    Its end is the last row above the data that is neither blank, a title, nor a lone Chinese text (unless a row of
+    several cells stands over that, which it then supplements).  Its start is the topmost row that belongs to it: up from
+    the end, titles are passed over, lone texts belong if the row below has several cells, and a lone text of more than
+    four characters that does not belong stops the search.
+    """
+    cells, w = F.col("cells"), sheet_window()
+    start = data_start(rows)
+    first = p.first_filled(cells)
+    lone = p.n_filled(cells) == 1
+    flags = rows.where(~p.is_blank(cells)).select(
+        "sheet", "row_idx", p.n_filled(cells).alias("n"), p.is_title(cells).alias("title"), lone.alias("lone"),
+        (lone & first.rlike(f"^{t.CJK}{{1,4}}$")).alias("short"), (lone & (F.length(first) > 4)).alias("long"), (lone & first.rlike(f"^{t.CJK}") & (F.length(first) > 4)).alias("long_cjk"),
+    )
+    flags = flags.join(start, "sheet").where(F.col("row_idx") < F.col("data_start"))
+    flags = flags.withColumn("above", F.coalesce(F.lag("n").over(w), F.lit(0))).withColumn("below", F.lead("n").over(w))
+    passed = F.col("title") | ((F.col("short") | F.col("long_cjk")) & (F.col("above") <= 1))
+    ends = flags.where(~passed).groupBy("sheet").agg(F.max("row_idx").alias("header_end"))
+    block = flags.join(ends, "sheet").where(F.col("row_idx") <= F.col("header_end"))
+    fits = F.coalesce(F.col("below") > 1, F.lit(False)) & (F.col("row_idx") < F.col("header_end"))
+    own = F.col("row_idx") == F.col("header_end")
+    stop = F.max(F.when(F.col("long") & ~fits & ~own, F.col("row_idx"))).over(W.partitionBy("sheet"))
+    joins = own | (~F.col("title") & ~((F.col("short") | F.col("long")) & ~fits))
+    found = block.withColumn("stop", F.coalesce(stop, F.lit(-1))).withColumn("joins", joins).where(F.col("joins") & (F.col("row_idx") > F.col("stop")))
+    found = found.groupBy("sheet", "header_end").agg(F.min("row_idx").alias("header_start"))
+    return start.join(found, "sheet", "left").select("sheet", F.coalesce("header_start", F.lit(0)).alias("header_start"), F.coalesce("header_end", F.lit(0)).alias("header_end"))
+
+
+def repeated_header(rows: DataFrame, widest: int = 12) -> DataFrame:
+    """(sheet, split_col): where the densest of the first five rows says its own beginning again, at least 70 % of it."""
+    cells = F.col("cells")
+    first = rows.where(F.col("row_idx") < 5).groupBy("sheet").agg(F.max_by("cells", F.struct(p.n_filled(cells), -F.col("row_idx"))).alias("cells"))
+    first = first.where((F.size("cells") >= 6) & (p.n_filled(cells) >= 4))
+    same = lambda n: F.size(F.filter(F.zip_with(F.slice(cells, 1, n), F.slice(cells, n + 1, n), lambda a, b: F.coalesce(a == b, F.lit(False))), lambda x: x))
+    hits = F.coalesce(*(F.when((F.size(cells) >= 2 * n) & (same(n) >= 0.7 * n), F.lit(n)) for n in range(2, widest + 1)))
+    return first.select("sheet", hits.alias("split_col")).where(F.col("split_col").isNotNull())
+
+
 def retreat_header(rows: DataFrame, header_end: DataFrame) -> DataFrame:
     """(sheet, header_end): one row less where that row holds two, and 30 %, data numbers after its first cell."""
     cells = F.col("cells")

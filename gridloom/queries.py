@@ -235,6 +235,24 @@ def header_retreat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranges.retreat_header(rows, rows.groupBy("sheet").agg(F.max("row_idx").alias("header_end")))
 
 
+@query(f"""
+WITH {GRID}, k AS (SELECT sheet, row_idx, priority[1] AS x FROM grid),
+d AS (SELECT sheet, coalesce(min(row_idx) FILTER (WHERE x = '1'), -1) AS ds FROM k GROUP BY sheet),
+f AS (SELECT k.sheet, row_idx, ds, x, CASE x WHEN '3' THEN 1 WHEN '4' THEN 1 ELSE 2 END AS n FROM k JOIN d ON k.sheet = d.sheet WHERE row_idx < ds),
+g AS (SELECT *, coalesce(lag(n) OVER w, 0) AS above, lead(n) OVER w AS below FROM f WINDOW w AS (PARTITION BY sheet ORDER BY row_idx)),
+e AS (SELECT *, max(CASE WHEN NOT (x = '5' OR (x IN ('3', '4') AND above <= 1)) THEN row_idx END) OVER (PARTITION BY sheet) AS he FROM g),
+b AS (SELECT *, row_idx = he AS own, row_idx < he AND coalesce(below > 1, FALSE) AS fits FROM e WHERE row_idx <= he),
+s AS (SELECT *, coalesce(max(CASE WHEN x = '4' AND NOT fits AND NOT own THEN row_idx END) OVER (PARTITION BY sheet), -1) AS stop FROM b),
+r AS (SELECT sheet, min(row_idx) AS hs, max(he) AS he FROM s WHERE row_idx > stop AND (own OR (x <> '5' AND NOT (x IN ('3', '4') AND NOT fits))) GROUP BY sheet)
+SELECT d.sheet, coalesce(hs, 0) AS header_start, coalesce(he, 0) AS header_end FROM d LEFT JOIN r ON d.sheet = r.sheet
+""")
+def header_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    x = F.substring("o_orderpriority", 1, 1)
+    first = F.when(x == "1", "北京").when(x == "2", "指标").when(x == "3", "单位").when(x == "4", "全国人口统计表").otherwise("标题")
+    second = F.when(x == "1", F.format_number("o_totalprice", 2)).when(x == "2", "年份").when(x == "5", "标题")
+    return ranges.header_range(orders_grid(spark, sf_dir, lambda: [first, second]))
+
+
 # --- filling -------------------------------------------------------------------------------------------------------
 
 
@@ -414,6 +432,12 @@ def overlap_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranges.best_overlap(items.where(F.col("start") % 2 == 1).distinct(), items.where(F.col("start") % 2 == 0).withColumn("hint", F.col("start")))
 
 
+@query(f"WITH {GRID} SELECT DISTINCT sheet, CAST(3 AS INTEGER) AS split_col FROM (SELECT sheet, arg_max(priority[1], -row_idx) AS x FROM grid WHERE row_idx < 5 GROUP BY sheet) WHERE x IN ('1', '2')")
+def repeated_header(spark: SparkSession, sf_dir: str) -> DataFrame:
+    x = F.col("o_orderpriority").rlike("^[12]")
+    return ranges.repeated_header(orders_grid(spark, sf_dir, lambda: [F.lit("年份"), F.lit("男"), F.lit("女"), F.when(x, "年份").otherwise("a"), F.when(x, "男").otherwise("b"), F.lit("女")]))
+
+
 @query(f"WITH {GRID} SELECT sheet, row_idx, 'left' AS label, label AS c0, priority AS c1 FROM grid UNION ALL SELECT sheet, row_idx, 'right', amount, day FROM grid")
 def region_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat(grid.regions(orders_grid(spark, sf_dir), [(0, 1, "left"), (2, 3, "right")]), 2, "sheet", "row_idx", "label")
@@ -492,6 +516,14 @@ def numeric_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "part").select("p_partkey", naming.repair_digits(source, F.lit("size_77")).alias("name"), naming.repair_digits(source, right).alias("kept"))
 
 
+@query("SELECT c_custkey, CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') THEN 'population_growth' WHEN c_mktsegment = 'HOUSEHOLD' THEN 'total_population' ELSE 'x_' || lower(c_mktsegment) END AS name FROM customer")
+def semantic_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    segment = F.col("c_mktsegment")
+    source = F.when(segment.isin("BUILDING", "MACHINERY"), "人口增长").when(segment == "HOUSEHOLD", "人口").otherwise("其他")
+    english = F.when(segment == "HOUSEHOLD", "total_population").otherwise(F.concat(F.lit("x_"), F.lower(segment)))
+    return read(spark, sf_dir, "customer").select("c_custkey", naming.repair_meaning(source, english, {"人口": "population", "增长": "growth"}).alias("name"))
+
+
 # --- planning and logging ------------------------------------------------------------------------------------------
 
 
