@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from gridloom.llm.common import ASCII_SPACE, HIDDEN
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: Tasks that share the documents of a line.
+SALTS = 16
 LINES, KEPT, GONE, ID = (f"{HIDDEN}{x}" for x in ("lines", "kept", "gone", "id"))
 
 
@@ -53,9 +55,13 @@ def hashed_lines(docs: DataFrame, min_chars: int) -> DataFrame:
 def drop_repeated_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, counts: bool = True) -> DataFrame:
     """``docs`` with ``text`` rewritten and, if asked for, columns ``n_lines`` and ``n_dropped`` (replaced if there)."""
     keepers = repeated_lines(docs, min_chars, min_docs)
+    # a line that very many documents hold is dealt out over SALTS tasks, and its keeper to each of them
+    salt = F.pmod(F.xxhash64("doc"), F.lit(SALTS)).cast("int")
+    salted = keepers.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     gone = (
         hashed_lines(docs, min_chars)
-        .join(keepers, ["a", "b"])
+        .withColumn("salt", salt)
+        .join(salted, ["a", "b", "salt"])
         .where(F.col("doc") != F.col("keeper"))
         .groupBy(F.col("doc").alias(ID))
         .agg(F.collect_set("a").alias(GONE))

@@ -45,7 +45,7 @@ class Pieces(dict):
 class Encoder:
     """Encodes texts; remembers the ids of at most ``most`` pieces."""
 
-    most = 400_000
+    most = 800_000
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer

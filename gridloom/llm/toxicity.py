@@ -109,11 +109,12 @@ class Model:
     slope: float
     offset: float
 
-    def values(self, words: list[str]) -> np.ndarray:
+    def values(self, words: list[str], block: int = 5000) -> np.ndarray:
         out = np.full(len(words), self.bias)
-        if words:
-            owner, sub, weight = self.alphabet.features(words)
-            out += np.bincount(owner, weight * self.weights[sub], len(words))
+        for i in range(0, len(words), block):
+            part = words[i : i + block]
+            owner, sub, weight = self.alphabet.features(part)
+            out[i : i + block] += np.bincount(owner, weight * self.weights[sub], len(part))
         return out
 
     def probability(self, value: np.ndarray) -> np.ndarray:
@@ -134,7 +135,7 @@ def kernel(alphabet: Alphabet, words: list[str], landmarks: list[str]) -> np.nda
     known = np.unique(alphabet.features(landmarks)[1])
     marks = dense(landmarks)
     scale = (marks**2).sum(1)
-    parts = [dense(words[i : i + 2000]) @ marks.T for i in range(0, len(words), 2000)]
+    parts = [dense(words[i : i + 400]) @ marks.T for i in range(0, len(words), 400)]
     return np.concatenate(parts) / scale if parts else np.zeros((0, len(landmarks)))
 
 
@@ -157,15 +158,20 @@ def beginnings(word: str) -> list[str]:
 
 def choose_landmarks(toxic: list[set[str]], clean: Counter, most: int, penalty: float = 8.0) -> list[str]:
     """Words and word beginnings, greedily: found in most toxic bags, and in few clean ones; a word is explained once."""
+    least = max(3, len(toxic) // 25)
+    often: Counter = Counter()
+    for bag in toxic:
+        often.update({s for w in bag for s in beginnings(w)})
+    telling = {s for s, n in often.items() if n >= least}
+    del often
     bags_of: dict[str, set[int]] = {}
+    words: dict[str, set[str]] = {}
     for k, bag in enumerate(toxic):
         for w in bag:
-            bags_of.setdefault(w, set()).add(k)
-    least = max(3, len(toxic) // 25)
-    words: dict[str, set[str]] = {}
-    for w in bags_of:
-        for s in beginnings(w):
-            words.setdefault(s, set()).add(w)
+            if hit := telling.intersection(beginnings(w)):
+                bags_of.setdefault(w, set()).add(k)
+                for s in hit:
+                    words.setdefault(s, set()).add(w)
     innocent: Counter = Counter()
     for w, n in clean.items():
         for s in beginnings(w):
@@ -181,7 +187,7 @@ def choose_landmarks(toxic: list[set[str]], clean: Counter, most: int, penalty:
         best = max(left, key=lambda s: (left[s], len(s), s))
         chosen.append(best)
         gone = set(words[best])
-        for s in {s for w in gone for s in beginnings(w)}:
+        for s in {s for w in gone for s in beginnings(w)} & telling:
             words[s] = words[s] - gone
             if s in left and (v := worth(s)) >= least:
                 left[s] = v
