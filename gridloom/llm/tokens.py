@@ -46,6 +46,8 @@ class Encoder:
     """Encodes texts; remembers the ids of at most ``most`` pieces."""
 
     most = 800_000
+    #: Pieces that the library encodes at a time: what it returns for a piece takes about a kilobyte.
+    at_once = 4_000
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
@@ -57,17 +59,21 @@ class Encoder:
 
     def forget(self) -> None:
         self.pieces = Pieces()
-        self.starts = self.lengths = np.zeros(0, np.int64)
+        self.starts = self.lengths = np.zeros(0, np.int32)
         self.ids = np.zeros(0, np.uint32)
 
     def learn(self) -> None:
-        if new := self.pieces.new:
-            coded = [x.ids for x in self.library.encode_batch(new, add_special_tokens=False)]
-            lengths = np.fromiter(map(len, coded), np.int64, len(coded))
-            self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(lengths) - lengths])
+        new, self.pieces.new = self.pieces.new, []
+        ids, sizes = [], []
+        for a in range(0, len(new), self.at_once):
+            coded = [x.ids for x in self.library.encode_batch(new[a : a + self.at_once], add_special_tokens=False)]
+            sizes.append(np.fromiter(map(len, coded), np.int32, len(coded)))
+            ids.append(np.fromiter((i for x in coded for i in x), np.uint32, int(sizes[-1].sum())))
+        if new:
+            lengths = np.concatenate(sizes)
+            self.starts = np.concatenate([self.starts, (len(self.ids) + np.cumsum(lengths) - lengths).astype(np.int32)])
             self.lengths = np.concatenate([self.lengths, lengths])
-            self.ids = np.concatenate([self.ids, np.fromiter((i for x in coded for i in x), np.uint32, int(lengths.sum()))])
-            self.pieces.new = []
+            self.ids = np.concatenate([self.ids, *ids])
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """The ids of each text, as uint32; none for a null."""
@@ -80,7 +86,7 @@ class Encoder:
             for i, x in zip(rest, self.library.encode_batch([texts[i] for i in rest], add_special_tokens=False), strict=True):
                 out[i] = np.array(x.ids, np.uint32)
         number = self.pieces.__getitem__
-        cut = [(i, np.array([number(p) for p in self.rule.findall(t.lower() if self.lower else t)], np.int64)) for i, t in enumerate(texts) if plain[i]]
+        cut = [(i, np.array([number(p) for p in self.rule.findall(t.lower() if self.lower else t)], np.int32)) for i, t in enumerate(texts) if plain[i]]
         self.learn()
         for i, numbers in cut:
             lengths = self.lengths[numbers]
