@@ -66,7 +66,7 @@ class Encoder:
         new, self.pieces.new = self.pieces.new, []
         ids, sizes = [], []
         for a in range(0, len(new), self.at_once):
-            coded = [x.ids for x in self.library.encode_batch(new[a : a + self.at_once], add_special_tokens=False)]
+            coded = [x.ids for x in self.library.encode_batch_fast(new[a : a + self.at_once], add_special_tokens=False)]
             sizes.append(np.fromiter(map(len, coded), np.int32, len(coded)))
             ids.append(np.fromiter((i for x in coded for i in x), np.uint32, int(sizes[-1].sum())))
         if new:
