@@ -1,16 +1,18 @@
-"""Near-duplicate vectors by product quantisation with coarse inverted lists.
+"""Near-duplicate vectors by product quantisation with coarse lists.
 
 1. Vectors equal in every component are one class; only classes go on.
 2. Coarse centres and the codebooks of the residuals' subspaces are trained on a bounded sample (TRAIN classes).
-3. Every class is encoded: its nearest centre's list, a code a subspace, and how far its code is from it.  It is also
-   sent, as a query, to its PROBES nearest lists.
-4. In a list, queries meet members.  A table of distances from the query's residual to all codewords gives each member's
-   distance by look-up.  A pair goes on if that distance less the member's own coding error can be within the threshold,
-   which loses no pair, and is then decided by its cosine in double precision.
-5. A task returns a row a class: its links there and one class it hangs together with.  These are summed and joined up.
+3. Every class is encoded: its nearest centre's list, a code a subspace, and how far its code is from it.  Lists are
+   packed into blocks, a large list into several, and each keeps the radius that its members reach.
+4. A class is sent, as a query, to every block that can hold a partner.  A list can't if the query is further from its
+   centre than its radius and the threshold's distance together, or further than the latter from the plane half-way
+   between its centre and the query's own, as members lie on their own centre's side.  A pair of blocks meets one way.
+5. In a block, queries meet the members' decoded codes.  A pair goes on if that distance less the member's own coding
+   error can be within the threshold, which loses no pair, and is then decided by its cosine in double precision.
+6. A task returns a row a class: its links there and one class it hangs together with.  These are summed and joined up.
 
-A list of any size is dealt out in blocks that every query of the list visits; none is cut short.  A pair that meets in
-two lists counts in one of them.  Recall is limited by the probes alone; tests measure it against brute force.
+No pair is lost.  The bounds prune as far as lists are tight and apart; vectors without structure, and large groups of
+near copies, meet all of their like.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite components link with nothing; shorter
 vectors are filled up with zeros; rows that repeat a vec_id are vectors of their own, and share the id's component by it
@@ -29,12 +31,13 @@ from pyspark.sql import functions as F
 
 from gridloom.llm.common import cut, n_shuffle
 from gridloom.llm.components import connected_components
-from gridloom.llm.shingles import least_reachable
 from gridloom.llm.vectors import k_means, nearest, stacked, usable
 
-#: Classes in the training sample; lists that a query visits; members of a block; queries at a time.
-TRAIN, PROBES, BLOCK, QUERIES = 20_000, 16, 2048, 256
+#: Classes in the training sample; members of a block; queries at a time.
+TRAIN, BLOCK, QUERIES = 20_000, 2048, 256
 SUBSPACES, CODEWORDS, MOST_LISTS = 8, 256, 65_536
+#: Above the rounding of distances between unit vectors in double and of their squares in single precision.
+SLACK, SLACK_32 = 1e-6, 1e-4
 
 
 class Quantiser:
@@ -48,36 +51,53 @@ class Quantiser:
         self.parts = [p for p in np.array_split(np.arange(sample.shape[1]), min(SUBSPACES, sample.shape[1]))]
         self.books = [k_means(rest[:, p], CODEWORDS, 6, rng) for p in self.parts]
 
-    def encode(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """List, codes and coding error of each row."""
-        which, _ = nearest(x, self.centres)
+        self.gaps = np.sqrt(np.maximum(_squares(self.centres, self.centres), 0))
+
+    def encode(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """List, distance from its centre, codes and coding error of each row."""
+        which, far = nearest(x, self.centres)
         rest = x - self.centres[which]
         coded = [nearest(rest[:, p], b) for p, b in zip(self.parts, self.books, strict=True)]
-        return which, np.stack([c for c, _ in coded], 1).astype(np.uint8), np.sqrt(sum(d for _, d in coded))
-
-    def probes(self, x: np.ndarray, n: int) -> np.ndarray:
-        """The nearest lists of each row."""
-        n = min(n, len(self.centres))
-        d = (self.centres**2).sum(1)[None, :] - 2 * x @ self.centres.T
-        return np.argpartition(d, n - 1, axis=1)[:, :n]
-
-    def distances(self, query: np.ndarray, centre: int, codes: np.ndarray) -> np.ndarray:
-        """(queries, codes): squared distances to a list's coded members, by look-up."""
-        rest = query - self.centres[centre]
-        out = np.zeros((len(query), len(codes)))
+        return which, np.sqrt(far), np.stack([c for c, _ in coded], 1).astype(np.uint8), np.sqrt(sum(d for _, d in coded))
+
+    def decode(self, which: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        out = self.centres[which].copy()
         for k, (p, b) in enumerate(zip(self.parts, self.books, strict=True)):
-            table = (rest[:, p] ** 2).sum(1)[:, None] - 2 * rest[:, p] @ b.T + (b**2).sum(1)[None, :]
-            out += table[:, codes[:, k]]
+            out[:, p] += b[codes[:, k]]
         return out
 
+    def possible(self, x: np.ndarray, home: np.ndarray, radius: np.ndarray, reach: float) -> np.ndarray:
+        """(rows, lists): whether a list, of that radius, can hold a vector within reach of the row; negative radius: none."""
+        d = np.maximum(_squares(x, self.centres), 0)
+        beyond = d - d[np.arange(len(x)), home][:, None]
+        return (np.sqrt(d) <= radius[None, :] + reach + SLACK) & (beyond <= 2 * self.gaps[home] * (reach + SLACK) + SLACK) & (radius >= 0)[None, :]
+
+
+def _squares(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    return (x**2).sum(1)[:, None] - 2 * x @ y.T + (y**2).sum(1)[None, :]
+
 
 def unit(rows: list, size: int) -> np.ndarray:
-    x = stacked(rows, size)
-    x /= np.abs(x).max(1, keepdims=True)  # first, so that no square overflows
+    return _unit(stacked(rows, size))
+
+
+def _unit(x: np.ndarray) -> np.ndarray:
+    x = x / np.abs(x).max(1, keepdims=True)  # first, so that no square overflows
     return x / np.sqrt((x**2).sum(1))[:, None]
 
 
-def links(rows: DataFrame, threshold: float = 0.9, probes: int = PROBES) -> DataFrame:
+def _matrix(column: pa.Array, size: int) -> np.ndarray:
+    """As stacked, from lists without nulls in an Arrow column."""
+    lengths = column.value_lengths().to_numpy(zero_copy_only=False)
+    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    if (lengths == size).all():
+        return flat.reshape(-1, size)
+    out = np.zeros((len(lengths), size))
+    out[np.arange(size)[None, :] < lengths[:, None]] = flat
+    return out
+
+
+def links(rows: DataFrame, threshold: float = 0.9) -> DataFrame:
     """(vec_id, n_links, component_id, kept), a row a vector."""
     spark = rows.sparkSession
     vector = F.col("embedding")
@@ -90,7 +110,7 @@ def links(rows: DataFrame, threshold: float = 0.9, probes: int = PROBES) -> Data
     if not facts["n"]:
         return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
     size = int(facts["size"])
-    found = cut(_met(classes, size, threshold, probes, _trained(classes, int(facts["n"]), size)))
+    found = cut(_met(classes, int(facts["n"]), size, threshold, _trained(classes, int(facts["n"]), size)))
     sums = found.groupBy("mark").agg(F.sum("n_links").alias("more"))
     joined = connected_components(found, "mark", "parent").withColumnRenamed("node", "mark").join(classes.select("mark", "first_id"), "mark")
     roots = joined.groupBy("root").agg(F.min("first_id").alias("component_id"))
@@ -107,82 +127,147 @@ def _trained(classes: DataFrame, n: int, size: int) -> Quantiser:
     return Quantiser(unit(sample["embedding"].tolist(), size), max(1, min(MOST_LISTS, TRAIN // 8, math.isqrt(n))))
 
 
-def _met(classes: DataFrame, size: int, threshold: float, probes: int, quantiser: Quantiser) -> DataFrame:
+def _blocks(lists: list[tuple[int, int, float]], centres: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """First block, number of blocks and radius of each list, from (list, members, radius), and the number of all blocks."""
+    first, count, radius = np.zeros(len(centres), np.int64), np.zeros(len(centres), np.int64), np.full(len(centres), -1.0)
+    middle = centres - centres.mean(0)
+    along = middle @ np.linalg.svd(middle, full_matrices=False)[2][0]  # so that a block's lists lie close together
+    blocks, room = 0, 0
+    for at, members, far in sorted(lists, key=lambda x: (along[x[0]], x[0])):
+        radius[at] = far
+        if members > room:
+            count[at] = -(-members // BLOCK)
+            first[at], blocks = blocks, blocks + int(count[at])
+            room = BLOCK - members if count[at] == 1 else 0
+        else:
+            first[at], count[at], room = blocks - 1, 1, room - members
+    return first, count, radius, blocks
+
+
+def _met(classes: DataFrame, n: int, size: int, threshold: float, quantiser: Quantiser) -> DataFrame:
     """(mark, n_links, parent): what each class finds in each meeting of queries and a block."""
     spark = classes.sparkSession
-    shared = spark.sparkContext.broadcast(quantiser)  # at most MOST_LISTS centres and SUBSPACES books
+    shared = spark.sparkContext.broadcast(quantiser)  # at most TRAIN / 8 centres, and SUBSPACES books
+    reach = math.sqrt(max(0.0, 2 - 2 * threshold))  # distance of unit vectors at the threshold
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = unit(batch.column(2).to_pylist(), size)
-            home, codes, error = shared.value.encode(x)
-            visits = [sorted({int(h), *map(int, v)}) for h, v in zip(home, shared.value.probes(x, probes), strict=True)]
-            columns = [pa.array(home.astype(np.int32)), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(error), pa.array(visits, pa.list_(pa.int32()))]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], [*batch.schema.names, "home", "codes", "error", "visits"])
+            home, far, codes, error = shared.value.encode(_unit(_matrix(batch.column(2), size)))
+            columns = [pa.array(home.astype(np.int32)), pa.array(far), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(error)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], [*batch.schema.names, "home", "far", "codes", "error"])
 
     kind = dict(classes.dtypes)["embedding"]
-    coded = cut(classes.select("mark", "copies", "embedding").mapInArrow(encode, f"mark string, copies bigint, embedding {kind}, home int, codes binary, error double, visits array<int>"))
-    blocks = coded.groupBy(F.col("home").alias("list")).agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    body = ["mark", "copies", "embedding", "home", "codes", "error", "visits"]
-    members = coded.join(blocks, F.col("home") == F.col("list")).select("list", F.pmod(F.xxhash64("mark"), F.col("blocks")).cast("int").alias("block"), F.lit(0).alias("kind"), *body)
-    queries = coded.select("*", F.explode("visits").alias("list")).join(blocks, "list").select("list", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(1).alias("kind"), *body)
+    fields = f"mark string, copies bigint, embedding {kind}, home int, far double, codes binary, error double"
+    coded = cut(classes.select("mark", "copies", "embedding").mapInArrow(encode, fields))
+    lists = coded.groupBy("home").agg(F.count(F.lit(1)).alias("members"), F.max("far").alias("radius")).collect()  # a row a list
+    first, count, radius, blocks = _blocks([tuple(r) for r in lists], quantiser.centres)
+    layout = spark.sparkContext.broadcast((first, count, radius))
+
+    def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, count, radius = layout.value
+        for whole in batches:
+            for at in range(0, whole.num_rows, 1024):
+                batch = whole.slice(at, 1024)
+                home = batch.column(3).to_numpy()
+                own = first[home] + batch.column(7).to_numpy() % count[home]
+                possible = shared.value.possible(_unit(_matrix(batch.column(2), size)), home, radius, reach)
+                visits = []
+                for o, row in zip(own, possible, strict=True):
+                    k = np.flatnonzero(row)
+                    many = count[k]
+                    b = np.unique(np.repeat(first[k] - np.cumsum(many) + many, many) + np.arange(many.sum()))
+                    visits.append(b[(b != o) & ((b > o) == ((b + o) % 2 == 0))].astype(np.int32))  # of two blocks, one goes to the other
+                columns = [pa.array(own.astype(np.int32)), pa.array(visits, pa.list_(pa.int32()))]
+                yield pa.RecordBatch.from_arrays([*batch.columns[:7], *columns], [*batch.schema.names[:7], "own", "visits"])
+
+    placed = cut(coded.withColumn("of", F.abs(F.xxhash64("mark") % 1_000_003)).mapInArrow(visit, fields + ", own int, visits array<int>"))
+    shares = max(1, math.ceil(n / (16 * BLOCK)))  # of a block's queries, about half of all classes at most
+    share = F.pmod(F.xxhash64(F.lit(7), "mark"), F.lit(shares)).cast("int")
+    body = ["mark", "copies", "embedding"]
+    codes = ["home", "codes", "error"]
+    # among themselves, a block's members are queries of one share each
+    members = placed.select(F.col("own").alias("block"), F.explode(F.sequence(F.lit(0), F.lit(shares - 1))).alias("share"), F.lit(0).alias("kind"), share.alias("asks"), *body, *codes)
+    queries = placed.select(F.explode("visits").alias("block"), share.alias("share"), F.lit(1).alias("kind"), F.lit(-1).alias("asks"), *body, *(F.lit(None).cast(t).alias(c) for c, t in zip(codes, ("int", "binary", "double"), strict=True)))
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []  # the block's members
-        asking: list[tuple] = []
-        key = None
+        key, held, parts = None, None, []
         for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if row[:2] != key:
-                    if asking:
-                        yield from _links_of(held, asking, size, threshold, shared.value)
-                    key, held, asking = row[:2], [], []
-                (asking if row[2] else held).append(row)
-                if len(asking) >= QUERIES:
-                    yield from _links_of(held, asking, size, threshold, shared.value)
-                    asking = []
-        if asking:
-            yield from _links_of(held, asking, size, threshold, shared.value)
-
-    dealt = members.unionByName(queries).repartition(n_shuffle(spark), "list", "block").sortWithinPartitions("list", "block", "kind", "mark")
+            block, part, asking = (batch.column(k).to_numpy() for k in range(3))
+            turns = np.flatnonzero((np.diff(block) != 0) | (np.diff(part) != 0) | (np.diff(asking) != 0)) + 1
+            for low, high in zip([0, *turns], [*turns, len(block)], strict=True):
+                if low == high:
+                    continue
+                rows = batch.slice(low, high - low)
+                if (here := (int(block[low]), int(part[low]))) != key:
+                    if parts:
+                        yield from _among(_Block(parts, size, shared.value), key[1], threshold)
+                    key, held, parts = here, None, []
+                if not asking[low]:
+                    parts.append(rows)
+                    continue
+                if parts:
+                    held, parts = _Block(parts, size, shared.value), []
+                    yield from _among(held, key[1], threshold)
+                for at in range(0, rows.num_rows, QUERIES):
+                    some = rows.slice(at, QUERIES)
+                    asked = np.array(some.column(4).to_pylist(), object), some.column(5).to_numpy(), _matrix(some.column(6), size)
+                    yield from _links_of(held, *asked, None, threshold)
+        if parts:
+            yield from _among(_Block(parts, size, shared.value), key[1], threshold)
+
+    dealt = members.unionByName(queries).repartition(n_shuffle(spark), "block", "share").sortWithinPartitions("block", "share", "kind", "mark")
     return dealt.mapInArrow(meet, "mark string, n_links bigint, parent string")
 
 
-def _links_of(held: list[tuple], asking: list[tuple], size: int, threshold: float, quantiser: Quantiser) -> Iterator[pa.RecordBatch]:
-    """Links of some queries with a block: rows of (list, block, kind, mark, copies, embedding, home, codes, error, visits)."""
-    here = asking[0][0]
-    q, codes = unit([r[5] for r in asking], size), np.array([np.frombuffer(r[7], np.uint8) for r in held])
-    error = np.array([r[8] for r in held])
-    reach = math.sqrt(max(0.0, 2 - 2 * threshold)) + error + 1e-6  # distance of unit vectors at the threshold, and the code's
-    near = quantiser.distances(q, here, codes) <= reach[None, :] ** 2
-    home_q = np.array([r[6] for r in asking])
-    for h in {int(h) for h in home_q if h < here}:  # of two lists where a pair would meet, only the smaller one counts it
-        near[np.ix_(home_q == h, [h in r[9] for r in held])] = False
-    place = {r[3]: b for b, r in enumerate(held)}
-    own = [(a, b) for a, r in enumerate(asking) if (b := place.get(r[3])) is not None]
-    near[tuple(np.array(own, np.int64).reshape(-1, 2).T)] = False
+class _Block:
+    """A block's members, from rows of (block, share, kind, asks, mark, copies, embedding, home, codes, error)."""
+
+    def __init__(self, parts: list[pa.RecordBatch], size: int, quantiser: Quantiser) -> None:
+        rows = pa.Table.from_batches(parts).combine_chunks().to_batches(max_chunksize=2**31 - 1)[0]
+        self.asks, self.copies = rows.column(3).to_numpy(), rows.column(5).to_numpy()
+        self.marks, self.x = np.array(rows.column(4).to_pylist(), object), _matrix(rows.column(6), size)
+        codes = np.frombuffer(b"".join(rows.column(8).to_pylist()), np.uint8).reshape(rows.num_rows, -1)
+        self.decoded = quantiser.decode(rows.column(7).to_numpy(), codes).astype(np.float32)
+        self.error, self.square = rows.column(9).to_numpy(), (self.decoded**2).sum(1)
+
+
+def _among(held: _Block, share: int, threshold: float) -> Iterator[pa.RecordBatch]:
+    """Links of a block's members of a share with all of its members."""
+    mine = np.flatnonzero(held.asks == share)
+    for at in range(0, len(mine), QUERIES):
+        k = mine[at : at + QUERIES]
+        yield from _links_of(held, held.marks[k], held.copies[k], held.x[k], k, threshold)
+
+
+def _links_of(held: _Block, marks: np.ndarray, copies: np.ndarray, x: np.ndarray, places: np.ndarray | None, threshold: float) -> Iterator[pa.RecordBatch]:
+    """Links of some queries with a block.  places: theirs, if they are its members."""
+    q = _unit(x).astype(np.float32)
+    reach = math.sqrt(max(0.0, 2 - 2 * threshold)) + held.error + SLACK  # the threshold's distance, and the code's
+    near = (held.square - reach**2 - SLACK_32 + 1).astype(np.float32)[None, :] <= 2 * q @ held.decoded.T
+    if places is not None:
+        near[np.arange(len(places)), places] = False
     i, j = np.nonzero(near)
     if not len(i):
         return
-    x, v = stacked([r[5] for r in asking], size), np.zeros((len(held), size))
-    used = np.unique(j)
-    v[used] = stacked([held[b][5] for b in used], size)
-    x, v = x / np.maximum(np.abs(x).max(1, keepdims=True), 1e-300), v / np.maximum(np.abs(v).max(1, keepdims=True), 1e-300)
+    x = x / np.abs(x).max(1, keepdims=True)
+    v = held.x / np.abs(held.x).max(1, keepdims=True)
     square_x, square_v = np.einsum("ij,ij->i", x, x), np.einsum("ij,ij->i", v, v)
-    linked = np.zeros((len(asking), len(held)), bool)
+    linked = np.zeros(near.shape, bool)
     for a in range(0, len(i), 8192):
         s, t = i[a : a + 8192], j[a : a + 8192]
         linked[s, t] = np.einsum("ij,ij->i", x[s], v[t]) / np.sqrt(square_x[s] * square_v[t]) >= threshold
-    # a pair of home members meets twice here, once each way round; any other pair meets once, and counts for both
-    copies_q, copies_v = np.array([r[4] for r in asking]), np.array([r[4] for r in held])
-    marks = [r[3] for r in asking] + [r[3] for r in held]
-    n = np.concatenate([linked @ copies_v, (linked & (home_q != here)[:, None]).T @ copies_q])
-    both = np.zeros((len(marks), len(marks)), bool)  # BLOCK and QUERIES bound it
-    both[: len(asking), len(asking) :] = linked
-    both |= both.T
-    if not len(k := np.flatnonzero(both.any(1))):
+    a, b = np.flatnonzero(linked.any(1)), np.flatnonzero(linked.any(0))
+    if not len(a):
         return
-    root = least_reachable(both[np.ix_(k, k)])
-    columns = [pa.array([marks[a] for a in k]), pa.array(n[k], pa.int64()), pa.array([marks[k[r]] for r in root])]
+    linked = linked[np.ix_(a, b)]
+    top = np.arange(len(a))
+    while True:  # the least query that each can reach
+        below = np.where(linked, top[:, None], len(a)).min(0)
+        new = np.where(linked, below[None, :], len(a)).min(1)
+        if (new == top).all():
+            break
+        top = new
+    # members of the block meet twice, once each way round; any other pair meets once, and counts for both
+    n = linked.T @ copies[a] if places is None else np.zeros(len(b), np.int64)
+    columns = [pa.array([*marks[a], *held.marks[b]]), pa.array(np.concatenate([linked @ held.copies[b], n]), pa.int64()), pa.array([*marks[a[top]], *marks[a[below]]])]
     yield pa.RecordBatch.from_arrays(columns, ["mark", "n_links", "parent"])
-

@@ -127,6 +127,20 @@ def test_recall_of_the_index(spark):
     assert embedding_dedup.links(both).agg(F.sum("n_links")).first()[0] >= 0.98 * expected > 1000
 
 
+@pytest.mark.parametrize("n", [3000, 12_000])
+def test_recall_in_a_dense_group(spark, n):
+    rng = np.random.default_rng(n)
+    x = rng.normal(0, 1, (n, 64))
+    x /= np.sqrt((x**2).sum(1))[:, None]
+    x[: n // 3] = x[0] + rng.normal(0, 0.229 / 8, (n // 3, 64))  # distinct near copies, cosines about 0.95
+    rows = spark.createDataFrame([(i, v.astype(np.float32).tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    x = x.astype(np.float32).astype(float)
+    x /= np.sqrt((x**2).sum(1))[:, None]
+    expected = (x @ x.T >= 0.9).sum(1) - 1
+    got = {r["vec_id"]: r["n_links"] for r in embedding_dedup.links(rows).collect()}
+    assert [got[i] for i in range(n)] == expected.tolist()
+
+
 @pytest.mark.parametrize("k", [3, 500])
 def test_knn_join(spark, k):
     df, good = vectors(spark)
