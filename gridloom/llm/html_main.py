@@ -4,12 +4,14 @@ Markup is stripped, one line a block.  Lines weigh as much text as they have out
 itself says that they are not the article (menus, headers, footers, forms, hidden parts, advert or comment boxes).
 Weights are summed over a sliding window of lines: the text surges where the sum leaves the ground and dives where it
 comes back, and the stretch with most text between the two is the core.  The article is the part of the page that holds
-the core: its ``article`` or ``main`` element, or else the smallest box around the core, or else the stretch itself
-up to the next lines of links.
+the core: its ``article`` or ``main`` element, the outermost if they nest, or else the smallest box around all of the
+core that isn't itself a part of a text (a list, a table, a quotation, a section), or else the stretch itself up to the
+next lines of links.
 All its lines are kept, short ones too, but for those that the markup marks.
 
 Defined cases: a null or empty page, and one without text, give an empty string; unclosed and misplaced tags end where
-an enclosing box ends; pages that repeat an id are pages of their own; other columns play no part.
+an enclosing box ends; elements without text to read (SKIPPED) end at their own tag if they close themselves or are
+never closed; pages that repeat an id are pages of their own; other columns play no part.
 """
 
 from __future__ import annotations
@@ -28,13 +30,19 @@ from pyspark.sql import functions as F
 WINDOW = 3
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"
-    r"|<(script|style|noscript|template|textarea|svg|iframe|object|title|select|math)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)"
+    r"|<(?:(script|style)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*(?<!/)>.*?(?:</\1\s*>|\Z)"
+    r"|(noscript|textarea|iframe|title)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*(?<!/)>(?:(?!<\2\b).)*?</\2\s*>)"
     r"|<(/?)([a-zA-Z][\w:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|([^<]+|<)",
     re.S | re.I,
 )
 ATTRIBUTE = re.compile(r"\b(class|id|role|itemprop|style|hidden|aria-hidden|aria-label)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+#: Elements that are left out with what they hold, and may nest.
+SKIPPED = frozenset("svg object select template annotation annotation-xml".split())
+SKIPPED_TAG = re.compile(r"<(?:svg|object|select|template|annotation)\b", re.I)
 BOX = frozenset("html head body main article section div header footer nav aside form ul ol dl table thead tbody tfoot tr td th figure details dialog fieldset blockquote menu center".split())
 BLOCK = BOX | frozenset("p h1 h2 h3 h4 h5 h6 li dt dd pre hr address caption figcaption legend option summary".split())
+#: Boxes that are parts of a text rather than hold one.
+PARTS = frozenset("ul ol dl table thead tbody tfoot tr figure details blockquote section".split())
 #: Elements that are not the article, whatever they hold.
 OFF = frozenset("head nav footer aside form menu dialog fieldset button".split())
 #: Parts of class names, ids and roles that say so too.
@@ -83,6 +91,21 @@ def _off(tag: str, own: dict[str, str], inside: bool) -> bool:
     return False
 
 
+def _skipped(page: str) -> dict[int, int]:
+    """Where each skipped element that is closed starts and ends."""
+    found: dict[int, int] = {}
+    opened: dict[str, list[int]] = {}
+    if SKIPPED_TAG.search(page):
+        for m in TOKEN.finditer(page):
+            if m[4] and (tag := m[4].lower()) in SKIPPED:
+                if not m[3]:
+                    if not m[5].endswith("/"):
+                        opened.setdefault(tag, []).append(m.start())
+                elif opened.get(tag):
+                    found[opened[tag].pop()] = m.end()
+    return found
+
+
 def lines_of(page: str | None) -> tuple[list[Line], list[Box]]:
     """The page's lines that hold text, and its boxes by number."""
     boxes: list[Box] = []
@@ -101,16 +124,23 @@ def lines_of(page: str | None) -> tuple[list[Line], list[Box]]:
         text.clear()
         linked = 0
 
-    for m in TOKEN.finditer(page or ""):
-        tag = m[3]
-        if m[5] is not None:
-            text.append(m[5])
+    page = page or ""
+    skipped, upto = _skipped(page), 0
+    for m in TOKEN.finditer(page):
+        if m.start() < upto:
+            continue
+        if m.start() in skipped:
+            upto = skipped[m.start()]
+            continue
+        tag = m[4]
+        if m[6] is not None:
+            text.append(m[6])
             if link:
-                linked += len(m[5])
+                linked += len(m[6])
         elif tag is None:
             continue
         else:
-            tag, closing = tag.lower(), bool(m[2])
+            tag, closing = tag.lower(), bool(m[3])
             if tag == "br":
                 text.append(" ")
             elif tag == "a":
@@ -120,7 +150,7 @@ def lines_of(page: str | None) -> tuple[list[Line], list[Box]]:
             end()
             link = 0
             if tag not in BOX and tag not in OFF:
-                if closing or not (marked := _off(tag, own := _attributes(m[4]), True)):
+                if closing or not (marked := _off(tag, own := _attributes(m[5]), True)):
                     while stack and boxes[stack[-1]].tag.startswith("~") and (not closing or boxes[stack[-1]].tag == "~" + tag):
                         stack.pop()
                     continue
@@ -134,7 +164,7 @@ def lines_of(page: str | None) -> tuple[list[Line], list[Box]]:
             else:
                 while stack and boxes[stack[-1]].tag.startswith("~"):
                     stack.pop()
-                own = _attributes(m[4])
+                own = _attributes(m[5])
                 inside = any(boxes[k].semantic for k in stack)
                 off = _off(tag, own, inside)
                 semantic = not off and (tag in ("article", "main") or own.get("role", "").lower() in ("main", "article") or "articlebody" in own.get("itemprop", "").lower())
@@ -182,9 +212,10 @@ def main_text(page: str | None, window: int = WINDOW) -> str:
             share[k] = share.get(k, 0) + x.weight
     total = int(weights[low : high + 1].sum())
     semantic = [k for k in share if boxes[k].semantic and 2 * share[k] > total]
-    around = [k for k in share if boxes[k].tag not in ("html", "body") and 10 * share[k] >= 9 * total]
+    held = set.intersection(*(set(x.boxes) for x in lines[low : high + 1] if x.weight))
+    around = [k for k in held if boxes[k].tag not in ("html", "body") and boxes[k].tag not in PARTS and not boxes[k].tag.startswith("~")]
     if semantic or around:
-        part = max(semantic or around)  # the innermost: boxes are numbered as they open
+        part = min(semantic) if semantic else max(around)  # boxes are numbered as they open: the outermost, the innermost
         kept = [x for x in lines if part in x.boxes]
     else:  # no box of its own: on from the stretch up to the next lines of links
         while low and (lines[low - 1].off or 2 * lines[low - 1].weight > len(lines[low - 1].text)):

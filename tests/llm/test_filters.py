@@ -170,6 +170,30 @@ def test_main_text_odd():
     assert len(html_main.main_text(long)) == 5 * 200_000 - 1
 
 
+LEDE, BODY = "This lede says in a few words what the story is about, and is long enough to be seen as such.", "The story itself goes on for quite a while here. " * 24
+NEST = f'<div itemprop="articleBody"><p>{BODY}</p></div>'
+
+
+@pytest.mark.parametrize(
+    ("page", "expected"),
+    [
+        (f'<div class="post"><p>{LEDE}</p><div><p>{BODY}</p></div></div>', [LEDE, BODY]),
+        (f"<div><p>Before.</p><ul><li>{BODY}<li>{BODY}</ul><p>After.</p></div>", ["Before.", BODY, BODY, "After."]),
+        (f"<div><p>Before.</p><blockquote>{BODY}</blockquote><p>After.</p></div>", ["Before.", BODY, "After."]),
+        (f"<div><p>Before.</p><table><tr><td>{BODY}<td>{BODY}</table><p>After.</p></div>", ["Before.", BODY, BODY, "After."]),
+        (f"<div><p>Before.</p><section>{BODY}</section><p>After.</p></div>", ["Before.", BODY, "After."]),
+        (f"<article><p>{LEDE}</p>{NEST}</article>", [LEDE, BODY]),
+        (f"<article><p>{LEDE}</p><article><p>{BODY}</p></article></article>", [LEDE, BODY]),
+        *((f"<article><p>{LEDE}</p>{x}<p>{BODY}</p></article>", [LEDE, BODY]) for x in ('<svg width="1" />', "<math/>", "<select>", "<object data=x>", "<title>", "<iframe />")),
+        (f"<article><select><p>{LEDE}</p><select><option>no</select><p>{BODY}</p></article>", [LEDE, BODY]),
+        (f"<article><p>{LEDE}</p><svg><svg><text>no</text></svg><text>no</text></svg><p>{BODY}</p></article>", [LEDE, BODY]),
+        (f"<article><p>{BODY} <math><mi>x</mi><annotation>no</annotation></math></p></article>", [BODY + " x"]),
+    ],
+)
+def test_main_text_is_whole(page, expected):
+    assert html_main.main_text(f"<html><body>{page}<footer>No.</footer></body></html>") == "\n\n".join(" ".join(x.split()) for x in expected)
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.sampled_from(["<p>", "</p>", "<div>", "</div>", "<article>", "</article>", "<nav>", "</nav>", "text ", "&amp;", "<br>", "<", ">", "<!--", "-->", "<script>"]), max_size=25))
 def test_main_text_never_fails(parts):
