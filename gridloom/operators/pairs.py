@@ -46,6 +46,20 @@ def fold(rows: DataFrame, span: int = 2, width: int = 3) -> DataFrame:
     return folded.where(~p.is_blank(F.col("cells")))
 
 
+def fold_each(rows: DataFrame) -> DataFrame:
+    """As fold, for sheets with a span of their own in the column span, each over its widest row."""
+    width = rows.groupBy("sheet").agg(F.max(F.size("cells")).alias("width"))
+    off = F.pmod(F.col("row_idx"), F.col("span")).alias("off")
+    keyed = rows.select("sheet", F.floor(F.col("row_idx") / F.col("span")).alias("rec"), F.struct(off, "cells").alias("r"))
+    records = keyed.groupBy("sheet", "rec").agg(F.array_sort(F.collect_list("r")).alias("rs")).join(width, "sheet")
+    every = F.sequence(F.lit(0), F.col("width") - 1)
+    main, rest = F.filter("rs", lambda r: r.off == 0), F.filter("rs", lambda r: r.off > 0)
+    firsts = F.transform(every, lambda i: F.coalesce(F.get(F.get(main, F.lit(0)).cells, i), F.lit("")))
+    others = F.transform(every, lambda i: F.array_join(F.filter(F.transform(rest, lambda r: F.get(r.cells, i)), lambda v: ~t.blank(v)), " "))
+    folded = records.where(F.col("width") > 0).select("sheet", "rec", F.concat(firsts, others).alias("cells"))
+    return folded.where(~p.is_blank(F.col("cells")))
+
+
 def continuation_columns(rows: DataFrame, span: int = 2, groups: int = 20) -> DataFrame:
     """(sheet, col_idx): columns with content in the continuation rows of the first groups."""
     part = rows.where((F.col("row_idx") < span * groups) & (F.pmod(F.col("row_idx"), F.lit(span)) > 0))

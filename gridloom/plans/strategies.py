@@ -66,20 +66,31 @@ def horizontal_split(rows: DataFrame) -> DataFrame:
 
 
 def vertical_subtable(rows: DataFrame) -> DataFrame:
-    """Stacked tables, one after each split: (sheet, sub_idx, row_no, cells) without titles, headers and blank rows."""
+    """Stacked tables, one after each split: (sheet, sub_idx, row_no, cells).
+
+    Each goes without the rows before its own data, the footnotes at its end, and blank rows.  Where no row looks like data,
+    it starts after the first row of several cells that is no title.
+    """
     splits = ranges.vertical_splits(rows).withColumn("is_split", F.lit(1))
     w = ranges.sheet_window()
     marked = rows.join(splits.withColumnRenamed("split", "row_idx"), ["sheet", "row_idx"], "left")
     cells = F.col("cells")
     numbered = marked.withColumn("sub_idx", F.sum(F.coalesce("is_split", F.lit(0))).over(w.rowsBetween(W.unboundedPreceding, W.currentRow)))
-    body = numbered.where(~p.is_blank(cells) & ~p.is_header_like(cells) & ~p.is_title(cells) & ~p.is_footnote(cells) & (p.n_filled(cells) > 1))
-    return _numbered(_cleaned(body.select("sheet", "sub_idx", "row_idx", "cells")), ("sheet", "sub_idx"))
+    parts = ranges.truncate_footnotes(numbered.select(F.struct("sheet", "sub_idx").alias("sheet"), "row_idx", "cells"))
+    head = parts.groupBy("sheet").agg(F.min(F.when((p.n_filled(cells) > 1) & ~p.is_title(cells), F.col("row_idx"))).alias("head"))
+    begin = F.when(F.col("data_start") >= 0, F.col("data_start")).otherwise(F.coalesce(F.col("head") + 1, F.lit(0)))
+    body = parts.join(ranges.data_start(parts), "sheet").join(head, "sheet").where((F.col("row_idx") >= begin) & ~p.is_blank(cells))
+    return _numbered(_cleaned(body.select("sheet.sheet", "sheet.sub_idx", "row_idx", "cells")), ("sheet", "sub_idx"))
+
 
+def paired_row_bilingual(rows: DataFrame) -> DataFrame:
+    """Records of several rows under a header row, folded into one: main cells, then each column's continuations.
 
-def paired_row_bilingual(rows: DataFrame, span: int = 2, width: int = 3) -> DataFrame:
-    """Records of several rows under a header row, folded into one: main cells, then each column's continuations."""
-    body = fill.forward_fill(rows.where(F.col("row_idx") > 0)).withColumn("row_idx", F.col("row_idx") - 1)
-    return _numbered(pairs.fold(body, span, width).withColumnRenamed("rec", "row_idx"))
+    Each sheet is folded by its own span, as the scores of its rows tell, and over its whole width.
+    """
+    under = rows.where(F.col("row_idx") > 0).withColumn("row_idx", F.col("row_idx") - 1)
+    spans = pairs.record_span(pairs.record_span_scores(under))
+    return _numbered(pairs.fold_each(fill.forward_fill(under).join(spans, "sheet")).withColumnRenamed("rec", "row_idx"))
 
 
 #: By name; a new one is a callable from grid rows to a relation.

@@ -136,6 +136,27 @@ def test_strategies(spark):
     assert [(r["sub_idx"], r["cells"]) for r in strategies.vertical_subtable(stacked).orderBy("sub_idx").collect()] == [(0, ["2020", "1.5"]), (1, ["2021", "2.5"])]
 
 
+def test_stacked_tables_keep_their_rows(spark):
+    head, note = ["City", "State", "Count"], ["注：x", None, None]
+    data = [["Beijing", "good", "12"], ["Total", "Total", None], ["Part two", None, None], ["Xian", "bad", "7"]]
+    stacked = sheet(spark, ["Report one", None, None], head, *data, note, [None] * 3, ["Report two", None, None], head, *data[::-1][:1], *data)
+    got = strategies.vertical_subtable(stacked).orderBy("sub_idx", "row_no").collect()
+    assert [r["cells"] for r in got if r["sub_idx"] == 0] == data
+    assert [r["cells"] for r in got if r["sub_idx"] == 1] == [data[3], *data]
+
+
+@pytest.mark.parametrize("span", [2, 3, 4])
+def test_records_are_folded_by_their_span_and_width(spark, span):
+    rows = [["a", "b", "c", "d", "e"]]
+    for k in range(6):
+        rows += [[f"n{k}", "1", "2", "3", f"x{k}"], *([None, None, None, None, f"y{k}{j}"] for j in range(1, span))]
+    df = sheet(spark, *rows)
+    found = strategies.run_all(df, spark.createDataFrame([(df.first()["sheet"], "paired_row_bilingual")], "sheet string, strategy string"))
+    got = cells(found["paired_row_bilingual"].orderBy("row_no"))
+    assert [r[:5] for r in got] == [[f"n{k}", "1", "2", "3", f"x{k}"] for k in range(6)]
+    assert [r[9] for r in got] == [" ".join(f"y{k}{j}" for j in range(1, span)) for k in range(6)]
+
+
 def test_log(spark, tmp_path):
     log = spark.createDataFrame([("a", "SUCCESS"), ("b", "ERROR")], "sheet string, status string")
     todo = spark.createDataFrame([("a",), ("b",), ("c",)], "sheet string")
