@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridloom.functions import text as t
 from gridloom.operators import borders, grid, ingest_log, pairs, ranges
 from gridloom.operators import predicates as p
 from gridloom.plans import decision, strategies
@@ -15,22 +16,43 @@ from gridloom.sources import files, xlsx
 WIDEST = 200
 
 
-def sheets(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(rows, cells, merges) of all workbooks of a folder: merged ranges filled, cells long with their edges."""
+def read(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(cells, merges, refused) of all workbooks of a folder.
+
+    refused has (sheet, status, width) for what is not read on: ERROR and the path for a workbook with any error, SKIP for a
+    sheet whose content or merged ranges go beyond WIDEST columns.  The others have no row or cell of these.
+    """
     found = files.scan(spark, folder, extensions=(".xlsx",))
-    cells = cut(xlsx.cells(found).withColumn("sheet", xlsx.sheet_key()).where(F.col("error").isNull()))
+    cells = cut(xlsx.cells(found).withColumn("sheet", xlsx.sheet_key()))
     merged = cut(xlsx.merges(found).withColumn("sheet", xlsx.sheet_key()))
+    broken = cells.where(F.col("error").isNotNull()).select("path").distinct()
+    cells, merged = (x.join(broken, "path", "left_anti") for x in (cells, merged))
+    reach = cells.where(~t.blank(F.col("value"))).select("sheet", "col_idx").unionByName(merged.select("sheet", F.col("c1").alias("col_idx")))
+    wide = reach.groupBy("sheet").agg((F.max("col_idx") + 1).cast("int").alias("width")).where(F.col("width") > WIDEST)
+    errors = broken.select(F.col("path").alias("sheet"), F.lit("ERROR").alias("status"), F.lit(None).cast("int").alias("width"))
+    refused = cut(errors.unionByName(wide.select("sheet", F.lit("SKIP").alias("status"), "width")))
+    cells, merged = (x.join(refused.select("sheet"), "sheet", "left_anti") for x in (cells, merged))
+    return cut(cells), cut(merged), refused
+
+
+def sheets(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(rows, cells, merges) of a folder's workbooks, without those that are refused: merged ranges filled, cells long with their edges."""
+    cells, merged, _ = read(spark, folder)
+    return densified(cells, merged), cells, merged
+
+
+def densified(cells: DataFrame, merged: DataFrame) -> DataFrame:
+    """(sheet, row_idx, cells) of the cells, merged ranges filled."""
     strips = merged.select("sheet", F.explode(F.sequence("r0", "r1")).alias("row_idx"), "c0", "c1")
     covered = strips.select("sheet", "row_idx", F.explode(F.sequence("c0", "c1")).alias("col_idx")).withColumn("value", F.lit(None).cast("string"))
-    own = cells.where(F.col("col_idx") < WIDEST).select("sheet", "row_idx", "col_idx", "value")
+    own = cells.where(F.col("col_idx") < WIDEST).select("sheet", "row_idx", "col_idx", "value")  # beyond lie edges of empty cells only
     missing = covered.join(own, ["sheet", "row_idx", "col_idx"], "left_anti")
     filled = grid.fill_merged(own.unionByName(missing), merged.select("sheet", "r0", "c0", "r1", "c1"))
     span = filled.groupBy("sheet").agg(F.max("row_idx").alias("last"), F.max("col_idx").alias("right"))
     at = filled.groupBy("sheet", "row_idx").agg(F.map_from_entries(F.collect_list(F.struct("col_idx", "value"))).alias("m"))
     every = span.select("sheet", "right", F.explode(F.sequence(F.lit(0), F.col("last"))).alias("row_idx"))
     value = F.transform(F.sequence(F.lit(0), F.col("right")), lambda i: F.try_element_at("m", i))
-    rows = every.join(at, ["sheet", "row_idx"], "left").select("sheet", "row_idx", value.alias("cells"))
-    return cut(rows), cells, merged
+    return cut(every.join(at, ["sheet", "row_idx"], "left").select("sheet", "row_idx", value.alias("cells")))
 
 
 def profile(rows: DataFrame, cells: DataFrame, merged: DataFrame) -> DataFrame:
@@ -51,8 +73,12 @@ def profile(rows: DataFrame, cells: DataFrame, merged: DataFrame) -> DataFrame:
 
 
 def ingest(spark: SparkSession, folder: str, log: DataFrame | None = None) -> tuple[DataFrame, dict[str, DataFrame], DataFrame]:
-    """(log rows, relations by strategy, header names) of the folder's sheets that the log does not hold as done."""
-    rows, cells, merged = sheets(spark, folder)
+    """(log rows, relations by strategy, header names) of the folder's sheets that the log does not hold as done.
+
+    A workbook that can't be read whole is one row ERROR of its path in the log, and none of its cells is loaded.
+    """
+    cells, merged, refused = read(spark, folder)
+    rows = densified(cells, merged)
     if log is not None:
         todo = ingest_log.unprocessed(rows.select("sheet").distinct(), log, ["sheet"])
         rows, cells, merged = (x.join(todo, "sheet", "left_semi") for x in (rows, cells, merged))
@@ -60,6 +86,7 @@ def ingest(spark: SparkSession, folder: str, log: DataFrame | None = None) -> tu
     decided = decision.classify(facts).join(facts.select("sheet", "width", "n_filled"), "sheet")
     status = ingest_log.guarded(F.col("width"), F.col("n_filled"))
     logged = decided.select("sheet", "strategy", F.when(F.col("strategy") == "SKIP", "SKIP").otherwise(status).alias("status"), F.col("width").alias("column_count"))
-    logged = cut(logged)
+    refused = refused.select("sheet", F.when(F.col("status") == "SKIP", "SKIP").otherwise("UNKNOWN").alias("strategy"), "status", F.col("width").alias("column_count"))
+    logged = cut(logged.unionByName(refused))
     good = logged.where(F.col("status") == "SUCCESS").select("sheet", "strategy")
     return logged, strategies.run_all(rows, good), strategies.header_names(rows)

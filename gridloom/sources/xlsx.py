@@ -5,6 +5,7 @@ from __future__ import annotations
 import io
 import re
 import zipfile
+import zlib
 from collections.abc import Iterator
 from xml.etree import ElementTree
 
@@ -13,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 PLACE = re.compile(r"([A-Z]+)(\d+)")
+#: What a workbook that is damaged raises.
+UNREADABLE = (zipfile.BadZipFile, zlib.error, ElementTree.ParseError, LookupError, ValueError, AttributeError, TypeError, EOFError, RuntimeError)
 SIDES = ("top", "bottom", "left", "right")
 CELL_FIELDS = "path string, sheet_index int, sheet_name string, row_idx int, col_idx int, value string, b_top string, b_bottom string, b_left string, b_right string, error string"
 RANGE_FIELDS = "path string, sheet_index int, r0 int, c0 int, r1 int, c1 int"
@@ -89,7 +92,7 @@ def _schema(fields: str) -> pa.Schema:
 
 
 def cells(files: DataFrame) -> DataFrame:
-    """A row a cell of (path, content); a workbook that can't be read is one row with its error."""
+    """A row a cell of (path, content); a workbook that can't be read has a row with its error, after the cells before it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = _schema(CELL_FIELDS)
@@ -104,7 +107,9 @@ def cells(files: DataFrame) -> DataFrame:
                             if len(rows) == 20_000:
                                 yield _batch(rows, schema)
                                 rows = []
-                except (zipfile.BadZipFile, ElementTree.ParseError, KeyError, ValueError) as e:
+                        for _ in book.merges(target):
+                            pass  # merges() leaves a workbook out if they can't be read
+                except UNREADABLE as e:
                     rows.append((path, *[None] * 9, f"{type(e).__name__}: {e}"))
                 if rows:
                     yield _batch(rows, schema)
@@ -122,7 +127,7 @@ def merges(files: DataFrame) -> DataFrame:
                 try:
                     book = Workbook(content)
                     rows = [(path, k, *m) for k, (_, target) in enumerate(book.sheets) for m in book.merges(target)]
-                except (zipfile.BadZipFile, ElementTree.ParseError, KeyError, ValueError):
+                except UNREADABLE:
                     continue  # cells() tells of it
                 if rows:
                     yield _batch(rows, schema)

@@ -63,6 +63,25 @@ def test_ingest(spark, tmp_path):
     assert done.count() == 0
 
 
+def test_ingest_logs_what_it_does_not_load(spark, tmp_path):
+    book(tmp_path / "good.xlsx", {"Data": BASIC})
+    (tmp_path / "bad.xlsx").write_bytes(b"no zip")
+    book(tmp_path / "whole.xlsx", {"Data": BASIC})
+    with zipfile.ZipFile(tmp_path / "whole.xlsx") as a, zipfile.ZipFile(tmp_path / "broken.xlsx", "w") as b:
+        for n in a.namelist():
+            b.writestr(n, a.read(n)[:-120] if "sheet1" in n else a.read(n))
+    book(tmp_path / "wide.xlsx", {"Data": BASIC})
+    with zipfile.ZipFile(tmp_path / "wide.xlsx") as a, zipfile.ZipFile(tmp_path / "wider.xlsx", "w") as b:
+        for n in a.namelist():
+            b.writestr(n, a.read(n).replace(b"</row>", b'<c r="IQ1"><v>5</v></c></row>', 1))
+    log, relations, _ = ingest.ingest(spark, str(tmp_path))
+    got = {r["sheet"].rsplit("/", 1)[-1]: (r["status"], r["column_count"]) for r in log.collect()}
+    expected = {f"{n}.xlsx#0": ("SUCCESS", 3) for n in ("good", "whole", "wide")} | {"bad.xlsx": ("ERROR", None), "broken.xlsx": ("ERROR", None), "wider.xlsx#0": ("SKIP", 251)}
+    assert got == expected
+    loaded = {r["sheet"].rsplit("/", 1)[-1] for x in relations.values() for r in x.collect()}
+    assert loaded == {"good.xlsx#0", "whole.xlsx#0", "wide.xlsx#0"}
+
+
 def test_stream(spark, tmp_path):
     (tmp_path / "in").mkdir()
     book(tmp_path / "in" / "a.xlsx", {"Data": BASIC})
