@@ -15,6 +15,17 @@ def unique_names(names: DataFrame, group: str = "sheet", order: str = "pos", nam
     return names.withColumn("seen", seen).withColumn("unique_name", t.numbered(F.col(name), F.col("seen"))).drop("seen")
 
 
+def unique_names_of_one(names: DataFrame, order: str = "pos", name: str = "name", bucket: int = 8192) -> DataFrame:
+    """As unique_names, for one large group in the order of an integer key: no window holds more than a bucket of keys, or a row a bucket."""
+    dealt = names.withColumn("bucket", F.floor(F.col(order) / bucket))
+    counts = dealt.groupBy(F.col(name).alias("n"), F.col("bucket").alias("b")).agg(F.count(F.lit(1)).alias("rows"))
+    before = F.sum("rows").over(W.partitionBy("n").orderBy("b").rowsBetween(W.unboundedPreceding, -1))
+    counts = counts.select("n", "b", F.coalesce(before, F.lit(0)).alias("before"))
+    here = F.row_number().over(W.partitionBy(name, "bucket").orderBy(order)) - 1
+    joined = dealt.withColumn("here", here).join(counts, F.col(name).eqNullSafe(F.col("n")) & F.col("bucket").eqNullSafe(F.col("b")))
+    return joined.withColumn("unique_name", t.numbered(F.col(name), F.col("before") + F.col("here"))).drop("bucket", "here", "n", "b", "before")
+
+
 def merged_header(cells: DataFrame) -> DataFrame:
     """(sheet, col_idx, name) from header cells (sheet, row_idx, col_idx, value): non-blank texts from top to bottom, no text
     twice in a row; a short Chinese name stays as it is, any other is sanitised; an empty column is ``col_<i>``."""

@@ -486,7 +486,7 @@ SELECT c_custkey, placeholder, fallback, CASE WHEN k = 0 THEN base ELSE base ||
 def table_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     name, sheet, index = F.concat(F.lit("in/"), F.col("c_name"), F.lit(".xlsx")), F.col("c_mktsegment"), F.col("c_nationkey")
     named = read(spark, sf_dir, "customer").select("c_custkey", t.placeholder_table(F.lit("ERROR"), F.col("c_name"), sheet, index).alias("placeholder"), t.fallback_table(name, sheet, index).alias("fallback"), F.concat(F.lit("ods_"), F.lower(sheet)).alias("base"))
-    return naming.unique_names(named.withColumn("all", F.lit(0)), "all", "c_custkey", "base").select("c_custkey", "placeholder", "fallback", F.col("unique_name").alias("table_name"))
+    return naming.unique_names_of_one(named, "c_custkey", "base").select("c_custkey", "placeholder", "fallback", F.col("unique_name").alias("table_name"))
 
 
 @query(f"""

@@ -114,6 +114,12 @@ def test_names(spark):
     assert tables.comment("中" * 100, 10) == "中中中"
 
 
+def test_names_of_one_large_group(spark):
+    n = spark.createDataFrame([("s", k, v) for k, v in [(i * 7 % 101 - 50, "ab"[i % 3 == 0]) for i in range(101)] + [(None, "a"), (60, None), (70, None)]], "sheet string, pos int, name string")
+    got = naming.unique_names_of_one(n, bucket=8)
+    assert sorted(map(str, got.collect())) == sorted(map(str, naming.unique_names(n).collect()))
+
+
 def test_decisions(spark):
     df = spark.createDataFrame([("standard", "0.5"), ("nonsense", "2"), (None, "x"), ("SKIP", "-1")], "s string, c string")
     got = [tuple(r[0]) for r in df.select(decision.validated(F.col("s"), F.col("c"))).collect()]
