@@ -2,43 +2,28 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridloom.session import cut, deleted_at_exit, shared_dir
+
 #: ASCII white space: space, tab, line feed, vertical tab, form feed, carriage return.
 ASCII_SPACE = " \t\n\x0b\x0c\r"
 #: A word is a longest run of anything else.
 WORD = "[^\\x20\\x09-\\x0D]+"
 HIDDEN = "__gl_"
+__all__ = ["ASCII_SPACE", "HIDDEN", "WORD", "cut", "doc_fold", "hash128", "join_hot", "n_shuffle", "shared_dir", "shared_path", "table"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``, or one of our own where that is unset (tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not found:
-        found = "file://" + os.path.join(tempfile.gettempdir(), "gridloom-shared")
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(found)
-    return found
-
-
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/gridloom-{name}-{uuid.uuid4().hex}"
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """The same rows, kept in the shared folder: later steps neither recompute them nor lose them with an executor."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """A fresh path in the shared folder, for files that last as long as the application."""
+    return deleted_at_exit(spark, f"{shared_dir(spark).rstrip('/')}/gridloom-{name}-{uuid.uuid4().hex}")
 
 
 def hash128(*cols: Column) -> Column:
@@ -46,6 +31,21 @@ def hash128(*cols: Column) -> Column:
     return F.struct(F.xxhash64(*cols).alias("a"), F.xxhash64(F.lit(0x5EED), *cols).alias("b"))
 
 
+def join_hot(many: DataFrame, few: DataFrame, keys: list[str], weight: str, total: int, share: int = 10_000) -> DataFrame:
+    """An inner join on ``keys``, which name one row each in ``few``; its column ``weight`` tells how many rows of ``many`` a key has.
+
+    Keys with more than a ``share``-th of ``total``, the sum of all weights, are fewer than ``share``: these are broadcast,
+    so that a hot key's rows stay where they are.  The rest, none of them hot, meet by a shuffle.
+    """
+    hot = F.col(weight) > max(1000, total // share)
+    rest = few.where(~hot).drop(weight)
+    if total <= 1000:
+        return many.join(rest, keys)
+    loud = few.where(hot).drop(weight)
+    names = F.broadcast(loud.select(*keys))
+    return many.join(F.broadcast(loud), keys).unionByName(many.join(names, keys, "left_anti").join(rest, keys))
+
+
 def n_shuffle(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 

@@ -47,18 +47,18 @@ class Effort:
 
 
 def pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int) -> DataFrame:
-    """(key, doc_id, piece, start, length, ids): ids are little-endian, 2 bytes each; key is unique once this is written."""
-    kind = dict(docs.dtypes)["doc_id"]
+    """(key, doc_id, piece, start, length, ids): ids are little-endian, 2 or 4 bytes each; key is unique once this is written."""
+    kind, width = dict(docs.dtypes)["doc_id"], T.id_width(tokenizer, end_id)
 
     def slice_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = T.encoder(tokenizer)
         key = TaskContext.get().partitionId() << 33
         for batch in batches:
-            doc_ids, texts = batch.column(0), batch.column(1).to_pylist()
-            for a, b in T.in_chunks(texts):
+            doc_ids = batch.column(0)
+            for a, texts in T.chunks(batch.column(1)):
                 which, number, starts, lengths, raw = [], [], [], [], []
-                for i, ids in zip(range(a, b), encoder.encode(texts[a:b]), strict=True):
-                    ids = np.append(ids, np.uint32(end_id)).astype("<u2")
+                for i, ids in enumerate(encoder.encode(texts), a):
+                    ids = np.append(ids, np.uint32(end_id)).astype(f"<u{width}")
                     first = len(ids) % capacity or capacity
                     cuts = [0, *range(first, len(ids) + 1, capacity)]
                     for p, (low, high) in enumerate(zip(cuts, cuts[1:], strict=False)):
@@ -71,6 +71,7 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int) -> DataF
                 key += len(which)
                 rest = [pa.array(number, pa.int32()), pa.array(starts, pa.int64()), pa.array(lengths, pa.int64()), pa.array(raw, pa.binary())]
                 yield pa.RecordBatch.from_arrays([keys, doc_ids.take(pa.array(which, pa.int64())), *rest], ["key", "doc_id", "piece", "start", "length", "ids"])
+        T.release()
 
     return docs.select("doc_id", "text").mapInArrow(slice_up, f"key bigint, doc_id {kind}, piece int, start bigint, length bigint, ids binary")
 
@@ -325,7 +326,8 @@ def digest(written: DataFrame, places: DataFrame) -> DataFrame:
         import zlib
 
         for batch in batches:
-            sums = [zlib.crc32(np.frombuffer(x, "<u2").astype("<u4").tobytes()) for x in batch.column(5).to_pylist()]
+            sizes = batch.column(4).to_pylist()
+            sums = [zlib.crc32(np.frombuffer(x, f"<u{len(x) // n}").astype("<u4").tobytes()) for n, x in zip(sizes, batch.column(5).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(sums, pa.int64())], [*batch.schema.names[:5], "ids_crc32"])
 
     kind = dict(written.dtypes)["doc_id"]

@@ -15,6 +15,7 @@ from __future__ import annotations
 import posixpath
 import struct
 import uuid
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,55 +32,75 @@ from gridloom.llm.elias_fano import EliasFano
 
 MAGIC = b"GLTOKEN1"
 TAIL = struct.Struct("<BQQqQQ8s")  # bytes an id, ids, documents without doc_id, first doc_id, start of boundaries, start of doc_ids
-#: Ids in a file, about: a reader holds one file at a time.
-FILE_IDS = 8_000_000
+#: Ids in a file, about; documents and ids that a reader holds at a time (one document may have more).
+FILE_IDS, RUN, RUN_IDS = 8_000_000, 2000, 1_000_000
 
 
 class Writer:
     """Writes one file: documents come one by one, and only boundaries and doc_ids are held."""
 
     def __init__(self, out: pa.NativeFile, width: int) -> None:
-        self.out, self.width, self.total = out, width, 0
-        self.ends: list[int] = [0]
-        self.doc_ids: list[int | None] = []
+        self.out, self.width, self.total, self.without = out, width, 0, 0
+        self.ends, self.known = array("Q", [0]), array("q")
 
     def add(self, doc_id: int | None, ids: np.ndarray) -> None:
         self.out.write(ids.astype(f"<u{self.width}").tobytes())
         self.total += len(ids)
         self.ends.append(self.total)
-        self.doc_ids.append(doc_id)
+        if doc_id is None:
+            self.without += 1  # these come first
+        else:
+            self.known.append(doc_id)
 
     def close(self) -> None:
-        known = np.array([d for d in self.doc_ids if d is not None], np.int64)
+        known = np.frombuffer(self.known, np.int64)
         first = int(known[0]) if len(known) else 0
-        boundaries = EliasFano.of(np.array(self.ends, np.uint64)).to_bytes()
+        boundaries = EliasFano.of(np.frombuffer(self.ends, np.uint64)).to_bytes()
         self.out.write(boundaries)
         self.out.write(EliasFano.of(known.astype(np.uint64) - np.uint64(first % (1 << 64))).to_bytes())
         at = self.total * self.width
-        self.out.write(TAIL.pack(self.width, self.total, len(self.doc_ids) - len(known), first, at, at + len(boundaries), MAGIC))
+        self.out.write(TAIL.pack(self.width, self.total, self.without, first, at, at + len(boundaries), MAGIC))
         self.out.close()
 
 
 class Shard:
-    """A file's content: its documents, by number or all at once."""
+    """A file, open for reading: boundaries and doc_ids stay packed in memory, ids stay in the file."""
 
-    def __init__(self, data: bytes) -> None:
-        width, self.total, without, first, at, at_ids, magic = TAIL.unpack_from(data, len(data) - TAIL.size)
+    def __init__(self, source: pa.NativeFile) -> None:
+        self.source = source
+        end = source.size() - TAIL.size
+        width, self.total, self.without, self.first, at, at_ids, magic = TAIL.unpack(self._bytes(end, TAIL.size))
         if magic != MAGIC:
             raise ValueError("not a token file")
-        self.ids = np.frombuffer(data, f"<u{width}", self.total)
-        self.boundaries, _ = EliasFano.from_bytes(data, at)
-        known = EliasFano.from_bytes(data, at_ids)[0].all() + np.uint64(first % (1 << 64))
-        self.doc_ids: list[int | None] = [None] * without + known.view(np.int64).tolist()
+        self.width = width
+        self.boundaries, _ = EliasFano.from_bytes(self._bytes(at, at_ids - at))
+        self.known, _ = EliasFano.from_bytes(self._bytes(at_ids, end - at_ids))
+
+    def __len__(self) -> int:
+        return self.boundaries.count - 1
+
+    def _bytes(self, at: int, size: int) -> memoryview:
+        self.source.seek(at)
+        return memoryview(self.source.read_buffer(size))
+
+    def tokens(self, start: int, end: int) -> np.ndarray:
+        """The ids at these places."""
+        return np.frombuffer(self._bytes(start * self.width, (end - start) * self.width), f"<u{self.width}")
 
     def document(self, i: int) -> np.ndarray:
         """The ids of the i-th document of the file."""
-        return self.ids[self.boundaries.select(i) : self.boundaries.select(i + 1)]
+        return self.tokens(self.boundaries.select(i), self.boundaries.select(i + 1))
 
+    def doc_ids(self, a: int, b: int) -> list[int | None]:
+        """The doc_ids of the documents from a up to b."""
+        low, high = max(a - self.without, 0), max(b - self.without, 0)
+        known = self.known.span(low, high) + np.uint64(self.first % (1 << 64))
+        return [None] * (b - a - (high - low)) + known.view(np.int64).tolist()
 
-def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, vocabulary: int = 1 << 16) -> DataFrame:
+
+def write(docs: DataFrame, path: str, tokenizer: str, end_id: int) -> DataFrame:
     """Writes the files into ``path``; a row a file: (file, documents, ids).  The rows are the files' record: keep them."""
-    width = 2 if vocabulary <= 1 << 16 else 4
+    width = T.id_width(tokenizer, end_id)
 
     def save(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, folder = fs.FileSystem.from_uri(path)
@@ -89,12 +110,11 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, vocabulary: i
         def finish() -> None:
             writer.close()
             store.move(posixpath.join(folder, scratch), posixpath.join(folder, final))
-            made.append((final, len(writer.doc_ids), writer.total))
+            made.append((final, len(writer.ends) - 1, writer.total))
 
         for batch in batches:
-            doc_ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for a, b in T.in_chunks(texts):
-                for doc_id, ids in zip(doc_ids[a:b], encoder.encode(texts[a:b]), strict=True):
+            for a, texts in T.chunks(batch.column(1)):
+                for doc_id, ids in zip(batch.column(0).slice(a, len(texts)).to_pylist(), encoder.encode(texts), strict=True):
                     if writer is None:
                         final, scratch = f"part-{part:07d}-{number:05d}.tok", f"_scratch-{uuid.uuid4().hex}"
                         store.create_dir(folder, recursive=True)
@@ -105,6 +125,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, vocabulary: i
                         writer = None
         if writer is not None:
             finish()
+        T.release()
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*made, strict=True)) or [[], [], []], (pa.string(), pa.int64(), pa.int64()), strict=True)], ["file", "documents", "ids"])
 
     ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange(n_shuffle(docs.sparkSession), "doc_id").sortWithinPartitions("doc_id", "text")
@@ -112,21 +133,33 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, vocabulary: i
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
-    """(file, doc_id, start, n_tokens, ids) from the files: start counts from the file's first id, ids are 32-bit little-endian bytes."""
+    """(file, doc_id, start, n_tokens, ids) from the files: start counts from the file's first id, ids are 32-bit little-endian bytes.
+
+    Spark lists and deals the files; a task reads each in runs of documents, whose places ``span`` gives.
+    """
 
     def load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, folder = fs.FileSystem.from_uri(path)
         for batch in batches:
-            for file, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                shard = Shard(content.as_buffer().to_pybytes())
-                ends = shard.boundaries.all().astype(np.int64)
-                for a in range(0, len(shard.doc_ids), 2000):
-                    b = min(a + 2000, len(shard.doc_ids))
-                    raw = [shard.ids[ends[i] : ends[i + 1]].astype("<u4").tobytes() for i in range(a, b)]
-                    columns = [pa.array([file] * (b - a)), pa.array(shard.doc_ids[a:b], pa.int64()), pa.array(ends[a:b]), pa.array(np.diff(ends[a : b + 1])), pa.array(raw, pa.binary())]
-                    yield pa.RecordBatch.from_arrays(columns, ["file", "doc_id", "start", "n_tokens", "ids"])
+            for file in batch.column(0).to_pylist():
+                with store.open_input_file(posixpath.join(folder, file)) as source:
+                    yield from _rows(file, Shard(source))
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.tok").schema("path string, modificationTime timestamp, length bigint, content binary").load(path)
-    return files.select(F.element_at(F.split("path", "/"), -1).alias("file"), "content").mapInArrow(load, "file string, doc_id bigint, start bigint, n_tokens bigint, ids binary")
+    return files.select(F.element_at(F.split("path", "/"), -1).alias("file")).mapInArrow(load, "file string, doc_id bigint, start bigint, n_tokens bigint, ids binary")
+
+
+def _rows(file: str, shard: Shard) -> Iterator[pa.RecordBatch]:
+    a = 0
+    while a < len(shard):
+        ends = shard.boundaries.span(a, min(a + RUN, len(shard)) + 1).astype(np.int64)
+        n = max(1, int(np.searchsorted(ends, ends[0] + RUN_IDS, side="right")) - 1)  # documents that fit in a run
+        ends = ends[: n + 1]
+        ids = shard.tokens(int(ends[0]), int(ends[-1])).astype("<u4")
+        raw = [ids[i:j].tobytes() for i, j in zip(ends[:-1] - ends[0], ends[1:] - ends[0], strict=True)]
+        columns = [pa.array([file] * n), pa.array(shard.doc_ids(a, a + n), pa.int64()), pa.array(ends[:-1]), pa.array(np.diff(ends)), pa.array(raw, pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, ["file", "doc_id", "start", "n_tokens", "ids"])
+        a += n
 
 
 def file_starts(files: DataFrame) -> DataFrame:

@@ -8,11 +8,16 @@ Strings of special tokens in a text are ordinary text.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import os
 import re
+from collections.abc import Iterator
 from pathlib import PurePath
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
 
@@ -43,9 +48,9 @@ class Pieces(dict):
 
 
 class Encoder:
-    """Encodes texts; remembers the ids of at most ``most`` pieces."""
+    """Encodes texts; remembers the ids of at most ``most`` pieces, and beyond that of the ``kept`` ones used most."""
 
-    most = 800_000
+    most, kept = 240_000, 120_000
     #: Pieces that the library encodes at a time: what it returns for a piece takes about a kilobyte.
     at_once = 4_000
 
@@ -55,12 +60,21 @@ class Encoder:
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True
         self.rule, self.lower = PIECES.get(PurePath(path).name, (None, False))
-        self.forget()
+        self.pieces = Pieces()
+        self.starts = self.lengths = self.uses = np.zeros(0, np.int32)
+        self.ids = np.zeros(0, np.uint32)
 
     def forget(self) -> None:
+        """All but the pieces used most."""
+        if len(self.pieces) <= self.kept:
+            return
+        keep = np.sort(np.argpartition(self.uses, len(self.uses) - self.kept)[-self.kept :])
+        names = list(self.pieces)
         self.pieces = Pieces()
-        self.starts = self.lengths = np.zeros(0, np.int32)
-        self.ids = np.zeros(0, np.uint32)
+        self.pieces.update((names[k], i) for i, k in enumerate(keep.tolist()))
+        self.ids = self.gathered(keep)
+        self.lengths, self.uses = self.lengths[keep], self.uses[keep] // 2  # what was used long ago counts less
+        self.starts = (np.cumsum(self.lengths) - self.lengths).astype(np.int32)
 
     def learn(self) -> None:
         new, self.pieces.new = self.pieces.new, []
@@ -73,26 +87,34 @@ class Encoder:
             lengths = np.concatenate(sizes)
             self.starts = np.concatenate([self.starts, (len(self.ids) + np.cumsum(lengths) - lengths).astype(np.int32)])
             self.lengths = np.concatenate([self.lengths, lengths])
+            self.uses = np.concatenate([self.uses, np.zeros(len(lengths), np.int32)])
             self.ids = np.concatenate([self.ids, *ids])
 
+    def gathered(self, numbers: np.ndarray) -> np.ndarray:
+        """The ids of these pieces, one after the other."""
+        lengths = self.lengths[numbers]
+        ends = np.cumsum(lengths)
+        total = int(ends[-1]) if len(ends) else 0
+        return self.ids[np.repeat(self.starts[numbers] - ends + lengths, lengths) + np.arange(total)]
+
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """The ids of each text, as uint32; none for a null."""
         if len(self.pieces) > self.most:
             self.forget()
-        texts = [t or "" for t in texts]
-        plain = [self.rule is not None and PLAIN.match(t) is not None for t in texts]
         out: list[np.ndarray | None] = [None] * len(texts)
-        if rest := [i for i, p in enumerate(plain) if not p]:
-            for i, x in zip(rest, self.library.encode_batch([texts[i] for i in rest], add_special_tokens=False), strict=True):
-                out[i] = np.array(x.ids, np.uint32)
+        cut = []
         number = self.pieces.__getitem__
-        cut = [(i, np.array([number(p) for p in self.rule.findall(t.lower() if self.lower else t)], np.int32)) for i, t in enumerate(texts) if plain[i]]
+        for i, text in enumerate(texts):
+            text = text or ""
+            if self.rule is not None and PLAIN.match(text):
+                cut.append((i, np.array([number(p) for p in self.rule.findall(text.lower() if self.lower else text)], np.int32)))
+            else:
+                out[i] = np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
         self.learn()
+        if cut:
+            self.uses += np.bincount(np.concatenate([n for _, n in cut]), minlength=len(self.uses)).astype(np.int32)
         for i, numbers in cut:
-            lengths = self.lengths[numbers]
-            ends = np.cumsum(lengths)
-            total = int(ends[-1]) if len(ends) else 0
-            out[i] = self.ids[np.repeat(self.starts[numbers] - ends + lengths, lengths) + np.arange(total)]
+            out[i] = self.gathered(numbers)
         return out
 
 
@@ -106,12 +128,32 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
-def in_chunks(texts: list[str | None], most_chars: int = 2_000_000) -> list[tuple[int, int]]:
-    """Ranges of the list of about so many characters each."""
-    cuts, start, total = [], 0, 0
-    for i, t in enumerate(texts):
-        if total and total + len(t or "") > most_chars:
-            cuts.append((start, i))
-            start, total = i, 0
-        total += len(t or "")
-    return [*cuts, (start, len(texts))] if texts else []
+def release() -> None:
+    """At the end of a task: a worker process that waits for its next one keeps the pieces used most, and no free memory."""
+    for held in _encoders.values():
+        held.forget()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not this C library
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def chunks(column: pa.Array, most_bytes: int = 1_000_000) -> Iterator[tuple[int, list[str | None]]]:
+    """The texts of an Arrow column, about so many bytes at a time (one text may be more), each with its first row's number."""
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    number = np.cumsum(sizes, dtype=np.int64) // most_bytes
+    edges = [0, *(np.flatnonzero(np.diff(number)) + 1).tolist(), len(column)]
+    for a, b in zip(edges, edges[1:], strict=False):
+        if b > a:
+            yield a, column.slice(a, b - a).to_pylist()
+
+
+def vocabulary_size(path: str) -> int:
+    """How many ids the tokenizer file can give."""
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path).get_vocab_size()
+
+
+def id_width(path: str, end_id: int) -> int:
+    """Bytes that an id takes: 2 if the vocabulary and the end id allow, else 4."""
+    return 2 if max(vocabulary_size(path) - 1, end_id) < 1 << 16 else 4

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -103,3 +104,39 @@ def test_crossover_keeps_every_item_once():
     assert sorted(i for b in child for i in b) == list(range(10))
     assert [6, 7] in [sorted(b) for b in child] and all(island.fill(b) <= 2048 for b in child)
     assert sorted(i for b in island.mutate(child) for i in b) == list(range(10))
+
+
+def test_elias_fano_stays_packed():
+    """Reading holds the packed parts and little more, however the values lie."""
+    rng = np.random.default_rng(6)
+    for gaps in (rng.integers(1, 4000, 200_000), np.r_[np.zeros(100_000, np.int64), 1 << 40, np.ones(100_000, np.int64)]):
+        values = np.cumsum(gaps).astype(np.uint64)
+        data = EliasFano.of(values).to_bytes()
+        tracemalloc.start()
+        code, _ = EliasFano.from_bytes(data)
+        for i in range(0, len(values), 997):
+            assert code.select(i) == values[i]
+        for i in range(0, len(values) - 300, 7919):
+            assert (code.span(i, i + 300) == values[i : i + 300]).all()
+        _, peak = tracemalloc.get_traced_memory()
+        tracemalloc.stop()
+        assert peak < len(data) + 1_200_000 < 8 * len(values) + 1_200_000
+
+
+def test_encoder_keeps_the_pieces_used_most():
+    encoder = T.Encoder(public_tokenizers.path(FILES[1]))
+    encoder.most, encoder.kept = 200, 50
+    for k in range(60):
+        encoder.encode([f"often used words stay {k} piece{k} other{k} thing{k}"])
+        assert len(encoder.pieces) <= encoder.most + 10
+    encoder.forget()
+    assert len(encoder.pieces) == 50 and {"often", " used", " words", " stay"} <= set(encoder.pieces)
+
+
+def test_wide_ids(spark):
+    """An end id beyond two bytes makes all ids four bytes wide."""
+    docs = spark.createDataFrame([(1, "a text"), (2, None)], "doc_id long, text string")
+    _, held = token_store.stored(docs, shared_path(spark, "wide"), public_tokenizers.path(FILES[0]), 70_000)
+    assert [int(np.frombuffer(r["ids"], "<u4")[-1]) for r in held.collect()] == [70_000, 70_000]
+    rows = packing.digest(*packing.pack(docs, public_tokenizers.path(FILES[1]), 70_000, 2048)).where("doc_id = 2").collect()
+    assert [r["ids_crc32"] for r in rows] == [zlib.crc32(np.array([70_000], "<u4").tobytes())]
