@@ -1,25 +1,30 @@
 """The main text of web pages, by the distribution of text over line blocks.
 
-Markup is stripped, one line a block.  Lines weigh as much text as they have outside links, and none where the markup
-itself says that they are not the article (menus, headers, footers, forms, hidden parts, advert or comment boxes).
-Weights are summed over a sliding window of lines: the text surges where the sum leaves the ground and dives where it
-comes back, and the stretch with most text between the two is the core.  The article is the part of the page that holds
-the core: its ``article`` or ``main`` element, the outermost if they nest, or else the smallest box around all of the
-core that isn't itself a part of a text (a list, a table, a quotation, a section), or else the stretch itself up to the
-next lines of links.
-All its lines are kept, short ones too, but for those that the markup marks.
+Markup is stripped, one line a block, and each line weighs as much text as it has outside links.  Weights are summed over
+a sliding window of lines: the text surges where the sum leaves the ground and dives where it comes back, and the stretch
+with most text between the two is the core.  What the markup says about a box (menus, headers, footers, forms, adverts)
+only lowers its lines' weights, to an eighth, and to none for readers' comments and hidden parts; it is overruled for a box
+that holds the core all the same.
+
+The article is then the ``article`` or ``main`` element that holds most of the core, the outermost if they nest; or else
+the smallest box around all of the core that isn't itself a part of a text (a list, a table, a quotation, a section), or
+else the page.  In an element of the first kind every line is kept, short ones too.  In the others, what lies outside the
+stretch is kept only where it stands side by side with the core: not in a box of its own without any of it, and not if it
+is mostly links.  Lines in boxes that the markup marks go.
 
 Defined cases: a null or empty page, and one without text, give an empty string; unclosed and misplaced tags end where
-an enclosing box ends; elements without text to read (SKIPPED) end at their own tag if they close themselves or are
-never closed; pages that repeat an id are pages of their own; other columns play no part.
+an enclosing box ends, a tag without its ``>`` at the next tag; elements without text to read (SKIPPED) end at their own
+tag if they close themselves or are never closed; pages of any length and nesting take time in proportion to their length;
+pages that repeat an id are pages of their own; an empty table gives an empty one; other columns play no part.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -28,202 +33,356 @@ from pyspark.sql import functions as F
 
 #: Lines in a sliding window.
 WINDOW = 3
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"
-    r"|<(?:(script|style)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*(?<!/)>.*?(?:</\1\s*>|\Z)"
-    r"|(noscript|textarea|iframe|title)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*(?<!/)>(?:(?!<\2\b).)*?</\2\s*>)"
-    r"|<(/?)([a-zA-Z][\w:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|([^<]+|<)",
-    re.S | re.I,
-)
-ATTRIBUTE = re.compile(r"\b(class|id|role|itemprop|style|hidden|aria-hidden|aria-label)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+NAME = re.compile(r"[a-zA-Z][\w:-]*")
+BEFORE = re.compile(r"[\s/]*")
+ATTRIBUTE = re.compile(r"[^\s/>=<]+")
+EQUALS = re.compile(r"\s*=\s*")
+BARE = re.compile(r"[^\s>]*")
+#: Elements whose content is not markup: to the end of the page if they are never closed.
+RAW = frozenset(("script", "style"))
+#: And such that end at their own tag then, or where another one opens.
+PLAIN = frozenset("noscript textarea iframe title".split())
+RAW_END = {t: re.compile(rf"</{t}\b[^>]*>?", re.I) for t in RAW}
+PLAIN_NEXT = {t: re.compile(rf"<(/?){t}\b", re.I) for t in PLAIN}
 #: Elements that are left out with what they hold, and may nest.
 SKIPPED = frozenset("svg object select template annotation annotation-xml".split())
-SKIPPED_TAG = re.compile(r"<(?:svg|object|select|template|annotation)\b", re.I)
 BOX = frozenset("html head body main article section div header footer nav aside form ul ol dl table thead tbody tfoot tr td th figure details dialog fieldset blockquote menu center".split())
 BLOCK = BOX | frozenset("p h1 h2 h3 h4 h5 h6 li dt dd pre hr address caption figcaption legend option summary".split())
 #: Boxes that are parts of a text rather than hold one.
 PARTS = frozenset("ul ol dl table thead tbody tfoot tr figure details blockquote section".split())
-#: Elements that are not the article, whatever they hold.
+#: Elements that end when one opens, up to the box that bounds them.
+ENDS = {"td": (("td", "th"), ("tr", "table")), "th": (("td", "th"), ("tr", "table")), "tr": (("tr",), ("table",))}
+#: Elements that are not the article.
 OFF = frozenset("head nav footer aside form menu dialog fieldset button".split())
-#: Parts of class names, ids and roles that say so too.
+OFF_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar".split())
+#: What class names and ids say so too: a whole name, or what is left of it once words for containers are taken off its end.
 MARKS = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored sponsors promo promotion promotions sidebar sidebars "
     "menu menus nav navbar navigation breadcrumb breadcrumbs cookie cookies consent gdpr notice notices banner banners newsletter "
-    "subscribe subscription signup comment comments commentlist disqus respond replies reply related recommended recommendations "
-    "share sharing social footer foot masthead topbar popup modal overlay widget widgets toolbar pagination pager login search "
-    "disclaimer alert complementary contentinfo hidden skip".split()
+    "subscribe subscription signup related recommended recommendations share sharing social footer foot masthead topbar popup modal "
+    "overlay toolbar pagination pager login search disclaimer complementary contentinfo skip".split()
 )
+COMMENTS = frozenset("comment comments commentlist disqus respond replies reply".split())
+CONTAINERS = frozenset("box container wrapper wrap inner outer block section area list item items region panel bar content body group holder slot unit links buttons icons form message text row column col widget widgets top bottom left right main".split())
 MASTHEAD = frozenset(("header", "head"))
 PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
-NEGATION = frozenset(("no", "has", "with", "without", "hide"))
+NEGATION = frozenset(("no", "has", "with", "without", "hide", "is", "not"))
+NOTICE = re.compile(r"(?:©|\(c\)|copyright\b)", re.I)
+#: How the markup judges a box: nothing to say; hardly the article; readers' comments, or hidden.
+NEUTRAL, MARKED, NEVER = range(3)
 
 
 @dataclass
-class Box:
-    tag: str
-    off: bool
-    semantic: bool
+class Boxes:
+    """The elements that hold lines, in the order in which they open: a box's number is above its parent's."""
+
+    tag: list[str] = field(default_factory=list)
+    parent: list[int] = field(default_factory=list)
+    mark: list[int] = field(default_factory=list)
+    semantic: list[bool] = field(default_factory=list)
+    inside: list[bool] = field(default_factory=list)  # an article or main element, itself included
+
+    def add(self, tag: str, parent: int, mark: int, semantic: bool) -> int:
+        self.tag.append(tag)
+        self.parent.append(parent)
+        self.mark.append(mark)
+        self.semantic.append(semantic)
+        self.inside.append(semantic or (parent >= 0 and self.inside[parent]))
+        return len(self.tag) - 1
+
+    def inherited(self) -> list[int]:
+        """The gravest mark of each box and those around it."""
+        out: list[int] = []
+        for mark, parent in zip(self.mark, self.parent, strict=True):
+            out.append(max(mark, out[parent]) if parent >= 0 else mark)
+        return out
+
+    def summed(self, lines: list[Line], values: list[int]) -> list[int]:
+        """For each box, the sum over the lines in it, at any depth."""
+        out = [0] * len(self.tag)
+        for line, value in zip(lines, values, strict=True):
+            if line.box >= 0:
+                out[line.box] += value
+        for k in range(len(out) - 1, -1, -1):
+            if self.parent[k] >= 0:
+                out[self.parent[k]] += out[k]
+        return out
 
 
 @dataclass
 class Line:
     text: str
     weight: int
-    off: bool
-    boxes: tuple[int, ...]
+    box: int
 
 
-def _attributes(raw: str) -> dict[str, str]:
-    return {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(raw)} if raw else {}
+def _attributes(page: str, at: int, last: dict[str, int]) -> tuple[dict[str, str], int, bool]:
+    """The attributes of a tag from the end of its name on, where it ends (-1: nowhere), and whether it closes itself."""
+    own: dict[str, str] = {}
+    while True:
+        start, at = at, BEFORE.match(page, at).end()
+        if at >= len(page):
+            return own, -1, False
+        c = page[at]
+        if c == ">":
+            return own, at + 1, "/" in page[start:at]
+        if c == "<":
+            return own, at, False
+        if not (m := ATTRIBUTE.match(page, at)):
+            at += 1  # a stray equals sign
+            continue
+        name, at, value = m[0].lower(), m.end(), ""
+        if m := EQUALS.match(page, at):
+            at = m.end()
+            quote = page[at : at + 1]
+            if quote in ('"', "'") and quote and at < last[quote]:
+                end = page.index(quote, at + 1)
+                value, at = page[at + 1 : end], end + 1
+            else:
+                m = BARE.match(page, at)
+                value, at = m[0], m.end()
+        own.setdefault(name, value)
 
 
-def _off(tag: str, own: dict[str, str], inside: bool) -> bool:
-    """Whether an element's markup says that it isn't part of the article.  inside: of an article or main element."""
-    if tag in OFF or (tag == "header" and not inside) or "hidden" in own or own.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", own.get("style", "")):
-        return True
-    if tag in ("html", "body", "main"):
-        return False
-    for value in (own.get("class", ""), own.get("id", ""), own.get("role", "")):
-        for name in value.split():
-            parts = [p.lower() for p in PART.findall(name)]
-            if parts and parts[0] not in NEGATION and (not MARKS.isdisjoint(parts) or (not inside and not MASTHEAD.isdisjoint(parts) and not {"article", "entry", "post"} & set(parts))):
-                return True
-    return False
+def tokens_of(page: str) -> Iterator[tuple[str, bool, dict[str, str] | None, str]]:
+    """(tag, closing, attributes, "") of each tag, and ("", False, None, text) of each stretch of text.
+
+    Comments, declarations, scripts and styles are left out.  Each character is looked at a bounded number of times.
+    """
+    last = {q: page.rfind(q) for q in ('"', "'")}
+    never: set[str] = set()  # elements of which no end tag is left
+    at = 0
+    while at < len(page):
+        open_at = page.find("<", at)
+        if open_at != at:
+            yield "", False, None, page[at : open_at if open_at >= 0 else len(page)]
+            if open_at < 0:
+                return
+        at = open_at
+        if page.startswith("<!--", at):
+            end = page.find("-->", at + 4)
+            at = end + 3 if end >= 0 else len(page)
+        elif page.startswith("<![CDATA[", at):
+            end = page.find("]]>", at + 9)
+            at = end + 3 if end >= 0 else len(page)
+        elif page[at + 1 : at + 2] in ("!", "?"):
+            end = page.find(">", at)
+            at = end + 1 if end >= 0 else len(page)
+        else:
+            closing = page[at + 1 : at + 2] == "/"
+            name = NAME.match(page, at + 1 + closing)
+            if not name:
+                yield "", False, None, "<"
+                at += 1
+                continue
+            tag = name[0].lower()
+            own, end, closed = {}, name.end(), False
+            if page[end : end + 1] == ">":
+                end += 1
+            elif page[end : end + 1] != "<":
+                own, end, closed = _attributes(page, end, last)
+            if end < 0:  # it runs into the end of the page: no tag
+                yield "", False, None, page[at:]
+                return
+            at = end
+            if closed and tag in SKIPPED:
+                continue
+            if tag in RAW and not closing and not closed:
+                end_tag = RAW_END[tag].search(page, at)
+                at = end_tag.end() if end_tag else len(page)
+                continue
+            if tag in PLAIN and not closing and not closed and tag not in never:
+                other = PLAIN_NEXT[tag].search(page, at)
+                if not other:
+                    never.add(tag)
+                elif other[1]:
+                    end = page.find(">", other.end())
+                    at = end + 1 if end >= 0 else len(page)
+                    continue
+            yield tag, closing, own, ""
 
 
-def _skipped(page: str) -> dict[int, int]:
-    """Where each skipped element that is closed starts and ends."""
+def _skipped(tokens: list[tuple]) -> dict[int, int]:
+    """Where, among the tokens, each skipped element that is closed starts and ends."""
     found: dict[int, int] = {}
     opened: dict[str, list[int]] = {}
-    if SKIPPED_TAG.search(page):
-        for m in TOKEN.finditer(page):
-            if m[4] and (tag := m[4].lower()) in SKIPPED:
-                if not m[3]:
-                    if not m[5].endswith("/"):
-                        opened.setdefault(tag, []).append(m.start())
-                elif opened.get(tag):
-                    found[opened[tag].pop()] = m.end()
+    for k, (tag, closing, _, _) in enumerate(tokens):
+        if tag in SKIPPED:
+            if not closing:
+                opened.setdefault(tag, []).append(k)
+            elif opened.get(tag):
+                found[opened[tag].pop()] = k
     return found
 
 
-def lines_of(page: str | None) -> tuple[list[Line], list[Box]]:
+def _named(name: str, inside: bool) -> int:
+    """What one class name or id says."""
+    parts = [p.lower() for p in PART.findall(name)]
+    if not parts or not NEGATION.isdisjoint(parts):
+        return NEUTRAL
+    if name.lower() == "hidden":
+        return NEVER
+    while len(parts) > 1 and (parts[-1] in CONTAINERS or parts[-1].isdigit()):
+        parts.pop()
+    if parts[-1] in COMMENTS:
+        return NEVER
+    if parts[-1] in MARKS or (parts[-1] in MASTHEAD and not inside and {"article", "entry", "post"}.isdisjoint(parts)):
+        return MARKED
+    return NEUTRAL
+
+
+def _mark(tag: str, own: dict[str, str], inside: bool) -> int:
+    """What an element's markup says of it.  inside: of an article or main element."""
+    if "hidden" in own or own.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", own.get("style", "")):
+        return NEVER
+    if tag in OFF or (tag == "header" and not inside) or own.get("role", "").lower() in OFF_ROLES:
+        return NEVER if tag == "head" else MARKED
+    if tag in ("html", "body", "main"):
+        return NEUTRAL
+    return max((_named(n, inside) for k in ("class", "id") for n in own.get(k, "").split()), default=NEUTRAL)
+
+
+def lines_of(page: str | None) -> tuple[list[Line], Boxes]:
     """The page's lines that hold text, and its boxes by number."""
-    boxes: list[Box] = []
+    boxes = Boxes()
     stack: list[int] = []
+    opened: Counter[str] = Counter()
     lines: list[Line] = []
     text: list[str] = []
-    linked = 0
-    link = 0
+    linked = link = 0
+    body = False
 
     def end() -> None:
         nonlocal linked
         joined = " ".join(html.unescape("".join(text)).split()) if text else ""
         if joined:
-            off = any(boxes[k].off for k in stack)
-            lines.append(Line(joined, 0 if off else max(0, len(joined) - linked), off, tuple(stack)))
+            lines.append(Line(joined, max(0, len(joined) - linked), stack[-1] if stack else -1))
         text.clear()
         linked = 0
 
-    page = page or ""
-    skipped, upto = _skipped(page), 0
-    for m in TOKEN.finditer(page):
-        if m.start() < upto:
+    def push(tag: str, mark: int, semantic: bool) -> None:
+        stack.append(boxes.add(tag, stack[-1] if stack else -1, mark, semantic))
+        opened[tag] += 1
+
+    def pop() -> None:
+        opened[boxes.tag[stack.pop()]] -= 1
+
+    def own_kind() -> bool:
+        return bool(stack) and boxes.tag[stack[-1]].startswith("~")
+
+    tokens = list(tokens_of(page or ""))
+    skipped, upto = _skipped(tokens), -1
+    for k, (tag, closing, own, words) in enumerate(tokens):
+        if k <= upto:
             continue
-        if m.start() in skipped:
-            upto = skipped[m.start()]
+        if k in skipped:
+            upto = skipped[k]
             continue
-        tag = m[4]
-        if m[6] is not None:
-            text.append(m[6])
+        if not tag:
+            text.append(words)
             if link:
-                linked += len(m[6])
-        elif tag is None:
+                linked += len(words)
             continue
-        else:
-            tag, closing = tag.lower(), bool(m[3])
-            if tag == "br":
-                text.append(" ")
-            elif tag == "a":
-                link = 0 if closing else 1
-            if tag not in BLOCK and tag not in OFF:
-                continue
-            end()
-            link = 0
-            if tag not in BOX and tag not in OFF:
-                if closing or not (marked := _off(tag, own := _attributes(m[5]), True)):
-                    while stack and boxes[stack[-1]].tag.startswith("~") and (not closing or boxes[stack[-1]].tag == "~" + tag):
-                        stack.pop()
-                    continue
-                tag, off, semantic = "~" + tag, marked, False  # a paragraph of its own kind, up to the next one
-            elif closing:
-                for depth in range(len(stack) - 1, -1, -1):
-                    if boxes[stack[depth]].tag == tag:
-                        del stack[depth:]
-                        break
-                continue
+        if tag == "br":
+            text.append(" ")
+        elif tag == "a":
+            link = 0 if closing else 1
+        if tag not in BLOCK and tag not in OFF:
+            continue
+        end()
+        link = 0
+        if tag not in BOX and tag not in OFF:
+            if closing or not (mark := _mark(tag, own, True)):
+                while own_kind() and (not closing or boxes.tag[stack[-1]] == "~" + tag):
+                    pop()
             else:
-                while stack and boxes[stack[-1]].tag.startswith("~"):
-                    stack.pop()
-                own = _attributes(m[5])
-                inside = any(boxes[k].semantic for k in stack)
-                off = _off(tag, own, inside)
-                semantic = not off and (tag in ("article", "main") or own.get("role", "").lower() in ("main", "article") or "articlebody" in own.get("itemprop", "").lower())
-                if tag == "body":
-                    stack = [k for k in stack if boxes[k].tag != "head"]
-            stack.append(len(boxes))
-            boxes.append(Box(tag, off, semantic))
+                push("~" + tag, mark, False)  # a paragraph of its own kind, up to the next one
+        elif closing:
+            if opened[tag]:
+                while boxes.tag[stack[-1]] != tag:
+                    pop()
+                pop()
+        else:
+            while own_kind():
+                pop()
+            if tag == "body" and not body:
+                body = True
+                while opened["head"]:
+                    pop()
+            ends, bounds = ENDS.get(tag, ((), ()))
+            if any(opened[t] for t in ends):  # a new cell ends the one before it, a new row too
+                depth = len(stack) - 1
+                while depth >= 0 and boxes.tag[stack[depth]] not in ends and boxes.tag[stack[depth]] not in bounds:
+                    depth -= 1
+                while depth >= 0 and boxes.tag[stack[depth]] in ends and len(stack) > depth:
+                    pop()
+            mark = _mark(tag, own, bool(stack) and boxes.inside[stack[-1]])
+            semantic = mark == NEUTRAL and (tag in ("article", "main") or own.get("role", "").lower() in ("main", "article") or "articlebody" in own.get("itemprop", "").lower())
+            push(tag, mark, semantic)
     end()
     return lines, boxes
 
 
 def core(weights: np.ndarray, window: int = WINDOW) -> tuple[int, int]:
-    """First and last line of the stretch with most text between a surge and the next dive; (0, -1) without text."""
+    """First and last line of the stretch with most text between a surge and the next dive; (0, -1) without text.
+
+    A line is in a stretch if the sums over the window that ends with it and over the one that begins with it are both
+    above the ground, a tenth of the largest sum or 80 characters.  Of equal stretches the first.
+    """
     if not weights.any():
         return 0, -1
-    sums = np.convolve(weights, np.ones(window, np.int64))[: len(weights)]  # of a line and those before it
-    ground = min(int(sums.max()) // 10, 80)
-    up = sums > ground
-    best, at, low, high = -1, 0, 0, -1
-    while at < len(up):
-        if not up[at]:
-            at += 1
-            continue
-        end = at
-        while end + 1 < len(up) and up[end + 1]:
-            end += 1
-        if (total := int(weights[at : end + 1].sum())) > best:
-            best, low, high = total, at, end
-        at = end + 1
-    while high > low and not weights[high]:  # the window trails on over lines without text
-        high -= 1
-    return low, high
+    total, k = np.concatenate([[0], np.cumsum(weights)]), np.arange(len(weights))
+    before, after = total[k + 1] - total[np.maximum(k + 1 - window, 0)], total[np.minimum(k + window, len(weights))] - total[k]
+    ground = min(int(before.max()) // 10, 80)
+    up = np.concatenate([[0], (before > ground) & (after > ground), [0]]).astype(np.int8)
+    starts, ends = np.flatnonzero(np.diff(up) == 1), np.flatnonzero(np.diff(up) == -1)
+    if not len(starts):
+        top = int(weights.argmax())
+        return top, top
+    best = int((total[ends] - total[starts]).argmax())
+    return int(starts[best]), int(ends[best]) - 1
 
 
 def main_text(page: str | None, window: int = WINDOW) -> str:
     """The article's blocks, joined by empty lines."""
     lines, boxes = lines_of(page)
-    weights = np.array([x.weight for x in lines], np.int64)
+    full = np.array([x.weight for x in lines], np.int64)
+    marks = boxes.inherited()
+    mark = np.array([marks[x.box] if x.box >= 0 else NEUTRAL for x in lines], np.int64)
+    weights = np.where(mark == NEUTRAL, full, np.where(mark == MARKED, full // 8, 0))
+    if not weights.any():
+        weights = full  # nothing but what the markup marks
     low, high = core(weights, window)
     if high < low:
         return ""
-    share: dict[int, int] = {}
-    for x in lines[low : high + 1]:
-        for k in x.boxes:
-            share[k] = share.get(k, 0) + x.weight
-    total = int(weights[low : high + 1].sum())
-    semantic = [k for k in share if boxes[k].semantic and 2 * share[k] > total]
-    held = set.intersection(*(set(x.boxes) for x in lines[low : high + 1] if x.weight))
-    around = [k for k in held if boxes[k].tag not in ("html", "body") and boxes[k].tag not in PARTS and not boxes[k].tag.startswith("~")]
-    if semantic or around:
-        part = min(semantic) if semantic else max(around)  # boxes are numbered as they open: the outermost, the innermost
-        kept = [x for x in lines if part in x.boxes]
-    else:  # no box of its own: on from the stretch up to the next lines of links
-        while low and (lines[low - 1].off or 2 * lines[low - 1].weight > len(lines[low - 1].text)):
-            low -= 1
-        while high + 1 < len(lines) and (lines[high + 1].off or 2 * lines[high + 1].weight > len(lines[high + 1].text)):
-            high += 1
-        kept = lines[low : high + 1]
-    return "\n\n".join(x.text for x in kept if not x.off)
+    stretch = np.zeros(len(lines), np.int64)
+    stretch[low : high + 1] = 1
+    heavy = stretch * (weights > 0)
+    total, share = int((weights * stretch).sum()), boxes.summed(lines, (weights * stretch).tolist())
+    for k in range(len(boxes.tag)):  # a box that holds the core is none of these things
+        if boxes.mark[k] and 2 * share[k] > total:
+            boxes.mark[k] = NEUTRAL
+            boxes.semantic[k] |= boxes.tag[k] in ("article", "main")
+    marks = boxes.inherited()
+    off = [x.box >= 0 and marks[x.box] > NEUTRAL for x in lines]
+    holds, n_heavy = boxes.summed(lines, heavy.tolist()), int(heavy.sum())
+    semantic = [k for k in range(len(boxes.tag)) if boxes.semantic[k] and 2 * share[k] > total and marks[k] == NEUTRAL]
+    around = [k for k in range(len(boxes.tag)) if holds[k] == n_heavy and boxes.tag[k] not in PARTS and boxes.tag[k] not in ("html", "body") and not boxes.tag[k].startswith("~")]
+    part = min(semantic) if semantic else max(around, default=-1)  # boxes are numbered as they open: the outermost, the innermost
+    within, beside = [part < 0] * len(boxes.tag), [part < 0] * len(boxes.tag)
+    for k, parent in enumerate(boxes.parent):
+        if k == part or (parent >= 0 and within[parent]):
+            within[k] = True
+        beside[k] = within[k] and (k == part or parent < 0 or beside[parent]) and (k == part or holds[k] > 0 or boxes.tag[k] in ("html", "body"))
+    kept = []
+    for k, x in enumerate(lines):
+        if off[k] or not (within[x.box] if x.box >= 0 else part < 0):
+            continue
+        if semantic or stretch[k]:
+            kept.append(x.text)
+        elif (x.box < 0 or beside[x.box]) and 2 * x.weight > len(x.text) and not (k > high and NOTICE.match(x.text)):
+            kept.append(x.text)
+    return "\n\n".join(kept)
 
 
 def extract(pages: DataFrame) -> DataFrame:

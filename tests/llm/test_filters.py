@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import time
 import zlib
 from collections import defaultdict
 
@@ -194,6 +195,51 @@ def test_main_text_is_whole(page, expected):
     assert html_main.main_text(f"<html><body>{page}<footer>No.</footer></body></html>") == "\n\n".join(" ".join(x.split()) for x in expected)
 
 
+STORY = " ".join(["The story itself goes on for quite a while here and says much."] * 6)
+
+
+@pytest.mark.parametrize(
+    ("page", "expected"),
+    [
+        (f'<div class="overflow-hidden"><p>{STORY}</p></div>', [STORY]),
+        (f'<div class="content-with-sidebar"><p>{STORY}</p></div>', [STORY]),
+        (f'<article title="The hidden valley"><p>{STORY}</p></article>', [STORY]),
+        (f'<div data-hidden="false"><p>{STORY}</p></div>', [STORY]),
+        (f'<div data-id="comments"><p>{STORY}</p></div>', [STORY]),
+        (f'<div><p>{STORY}</p><p class="alert-level">Level two holds.</p><p>{STORY}</p></div>', [STORY, "Level two holds.", STORY]),
+        (f"<div><ul><li><a href=/>Home</a><li><a href=/n>News</a></ul></div><div><h1>Title</h1><p>{STORY}</p></div><div>Copyright 2020 Example</div>", ["Title", STORY]),
+        (f"<ul><li>Home<li>News</ul><h1>Title</h1><p>{STORY}</p><p>Copyright 2020 Example</p>", ["Title", STORY]),
+        (f"<div id=page><div>Home News Sport</div><h1>Title</h1><p>{STORY}</p><p>Short.</p><p>{STORY}</p><div>Copyright 2020</div></div>", ["Title", STORY, "Short.", STORY]),
+        (f"<form id=aspnet><div>Home</div><div class=post><p>{STORY}</p></div></form>", [STORY]),
+        (f"<div class=notice><article><p>{STORY}</p></article></div><p>Short.</p>", [STORY]),
+        (f'<div class="post"><p>{STORY}</p><div class="share-buttons">Tell all of your friends</div><section id="comments"><p>{STORY}</p><p>{STORY}</p></section></div>', [STORY]),
+        (f'<div class="left-sidebar"><p>{LEDE}</p></div><div><p>{STORY}</p></div>', [STORY]),
+        (f'<article><p title="a > b">{STORY}</p><p class=x href=a"b>{STORY}</p><p {STORY}</p></article>', [STORY, STORY]),
+    ],
+)
+def test_markup_only_weighs(page, expected):
+    assert html_main.main_text(f"<html><body>{page}</body></html>") == "\n\n".join(expected)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.one_of(st.integers(0, 30), st.integers(0, 400)), max_size=14))
+def test_surge_and_dive_by_hand(weights):
+    n = html_main.WINDOW
+    before, after = [sum(weights[max(0, k - n + 1) : k + 1]) for k in range(len(weights))], [sum(weights[k : k + n]) for k in range(len(weights))]
+    ground = min(max(before, default=0) // 10, 80)
+    up = [a > ground and b > ground for a, b in zip(before, after, strict=True)]
+    spans = [(a, b) for a in range(len(up)) for b in range(a, len(up)) if all(up[a : b + 1])]
+    expected = max(spans, key=lambda s: (sum(weights[s[0] : s[1] + 1]), s[1] - s[0], -s[0]), default=None) or ((weights.index(max(weights)),) * 2 if any(weights) else (0, -1))
+    assert html_main.core(np.array(weights, np.int64)) == expected
+
+
+@pytest.mark.parametrize("part", ["<a", "<a '", '<a x="', "<div>x", "</p>", "<title>", "<iframe><title>", "<svg>", "<p class='", "</section><div>", "<!--", "<body><div>", "<script>", "<", "<p class=ad>x"])
+def test_broken_markup_takes_linear_time(part):
+    began = time.process_time()
+    html_main.main_text(part * (1_000_000 // len(part)))
+    assert time.process_time() - began < 8  # quadratic time would be hours
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.sampled_from(["<p>", "</p>", "<div>", "</div>", "<article>", "</article>", "<nav>", "</nav>", "text ", "&amp;", "<br>", "<", ">", "<!--", "-->", "<script>"]), max_size=25))
 def test_main_text_never_fails(parts):
