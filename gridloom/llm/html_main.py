@@ -314,8 +314,9 @@ def lines_of(page: str | None) -> tuple[list[Line], Boxes]:
                 depth = len(stack) - 1
                 while depth >= 0 and boxes.tag[stack[depth]] not in ends and boxes.tag[stack[depth]] not in bounds:
                     depth -= 1
-                while depth >= 0 and boxes.tag[stack[depth]] in ends and len(stack) > depth:
-                    pop()
+                if depth >= 0 and boxes.tag[stack[depth]] in ends:
+                    while len(stack) > depth:
+                        pop()
             mark = _mark(tag, own, bool(stack) and boxes.inside[stack[-1]])
             semantic = mark == NEUTRAL and (tag in ("article", "main") or own.get("role", "").lower() in ("main", "article") or "articlebody" in own.get("itemprop", "").lower())
             push(tag, mark, semantic)
