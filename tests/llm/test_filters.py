@@ -55,6 +55,16 @@ def test_line_dedup(spark):
     assert {r["n_lines"] for r in kept.select("n_lines").collect()} == {"z"}
 
 
+def test_line_dedup_of_long_documents(spark):
+    """Work grows with a document's lines, not with their square."""
+    body = "\n".join(f"line number {k} is repeated in all of them" for k in range(60_000))
+    rows = [(i, body, "s") for i in range(4)] + [(1, body + "\nits own", "s")]
+    began = time.time()
+    got = {(r["doc_id"], r["n_lines"]): (r["n_dropped"], len(r["text"])) for r in line_dedup.drop_repeated_lines(documents(spark, rows)).collect()}
+    assert got == {(0, 60_000): (60_000, 0), (1, 60_000): (60_000, 0), (1, 60_001): (60_000, 7), (2, 60_000): (60_000, 0), (3, 60_000): (0, len(body))}
+    assert time.time() - began < 60
+
+
 # --- mixing
 
 
