@@ -3,7 +3,8 @@
 Queries and data are cut up by the same pivots (a bounded sample).  A summary of each cell tells how many vectors it
 holds and how far the nearest ones and the farthest are from the pivot.  From the summaries follows, for each group of
 queries, a score that its k-th best surely reaches; a data vector is copied to a group only if its score can reach that.
-Groups are solved where they meet their data, shard by shard, in running top-k tables; the shards' tables are merged.
+Groups are solved where they meet their data in running top-k tables.  Where there are fewer groups than tasks, large data
+is dealt to shards too, and the shards' tables are merged; with many groups, one task solves a group against all its data.
 
 With q = p + a, v = r + b for pivots p, r:  |<q, v> - <p, r>| <= |p||b| + |r||a| + |a||b|,  and  <q, v> <= <p, v> + |a||v|.
 
@@ -25,8 +26,8 @@ from pyspark.sql import functions as F
 from gridloom.llm.common import cut, n_shuffle
 from gridloom.llm.vectors import nearest, stacked, usable
 
-#: Queries in a group, about (a cell with more is cut in groups); most pivots; rows of data scored at a time.
-GROUP, MOST_PIVOTS, BLOCK = 512, 256, 2048
+#: Queries in a cell, about; most pivots; queries in a part of a cell, at most about; rows of data in a shard, at least; rows scored at a time.
+GROUP, MOST_PIVOTS, PART, SHARD, BLOCK = 512, 1024, 4096, 65_536, 1024
 
 
 def whole_numbers(rows: DataFrame, scale: int) -> DataFrame:
@@ -61,7 +62,7 @@ def join(rows: DataFrame, is_query: Column, k: int = 20, scale: int = 64) -> Dat
     """(query_id, rank, vec_id, score): each query's k highest scores, from rank 1."""
     spark = rows.sparkSession
     vectors = cut(whole_numbers(rows, scale).withColumn("query", F.coalesce(is_query, F.lit(False))))
-    facts = vectors.agg(F.count_if("query").alias("queries"), F.max(F.size("v")).alias("size")).first()
+    facts = vectors.agg(F.count(F.lit(1)).alias("rows"), F.count_if("query").alias("queries"), F.max(F.size("v")).alias("size")).first()
     shape = "query_id long, rank int, vec_id long, score long"
     if not facts["queries"]:
         return spark.createDataFrame([], shape)
@@ -83,14 +84,15 @@ def join(rows: DataFrame, is_query: Column, k: int = 20, scale: int = 64) -> Dat
     distances = {r["cell"]: np.array(r["far"]) for r in closest}
     norms = np.sqrt((pivots**2).sum(1))
     sure: dict[int, float] = {}
-    for g, (a, _) in reach.items():
-        low = [float(pivots[g] @ pivots[c]) - norms[g] * b - norms[c] * a - a * b for c, b in distances.items()]
-        flat = np.sort(np.concatenate(low))[::-1]
-        sure[g] = float(flat[k]) if len(flat) > k else -np.inf
+    cells = np.repeat(list(distances), [len(d) for d in distances.values()])
+    far = np.concatenate(list(distances.values()))
+    for g, (a, _) in reach.items():  # at most MOST_PIVOTS times k + 1 numbers for each of MOST_PIVOTS
+        low = (pivots @ pivots[g])[cells] - norms[g] * far - norms[cells] * a - a * far
+        sure[g] = float(np.partition(low, len(low) - k - 1)[len(low) - k - 1]) if len(low) > k else -np.inf
     groups = sorted(reach)
     centre, radius, bar = pivots[groups], np.array([reach[g][0] for g in groups]), np.array([sure[g] for g in groups])
-    parts = {g: max(1, -(-reach[g][1] // (2 * GROUP))) for g in groups}
-    shards = max(1, n_shuffle(spark) // sum(parts.values()))
+    parts = {g: -(-reach[g][1] // PART) for g in groups}
+    shards = max(1, min(n_shuffle(spark) // sum(parts.values()), facts["rows"] // SHARD))
 
     def needed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
