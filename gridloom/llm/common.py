@@ -31,15 +31,15 @@ def hash128(*cols: Column) -> Column:
     return F.struct(F.xxhash64(*cols).alias("a"), F.xxhash64(F.lit(0x5EED), *cols).alias("b"))
 
 
-def join_hot(many: DataFrame, few: DataFrame, keys: list[str], weight: str, total: int, share: int = 10_000) -> DataFrame:
+def join_hot(many: DataFrame, few: DataFrame, keys: list[str], weight: str, total: int, share: int = 10_000, least: int = 1000) -> DataFrame:
     """An inner join on ``keys``, which name one row each in ``few``; its column ``weight`` tells how many rows of ``many`` a key has.
 
     Keys with more than a ``share``-th of ``total``, the sum of all weights, are fewer than ``share``: these are broadcast,
     so that a hot key's rows stay where they are.  The rest, none of them hot, meet by a shuffle.
     """
-    hot = F.col(weight) > max(1000, total // share)
+    hot = F.col(weight) > max(least, total // share)
     rest = few.where(~hot).drop(weight)
-    if total <= 1000:
+    if total <= least:
         return many.join(rest, keys)
     loud = few.where(hot).drop(weight)
     names = F.broadcast(loud.select(*keys))

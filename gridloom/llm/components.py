@@ -5,28 +5,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import cut
+from gridloom.llm.common import cut, join_hot
 
 
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
     """(node, root): for each node that has an edge, the least node that it can reach.
 
     Alternates the large-star and small-star steps of Kiveris and others (2014) until nothing moves: every step is an
-    aggregation (combined before the shuffle) and a join, nodes with many edges included, and each round is cut by a
-    checkpoint.  Loops and repeated edges do no harm; no edges give an empty table.
+    aggregation (combined before the shuffle) and a join, and each round is cut by a checkpoint.  Nodes with very many
+    edges are told to every task (``join_hot``).  Loops and repeated edges do no harm; no edges give an empty table.
     """
     now = edges.select(F.col(src).alias("u"), F.col(dst).alias("v")).where(F.col("u") != F.col("v"))
     now = cut(now.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     seen = None
     while True:
-        state = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == seen or not state[0]:
+        both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        sums = F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("sum")
+        least = cut(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"), *sums))
+        state = least.agg(F.sum("n").alias("n"), F.sum("sum"), F.max("n").alias("most")).first()
+        if state == seen or not state["n"]:
             break
         seen = state
-        both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.where(F.col("v") > F.col("u")).join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where(F.col("u") != F.col("v")).distinct()
+        above = both.where(F.col("v") > F.col("u"))
+        if state["most"] > 1000:
+            met = join_hot(above, least.drop("sum"), ["u"], "n", state["n"])
+        else:
+            met = above.join(least.drop("sum", "n"), "u")
+        large = met.select(F.col("v").alias("u"), F.col("m").alias("v")).where(F.col("u") != F.col("v")).distinct()
         lower = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(lower, "u")
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(lower.select("u", F.col("m").alias("v")))

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import cut, n_shuffle
+from gridloom.llm.common import cut, join_hot, n_shuffle
 from gridloom.llm.components import connected_components
 from gridloom.llm.vectors import k_means, nearest, stacked, usable
 
@@ -116,9 +116,11 @@ def links(rows: DataFrame, threshold: float = 0.9) -> DataFrame:
     roots = joined.groupBy("root").agg(F.min("first_id").alias("component_id"))
     component = joined.join(roots, "root").select("mark", "component_id")
     of = classes.select("mark", "first_id", "copies").join(sums, "mark", "left").join(component, "mark", "left")
-    of = of.select(F.col("mark").alias("m"), (F.col("copies") - 1 + F.coalesce("more", F.lit(0))).alias("n"), F.coalesce("component_id", "first_id").alias("c"))
-    out = named.select("vec_id", "mark").join(of, F.col("mark") == F.col("m"), "left")
-    out = out.select("vec_id", F.coalesce("n", F.lit(0)).cast("long").alias("n_links"), F.when(F.col("m").isNull(), F.col("vec_id")).otherwise(F.col("c")).alias("component_id"))
+    of = of.select("mark", "copies", (F.col("copies") - 1 + F.coalesce("more", F.lit(0))).cast("long").alias("n_links"), F.coalesce("component_id", "first_id").alias("component_id"))
+    good = named.where("good").select("vec_id", "mark")
+    total = classes.agg(F.sum("copies")).first()[0]
+    out = join_hot(good, cut(of), ["mark"], "copies", total).select("vec_id", "n_links", "component_id")
+    out = out.unionByName(named.where(~F.col("good")).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id")))
     return out.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
 
 

@@ -2,19 +2,20 @@
 
 1. Each text gets the set of its n-gram hashes, a 128-bit fingerprint of the set and MinHash bands.  Texts of one
    fingerprint are one class, and only classes go on, so copies never meet in pairs.
-2. Classes are shuffled on band hashes.  A bucket names a hub (its least class) and joins each member to it: as many
-   rows as members.  Bands and rows follow from the recall wanted at the threshold.
-3. Classes that hubs connect form a candidate family.  Families are dealt out in blocks of bounded size, and every two
-   blocks of a family meet in one task, where all pairs are verified on their full n-gram sets.  A task returns a row a
-   class: its links there, and one class that it hangs together with.
-4. Those rows are summed, and joined up into groups.
+2. Classes are shuffled on band hashes; classes of one hash are a bucket, and buckets with the same members one bucket.
+   Bands and rows follow from the recall wanted at the threshold.
+3. Buckets are verified on full n-gram sets, a pair in the least band that it shares.  Near copies share most of their
+   buckets, though, so classes that buckets connect form a family, and a family is verified as a whole where that takes
+   fewer comparisons than its buckets do: always if it is small, never if it is a chain of texts that drift apart.
+4. Buckets and families are dealt out in blocks of bounded size, and every two blocks meet in one task.  It returns a row a
+   class: its links there, and one class that it hangs together with.  Those rows are summed, and joined up into groups.
 
-No cap stands anywhere: large families get more blocks.
+No cap stands anywhere: large buckets and families get more blocks, and the work grows with the pairs that share a band.
 
 Defined cases: words are runs of anything but ASCII white space, case and punctuation included; a text of fewer than n
 words has one n-gram, all its words; a text without words (null, empty, blank) links with nothing; rows that repeat a
-doc_id are documents of their own; a null doc_id is kept, and is no class's or group's least id; an empty table gives an
-empty one; other columns play no part.
+doc_id are documents of their own; a null doc_id is kept, and is no class's or group's least id; texts of any length count
+whole; an empty table gives an empty one; other columns play no part.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.llm import shingles as S
-from gridloom.llm.common import HIDDEN, cut, n_shuffle
+from gridloom.llm.common import HIDDEN, cut, join_hot, n_shuffle
 from gridloom.llm.components import connected_components
 
 #: A block holds about so many classes and so many n-grams at most (one class may have more n-grams).
@@ -70,12 +71,8 @@ def join(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: float = 0.
     signed = cut(signatures(docs, n, bands, rows))
     first = F.first("grams").alias("grams"), F.first("bands").alias("bands")
     classes = cut(signed.where(F.col("mark").isNotNull()).groupBy("mark").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("copies"), *first))
-    met = classes.select("mark", F.posexplode("bands").alias("band", "hash"))
-    hubs = met.groupBy("band", "hash").agg(F.min("mark").alias("hub"), F.count(F.lit(1)).alias("members")).where(F.col("members") > 1)
-    candidates = met.join(hubs.drop("members"), ["band", "hash"]).where(F.col("mark") != F.col("hub")).select("mark", "hub").distinct()
-    family = connected_components(candidates, "mark", "hub").withColumnsRenamed({"node": "mark", "root": "family"})
-    blocks = cut(_blocks(classes.drop("bands").join(family, "mark")))
-    links = cut(_verified(docs, blocks, n, threshold))
+    units = _units(classes)
+    links = cut(_verified(docs, classes, units, n, threshold))
     sums = links.groupBy("mark").agg(F.sum("n_links").alias("more"), F.sum("n_text_links").alias("n_text_links"))
     groups = connected_components(links, "mark", "parent").withColumnsRenamed({"node": "mark"})
     named = groups.join(classes.select("mark", "class_id"), "mark")
@@ -83,32 +80,51 @@ def join(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: float = 0.
     grouped = named.drop("class_id").join(roots, "root").withColumnRenamed("root", "group")
     facts = classes.select("mark", "class_id", "copies").join(sums, "mark", "left").join(grouped, "mark", "left")
     facts = facts.select(
-        F.col("mark").alias("m"),
+        "mark",
+        "copies",
         "class_id",
         (F.col("copies") - 1 + F.coalesce("more", F.lit(0))).alias("n_links"),
         F.coalesce("n_text_links", F.lit(0)).alias("n_text_links"),
         F.coalesce("group_id", "class_id").alias("group_id"),
         F.coalesce("group", "mark").alias("group"),
     )
-    return signed.select("doc_id", "hash", "mark").join(facts, F.col("mark") == F.col("m"), "left").select(
-        "doc_id",
-        "hash",
-        "mark",
-        F.when(F.col("m").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
-        F.coalesce("n_links", F.lit(0)).alias("n_links"),
-        F.coalesce("n_text_links", F.lit(0)).alias("n_text_links"),
-        F.when(F.col("m").isNull(), F.col("doc_id")).otherwise(F.col("group_id")).alias("group_id"),
-        "group",
-    )
+    rest = signed.where(F.col("mark").isNull()).select(
+        "doc_id", "hash", "mark", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.lit(0).cast("long").alias("n_text_links"),
+        F.col("doc_id").alias("group_id"), F.lit(None).cast("binary").alias("group"),
+    )
+    texts = signed.where(F.col("mark").isNotNull()).select("doc_id", "hash", "mark")
+    total = classes.agg(F.coalesce(F.sum("copies"), F.lit(0))).first()[0]
+    return join_hot(texts, cut(facts), ["mark"], "copies", total).select(rest.columns).unionByName(rest)
 
 
-def _blocks(members: DataFrame) -> DataFrame:
-    """The members with their family's number of blocks and their own block in it."""
-    sizes = members.groupBy("family").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_CLASSES), F.ceil(F.sum("grams") / BLOCK_GRAMS)).cast("int").alias("blocks"))
-    return members.join(sizes, "family").withColumn("block", F.pmod(F.xxhash64("mark"), F.col("blocks")).cast("int"))
-
-
-def _verified(docs: DataFrame, blocks: DataFrame, n: int, threshold: float) -> DataFrame:
+def _units(classes: DataFrame) -> DataFrame:
+    """(mark, units): what each class is verified in, buckets or its family, as (unit, band, blocks, block); band is -1 for a family."""
+    met = classes.select("mark", F.posexplode("bands").alias("band", "hash"))
+    buckets = met.groupBy("band", "hash").agg(F.min("mark").alias("hub"), F.count(F.lit(1)).alias("members"), F.sum(F.xxhash64("mark").cast("decimal(38,0)")).alias("sum"))
+    # buckets of the same members are one, in the least of their bands
+    one = buckets.where(F.col("members") > 1).groupBy("hub", "members", "sum").agg(F.min(F.struct("band", "hash")).alias("b"))
+    buckets = cut(one.select("b.band", "b.hash", "hub", "members", F.col("members").alias("rows")))
+    total = buckets.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
+    inside = cut(join_hot(met, buckets, ["band", "hash"], "rows", total).select("mark", "band", "hub", "members"))
+    family = connected_components(inside.where(F.col("mark") != F.col("hub")).select("mark", "hub").distinct(), "mark", "hub")
+    family = cut(family.withColumnsRenamed({"node": "mark", "root": "family"}).join(classes.select("mark", "grams"), "mark"))
+    # a bucket belongs to its hub's family; it takes its members squared in comparisons
+    costs = buckets.join(family.select(F.col("mark").alias("hub"), "family"), "hub").groupBy("family").agg(F.sum(F.col("members").cast("double") * F.col("members")).alias("cost"))
+    sizes = family.groupBy("family").agg(F.count(F.lit(1)).alias("n")).join(costs, "family")
+    parted = (F.col("n") > BLOCK_CLASSES) & (F.col("cost") < F.col("n").cast("double") * F.col("n"))
+    sizes = cut(sizes.select("family", "n", parted.alias("parted")))
+    members = cut(join_hot(family, sizes, ["family"], "n", sizes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]))
+    whole = members.where(~F.col("parted")).select("mark", "grams", F.col("family").alias("unit"), F.lit(-1).alias("band"))
+    by_bucket = inside.join(members.where("parted").select("mark", "grams"), "mark").select("mark", "grams", F.col("hub").alias("unit"), "band")
+    units = cut(whole.unionByName(by_bucket))
+    blocks = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_CLASSES), F.ceil(F.sum("grams") / BLOCK_GRAMS)).cast("int")
+    counted = cut(units.groupBy("unit", "band").agg(blocks.alias("blocks"), F.count(F.lit(1)).alias("n")))
+    dealt = join_hot(units, counted, ["unit", "band"], "n", counted.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
+    block = F.pmod(F.xxhash64("mark"), F.col("blocks")).cast("int").alias("block")
+    return dealt.groupBy("mark").agg(F.collect_list(F.struct("unit", "band", "blocks", block)).alias("units"))  # one a band at most
+
+
+def _verified(docs: DataFrame, classes: DataFrame, units: DataFrame, n: int, threshold: float) -> DataFrame:
     """(mark, n_links, n_text_links, parent), a row for each class and meeting of two blocks."""
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -117,16 +133,20 @@ def _verified(docs: DataFrame, blocks: DataFrame, n: int, threshold: float) -> D
             *rest, text, mark = batch.columns
             sets = [S.shingle_set(t, n, hashes).tobytes() for t in text.to_pylist()]
             same = pa.array([xxhash.xxh3_128_digest(s) == m for s, m in zip(sets, mark.to_pylist(), strict=True)])
-            out = pa.RecordBatch.from_arrays([*rest, mark, pa.array(sets, pa.binary())], ["family", "blocks", "block", "copies", "mark", "set"])
+            out = pa.RecordBatch.from_arrays([*rest, mark, pa.array(sets, pa.binary())], ["units", "copies", "bands", "mark", "set"])
             yield out.filter(same)  # another row may have taken the id
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in S.runs(batches, 3):
-            rows = list({r[5]: r for r in rows}.values())  # rows that repeat a doc_id and a text
-            marks, copies, block = [r[5] for r in rows], np.array([r[4] for r in rows]), np.array([r[3] for r in rows])
-            linked = S.similar([np.frombuffer(r[6], np.uint64) for r in rows], threshold) if len(rows) > 1 else np.zeros((1, 1), bool)
-            if rows[0][1] != rows[0][2]:  # two blocks: pairs inside a block are another task's
+        for rows in S.runs(batches, 4):  # of one unit, band, and two blocks
+            rows = list({r[6]: r for r in rows}.values())  # rows that repeat a doc_id and a text
+            marks, copies, block = [r[6] for r in rows], np.array([r[5] for r in rows]), np.array([r[4] for r in rows])
+            linked = S.similar([np.frombuffer(r[8], np.uint64) for r in rows], threshold) if len(rows) > 1 else np.zeros((1, 1), bool)
+            if rows[0][2] != rows[0][3]:  # two blocks: pairs inside a block are another task's
                 linked &= block[:, None] != block[None, :]
+            if rows[0][1] >= 0:  # a bucket: pairs that share an earlier one are that one's
+                bands = np.array([r[7] for r in rows])
+                for k in np.flatnonzero(linked.any(1)):
+                    linked[k] &= (bands == bands[k]).argmax(1) == rows[0][1]
             root = S.least_reachable(linked)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(marks, pa.binary()), pa.array((linked * copies[None, :]).sum(1), pa.int64()), pa.array(linked.sum(1), pa.int64()), pa.array([marks[i] for i in root], pa.binary())],
@@ -134,13 +154,15 @@ def _verified(docs: DataFrame, blocks: DataFrame, n: int, threshold: float) -> D
             )
 
     texts = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
-    held = blocks.join(texts, F.col("class_id").eqNullSafe(F.col("doc_id"))).select("family", "blocks", "block", "copies", "text", "mark")
-    sets = held.mapInArrow(grams, "family binary, blocks int, block int, copies bigint, mark binary, set binary")
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    pairs = sets.select("family", "block", "copies", "mark", "set", other.alias("other")).select(
-        "family", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "copies", "mark", "set"
-    )
-    dealt = pairs.repartition(n_shuffle(docs.sparkSession), "family", "i", "j").sortWithinPartitions("family", "i", "j")
+    held = units.join(classes.select("mark", "class_id", "copies", "bands"), "mark")
+    bands = F.when(F.exists("units", lambda u: u.band >= 0), F.col("bands")).alias("bands")  # only buckets ask for them
+    held = held.join(texts, F.col("class_id").eqNullSafe(F.col("doc_id"))).select("units", "copies", bands, "text", "mark")
+    unit = "struct<unit: binary, band: int, blocks: int, block: int>"
+    sets = held.mapInArrow(grams, f"units array<{unit}>, copies bigint, bands array<bigint>, mark binary, set binary")
+    each = sets.select(F.explode("units").alias("u"), "copies", "bands", "mark", "set")
+    pairs = each.select("u.*", "copies", "bands", "mark", "set", F.explode(F.sequence(F.lit(0), F.col("u.blocks") - 1)).alias("other"))
+    pairs = pairs.select("unit", "band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "copies", "mark", "bands", "set")
+    dealt = pairs.repartition(n_shuffle(docs.sparkSession), "unit", "band", "i", "j").sortWithinPartitions("unit", "band", "i", "j")
     return dealt.mapInArrow(verify, "mark binary, n_links bigint, n_text_links bigint, parent binary")
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from gridloom.llm import embedding_dedup, knn_join, ngram_join
 from gridloom.llm import shingles as S
+from gridloom.llm.common import join_hot
 from gridloom.llm.components import connected_components
 
 SF = "/root/testdata/sf0.001"
@@ -77,6 +78,34 @@ def test_blocks_of_a_large_family(spark, monkeypatch):
     test_ngram_join(spark)
 
 
+def test_hot_keys_meet_by_broadcast(spark):
+    rng = np.random.default_rng(8)
+    keys = [0] * 400 + rng.integers(1, 50, 200).tolist()
+    many = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "k long, i long")
+    few = many.where("k % 3 < 2").groupBy("k").agg(F.count("i").alias("n"), F.max("i").alias("top"))
+    got = sorted(map(tuple, join_hot(many, few, ["k"], "n", 600, share=10, least=5).collect()))
+    top = {k: max(i for i, x in enumerate(keys) if x == k) for k in keys}
+    assert got == sorted((k, i, top[k]) for i, k in enumerate(keys) if k % 3 < 2)
+
+
+def test_components_with_a_hub(spark):
+    edges = [(7, k) for k in range(100, 2400)] + [(3, 2399), (5000, 5001)]
+    got = {r["node"]: r["root"] for r in connected_components(spark.createDataFrame(edges, "src long, dst long")).collect()}
+    assert set(got.values()) == {3, 5000} and len(got) == 2304 and got[100] == 3 and got[5001] == 5000
+
+
+def test_a_family_of_drifting_texts_is_verified_by_its_buckets(spark, monkeypatch):
+    """A chain of texts costs the pairs that share a band, not the square of its length."""
+    monkeypatch.setattr(ngram_join, "BLOCK_CLASSES", 20)
+    rng = np.random.default_rng(9)
+    words = [f"w{i}" for i in rng.permutation(4000)]
+    docs = spark.createDataFrame([(i, " ".join(words[12 * i : 12 * i + 100])) for i in range(300)], "doc_id long, text string")
+    classes = ngram_join.signatures(docs, 5, *S.bands_for(0.8, 0.9999)).selectExpr("mark", "doc_id as class_id", "1L as copies", "grams", "bands")
+    units = ngram_join._units(classes).select(F.explode("units").alias("u")).select("u.*")
+    pairs = units.groupBy("unit", "band").agg(F.count("*").alias("n")).agg(F.sum(F.col("n") * F.col("n"))).first()[0]
+    assert units.where("band >= 0").count() > 0 and pairs < 300 * 300 / 8
+
+
 def test_bands():
     bands, rows = S.bands_for(0.8, 0.9999)
     assert S.chance(0.8, bands, rows) >= 0.9999 and bands * rows <= 128
