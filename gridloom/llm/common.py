@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
+from itertools import accumulate
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,7 +17,7 @@ ASCII_SPACE = " \t\n\x0b\x0c\r"
 #: A word is a longest run of anything else.
 WORD = "[^\\x20\\x09-\\x0D]+"
 HIDDEN = "__gl_"
-__all__ = ["ASCII_SPACE", "HIDDEN", "WORD", "cut", "doc_fold", "hash128", "join_hot", "n_shuffle", "shared_dir", "shared_path", "table"]
+__all__ = ["ASCII_SPACE", "HIDDEN", "WORD", "cut", "doc_fold", "hash128", "join_hot", "labelled_sample", "n_shuffle", "shared_dir", "shared_path", "table"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,3 +56,25 @@ def n_shuffle(spark: SparkSession) -> int:
 def doc_fold(modulus: int) -> Column:
     """crc32 of the id's decimal text, modulo ``modulus``: the folds that hold labels out."""
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus
+
+
+#: Characters that a training sample has in all, at most (a document that goes beyond is left out of it, not cut).
+SAMPLE_CHARS = 64_000_000
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most: dict[int, int], seed: int) -> pd.DataFrame:
+    """(doc_id, text, label) on the driver: ``most[v]`` labelled documents of each label v, the first by a hash of the doc_id.
+
+    Rows that repeat a doc_id count as one, the one with the least text hash.  So rows are bounded by ``most``, and
+    characters by SAMPLE_CHARS.
+    """
+    order = F.xxhash64(F.lit(seed), "doc_id")
+    rows = labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(*most)).select("doc_id", F.col(label).cast("int").alias("label")).distinct()
+    some = [rows.where(F.col("label") == v).orderBy(order, "doc_id").limit(n) for v, n in most.items()]
+    chosen = cut(reduce(DataFrame.unionByName, some))  # sum(most.values()) rows
+    texts = docs.select("doc_id", "text").join(F.broadcast(chosen.select("doc_id").distinct()), "doc_id")
+    one = cut(texts.groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), F.coalesce(F.length("text"), F.lit(0)).alias("size"), "text")).alias("t")))
+    sizes = sorted((r[1], r[0]) for r in one.select("doc_id", "t.size").collect())  # two numbers a row of chosen
+    fits = [i for (_, i), total in zip(sizes, accumulate(n for n, _ in sizes), strict=True) if total <= SAMPLE_CHARS]
+    kept = one.select("doc_id", "t.text").where(F.col("doc_id").isin(fits) if len(fits) < len(sizes) else F.lit(True))
+    return kept.join(chosen, "doc_id").orderBy("doc_id", "label").toPandas()

@@ -5,8 +5,10 @@ event "again".  A word that the training sample rarely holds goes by its shape (
 fixed random sparse index vector; its word vector is its own plus those of its neighbours in the sample (Kanerva and
 others, 2000; Sahlgren, 2005).  A document is the mean of its words' vectors, their spread, and its length and variety.
 
-Defined cases: null and empty texts have no words, and score what the network gives for that; without labels of both
-kinds every score is 0.5; labels that are null or contradict each other count as they stand; other columns play no part.
+Defined cases: null and empty texts have no words, and score what the network gives for that; texts of any length are
+pooled whole; rows that repeat a doc_id are scored one by one, and train as one; without labels of both kinds every score
+is 0.5; labels that are null or contradict each other count as they stand; an empty table gives an empty one; other
+columns play no part.
 """
 
 from __future__ import annotations
@@ -22,6 +24,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridloom.llm.common import labelled_sample
+
 #: Labelled documents that training looks at, at most, of each label.
 TRAIN_EACH = 3000
 SIZE, ONES, WINDOW, RARE, MOST_WORDS = 64, 6, 2, 5, 20_000
@@ -178,11 +182,7 @@ def train(texts: list[str | None], labels: list[int], seed: int = 3) -> Model |
 
 def fit(docs: DataFrame, labels: DataFrame, usable: Column, label: str = "quality") -> Model | None:
     """Trains on at most TRAIN_EACH labelled documents of each label, chosen by a hash of the doc_id."""
-    rows = labels.where(usable & F.col("doc_id").isNotNull() & F.col(label).isin(0, 1)).select("doc_id", F.col(label).cast("int").alias("label"))
-    order = F.xxhash64(F.lit(29), "doc_id")
-    some = [rows.where(F.col("label") == v).orderBy(order, "doc_id").limit(TRAIN_EACH) for v in (0, 1)]
-    held = docs.select("doc_id", "text").join(F.broadcast(some[0].unionByName(some[1])), "doc_id")  # at most 2 * TRAIN_EACH rows
-    got = held.orderBy("doc_id", F.xxhash64("text"), "label").toPandas()
+    got = labelled_sample(docs, labels.where(usable), label, {0: TRAIN_EACH, 1: TRAIN_EACH}, 29)
     return train(got["text"].tolist(), got["label"].tolist())
 
 

@@ -4,20 +4,25 @@ The kernel compares two words by the three-letter subsequences that they share,
 to the power of its span; word ends count as letters.  An insult keeps most of its kernel value when letters are put
 between its own ("idxiot"), marks are put in ("i.d-iot"), letters are spaced out ("i d i o t") or it is inflected.
 
-Training sees labelled sentences: those of toxic documents are bags of which at least one word is to be found guilty,
-those of clean documents hold innocent words only (the MI-SVM of Andrews and others, 2003, hard negatives mined).
-Landmarks are the strings that tell toxic bags from clean ones best, and common clean words.  A sentence's value is its
+Training sees labelled sentences.  A toxic document is a bag of them, of which at least one is to be found guilty, by its
+worst word (the MI-SVM of Andrews and others, 2003): each round takes the worst sentence of each as its witness.  Every
+sentence of a clean document is innocent, and its worst word is a hard negative, the more so the more sentences it leads.
+Landmarks are the strings that tell toxic bags from clean ones best, then those that tell the bags which are still
+unexplained (rare insults, small languages) by more than chance, and common clean words.  A sentence's value is its
 highest word's, a document's its highest sentence's, and a logistic curve makes it a probability.
 
 A linear machine over Nyström features of this kernel is linear in the weighted subsequences too, so each distinct word
 is scored by adding up a table's entries.  That is the same number, not an approximation.
 
-Defined cases: null and empty texts score as a word that matches nothing; without any label of both kinds every score is
-0; labels that are null, or that contradict each other for a doc_id, count as they stand; other columns play no part.
+Defined cases: null and empty texts score as a word that matches nothing; texts and tokens of any length count whole, long
+tokens in overlapping windows; rows that repeat a doc_id are scored one by one, and train as one; without any label of
+both kinds, or if nothing tells them apart, every score is 0; labels that are null, or that contradict each other for a
+doc_id, count as they stand; an empty table gives an empty one; other columns play no part.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
@@ -29,11 +34,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridloom.llm.common import labelled_sample
+
 DECAY, SPAN = 0.6, 5
 #: Places of the second and third letter after the first.
 STEPS = [(a, b) for a in range(1, SPAN - 1) for b in range(a + 1, SPAN)]
-SYMBOLS = 64
-LONGEST = 24
+#: Numbers for letters: the fewer if these do.  Of more letters than that the rarest share some.
+SYMBOLS, MOST_SYMBOLS, SHARED = 64, 128, 32
+#: Letters of a word that are looked at together, and where the next look begins: what has 17 letters or fewer is seen whole.
+LONGEST, STRIDE = 24, 8
 LETTERS = re.compile(r"[^\W\d_]+")
 SPACED = re.compile(r"(?<!\S)\S(?:\s\S(?!\S)){2,}")
 LOOKALIKE = str.maketrans("013457@$!|", "oieastasil")
@@ -51,12 +60,19 @@ def words_of(token: str) -> list[str]:
         if not token.isascii() or any(c in "013457@$!|" for c in token):
             token = INSIDE.sub(lambda m: m[0].translate(LOOKALIKE), token)
         runs = LETTERS.findall(token)
-        if 1 < len(runs) <= LONGEST:
-            runs.append("".join(runs)[: 2 * LONGEST])
+        if len(runs) > 1:
+            short = [[]]  # letters that stand alone are a word of their own, whatever stands beside them
+            for run in runs:
+                if len(run) <= 2:
+                    short[-1].append(run)
+                elif short[-1]:
+                    short.append([])
+            whole = "".join(runs)
+            runs += [whole, *(x for x in ("".join(r) for r in short if len(r) > 2) if x != whole)]
     out = []
     for run in runs:
         marked = f"^{run}$"
-        out += [marked] if len(marked) <= LONGEST else [marked[i : i + LONGEST] for i in range(0, len(marked) - LONGEST // 2, LONGEST // 2)]
+        out += [marked] if len(marked) <= LONGEST else [marked[i : i + LONGEST] for i in range(0, len(marked) - LONGEST + STRIDE, STRIDE)]
     return out
 
 
@@ -75,14 +91,25 @@ class Spelled(dict):
 
 
 class Alphabet:
-    """Numbers from 1 for the letters of some strings; any other letter is 0 and matches nothing."""
+    """Numbers from 1 for the letters of some strings, of any script; any other letter is 0 and matches nothing."""
 
     def __init__(self, strings: Iterable[str]) -> None:
-        letters = [c for c, _ in Counter("".join(strings)).most_common(SYMBOLS - 1)]
-        self.table = np.zeros(0x300, np.int64)
-        for k, c in enumerate(letters):
-            if ord(c) < len(self.table):
-                self.table[ord(c)] = k + 1
+        letters = [c for c, _ in Counter("".join(strings)).most_common()]
+        self.symbols = SYMBOLS if len(letters) < SYMBOLS else MOST_SYMBOLS
+        own = self.symbols - 1 if len(letters) < self.symbols else self.symbols - 1 - SHARED
+        number = {ord(c): k + 1 if k < own else own + 1 + xxhash.xxh32_intdigest(c) % SHARED for k, c in enumerate(letters)}
+        self.known = np.array(sorted(number), np.uint32)
+        self.number = np.array([number[c] for c in sorted(number)], np.int64)
+        self.table = np.zeros(0x300, np.int64)  # of the commonest scripts, to look up at once
+        low = self.known < len(self.table)
+        self.table[self.known[low]] = self.number[low]
+
+    def codes(self, points: np.ndarray) -> np.ndarray:
+        out = self.table[np.minimum(points, len(self.table) - 1)]
+        if len(high := np.flatnonzero(points >= len(self.table))):
+            at = np.minimum(np.searchsorted(self.known, points[high]), max(0, len(self.known) - 1))
+            out[high] = np.where(self.known[at] == points[high], self.number[at], 0) if len(self.known) else 0
+        return out
 
     def features(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(word number, subsequence, weight) of every subsequence of known letters."""
@@ -90,14 +117,14 @@ class Alphabet:
         points = np.frombuffer((gap.join(words) + gap).encode("utf-32-le"), np.uint32)
         lengths = np.array([len(w) + SPAN for w in words])
         owner = np.repeat(np.arange(len(words)), lengths)
-        code = np.where(points < len(self.table), self.table[np.minimum(points, len(self.table) - 1)], 0)
+        code = self.codes(points)
         at = np.flatnonzero(code[: len(code) - SPAN])
         found = []
         for a, b in STEPS:
             second, third = code[at + a], code[at + b]
             ok = (second > 0) & (third > 0)
             i = at[ok]
-            found.append((owner[i], (code[i] * SYMBOLS + second[ok]) * SYMBOLS + third[ok], np.full(len(i), DECAY ** (b + 1))))
+            found.append((owner[i], (code[i] * self.symbols + second[ok]) * self.symbols + third[ok], np.full(len(i), DECAY ** (b + 1))))
         return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
@@ -139,15 +166,20 @@ def kernel(alphabet: Alphabet, words: list[str], landmarks: list[str]) -> np.nda
     return np.concatenate(parts) / scale if parts else np.zeros((0, len(landmarks)))
 
 
-def distinct_bags(bags: list[set[str]]) -> list[set[str]]:
-    """The bags without near copies of earlier ones, which would make any of their words look telling."""
-    seen: set[int] = set()
+def distinct_bags(bags: list[set[str]], sketch: int = 16) -> list[set[str]]:
+    """The bags without near copies of earlier ones, which would make any of their words look telling.
+
+    A near copy has half of its least word hashes in common with one earlier bag.
+    """
+    holders: dict[int, list[int]] = {}
     out = []
     for b in bags:
-        least = sorted(xxhash.xxh64_intdigest(w) for w in b)[:4]
-        if len(seen.intersection(least)) < 2:
+        least = sorted(xxhash.xxh64_intdigest(w) for w in b)[:sketch]
+        met = Counter(k for h in least for k in holders.get(h, ()))
+        if not met or 2 * max(met.values()) < len(least):
+            for h in least:
+                holders.setdefault(h, []).append(len(out))
             out.append(b)
-            seen.update(least)
     return out
 
 
@@ -158,7 +190,7 @@ def beginnings(word: str) -> list[str]:
 
 def choose_landmarks(toxic: list[set[str]], clean: Counter, most: int, penalty: float = 8.0) -> list[str]:
     """Words and word beginnings, greedily: found in most toxic bags, and in few clean ones; a word is explained once."""
-    least = max(3, len(toxic) // 25)
+    least = max(3, math.isqrt(len(toxic)) // 3)
     often: Counter = Counter()
     for bag in toxic:
         often.update({s for w in bag for s in beginnings(w)})
@@ -196,6 +228,41 @@ def choose_landmarks(toxic: list[set[str]], clean: Counter, most: int, penalty:
     return chosen
 
 
+def rare_landmarks(toxic: list[set[str]], clean: Counter, n_clean: int, chosen: list[str], most: int, error: float = 0.05) -> list[str]:
+    """Words and beginnings for bags that no chosen string explains: in three of them or more, and by no likely chance.
+
+    Of a string's bags, clean ones included, each is one of these by chance with their share of all; that all strings
+    together give one as telling has a chance of ``error``.
+    """
+    known = set(chosen)
+    left = [b for b in toxic if not any(s in known for w in b for s in beginnings(w))]
+    found: list[str] = []
+    while len(left) >= 3 and len(found) < most:
+        often: Counter = Counter()
+        for bag in left:
+            often.update({s for w in bag for s in beginnings(w)})
+        telling = {s: n for s, n in often.items() if n >= 3}
+        innocent: Counter = Counter()
+        for w, n in clean.items():
+            for s in beginnings(w):
+                if s in telling:
+                    innocent[s] += n
+        share = len(left) / (len(left) + n_clean)
+        chance = {s: binomial_tail(n, n + innocent[s], share) for s, n in telling.items()}
+        passed = [s for s in telling if chance[s] * max(1, len(often)) < error and innocent[s] < telling[s]]
+        if not passed:
+            break
+        best = min(passed, key=lambda s: (chance[s], -len(s), s))
+        found.append(best)
+        left = [b for b in left if not any(s == best for w in b for s in beginnings(w))]
+    return found
+
+
+def binomial_tail(hits: int, trials: int, share: float) -> float:
+    """The chance of so many hits or more."""
+    return sum(math.exp(math.lgamma(trials + 1) - math.lgamma(k + 1) - math.lgamma(trials - k + 1) + k * math.log(share) + (trials - k) * math.log1p(-share)) for k in range(hits, trials + 1))
+
+
 def squared_hinge(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-2) -> tuple[np.ndarray, float]:
     """A linear support vector machine: Newton steps on the squared hinge loss."""
     x1 = np.hstack([x, np.ones((len(x), 1))])
@@ -229,15 +296,18 @@ def train(texts: list[str | None], labels: list[int], seed: int = 5, rounds: int
     if not (y == 1).any() or not (y == 0).any():
         return None
     rng = np.random.default_rng(seed)
-    # a document's words over its sentences: which sentence holds a word doesn't change its highest value
     spelled = Spelled()
-    bags = [{w for s in SENTENCE.split(t or "") for token in tokens_of(s) for w in spelled[token]} for t in texts]
+    sentences = [[{w for token in tokens_of(s) for w in spelled[token]} for s in SENTENCE.split(t or "")] for t in texts]
+    bags = [set().union(*ss) for ss in sentences]
     toxic = distinct_bags([b for b, v in zip(bags, y, strict=True) if v == 1])
+    guilty_sentences = [ss for ss, v in zip(sentences, y, strict=True) if v == 1]
+    innocent_sentences = [s for ss, v in zip(sentences, y, strict=True) if v == 0 for s in ss if s]
     clean: Counter = Counter()
     for b, v in zip(bags, y, strict=True):
         if v == 0:
             clean.update(b)
     guilty = choose_landmarks(toxic, clean, 96)
+    guilty += rare_landmarks(toxic, clean, int((y == 0).sum()), guilty, 96)
     if not guilty:
         return None
     common = [w for w, _ in clean.most_common(48)]
@@ -248,22 +318,28 @@ def train(texts: list[str | None], labels: list[int], seed: int = 5, rounds: int
     gram = kernel(alphabet, landmarks, landmarks)
     values, vectors = np.linalg.eigh((gram + gram.T) / 2)
     root = vectors / np.sqrt(np.maximum(values, 1e-3))  # Nyström: k(x, landmarks) @ root are x's features
-    everything = sorted({w for b in toxic for w in b})
-    similar = dict(zip(everything, kernel_max(alphabet, everything, guilty), strict=True))
-    negatives = set(common) | set(lookalikes) | {innocent[i] for i in rng.integers(0, len(innocent), 4000)}
+    everything = sorted(set().union(*toxic))
+    worth = dict(zip(everything, kernel_max(alphabet, everything, guilty), strict=True))
+    first = set(common) | set(lookalikes) | {innocent[i] for i in rng.integers(0, len(innocent), 4000)}
+    negatives = dict.fromkeys(first, 0)
     model = None
     for _ in range(rounds):
         if model is not None:
-            similar = dict(zip(everything, model.values(everything), strict=True))
-            negatives |= {innocent[i] for i in np.argsort(-model.values(innocent), kind="stable")[:1500]}
-        witness = Counter(max(b, key=lambda w: (similar[w], w)) for b in toxic if b)
+            worth = dict(zip(everything, model.values(everything), strict=True))
+            value = dict(zip(innocent, model.values(innocent), strict=True))
+            leads = Counter(max(s, key=lambda w: (value[w], w)) for s in innocent_sentences)
+            hard = sorted(leads, key=lambda w: (-value[w], w))[:1500]
+            negatives |= {w: max(negatives.get(w, 0), leads[w]) for w in hard}
+        # the worst word of the worst sentence; of copies of a document one counts
+        worst = (max((max(s, key=lambda w: (worth.get(w, -np.inf), w)) for s in ss if s), key=lambda w: (worth.get(w, -np.inf), w), default=None) for ss in guilty_sentences)
+        witness = Counter(w for w in worst if w in worth)
         witness.update(guilty)
         known = sorted(w for w in witness if w not in clean)
         bad = [w for w in damaged(known * 4, rng) if w not in clean]
         negative = sorted(negatives)
         x = kernel(alphabet, known + bad + negative, landmarks) @ root
         t = np.array([1.0] * (len(known) + len(bad)) + [-1.0] * len(negative))
-        weight = np.array([2.0 + witness[w] for w in known] + [1.0] * len(bad) + [2.0] * len(negative))
+        weight = np.array([2.0 + witness[w] for w in known] + [1.0] * len(bad) + [2.0 + min(negatives[w], 20) / 5 for w in negative])
         w, bias = squared_hinge(x, t, weight)
         model = Model(alphabet, _by_subsequence(alphabet, landmarks, root @ w), bias, 1.0, 0.0)
     best = np.array([model.values(sorted(b)).max() if b else model.bias for b in bags])
@@ -277,11 +353,12 @@ def kernel_max(alphabet: Alphabet, words: list[str], landmarks: list[str]) -> np
 
 def _by_subsequence(alphabet: Alphabet, landmarks: list[str], share: np.ndarray) -> np.ndarray:
     owner, sub, weight = alphabet.features(landmarks)
+    size = alphabet.symbols**3
     scale = np.zeros(len(landmarks))
-    flat, inverse = np.unique(owner * SYMBOLS**3 + sub, return_inverse=True)
+    flat, inverse = np.unique(owner * size + sub, return_inverse=True)
     summed = np.bincount(inverse, weight)
-    np.add.at(scale, flat // SYMBOLS**3, summed**2)
-    out = np.zeros(SYMBOLS**3)
+    np.add.at(scale, flat // size, summed**2)
+    out = np.zeros(size)
     np.add.at(out, sub, weight * (share / scale)[owner])
     return out
 
@@ -305,12 +382,7 @@ def logistic(value: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 def fit(docs: DataFrame, labels: DataFrame, usable: Column, label: str = "toxic") -> Model | None:
     """Trains on at most TRAIN_TOXIC toxic and TRAIN_CLEAN clean labelled documents, chosen by a hash of the doc_id."""
-    rows = labels.where(usable & F.col("doc_id").isNotNull() & F.col(label).isin(0, 1)).select("doc_id", F.col(label).cast("int").alias("label"))
-    order = F.xxhash64(F.lit(23), "doc_id")
-    some = [rows.where(F.col("label") == v).orderBy(order, "doc_id").limit(n) for v, n in ((1, TRAIN_TOXIC), (0, TRAIN_CLEAN))]
-    chosen = some[0].unionByName(some[1])
-    held = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most TRAIN_TOXIC + TRAIN_CLEAN rows
-    got = held.orderBy("doc_id", F.xxhash64("text"), "label").toPandas()
+    got = labelled_sample(docs, labels.where(usable), label, {1: TRAIN_TOXIC, 0: TRAIN_CLEAN}, 23)
     return train(got["text"].tolist(), got["label"].tolist())
 
 
@@ -341,7 +413,7 @@ def score(docs: DataFrame, model: Model | None, name: str = "score") -> DataFram
     plain = docs.select(*(F.col(f"`{c}`") for c in rest))
     if model is None:
         return plain.withColumn(name, F.lit(0.0))
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # a table of 64 ** 3 numbers
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # a table of MOST_SYMBOLS ** 3 numbers at most
     place = rest.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

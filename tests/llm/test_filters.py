@@ -13,7 +13,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from gridloom.llm import html_main, line_dedup, mixing, quality, queries, toxicity
+from gridloom.llm import common, html_main, line_dedup, mixing, quality, queries, toxicity
 
 SF = "/root/testdata/sf0.01"
 FIELDS = "doc_id long, text string, source string, size string, score string, n_lines string"
@@ -128,6 +128,48 @@ def test_toxicity_tolerates_marks_and_gaps(spark):
         assert value(text) < 0.5, text
 
 
+def document_value(model, text):
+    return float(model.probability(np.array([max(model.values([w for t in toxicity.tokens_of(text) for w in toxicity.words_of(t)]), default=model.bias)]))[0])
+
+
+def test_toxicity_of_long_and_broken_tokens():
+    model = toxicity.train([t for t, _ in TRAIN], [v for _, v in TRAIN])
+    for text in ("abcdefghij." * 5 + "i.d.i.o.t", ".".join("idiot" * 12), " ".join("idiot" * 12), "x" * 300 + " idiot", "plainwords.and.more." * 20 + "idiot"):
+        assert document_value(model, text) > 0.5, text
+    for text in ("abcdefghij." * 30, "www.plain-words.example.org/of/the/day"):
+        assert document_value(model, text) < 0.5, text
+
+
+@pytest.mark.parametrize(("insult", "clean"), [("идиот", "какой хороший день сегодня и завтра"), ("ηλίθιε", "τι ωραία μέρα που είναι σήμερα"), ("바보멍청이", "오늘은 정말 좋은 날이에요")])
+def test_toxicity_in_any_script(insult, clean):
+    texts = [(f"{t.replace('idiot', insult)} {clean.split()[k % 3]}", v) for k, (t, v) in enumerate(TRAIN)]
+    model = toxicity.train([t for t, _ in texts], [v for _, v in texts])
+    assert document_value(model, f"{clean} {insult}!") > 0.5 > document_value(model, clean)
+    assert document_value(model, ".".join(insult)) > 0.5
+
+
+def test_rare_insults_become_landmarks():
+    """Three bags of a small language tell a word, among hundreds of toxic ones; a chance word of as many doesn't pass."""
+    rng = np.random.default_rng(3)
+    filler = [f"^{''.join(rng.choice(SYLLABLES, 4))}$" for _ in range(5000)]
+    draw = lambda: set(rng.choice(filler, 20))
+    toxic = [draw() | {"^idiot$"} for _ in range(400)] + [draw() | {"^tonto$"} for _ in range(4)]
+    clean = toxicity.Counter(w for _ in range(1500) for w in draw())
+    chosen = toxicity.choose_landmarks(toxic, clean, 96)
+    assert "^tonto$" not in chosen and toxicity.rare_landmarks(toxic, clean, 1500, chosen, 96) == ["^tonto$"]
+
+
+def test_training_sample_is_bounded(spark, monkeypatch):
+    docs = spark.createDataFrame([(i % 50, f"text {i} " * 20) for i in range(400)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(50)] + [(3, 1)], "doc_id long, toxic int")
+    got = common.labelled_sample(docs, labels, "toxic", {0: 10, 1: 15}, 1)
+    assert got["label"].value_counts().to_dict() == {0: 10, 1: 15} and got["doc_id"].is_unique
+    monkeypatch.setattr(common, "SAMPLE_CHARS", 1000)
+    few = common.labelled_sample(docs, labels, "toxic", {0: 10, 1: 15}, 1)
+    assert 0 < few["text"].str.len().sum() <= 1000
+    assert len(common.labelled_sample(docs.limit(0), labels, "toxic", {0: 10}, 1)) == 0
+
+
 def test_string_kernel_against_definition():
     def slow(a, b):
         total = 0.0
