@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import math
 import re
+from array import array
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -82,12 +83,38 @@ def tokens_of(text: str | None) -> set[str]:
     return set(text.split()) | {"".join(m[0].split()) for m in SPACED.finditer(text)}
 
 
-class Spelled(dict):
-    """words_of each token, kept."""
+class Numbers(dict):
+    """Numbers words as they come."""
 
-    def __missing__(self, token: str) -> list[str]:
-        self[token] = words = words_of(token)
-        return words
+    def __missing__(self, word: str) -> int:
+        self[word] = number = len(self)
+        return number
+
+
+class Sentences:
+    """The words of many sentences, by number, one after the other; sentences without words are left out."""
+
+    def __init__(self) -> None:
+        self.flat, self.sizes, self.owners = array("i"), array("i"), array("i")
+
+    def add(self, owner: int, words: list[int]) -> None:
+        if words:
+            self.flat.extend(words)
+            self.sizes.append(len(words))
+            self.owners.append(owner)
+
+    def close(self) -> None:
+        self.words, sizes, self.owner = (np.frombuffer(x, np.int32) if x else np.zeros(0, np.int32) for x in (self.flat, self.sizes, self.owners))
+        self.starts = np.cumsum(sizes, dtype=np.int64) - sizes
+        self.of = np.repeat(np.arange(len(sizes)), sizes)
+
+    def worst(self, values: np.ndarray) -> np.ndarray:
+        """The word of highest value in each sentence, the first numbered of equals."""
+        if not len(self.starts):
+            return np.zeros(0, np.int64)
+        top = np.maximum.reduceat(values[self.words], self.starts)
+        ties = np.where(values[self.words] == top[self.of], self.words, np.iinfo(np.int32).max)
+        return np.minimum.reduceat(ties, self.starts)
 
 
 class Alphabet:
@@ -162,7 +189,7 @@ def kernel(alphabet: Alphabet, words: list[str], landmarks: list[str]) -> np.nda
     known = np.unique(alphabet.features(landmarks)[1])
     marks = dense(landmarks)
     scale = (marks**2).sum(1)
-    parts = [dense(words[i : i + 400]) @ marks.T for i in range(0, len(words), 400)]
+    parts = [dense(words[i : i + 200]) @ marks.T for i in range(0, len(words), 200)]
     return np.concatenate(parts) / scale if parts else np.zeros((0, len(landmarks)))
 
 
@@ -296,16 +323,21 @@ def train(texts: list[str | None], labels: list[int], seed: int = 5, rounds: int
     if not (y == 1).any() or not (y == 0).any():
         return None
     rng = np.random.default_rng(seed)
-    spelled = Spelled()
-    sentences = [[{w for token in tokens_of(s) for w in spelled[token]} for s in SENTENCE.split(t or "")] for t in texts]
-    bags = [set().union(*ss) for ss in sentences]
-    toxic = distinct_bags([b for b, v in zip(bags, y, strict=True) if v == 1])
-    guilty_sentences = [ss for ss, v in zip(sentences, y, strict=True) if v == 1]
-    innocent_sentences = [s for ss, v in zip(sentences, y, strict=True) if v == 0 for s in ss if s]
+    words, sentences = Numbers(), Sentences()
+    toxic: list[set[str]] = []
     clean: Counter = Counter()
-    for b, v in zip(bags, y, strict=True):
-        if v == 0:
-            clean.update(b)
+    for k, (text, v) in enumerate(zip(texts, y, strict=True)):
+        bag: set[str] = set()
+        for part in SENTENCE.split(text or ""):
+            held = {w for token in tokens_of(part) for w in words_of(token)}
+            sentences.add(k, [words[w] for w in held])
+            bag |= held
+        if v == 1:
+            toxic.append(bag)
+        else:
+            clean.update(bag)
+    toxic = distinct_bags(toxic)
+    sentences.close()
     guilty = choose_landmarks(toxic, clean, 96)
     guilty += rare_landmarks(toxic, clean, int((y == 0).sum()), guilty, 96)
     if not guilty:
@@ -318,21 +350,24 @@ def train(texts: list[str | None], labels: list[int], seed: int = 5, rounds: int
     gram = kernel(alphabet, landmarks, landmarks)
     values, vectors = np.linalg.eigh((gram + gram.T) / 2)
     root = vectors / np.sqrt(np.maximum(values, 1e-3))  # Nyström: k(x, landmarks) @ root are x's features
-    everything = sorted(set().union(*toxic))
-    worth = dict(zip(everything, kernel_max(alphabet, everything, guilty), strict=True))
+    names = list(words)
+    worth = kernel_max(alphabet, names, guilty)
+    is_toxic = y[sentences.owner] == 1
     first = set(common) | set(lookalikes) | {innocent[i] for i in rng.integers(0, len(innocent), 4000)}
     negatives = dict.fromkeys(first, 0)
     model = None
     for _ in range(rounds):
         if model is not None:
-            worth = dict(zip(everything, model.values(everything), strict=True))
-            value = dict(zip(innocent, model.values(innocent), strict=True))
-            leads = Counter(max(s, key=lambda w: (value[w], w)) for s in innocent_sentences)
-            hard = sorted(leads, key=lambda w: (-value[w], w))[:1500]
-            negatives |= {w: max(negatives.get(w, 0), leads[w]) for w in hard}
-        # the worst word of the worst sentence; of copies of a document one counts
-        worst = (max((max(s, key=lambda w: (worth.get(w, -np.inf), w)) for s in ss if s), key=lambda w: (worth.get(w, -np.inf), w), default=None) for ss in guilty_sentences)
-        witness = Counter(w for w in worst if w in worth)
+            worth = model.values(names)
+            leads = Counter(sentences.worst(worth)[~is_toxic].tolist())
+            hard = sorted(leads, key=lambda i: (-worth[i], names[i]))[:1500]
+            negatives |= {names[i]: max(negatives.get(names[i], 0), leads[i]) for i in hard}
+        # the worst word of each toxic document's worst sentence
+        worst = sentences.worst(worth)
+        order = np.lexsort((-worth[worst], sentences.owner))
+        order = order[is_toxic[order]]
+        heads = order[np.unique(sentences.owner[order], return_index=True)[1]]
+        witness = Counter(names[i] for i in worst[heads])
         witness.update(guilty)
         known = sorted(w for w in witness if w not in clean)
         bad = [w for w in damaged(known * 4, rng) if w not in clean]
@@ -342,13 +377,17 @@ def train(texts: list[str | None], labels: list[int], seed: int = 5, rounds: int
         weight = np.array([2.0 + witness[w] for w in known] + [1.0] * len(bad) + [2.0 + min(negatives[w], 20) / 5 for w in negative])
         w, bias = squared_hinge(x, t, weight)
         model = Model(alphabet, _by_subsequence(alphabet, landmarks, root @ w), bias, 1.0, 0.0)
-    best = np.array([model.values(sorted(b)).max() if b else model.bias for b in bags])
+    value = model.values(names)
+    best = np.full(len(y), model.bias)
+    seen = np.unique(sentences.owner)
+    best[seen] = -np.inf
+    np.maximum.at(best, sentences.owner, value[sentences.worst(value)])
     model.slope, model.offset = logistic(best, y)
     return model
 
 
 def kernel_max(alphabet: Alphabet, words: list[str], landmarks: list[str]) -> np.ndarray:
-    return np.concatenate([kernel(alphabet, words[i : i + 20_000], landmarks).max(1) for i in range(0, len(words), 20_000)])
+    return np.concatenate([kernel(alphabet, words[i : i + 5000], landmarks).max(1) for i in range(0, len(words), 5000)])
 
 
 def _by_subsequence(alphabet: Alphabet, landmarks: list[str], share: np.ndarray) -> np.ndarray:
