@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 HEADER_WORDS = ("指标", "单位", "年份", "项目", "地区", "类别", "合计", "总计", "名称", "年", "月", "日", "序号", "编号", "代码")
 FOOTNOTES = (
     "注[:：]", "备注", "说明", "附注", "数据来源", "资料来源", "来源[:：]", "notes?[:：]", "source[:：]", "本表", "[*※★●▲]",
-    "[①-⑳]", "[（(][0-9一二三四五六七八九十]+[)）](?![十百千万亿])",
+    "[①-⑳❶-❿]", r"[（(]\s*[\d一-九十]+\s*[)）]\s*[^数百千万亿]",
 )
 NUMBER = r"^-?\d+(\.\d+)?$"
 LOOSE_NUMBER = r"^-?\d+\.?\d*$"
@@ -23,14 +23,18 @@ CJK = "[一-鿿]"
 NOISE = "[：:、，,。.（()）)%％—-]"
 
 
+#: Unicode white space.
+SPACE = r"\t-\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+
+
 def uni_trim(c: Column) -> Column:
     """Without Unicode white space at both ends."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    return F.regexp_replace(c, f"^[{SPACE}]+|[{SPACE}]+$", "")
 
 
 def blank(c: Column) -> Column:
     """NULL or white space only."""
-    return c.isNull() | ~c.rlike(r"(?U)\S")
+    return c.isNull() | ~c.rlike(f"[^{SPACE}]")
 
 
 def let(value: Column, f: Callable[[Column], Column]) -> Column:

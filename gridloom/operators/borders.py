@@ -32,18 +32,54 @@ def edge_stats(cells: DataFrame, along: str, style: str) -> DataFrame:
     )
 
 
+def is_boundary(ratio: Column, is_solid: Column, is_dash: Column) -> Column:
+    """A row that ends a block: an edge under 70 % of it, or a dashed one under 30 %."""
+    return (is_solid & (ratio >= 0.7)) | (is_dash & (ratio >= 0.3))
+
+
 def header_end_by_border(rows: DataFrame) -> DataFrame:
-    """(sheet, header_end) from (sheet, row_idx, boundary): the boundary before the widest gap of two rows or more.
+    """(sheet, header_end, gap) from (sheet, row_idx, boundary): the boundary before the widest gap of two rows or more.
 
     Of equal gaps the first; no signal where over 70 % of the rows are boundaries.  Without such a gap, the first
-    boundary with two open rows among the four after it.
+    boundary with two open rows among the four after it, and no gap.
     """
     w = sheet_window()
+    open_after = F.sum((~F.col("boundary")).cast("int")).over(w.rowsBetween(1, 4))
     share = rows.groupBy("sheet").agg(F.avg(F.col("boundary").cast("double")).alias("share"), F.max("row_idx").alias("last"))
-    bounds = rows.where("boundary").join(share, "sheet").where(F.col("share") <= 0.7)
+    bounds = rows.withColumn("open", F.coalesce(open_after, F.lit(0))).where("boundary").join(share, "sheet").where(F.col("share") <= 0.7)
     gap = F.coalesce(F.lead("row_idx").over(w), F.col("last") + 1) - F.col("row_idx") - 1
-    gaps = bounds.withColumn("gap", gap)
-    return gaps.where(F.col("gap") >= 2).groupBy("sheet").agg(F.max_by("row_idx", F.struct(F.col("gap"), -F.col("row_idx"))).alias("header_end"), F.max("gap").alias("gap"))
+    wide = F.when(F.col("gap") >= 2, F.col("gap"))
+    found = bounds.withColumn("gap", gap).groupBy("sheet").agg(
+        F.max(wide).alias("gap"), F.max_by("row_idx", F.when(F.col("gap") >= 2, F.struct(F.col("gap"), -F.col("row_idx")))).alias("first"), F.min(F.when(F.col("open") >= 2, F.col("row_idx"))).alias("other")
+    )
+    return found.select("sheet", F.when(F.col("gap").isNotNull(), F.col("first")).otherwise(F.col("other")).alias("header_end"), "gap").where(F.col("header_end").isNotNull())
+
+
+def region_header_end(rows: DataFrame, first: int = 15, most: int = 9) -> DataFrame:
+    """(sheet, header_end, gap): of the first rows with a boundary, the one that most open rows follow, two or more (nine count at most)."""
+    last = rows.groupBy("sheet").agg(F.max("row_idx").alias("last"))
+    bounds = rows.where("boundary").join(last, "sheet")
+    gap = F.least(F.lit(most), F.coalesce(F.lead("row_idx").over(sheet_window()), F.col("last") + 1) - F.col("row_idx") - 1)
+    near = bounds.withColumn("gap", gap).where((F.col("row_idx") < first) & (F.col("gap") >= 2))
+    return near.groupBy("sheet").agg(F.max_by("row_idx", F.struct(F.col("gap"), -F.col("row_idx"))).alias("header_end"), F.max("gap").alias("gap"))
+
+
+def splits_by_border(rows: DataFrame, header_end: DataFrame) -> DataFrame:
+    """(sheet, split) from (sheet, row_idx, bottom_ratio, top_ratio, is_solid, is_dash): boundaries under the header that a bare row
+    (hardly any edge above or below) and two or more open rows part from the next one.
+
+    Where fewer than two rows have an edge under 70 % of them, dashed ones from 30 % up count too.
+    """
+    w, upto = sheet_window(), sheet_window().rowsBetween(W.unboundedPreceding, W.currentRow)
+    under = rows.join(header_end, "sheet").where(F.col("row_idx") > F.col("header_end"))
+    strong, dashed = F.col("is_solid") & (F.col("bottom_ratio") >= 0.7), F.col("is_dash") & (F.col("bottom_ratio") >= 0.3)
+    few = F.coalesce(F.sum(strong.cast("int")).over(W.partitionBy("sheet")), F.lit(0)) < 2
+    is_open = ~is_boundary(F.col("bottom_ratio"), F.col("is_solid"), F.col("is_dash"))
+    bare = (F.col("bottom_ratio") < 0.1) & (F.col("top_ratio") < 0.1)
+    summed = under.select("sheet", "row_idx", (strong | (few & dashed)).alias("bound"), F.sum(is_open.cast("int")).over(upto).alias("open"), is_open.cast("int").alias("o"), F.sum(bare.cast("int")).over(upto).alias("bare"), bare.cast("int").alias("b"))
+    bounds = summed.where("bound")
+    between = bounds.withColumn("opens", F.lead(F.col("open") - F.col("o")).over(w) - F.col("open")).withColumn("bares", F.lead(F.col("bare") - F.col("b")).over(w) - F.col("bare"))
+    return between.where((F.col("opens") >= 2) & (F.col("bares") >= 1)).select("sheet", F.col("row_idx").alias("split"))
 
 
 def dash_streak(rows: DataFrame, least: int = 2) -> DataFrame:

@@ -27,17 +27,29 @@ def is_blank(cells: Column) -> Column:
 
 def is_title(cells: Column) -> Column:
     """At least two cells, all of one value."""
-    f = filled(cells)
+    return t.let(filled(cells), _title)
+
+
+def _title(f: Column) -> Column:
     return (F.size(f) >= 2) & (F.size(F.array_distinct(f)) == 1)
 
 
 def is_header_like(cells: Column) -> Column:
-    f = filled(cells)
+    return t.let(filled(cells), _header_like)
+
+
+def _header_like(f: Column) -> Column:
     n = F.size(f)
     words = F.exists(f, lambda c: c.rlike("|".join(t.HEADER_WORDS)))
-    numbers = F.size(F.filter(f, lambda c: t.bare_number(c).rlike(t.NUMBER)))
     years = F.exists(f, lambda c: c.rlike(t.HEADER_YEAR))
-    return F.when(n < 2, False).when(words, True).when(numbers > 0.4 * n, False).when(years, True).otherwise(((n - numbers) >= 2) & ((n - numbers) > numbers))
+    numbers = F.size(F.filter(f, lambda c: t.bare_number(c).rlike(t.NUMBER)))
+    by_numbers = t.let(numbers, lambda k: F.when(k > 0.4 * n, False).when(years, True).otherwise(((n - k) >= 2) & ((n - k) > k)))
+    return F.when(n < 2, False).when(words, True).otherwise(by_numbers)
+
+
+def kinds(cells: Column) -> Column:
+    """A struct of n_filled, is_title and is_header_like, from one look at the cells."""
+    return t.let(filled(cells), lambda f: F.struct(F.size(f).alias("n_filled"), _title(f).alias("is_title"), _header_like(f).alias("is_header_like")))
 
 
 def is_footnote(cells: Column) -> Column:

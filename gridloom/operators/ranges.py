@@ -131,6 +131,12 @@ def vertical_splits(rows: DataFrame) -> DataFrame:
     return met.groupBy("sheet", "row_idx").agg(F.min("b").alias("split")).select("sheet", "split")
 
 
+def splits_under_header(rows: DataFrame, header_end: DataFrame) -> DataFrame:
+    """(sheet, split): as vertical_splits, from the second row under the header on, and the row before the first blank one."""
+    under = rows.join(header_end, "sheet").where(F.col("row_idx") >= F.col("header_end") + 2).select("sheet", "row_idx", "cells")
+    return vertical_splits(under).select("sheet", (F.col("split") - 1).alias("split"))
+
+
 def blank_columns(cells: DataFrame) -> DataFrame:
     """(sheet, col_idx, ratio, is_blank): the share of blank cells among a sheet's rows, and whether it is over 0.8."""
     n_rows = cells.groupBy("sheet").agg(F.count_distinct("row_idx").alias("n"))

@@ -157,10 +157,8 @@ FROM rows
 """)
 def row_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = F.col("cells")
-    return document_lines(spark, sf_dir).select(
-        "sheet", "row_idx", p.n_filled(c).cast("long").alias("n_filled"), p.is_blank(c).alias("is_blank"), p.is_title(c).alias("is_title"),
-        p.is_header_like(c).alias("is_header_like"), p.has_numeric_data(c).alias("has_numbers"),
-    )
+    looked = document_lines(spark, sf_dir).select("sheet", "row_idx", p.kinds(c).alias("k"), p.has_numeric_data(c).alias("has_numbers"))
+    return looked.select("sheet", "row_idx", F.col("k.n_filled").cast("long").alias("n_filled"), (F.col("k.n_filled") == 0).alias("is_blank"), "k.is_title", "k.is_header_like", "has_numbers")
 
 
 def noted(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -287,14 +285,13 @@ def category_pushdown(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def turns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    talk = read(spark, sf_dir, "conversations").where(F.col("role") != "system")
     user = F.col("role") == "user"
-    return grid.to_grid(talk, "conv_id", ["turn", "text"], [F.when(user, F.col("role")), F.substring("text", 1, 40), F.when(user, F.length("text"))])
+    return grid.to_grid(read(spark, sf_dir, "conversations"), "conv_id", ["turn", "text"], [F.when(user, F.col("role")), F.col("text"), F.when(user, F.length("text"))])
 
 
 TURNS = """
-t AS (SELECT conv_id AS sheet, row_number() OVER (PARTITION BY conv_id ORDER BY turn, text) - 1 AS i, CASE WHEN role = 'user' THEN role END AS c0, substring(text, 1, 40) AS c1,
-  CASE WHEN role = 'user' THEN CAST(length(text) AS VARCHAR) END AS c2 FROM conversations WHERE role <> 'system')"""
+t AS (SELECT conv_id AS sheet, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, text NULLS FIRST) - 1 AS i, CASE WHEN role = 'user' THEN role END AS c0, text AS c1,
+  CASE WHEN role = 'user' THEN CAST(length(text) AS VARCHAR) END AS c2 FROM conversations)"""
 
 
 @query(f"""
@@ -348,8 +345,11 @@ EVENTS = "e AS (SELECT user_id AS sheet, CAST(row_number() OVER (PARTITION BY us
 
 @query(f"""
 WITH {EVENTS}, s AS (SELECT sheet, avg(CAST(boundary AS INTEGER)) AS share, max(row_idx) AS last FROM e GROUP BY sheet),
-g AS (SELECT e.sheet, row_idx, coalesce(lead(row_idx) OVER (PARTITION BY e.sheet ORDER BY row_idx), last + 1) - row_idx - 1 AS gap FROM e JOIN s ON e.sheet = s.sheet WHERE boundary AND share <= 0.7)
-SELECT sheet, row_idx AS header_end, gap FROM g WHERE gap >= 2 QUALIFY row_number() OVER (PARTITION BY sheet ORDER BY gap DESC, row_idx) = 1
+g AS (SELECT e.sheet, row_idx, coalesce(lead(row_idx) OVER (PARTITION BY e.sheet ORDER BY row_idx), last + 1) - row_idx - 1 AS gap FROM e JOIN s ON e.sheet = s.sheet WHERE boundary AND share <= 0.7),
+o AS (SELECT sheet, row_idx, boundary, coalesce(sum(CAST(NOT boundary AS INTEGER)) OVER (PARTITION BY sheet ORDER BY row_idx ROWS BETWEEN 1 FOLLOWING AND 4 FOLLOWING), 0) AS open FROM e),
+f AS (SELECT o.sheet, min(row_idx) FILTER (WHERE open >= 2) AS other FROM o JOIN s ON o.sheet = s.sheet WHERE boundary AND share <= 0.7 GROUP BY o.sheet),
+b AS (SELECT sheet, row_idx, gap FROM g WHERE gap >= 2 QUALIFY row_number() OVER (PARTITION BY sheet ORDER BY gap DESC, row_idx) = 1)
+SELECT f.sheet, coalesce(row_idx, other) AS header_end, gap FROM f LEFT JOIN b ON f.sheet = b.sheet WHERE coalesce(row_idx, other) IS NOT NULL
 """)
 def boundary_gap_header(spark: SparkSession, sf_dir: str) -> DataFrame:
     return borders.header_end_by_border(event_rows(spark, sf_dir))
@@ -444,12 +444,12 @@ def region_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT o_orderkey, o_orderstatus AS c0, CAST(CAST(floor(o_totalprice) AS BIGINT) AS VARCHAR) AS c1 FROM orders WHERE o_totalprice >= 1000
+SELECT o_orderkey, o_orderstatus AS c0, CAST(CAST(floor(o_totalprice) AS BIGINT) AS VARCHAR) AS c1 FROM orders
 """)
 def thousands_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     whole = F.floor("o_totalprice").cast("long")
     split = F.concat(F.array("o_orderstatus"), F.split(F.format_number(whole.cast("double"), 0), ","))
-    rows = read(spark, sf_dir, "orders").where(F.col("o_totalprice") >= 1000).withColumn("cells", split)
+    rows = read(spark, sf_dir, "orders").withColumn("cells", split)
     return flat(rows.withColumn("cells", p.merge_thousands(F.col("cells"), F.lit(2))), 2, "o_orderkey")
 
 
@@ -592,8 +592,11 @@ def recovered_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
+    from gridloom import queries_layout  # noqa: F401  (it adds its own)
+
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    queries()
     return dict(SQL)
