@@ -20,7 +20,7 @@ def read(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFr
     """(cells, merges, refused) of all workbooks of a folder.
 
     refused has (sheet, status, width) for what is not read on: ERROR and the path for a workbook with any error, SKIP for a
-    sheet whose content or merged ranges go beyond WIDEST columns.  The others have no row or cell of these.
+    sheet without content, or whose content or merged ranges go beyond WIDEST columns.  The others have no row or cell of these.
     """
     found = files.scan(spark, folder, extensions=(".xlsx",))
     cells = cut(xlsx.cells(found).withColumn("sheet", xlsx.sheet_key()))
@@ -30,7 +30,9 @@ def read(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFr
     reach = cells.where(~t.blank(F.col("value"))).select("sheet", "col_idx").unionByName(merged.select("sheet", F.col("c1").alias("col_idx")))
     wide = reach.groupBy("sheet").agg((F.max("col_idx") + 1).cast("int").alias("width")).where(F.col("width") > WIDEST)
     errors = broken.select(F.col("path").alias("sheet"), F.lit("ERROR").alias("status"), F.lit(None).cast("int").alias("width"))
-    refused = cut(errors.unionByName(wide.select("sheet", F.lit("SKIP").alias("status"), "width")))
+    every = xlsx.sheets(found).where(F.col("error").isNull()).join(broken, "path", "left_anti").select(xlsx.sheet_key().alias("sheet"))
+    empty = every.join(reach, "sheet", "left_anti").select("sheet", F.lit("SKIP").alias("status"), F.lit(0).alias("width"))
+    refused = cut(errors.unionByName(wide.select("sheet", F.lit("SKIP").alias("status"), "width")).unionByName(empty))
     cells, merged = (x.join(refused.select("sheet"), "sheet", "left_anti") for x in (cells, merged))
     return cut(cells), cut(merged), refused
 
@@ -42,7 +44,10 @@ def sheets(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, Data
 
 
 def densified(cells: DataFrame, merged: DataFrame) -> DataFrame:
-    """(sheet, row_idx, cells) of the cells, merged ranges filled."""
+    """(sheet, row_idx, cells) of the cells, merged ranges filled as far as the sheet's content goes, or their own first cell."""
+    used = cells.where(~t.blank(F.col("value"))).groupBy("sheet").agg(F.max("row_idx").alias("last_row"), F.max("col_idx").alias("last_col"))
+    r1, c1 = (F.least(end, F.greatest(F.coalesce(last, first), first)).alias(end) for end, last, first in (("r1", "last_row", "r0"), ("c1", "last_col", "c0")))
+    merged = merged.join(used, "sheet", "left").select("sheet", "r0", "c0", r1, c1)
     strips = merged.select("sheet", F.explode(F.sequence("r0", "r1")).alias("row_idx"), "c0", "c1")
     covered = strips.select("sheet", "row_idx", F.explode(F.sequence("c0", "c1")).alias("col_idx")).withColumn("value", F.lit(None).cast("string"))
     own = cells.where(F.col("col_idx") < WIDEST).select("sheet", "row_idx", "col_idx", "value")  # beyond lie edges of empty cells only
@@ -59,7 +64,7 @@ def profile(rows: DataFrame, cells: DataFrame, merged: DataFrame) -> DataFrame:
     """One row a sheet: what the classifier looks at."""
     content = F.col("cells")
     base = rows.groupBy("sheet").agg(F.sum(p.n_filled(content)).alias("n_filled"), F.count_if(p.is_title(content)).alias("n_titles"), F.max(F.size(content)).alias("width"))
-    edges = borders.edge_stats(cells, "row_idx", "b_bottom").withColumn("boundary", F.col("is_dash") & (F.col("ratio") >= 0.3))
+    edges = borders.edge_stats(cells, "row_idx", "b_bottom").withColumn("boundary", borders.is_boundary(F.col("ratio"), F.col("is_solid"), F.col("is_dash")))
     by_border = borders.pre_classify(edges, borders.edge_stats(cells, "col_idx", "b_right")).select("sheet", F.col("strategy").alias("border_strategy"))
     span = pairs.record_span_scores(rows.where(F.col("row_idx") > 0).withColumn("row_idx", F.col("row_idx") - 1)).groupBy("sheet").agg(F.max("score").alias("span_score"))
     splits = ranges.vertical_splits(rows).groupBy("sheet").agg(F.count(F.lit(1)).alias("n_splits"))
@@ -83,10 +88,39 @@ def ingest(spark: SparkSession, folder: str, log: DataFrame | None = None) -> tu
         todo = ingest_log.unprocessed(rows.select("sheet").distinct(), log, ["sheet"])
         rows, cells, merged = (x.join(todo, "sheet", "left_semi") for x in (rows, cells, merged))
     facts = cut(profile(rows, cells, merged))
-    decided = decision.classify(facts).join(facts.select("sheet", "width", "n_filled"), "sheet")
+    decided = decision.with_fallback(decision.classify(facts).join(facts, "sheet")).join(facts.select("sheet", "width", "n_filled"), "sheet")
     status = ingest_log.guarded(F.col("width"), F.col("n_filled"))
     logged = decided.select("sheet", "strategy", F.when(F.col("strategy") == "SKIP", "SKIP").otherwise(status).alias("status"), F.col("width").alias("column_count"))
     refused = refused.select("sheet", F.when(F.col("status") == "SKIP", "SKIP").otherwise("UNKNOWN").alias("strategy"), "status", F.col("width").alias("column_count"))
     logged = cut(logged.unionByName(refused))
     good = logged.where(F.col("status") == "SUCCESS").select("sheet", "strategy")
     return logged, strategies.run_all(rows, good), strategies.header_names(rows)
+
+
+def load(spark: SparkSession, folder: str, out: str) -> DataFrame:
+    """Ingests a folder into tables under ``out``, and gives the log of all runs.
+
+    ``out/relations`` holds (sheet, sub_idx, row_no, cells) and ``out/names`` (sheet, pos, name, unique_name), parted by
+    strategy and run; ``out/log`` holds the log.  Tables are written before the log, so that a run that fails is tried
+    again; sheets that the log holds as done are left out.  Each run's log is a folder of its own, and the last one counts.
+    """
+    log, number = _last_log(spark, out)
+    done = None if log is None else log.select(F.concat_ws("#", "source_path", F.col("sheet_index").cast("string")).alias("sheet"), "status")
+    logged, relations, names = ingest(spark, folder, done)
+    for strategy, relation in relations.items():
+        sub = F.col("sub_idx").cast("int") if "sub_idx" in relation.columns else F.lit(0)
+        relation.select("sheet", sub.alias("sub_idx"), "row_no", "cells").write.mode("overwrite").parquet(f"{out}/relations/run={number}/strategy={strategy}")
+    names.select("sheet", "pos", "name", "unique_name").write.mode("overwrite").parquet(f"{out}/names/run={number}")
+    path, index = F.substring_index("sheet", "#", 1), F.when(F.col("sheet").contains("#"), F.substring_index("sheet", "#", -1).cast("int"))
+    rows = logged.select(path.alias("source_path"), index.alias("sheet_index"), F.coalesce(index.cast("string"), F.lit("")).alias("sheet_name"), F.col("strategy").alias("parse_strategy"), "status", "column_count")
+    ingest_log.merged_log(log, rows).write.mode("overwrite").parquet(f"{out}/log/run={number}")
+    return spark.read.parquet(f"{out}/log/run={number}")
+
+
+def _last_log(spark: SparkSession, out: str) -> tuple[DataFrame | None, int]:
+    """The last run's log, and the number of the next run."""
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{out}/log")
+    store = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    runs = [f.getPath().getName() for f in store.listStatus(root)] if store.exists(root) else []
+    complete = [int(n.removeprefix("run=")) for n in runs if n.startswith("run=") and store.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{out}/log/{n}/_SUCCESS"))]
+    return (spark.read.parquet(f"{out}/log/run={max(complete)}") if complete else None), max(complete, default=-1) + 1

@@ -18,6 +18,7 @@ PLACE = re.compile(r"([A-Z]+)(\d+)")
 UNREADABLE = (zipfile.BadZipFile, zlib.error, ElementTree.ParseError, LookupError, ValueError, AttributeError, TypeError, EOFError, RuntimeError)
 SIDES = ("top", "bottom", "left", "right")
 CELL_FIELDS = "path string, sheet_index int, sheet_name string, row_idx int, col_idx int, value string, b_top string, b_bottom string, b_left string, b_right string, error string"
+SHEET_FIELDS = "path string, sheet_index int, sheet_name string, error string"
 RANGE_FIELDS = "path string, sheet_index int, r0 int, c0 int, r1 int, c1 int"
 
 
@@ -91,6 +92,23 @@ def _schema(fields: str) -> pa.Schema:
     return pa.schema([(n, TYPES[k]) for n, k in (f.split() for f in fields.split(", "))])
 
 
+def sheets(files: DataFrame) -> DataFrame:
+    """A row a sheet of (path, content), no cell of which is read; a workbook that can't be read is one row with its error."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = _schema(SHEET_FIELDS)
+        for batch in batches:
+            for path, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                try:
+                    rows = [(path, k, name, None) for k, (name, _) in enumerate(Workbook(content).sheets)]
+                except UNREADABLE as e:
+                    rows = [(path, None, None, f"{type(e).__name__}: {e}")]
+                if rows:
+                    yield _batch(rows, schema)
+
+    return files.select("path", "content").mapInArrow(run, SHEET_FIELDS)
+
+
 def cells(files: DataFrame) -> DataFrame:
     """A row a cell of (path, content); a workbook that can't be read has a row with its error, after the cells before it."""
 

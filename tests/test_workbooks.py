@@ -1,10 +1,12 @@
 from __future__ import annotations
 
+import time
 import zipfile
 
 from pyspark.sql import functions as F
 
 from gridloom import ingest
+from gridloom.operators import ingest_log
 from gridloom.sources import files, xlsx
 from gridloom.streaming import workbooks
 
@@ -82,6 +84,31 @@ def test_ingest_logs_what_it_does_not_load(spark, tmp_path):
     assert loaded == {"good.xlsx#0", "whole.xlsx#0", "wide.xlsx#0"}
 
 
+def test_merged_range_beyond_the_content(spark, tmp_path):
+    """A range over all rows of a sheet costs what the sheet holds."""
+    book(tmp_path / "a.xlsx", {"M": [["标题", None, None], *BASIC]}, merges=["A1:C1", "E1:G1048576"])
+    began = time.time()
+    rows, _, _ = ingest.sheets(spark, str(tmp_path))
+    assert rows.count() == 5 and rows.where("row_idx = 0").first()["cells"][:3] == ["标题"] * 3
+    assert time.time() - began < 90
+
+
+def test_load(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    book(tmp_path / "in" / "a.xlsx", {"Data": BASIC, "空表": []})
+    (tmp_path / "in" / "bad.xlsx").write_bytes(b"no zip")
+    out = str(tmp_path / "out")
+    log = ingest.load(spark, str(tmp_path / "in"), out)
+    assert log.columns == list(ingest_log.LOG)
+    assert sorted((r["source_filename"], r["sheet_index"], r["status"]) for r in log.collect()) == [("a.xlsx", 0, "SUCCESS"), ("a.xlsx", 1, "SKIP"), ("bad.xlsx", None, "ERROR")]
+    assert spark.read.parquet(f"{out}/relations").count() == 3
+    book(tmp_path / "in" / "b.xlsx", {"Data": BASIC})
+    log = ingest.load(spark, str(tmp_path / "in"), out)
+    assert sorted(r["status"] for r in log.collect()) == ["ERROR", "SKIP", "SUCCESS", "SUCCESS"]
+    held = spark.read.parquet(f"{out}/relations").groupBy("sheet").count().collect()
+    assert sorted(r["count"] for r in held) == [3, 3]
+
+
 def test_stream(spark, tmp_path):
     (tmp_path / "in").mkdir()
     book(tmp_path / "in" / "a.xlsx", {"Data": BASIC})
