@@ -23,13 +23,14 @@ CJK = "[一-鿿]"
 NOISE = "[：:、，,。.（()）)%％—-]"
 
 
-#: Unicode white space.
+#: Unicode white space, as in a character class and as text.
 SPACE = r"\t-\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+SPACES = "".join(map(chr, (*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 
 
 def uni_trim(c: Column) -> Column:
     """Without Unicode white space at both ends."""
-    return F.regexp_replace(c, f"^[{SPACE}]+|[{SPACE}]+$", "")
+    return F.btrim(c, F.lit(SPACES))
 
 
 def blank(c: Column) -> Column:
@@ -79,7 +80,7 @@ def header_spaces(c: Column) -> Column:
 
 def bare_number(c: Column) -> Column:
     """Without commas, spaces and ideographic spaces."""
-    return F.regexp_replace(F.coalesce(c, F.lit("")), "[, 　]", "")
+    return F.translate(F.coalesce(c, F.lit("")), ", 　", "")
 
 
 def is_footnote_text(c: Column) -> Column:

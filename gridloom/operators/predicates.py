@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -10,7 +13,7 @@ from gridloom.functions import text as t
 
 def filled(cells: Column) -> Column:
     """The cells that are not blank, stripped."""
-    return F.transform(F.filter(cells, lambda c: ~t.blank(c)), t.uni_trim)
+    return F.filter(F.transform(cells, t.uni_trim), lambda c: c != "")
 
 
 def n_filled(cells: Column) -> Column:
@@ -31,7 +34,7 @@ def is_title(cells: Column) -> Column:
 
 
 def _title(f: Column) -> Column:
-    return (F.size(f) >= 2) & (F.size(F.array_distinct(f)) == 1)
+    return (F.size(f) >= 2) & ~F.exists(f, lambda c: c != F.get(f, 0))
 
 
 def is_header_like(cells: Column) -> Column:
@@ -39,11 +42,15 @@ def is_header_like(cells: Column) -> Column:
 
 
 def _header_like(f: Column) -> Column:
+    return t.let(F.array_join(f, "\n"), lambda joined: _header_like_joined(f, joined))
+
+
+def _header_like_joined(f: Column, joined: Column) -> Column:
+    """No word or year spans a line, so that one look at the joined cells finds what any of them holds."""
     n = F.size(f)
-    words = F.exists(f, lambda c: c.rlike("|".join(t.HEADER_WORDS)))
-    years = F.exists(f, lambda c: c.rlike(t.HEADER_YEAR))
-    numbers = F.size(F.filter(f, lambda c: t.bare_number(c).rlike(t.NUMBER)))
-    by_numbers = t.let(numbers, lambda k: F.when(k > 0.4 * n, False).when(years, True).otherwise(((n - k) >= 2) & ((n - k) > k)))
+    words = reduce(or_, (joined.contains(word) for word in t.HEADER_WORDS))
+    numbers = F.when(joined.rlike(r"\d"), F.size(F.filter(f, lambda c: t.bare_number(c).rlike(t.NUMBER)))).otherwise(0)
+    by_numbers = t.let(numbers, lambda k: F.when(k > 0.4 * n, False).when(joined.rlike(t.HEADER_YEAR), True).otherwise(((n - k) >= 2) & ((n - k) > k)))
     return F.when(n < 2, False).when(words, True).otherwise(by_numbers)
 
 
@@ -58,7 +65,8 @@ def is_footnote(cells: Column) -> Column:
 
 def has_numeric_data(cells: Column) -> Column:
     """A number in any cell after the first."""
-    return F.exists(F.slice(cells, 2, F.greatest(F.size(cells), F.lit(1))), lambda c: t.bare_number(c).rlike(t.LOOSE_NUMBER))
+    number = F.exists(F.slice(cells, 2, F.greatest(F.size(cells), F.lit(1))), lambda c: t.bare_number(c).rlike(t.LOOSE_NUMBER))
+    return F.when(F.array_join(cells, "\n").rlike(r"\d"), number).otherwise(F.when(cells.isNotNull(), False))
 
 
 def is_data_number(c: Column) -> Column:
