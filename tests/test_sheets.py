@@ -32,6 +32,14 @@ def test_row_predicates(spark):
     assert flags(spark, p.numeric_names, ["地区", "1990", "2000", "2010"], ["地区", "总人口", "GDP"]) == [True, False]
 
 
+def test_rows_of_blank_and_null_cells(spark):
+    rows = ([None, None], [" ", "\u3000"], [None, "x", " x "], ["x", "y"], [None, "7"], ["7", None], ["指", "标"], ["19", "99"], ["a\n7", "b"])
+    assert flags(spark, p.is_blank, *rows) == [True, True, False, False, False, False, False, False, False]
+    assert flags(spark, p.is_title, *rows) == [False, False, True, False, False, False, False, False, False]
+    assert flags(spark, p.has_numeric_data, *rows) == [False, False, False, False, True, False, False, True, False]
+    assert flags(spark, p.is_header_like, *rows) == [False, False, True, True, False, False, True, False, True]
+
+
 def test_thousands(spark):
     df = sheet(spark, ["a", "1", "234"], ["a", "1,234"], ["a", "b"]).withColumn("cells", p.merge_thousands(F.col("cells"), F.lit(2)))
     assert cells(df) == [["a", "1234"], ["a", "1,234"], ["a", "b"]]

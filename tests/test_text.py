@@ -63,3 +63,8 @@ def test_types_and_json(spark):
     df = spark.createDataFrame([(10,), (600,), (20_000,), (70_000,)], "n long")
     assert [r[0] for r in df.select(t.column_type(F.col("n"))).collect()] == ["VARCHAR(512)", "VARCHAR(1024)", "TEXT", "MEDIUMTEXT"]
     check(spark, lambda c: F.get_json_object(t.recovered_json(c), "$.k"), {'{"k": 1}': "1", 'so:\n```json\n{"k": 2}\n```': "2", 'it is {"k": 3} I say': "3", "{no": None, None: None})
+
+
+def test_white_space_at_the_ends(spark):
+    check(spark, t.uni_trim, {None: None, "": "", "\u3000 a b\u00a0\t": "a b", "\u2028\x85北京\u205f": "北京", "\u200b": "\u200b", "\u1680\u2009": ""})
+    check(spark, t.bare_number, {None: "", "1, 2\u30003": "123", "a": "a"})
