@@ -34,7 +34,7 @@ def hash128(*cols: Column) -> Column:
     return F.struct(F.xxhash64(*cols).alias("a"), F.xxhash64(F.lit(0x5EED), *cols).alias("b"))
 
 
-def join_hot(many: DataFrame, few: DataFrame, keys: list[str], weight: str, total: int, share: int = 10_000, least: int = 1000) -> DataFrame:
+def join_hot(many: DataFrame, few: DataFrame, keys: list[str], weight: str, total: int, share: int = 10_000, least: int = 100) -> DataFrame:
     """An inner join on ``keys``, which name one row each in ``few``; its column ``weight`` tells how many rows of ``many`` a key has.
 
     Keys with more than a ``share``-th of ``total``, the sum of all weights, are fewer than ``share``: these are broadcast,

@@ -27,7 +27,7 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
             break
         seen = state
         above = both.where(F.col("v") > F.col("u"))
-        if state["most"] > 1000:
+        if state["most"] > 100:
             met = join_hot(above, least.drop("sum"), ["u"], "n", state["n"])
         else:
             met = above.join(least.drop("sum", "n"), "u")
