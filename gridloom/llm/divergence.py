@@ -185,7 +185,7 @@ def _differences(facts: DataFrame, p: DataFrame) -> DataFrame:
     two = facts.join(other, "lang").where(F.col("source") != F.col("item"))
     # what a source's terms add if the other has none of them: by the values that they take, which are few
     values = p.groupBy("lang", "source", "p").agg(F.count(F.lit(1)).alias("times"))
-    alone = values.join(other.drop("terms_b"), "lang").where(F.col("source") != F.col("item"))
+    alone = values.join(two.select("lang", "source", "item", "none_b"), ["lang", "source"])
     alone = alone.groupBy("lang", "source", "item").agg(F.sum(F.col("times") * F.abs(F.col("p") - F.col("none_b"))).alias("alone"))
     # and what is too much of that for terms that both have
     a, b = p.select("lang", "term", "source", "none", "p"), p.select("lang", "term", F.col("source").alias("item"), F.col("none").alias("none_b"), F.col("p").alias("p_b"))
