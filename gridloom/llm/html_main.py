@@ -2,9 +2,14 @@
 
 Markup is stripped, one line a block, and each line weighs as much text as it has outside links.  Weights are summed over
 a sliding window of lines: the text surges where the sum leaves the ground and dives where it comes back, and the stretch
-with most text between the two is the core.  What the markup says about a box (menus, headers, footers, forms, adverts)
-only lowers its lines' weights, to an eighth, and to none for readers' comments and hidden parts; it is overruled for a box
-that holds the core all the same.
+with most text between the two is the core.  Lines in boxes that the markup marks (menus, headers, footers, sidebars,
+forms, adverts, readers' comments, hidden parts) have no weight, however much text they hold: they count only on a page
+where no other box holds text, and then first without what is hidden or readers' comments.  A marked box around a ``main``
+element is the page's frame, as is a form around its parts, and isn't marked; nor is, on a page without another article
+or main element, a box around a single one that only its name marks.
+
+Readers' comments are told by their markup, or by how they stand: under a heading that counts or asks for comments, to the
+end of its box or the next heading as high; or as two boxes or more side by side that each offer to reply.
 
 The article is then the ``article`` or ``main`` element that holds most of the core, the outermost if they nest; or else
 the smallest box around all of the core that isn't itself a part of a text (a list, a table, a quotation, a section), or
@@ -66,8 +71,16 @@ COMMENTS = frozenset("comment comments commentlist disqus respond replies reply"
 CONTAINERS = frozenset("box container wrapper wrap inner outer block section area list item items region panel bar content body group holder slot unit links buttons icons form message text row column col widget widgets top bottom left right main".split())
 MASTHEAD = frozenset(("header", "head"))
 PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
+HEADING = re.compile(r"h[1-6]\Z")
 NEGATION = frozenset(("no", "has", "with", "without", "hide", "is", "not"))
-NOTICE = re.compile(r"(?:©|\(c\)|copyright\b)", re.I)
+NOTICE = re.compile(r"(?:©|\(c\)|copyright\b)|.*\b(?:all rights reserved|alle rechte vorbehalten|tous droits réservés|todos los derechos reservados)\b", re.I)
+#: Headings over readers' comments, and what offers to reply to one: fixed words of four languages.
+COMMENTS_HEAD = re.compile(
+    r"(?:\d+\s+)?(?:reader |user |leser|les )?(?:comments?|responses?|replies|discussion|kommentare?|leserkommentare|antworten|commentaires?|réponses?|comentarios?|respuestas?)(?:\s*[(\[]?\s*\d+\s*[)\]]?)?\s*:?"
+    r"|(?:leave|post|write|add) (?:a|your) (?:comment|reply)|join the (?:discussion|conversation)|(?:schreiben sie )?(?:einen )?kommentar (?:schreiben|hinterlassen|verfassen)|laisser un commentaire|ajouter un commentaire|dej[ae] un comentario|dejar un comentario|escrib[ae] un comentario",
+    re.I,
+)
+REPLY = re.compile(r"(?:reply|antworten|répondre|responder)\W*", re.I)
 #: How the markup judges a box: nothing to say; hardly the article; readers' comments, or hidden.
 NEUTRAL, MARKED, NEVER = range(3)
 
@@ -114,6 +127,7 @@ class Line:
     text: str
     weight: int
     box: int
+    level: int = 0  # of a heading, from 1 to 6
 
 
 def _attributes(page: str, at: int, last: dict[str, int]) -> tuple[dict[str, str], int, bool]:
@@ -249,14 +263,14 @@ def lines_of(page: str | None) -> tuple[list[Line], Boxes]:
     opened: Counter[str] = Counter()
     lines: list[Line] = []
     text: list[str] = []
-    linked = link = 0
+    linked = link = level = 0
     body = False
 
     def end() -> None:
         nonlocal linked
         joined = " ".join(html.unescape("".join(text)).split()) if text else ""
         if joined:
-            lines.append(Line(joined, max(0, len(joined) - linked), stack[-1] if stack else -1))
+            lines.append(Line(joined, max(0, len(joined) - linked), stack[-1] if stack else -1, level))
         text.clear()
         linked = 0
 
@@ -291,6 +305,7 @@ def lines_of(page: str | None) -> tuple[list[Line], Boxes]:
             continue
         end()
         link = 0
+        level = int(tag[1]) if HEADING.match(tag) and not closing else 0
         if tag not in BOX and tag not in OFF:
             if closing or not (mark := _mark(tag, own, True)):
                 while own_kind() and (not closing or boxes.tag[stack[-1]] == "~" + tag):
@@ -344,28 +359,75 @@ def core(weights: np.ndarray, window: int = WINDOW) -> tuple[int, int]:
     return int(starts[best]), int(ends[best]) - 1
 
 
+def _frames(boxes: Boxes) -> None:
+    """A marked box around a main element, or a form around a page's parts, is no mark; nor, on a page without another
+    article, is a box marked by its name around a single one."""
+    n = len(boxes.tag)
+    marks, articles = boxes.inherited(), [0] * n
+    other = any(s and m == NEUTRAL for s, m in zip(boxes.semantic, marks, strict=True))
+    held: list[set[str]] = [set() for _ in range(n)]
+    for k in range(n - 1, -1, -1):
+        own = {"main"} if boxes.semantic[k] and boxes.tag[k] != "article" else {boxes.tag[k]} & {"article", "nav", "header", "footer"}
+        if boxes.mark[k] == MARKED and ("main" in held[k] or (boxes.tag[k] == "form" and held[k]) or (not other and articles[k] == 1 and boxes.tag[k] not in OFF)):
+            boxes.mark[k] = NEUTRAL
+        if boxes.parent[k] >= 0:
+            held[boxes.parent[k]] |= held[k] | own
+            articles[boxes.parent[k]] += articles[k] + (boxes.tag[k] == "article")
+
+
+def _comments(lines: list[Line], boxes: Boxes) -> list[bool]:
+    """Which lines are readers' comments by how they stand; boxes that are nothing else are marked."""
+    n = len(boxes.tag)
+    size, heads = boxes.summed(lines, [1] * len(lines)), boxes.summed(lines, [int(x.level == 1) for x in lines])
+    at: dict[int, int] = {}  # each box's first line
+    for k, x in enumerate(lines):
+        box = x.box
+        while box >= 0 and box not in at:
+            at[box] = k
+            box = boxes.parent[box]
+    out = [False] * len(lines)
+    for k, x in enumerate(lines):
+        if x.level < 2 or out[k] or not COMMENTS_HEAD.fullmatch(x.text):  # the first level is the page's own
+            continue
+        last = at[x.box] + size[x.box] if x.box >= 0 else len(lines)
+        end = next((j for j in range(k + 1, last) if 0 < lines[j].level <= x.level and lines[j].box == x.box), last)
+        out[k:end] = [True] * (end - k)
+    offers: dict[int, set[int]] = {}  # boxes that offer to reply, by the box around them
+    for x in lines:
+        if x.box >= 0 and REPLY.fullmatch(x.text):
+            child, box = x.box, boxes.parent[x.box]
+            while box >= 0 and not (heads[box] or boxes.semantic[box] or boxes.tag[box] in ("html", "body")):
+                offers.setdefault(box, set()).add(child)
+                child, box = box, boxes.parent[box]
+    for k in range(n):
+        if len(offers.get(k, ())) > 1:
+            boxes.mark[k] = NEVER
+    return out
+
+
 def main_text(page: str | None, window: int = WINDOW) -> str:
     """The article's blocks, joined by empty lines."""
     lines, boxes = lines_of(page)
+    _frames(boxes)
+    said = _comments(lines, boxes)
     full = np.array([x.weight for x in lines], np.int64)
     marks = boxes.inherited()
-    mark = np.array([marks[x.box] if x.box >= 0 else NEUTRAL for x in lines], np.int64)
-    weights = np.where(mark == NEUTRAL, full, np.where(mark == MARKED, full // 8, 0))
-    if not weights.any():
-        weights = full  # nothing but what the markup marks
+    mark = np.array([NEVER if c else marks[x.box] if x.box >= 0 else NEUTRAL for x, c in zip(lines, said, strict=True)], np.int64)
+    worst = next((m for m in (NEUTRAL, MARKED, NEVER) if full[mark <= m].any()), NEUTRAL)
+    weights = np.where(mark <= worst, full, 0)
     low, high = core(weights, window)
     if high < low:
         return ""
+    if worst > NEUTRAL:  # nothing but what the markup marks: it says nothing then
+        boxes.mark = [m if m > worst else NEUTRAL for m in boxes.mark]
+        boxes.semantic = [s or t in ("article", "main") for s, t in zip(boxes.semantic, boxes.tag, strict=True)]
+        said = [c and worst < NEVER for c in said]
     stretch = np.zeros(len(lines), np.int64)
     stretch[low : high + 1] = 1
     heavy = stretch * (weights > 0)
     total, share = int((weights * stretch).sum()), boxes.summed(lines, (weights * stretch).tolist())
-    for k in range(len(boxes.tag)):  # a box that holds the core is none of these things
-        if boxes.mark[k] and 2 * share[k] > total:
-            boxes.mark[k] = NEUTRAL
-            boxes.semantic[k] |= boxes.tag[k] in ("article", "main")
     marks = boxes.inherited()
-    off = [x.box >= 0 and marks[x.box] > NEUTRAL for x in lines]
+    off = [c or (x.box >= 0 and marks[x.box] > NEUTRAL) for x, c in zip(lines, said, strict=True)]
     holds, n_heavy = boxes.summed(lines, heavy.tolist()), int(heavy.sum())
     semantic = [k for k in range(len(boxes.tag)) if boxes.semantic[k] and 2 * share[k] > total and marks[k] == NEUTRAL]
     around = [k for k in range(len(boxes.tag)) if holds[k] == n_heavy and boxes.tag[k] not in PARTS and boxes.tag[k] not in ("html", "body") and not boxes.tag[k].startswith("~")]
@@ -383,6 +445,8 @@ def main_text(page: str | None, window: int = WINDOW) -> str:
             kept.append(x.text)
         elif (x.box < 0 or beside[x.box]) and 2 * x.weight > len(x.text) and not (k > high and NOTICE.match(x.text)):
             kept.append(x.text)
+    while not semantic and len(kept) > 1 and len(kept[-1]) <= 200 and NOTICE.match(kept[-1]):
+        kept.pop()  # at the end of a page that doesn't say where its article ends
     return "\n\n".join(kept)
 
 

@@ -69,7 +69,8 @@ def join(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: float = 0.
     """
     bands, rows = S.bands_for(threshold, recall)
     signed = cut(signatures(docs, n, bands, rows))
-    first = F.first("grams").alias("grams"), F.first("bands").alias("bands")
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "hash"))  # whose text stands for the class
+    first = F.first("grams").alias("grams"), F.first("bands").alias("bands"), least.getField("hash").alias("hash")
     classes = cut(signed.where(F.col("mark").isNotNull()).groupBy("mark").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("copies"), *first))
     units = _units(classes)
     links = cut(_verified(docs, classes, units, n, threshold))
@@ -134,7 +135,7 @@ def _verified(docs: DataFrame, classes: DataFrame, units: DataFrame, n: int, thr
             sets = [S.shingle_set(t, n, hashes).tobytes() for t in text.to_pylist()]
             same = pa.array([xxhash.xxh3_128_digest(s) == m for s, m in zip(sets, mark.to_pylist(), strict=True)])
             out = pa.RecordBatch.from_arrays([*rest, mark, pa.array(sets, pa.binary())], ["units", "copies", "bands", "mark", "set"])
-            yield out.filter(same)  # another row may have taken the id
+            yield out.filter(same)  # another text may have the hash
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in S.runs(batches, 4):  # of one unit, band, and two blocks
@@ -153,10 +154,10 @@ def _verified(docs: DataFrame, classes: DataFrame, units: DataFrame, n: int, thr
                 ["mark", "n_links", "n_text_links", "parent"],
             )
 
-    texts = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
-    held = units.join(classes.select("mark", "class_id", "copies", "bands"), "mark")
+    texts = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.col("text").cast("binary").alias("text"))
+    held = units.join(classes.select("mark", "class_id", "copies", "bands", "hash"), "mark")
     bands = F.when(F.exists("units", lambda u: u.band >= 0), F.col("bands")).alias("bands")  # only buckets ask for them
-    held = held.join(texts, F.col("class_id").eqNullSafe(F.col("doc_id"))).select("units", "copies", bands, "text", "mark")
+    held = held.join(texts, F.col("class_id").eqNullSafe(F.col("doc_id")) & (F.col("hash") == F.col("text_hash"))).select("units", "copies", bands, "text", "mark")
     unit = "struct<unit: binary, band: int, blocks: int, block: int>"
     sets = held.mapInArrow(grams, f"units array<{unit}>, copies bigint, bands array<bigint>, mark binary, set binary")
     each = sets.select(F.explode("units").alias("u"), "copies", "bands", "mark", "set")

@@ -2,8 +2,8 @@
 
 The two BPE files cut a text into pieces before any merge, and no merge crosses a piece.  So each distinct piece is
 encoded once by the library and remembered, and a text's ids are gathered from its pieces.  That holds for texts of
-plain characters only, for which the cutting rule below is the library's; any other text is encoded by the library whole.
-Strings of special tokens in a text are ordinary text.
+plain characters only, for which the cutting rule below is the library's; any other text is encoded by the library whole,
+as is one that holds the string of a special token, which the library reads as that token.
 """
 
 from __future__ import annotations
@@ -58,7 +58,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
+        self.special = [x.content for x in self.library.get_added_tokens_decoder().values()]
         self.rule, self.lower = PIECES.get(PurePath(path).name, (None, False))
         self.pieces = Pieces()
         self.starts = self.lengths = self.uses = np.zeros(0, np.int32)
@@ -106,7 +106,7 @@ class Encoder:
         number = self.pieces.__getitem__
         for i, text in enumerate(texts):
             text = text or ""
-            if self.rule is not None and PLAIN.match(text):
+            if self.rule is not None and PLAIN.match(text) and not any(s in text for s in self.special):
                 cut.append((i, np.array([number(p) for p in self.rule.findall(text.lower() if self.lower else text)], np.int32)))
             else:
                 out[i] = np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)

@@ -273,6 +273,30 @@ def test_markup_only_weighs(page, expected):
     assert html_main.main_text(f"<html><body>{page}</body></html>") == "\n\n".join(expected)
 
 
+ARTICLE = f"<h1>Title of it</h1><p>{LEDE}</p><p>Some more of it follows.</p>"
+COMMENT = "<div class=i><p>A reader says so.</p><a href=#>Reply</a></div>"
+
+
+@pytest.mark.parametrize("times", [0, 2, 20, 100, 1000])
+@pytest.mark.parametrize("wrap", ["main", "article", "div", "div class=post"])
+def test_boxes_of_any_size_stay_out(wrap, times):
+    """What is no article stays out, be it a hundred times as long."""
+    side = "".join(f"<p>Other words number {k}, many of them and in whole sentences.</p>" for k in range(times))
+    heads = ("3 Comments", "Kommentare (4)", "Laisser un commentaire", "Comentarios")
+    boxes = [f"<{b}>{side}</{b.split()[0]}>" for b in ("footer", "form", "aside", "div class=sidebar", "div class=related", "div class=ad-box", "div hidden")]
+    boxes += [f"<div class=discussion><h3>{h}</h3>{side}</div>" for h in heads] + [f"<h2>{heads[0]}</h2>{side}", f"<div class=talk>{COMMENT * 3}{side}</div>"]
+    end = ("© 2024 Us", "2024 Wir. Alle Rechte vorbehalten", "Nous, tous droits réservés", "Todos los derechos reservados")
+    for k, box in enumerate(boxes):
+        page = f"<html><body><nav><a href=/>Home</a></nav><{wrap}>{ARTICLE}</{wrap.split()[0]}>{box}<div>{end[k % 4]}</div></body></html>"
+        assert html_main.main_text(page) == "\n\n".join(["Title of it", " ".join(LEDE.split()), "Some more of it follows."]), box[:60]
+
+
+def test_what_looks_like_comments():
+    """Headings and links that only look like those of readers' comments, or have the article in their box."""
+    for page in (f"<main><h1>Comments</h1><p>{STORY}</p></main>", f"<article><h1>Discussion of results</h1><p>{STORY}</p><p>Reply</p></article>"):
+        assert STORY in html_main.main_text(page)
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.one_of(st.integers(0, 30), st.integers(0, 400)), max_size=14))
 def test_surge_and_dive_by_hand(weights):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import time
 
 import numpy as np
 import pytest
@@ -106,6 +107,16 @@ def test_a_family_of_drifting_texts_is_verified_by_its_buckets(spark, monkeypatc
     assert units.where("band >= 0").count() > 0 and pairs < 300 * 300 / 8
 
 
+@pytest.mark.parametrize("same_id", [True, False])
+def test_texts_of_one_id_meet_by_their_hash(spark, same_id):
+    """Rows of one doc_id, or of none, whose texts differ: time in proportion to their number."""
+    n, began = 2000, time.time()
+    rows = [(7 if same_id else None, " ".join(f"w{k}x{j}" for j in range(40)) + (" end" if half else "")) for k in range(n // 2) for half in (0, 1)]
+    got = ngram_join.join(spark.createDataFrame(rows, "doc_id long, text string")).select("n_links", "n_text_links").collect()
+    assert len(got) == n and all(tuple(r) == (1, 1) for r in got)
+    assert time.time() - began < 240
+
+
 def test_bands():
     bands, rows = S.bands_for(0.8, 0.9999)
     assert S.chance(0.8, bands, rows) >= 0.9999 and bands * rows <= 128
