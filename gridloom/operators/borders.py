@@ -32,6 +32,21 @@ def edge_stats(cells: DataFrame, along: str, style: str) -> DataFrame:
     )
 
 
+def row_edges(cells: DataFrame) -> DataFrame:
+    """(sheet, row_idx, bottom_ratio, top_ratio, is_solid, is_dash, border) of cells with their edges, in one pass.
+
+    border: over half of a row's cells have a solid or dashed lower edge.
+    """
+    known = F.col("b_bottom").isin(*SOLID, *DASH)
+    by = cells.groupBy("sheet", "row_idx", "b_bottom").agg(F.count(F.lit(1)).alias("n"), F.min("col_idx").alias("at"), F.count("b_top").alias("tops"), F.count_if(known).alias("closed"))
+    styled = F.when(F.col("b_bottom").isNotNull(), F.col("n"))
+    best = F.min_by("b_bottom", F.when(F.col("b_bottom").isNotNull(), F.struct(-F.col("n"), F.col("at"), F.col("b_bottom"))))
+    rows = by.groupBy("sheet", "row_idx").agg(best.alias("style"), F.sum(styled).alias("styled"), F.sum("tops").alias("tops"), F.sum("closed").alias("closed"), F.sum("n").alias("width"))
+    kind = lambda styles: F.coalesce(F.col("style").isin(*styles), F.lit(False))
+    ratio = lambda c: F.coalesce(F.col(c), F.lit(0)) / F.col("width")
+    return rows.select("sheet", "row_idx", ratio("styled").alias("bottom_ratio"), ratio("tops").alias("top_ratio"), kind(SOLID).alias("is_solid"), kind(DASH).alias("is_dash"), (F.col("closed") > 0.5 * F.col("width")).alias("border"))
+
+
 def is_boundary(ratio: Column, is_solid: Column, is_dash: Column) -> Column:
     """A row that ends a block: an edge under 70 % of it, or a dashed one under 30 %."""
     return (is_solid & (ratio >= 0.7)) | (is_dash & (ratio >= 0.3))
@@ -90,10 +105,15 @@ def dash_streak(rows: DataFrame, least: int = 2) -> DataFrame:
 
 
 def split_columns(columns: DataFrame) -> DataFrame:
-    """(sheet, col_idx): columns with a dashed right edge (0.3), and starts of thin runs (below 0.3) after a full one (over 0.5)."""
+    """(sheet, col_idx): columns with a dashed right edge (0.3), and where thin runs (below 0.3) begin, in four columns or more:
+    runs between two full columns (over 0.5), or after one at the sheet's end."""
     w = W.partitionBy("sheet").orderBy("col_idx")
     dash = columns.where(F.col("is_dash") & (F.col("ratio") >= 0.3)).select("sheet", "col_idx")
-    runs = columns.withColumn("before", F.lag("ratio").over(w)).where((F.col("ratio") < 0.3) & (F.col("before") > 0.5)).select("sheet", "col_idx")
+    edge = F.when(F.col("ratio") >= 0.3, F.struct("ratio"))
+    after = F.last(edge, ignorenulls=True).over(W.partitionBy("sheet").orderBy(F.desc("col_idx")).rowsBetween(W.unboundedPreceding, -1))
+    told = columns.withColumn("before", F.lag("ratio").over(w)).withColumn("after", after).withColumn("n", F.count(F.lit(1)).over(W.partitionBy("sheet")))
+    enclosed = F.col("after").isNull() | (F.col("after.ratio") > 0.5)
+    runs = told.where((F.col("n") >= 4) & (F.col("ratio") < 0.3) & (F.col("before") > 0.5) & enclosed).select("sheet", "col_idx")
     return dash.union(runs).distinct()
 
 

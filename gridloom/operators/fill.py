@@ -45,10 +45,10 @@ def group_fill(rows: DataFrame) -> DataFrame:
     return rows.withColumn("only", only).withColumn("cells", filled).drop("only")
 
 
-def push_down_categories(rows: DataFrame) -> DataFrame:
-    """A row with its first cell only gives that to the next row that is not blank, if that has none."""
+def push_down_categories(rows: DataFrame, blanks: bool = True) -> DataFrame:
+    """A row with its first cell only gives that to the next row that is not blank, if that has none.  blanks: whether rows can be blank."""
     cells = F.col("cells")
     category = F.when(_first(cells).isNotNull() & ~_rest_filled(cells), _first(cells))
-    full = rows.where(~p.is_blank(cells)).withColumn("above", F.lag(category).over(sheet_window()))
+    full = (rows.where(~p.is_blank(cells)) if blanks else rows).withColumn("above", F.lag(category).over(sheet_window()))
     done = full.withColumn("cells", F.when(_first(cells).isNull() & F.col("above").isNotNull(), _with_first(cells, F.col("above"))).otherwise(cells)).drop("above")
-    return done.unionByName(rows.where(p.is_blank(cells)))
+    return done.unionByName(rows.where(p.is_blank(cells))) if blanks else done

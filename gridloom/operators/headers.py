@@ -71,20 +71,104 @@ def first_column_texts(rows: DataFrame, header_end: DataFrame, n: int = 10) -> D
     return counts.where((F.col("n") >= 2) & (F.col("texts") > 0.5 * F.col("n"))).select("sheet")
 
 
-# Words of headers and what they are in English.
-PARTS = {
-    "指标": "indicator", "单位": "unit", "项目": "item", "地区": "region", "类别": "category", "名称": "name", "年份": "year",
-    "产量": "output", "面积": "area", "数量": "count", "金额": "amount", "比例": "ratio", "百分比": "pct", "增长率": "growth_rate",
-    "合计": "total", "总计": "total", "小计": "subtotal", "平均值": "avg", "产品": "product", "价格": "price", "成本": "cost",
-    "收入": "income", "支出": "expenditure", "消费": "consumption", "年": "year", "月": "month", "日": "day",
-}
-
-
-def english_part(c: Column) -> Column:
-    """A header word in English; of one with marks or spaces in it, without these; ``col`` if it isn't known."""
-    known = F.create_map(*(F.lit(x) for pair in PARTS.items() for x in pair))
-    bare = F.regexp_replace(c, "[，。、；：“”‘’（）\\s]+", "")
-    return F.coalesce(F.try_element_at(known, F.trim(c)), F.try_element_at(known, bare), F.lit("col"))
+def from_left(left: Column, own: Column) -> Column:
+    """The name of a column without one of its own, by the name on its left: what both begin with, else that name's leading
+    year, else the longest beginning of it that ``own`` holds, and then ``own`` (the texts that its left neighbour lacks).
+
+    NULL if there is nothing of its own or in common, or the left name is a placeholder or in common as a whole.
+    """
+    upto = F.sequence(F.lit(1), F.greatest(F.least(F.length(left), F.length(own)), F.lit(1)))
+    common = F.array_max(F.filter(upto, lambda k: F.substring(left, F.lit(1), k) == F.substring(own, F.lit(1), k)))
+    held = F.array_max(F.filter(upto, lambda k: own.contains(F.substring(left, F.lit(1), k))))
+    year = F.nullif(F.regexp_extract(left, r"^(\d{4}年?)", 1), F.lit(""))
+    prefix = F.coalesce(F.substring(left, F.lit(1), common), year, F.substring(left, F.lit(1), held))
+    made = t.sanitise(F.concat(prefix, own))
+    usable = (own != "") & ~left.startswith("col_") & (prefix != left) & ~made.startswith("col_")
+    return F.when(F.coalesce(usable, F.lit(False)), made)
+
+
+def block_names(block: Column, first_texts: Column, gaps: bool = False) -> Column:
+    """Names of the columns of a header block (array of rows of cells), made from left to right in one fold.
+
+    A block of one row gives its texts.  Of several rows, a column's texts count from top to bottom: none twice in a row;
+    one that a merged cell repeats (its left neighbour has it too, and a lower row tells the two columns apart) only while
+    the column has no other; digits without spaces between them.  They are joined, or, if that is a placeholder, joined by ``_``; a short
+    Chinese name loses marks and spaces.  A column without texts is 项目 if it is the first and holds texts, else col_<i>.
+
+    gaps: a column whose top row is blank, beside one that has a name, is named from_left, by the name just made.
+    """
+    trimmed = F.transform(block, lambda row: F.transform(row, lambda c: F.nullif(t.uni_trim(c), F.lit(""))))
+    none = F.array().cast("array<string>")
+
+    def of(rows: Column) -> Column:
+        width = F.coalesce(F.array_max(F.transform(rows, F.size)), F.lit(0))
+        columns = F.when(width > 0, F.sequence(F.lit(0), width - 1)).otherwise(F.array().cast("array<int>"))
+        return F.when(F.size(rows) == 1, F.transform(F.get(rows, F.lit(0)), lambda c, j: one(c, j))).otherwise(
+            F.aggregate(columns, none, lambda made, j: F.concat(made, F.array(several(rows, made, j))))
+        )
+
+    def one(c: Column, j: Column) -> Column:
+        return F.when(c.isNull(), F.when((j == 0) & first_texts, "项目").otherwise("col_empty")).otherwise(t.sanitise(c))
+
+    def several(rows: Column, made: Column, j: Column) -> Column:
+        here, left = F.transform(rows, lambda row: F.get(row, j)), F.transform(rows, lambda row: F.when(j > 0, F.get(row, j - 1)))
+        both = F.zip_with(here, left, lambda v, b: F.struct(v.alias("v"), F.coalesce(v == b, F.lit(False)).alias("same"), (v.isNotNull() & ~F.coalesce(v == b, F.lit(False))).alias("apart")))
+
+        def marked(x: Column) -> Column:
+            return F.transform(x, lambda r, i: F.struct(t.header_spaces(F.regexp_replace(r.v, " {2,}", " ")).alias("v"), (r.same & F.exists(F.slice(x, i + 2, F.size(x)), lambda y: y.apart)).alias("repeats"), r.same.alias("same")))
+
+        def add(parts: Column, r: Column) -> Column:
+            return F.when(r.v.isNull() | (F.size(parts) > 0) & (r.repeats | (F.element_at(parts, -1) == r.v)), parts).otherwise(F.concat(parts, F.array(r.v)))
+
+        def named(x: Column) -> Column:
+            context = F.lit(None).cast("string")
+            if gaps:
+                own = F.array_join(F.transform(F.filter(x, lambda r: ~r.same), lambda r: r.v), "")
+                context = F.when(F.get(x, F.lit(0)).v.isNull() & (j > 0), t.let(F.element_at(made, -1), lambda name: from_left(name, own)))
+            parts = F.aggregate(F.filter(x, lambda r: r.v.isNotNull()), none, add)
+            blank = F.when((j == 0) & first_texts, "项目").otherwise(F.concat(F.lit("col_"), j.cast("string")))
+            return F.coalesce(context, t.let(parts, lambda y: F.when(F.size(y) == 0, blank).otherwise(joined(y))))
+
+        return t.let(t.let(both, marked), named)
+
+    def joined(parts: Column) -> Column:
+        direct = F.array_join(parts, "")
+        bare = F.regexp_replace(F.replace(direct, F.lit(" "), F.lit("")), t.NOISE, "")
+        plain = t.sanitise(direct)
+        return F.when(bare.rlike(f"^{t.CJK}{{2,12}}$"), bare).when(~plain.startswith("col_"), plain).otherwise(t.sanitise(F.array_join(parts, "_")))
+
+    return t.let(trimmed, of)
+
+
+def distinct_names(names: Column) -> Column:
+    """The k-th repeat of a name gets ``_k``, and none is called id."""
+
+    def numbered(held: Column) -> Column:
+        return F.transform(held, lambda x, i: t.reserve_id(t.numbered(x, F.size(F.filter(F.slice(held, F.lit(1), i), lambda y: y == x)))))
+
+    return t.let(names, numbered)
+
+
+def block_header(block: Column, first_texts: Column, advised: Column | None = None, confidence: Column | None = None, gaps: bool = False) -> Column:
+    """A struct of ``names``, unique and safe, and ``rows``, how many rows of the block they come from.
+
+    A block of several rows whose names are numbers is taken for one that ends with data, and loses its last row.  An
+    advisor's names, of a block of several rows, are merged in (naming.fuse) and made unique again.
+    """
+
+    n = F.size(block)
+    both = F.transform(F.array(block, F.slice(block, F.lit(1), F.greatest(n - 1, F.lit(1)))), lambda rows: distinct_names(block_names(rows, first_texts, gaps)))
+
+    def chosen(made: Column) -> Column:
+        less = p.numeric_names(F.get(made, F.lit(0))) & (n > 1)
+        return F.struct(F.get(made, less.cast("int")).alias("names"), (n - less.cast("int")).alias("rows"))
+
+    def fused(x: Column) -> Column:
+        names = F.when(x.rows > 1, distinct_names(naming.fuse(x.names, advised, confidence))).otherwise(x.names)
+        return F.struct(names.alias("names"), x.rows.alias("rows"))
+
+    out = t.let(both, chosen)
+    return out if advised is None else t.let(out, fused)
 
 
 def subtable_name(name: Column, index: Column, count: Column, limit: int = 64) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -64,3 +64,20 @@ def continuation_columns(rows: DataFrame, span: int = 2, groups: int = 20) -> Da
     """(sheet, col_idx): columns with content in the continuation rows of the first groups."""
     part = rows.where((F.col("row_idx") < span * groups) & (F.pmod(F.col("row_idx"), F.lit(span)) > 0))
     return part.select("sheet", F.posexplode("cells").alias("col_idx", "value")).where(~t.blank(F.col("value"))).select("sheet", "col_idx").distinct()
+
+
+def continuations(rows: DataFrame, groups: int = 20) -> DataFrame:
+    """(sheet, more): in ascending order the columns with content in the continuation rows of a sheet's first groups (needs span)."""
+    part = rows.where((F.col("row_idx") < F.col("span") * groups) & (F.pmod(F.col("row_idx"), F.col("span")) > 0))
+    held = part.select("sheet", F.posexplode("cells").alias("col_idx", "value")).where(~t.blank(F.col("value")))
+    return held.groupBy("sheet").agg(F.sort_array(F.collect_set("col_idx")).alias("more"))
+
+
+def unique_after(names: Column, more: Column) -> Column:
+    """The names and those that follow them, which get _2, _3 … where an earlier one is the same."""
+
+    def add(out: Column, name: Column) -> Column:
+        tries = F.transform(F.sequence(F.lit(2), F.size(out) + 2), lambda k: F.concat(name, F.lit("_"), k.cast("string")))
+        return F.concat(out, F.array(F.when(F.array_contains(out, name), F.get(F.filter(tries, lambda x: ~F.array_contains(out, x)), F.lit(0))).otherwise(name)))
+
+    return F.aggregate(more, names, add)

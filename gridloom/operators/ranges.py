@@ -7,15 +7,17 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gridloom.functions import text as t
+from gridloom.operators import layout
 from gridloom.operators import predicates as p
 
+
 def sheet_window() -> W:
     return W.partitionBy("sheet").orderBy("row_idx")
 
 
 def next_filled(rows: DataFrame) -> DataFrame:
     """With next_filled: the first row from this one on that is not blank."""
-    ahead = sheet_window().rowsBetween(W.currentRow, W.unboundedFollowing)
+    ahead = W.partitionBy("sheet").orderBy(F.desc("row_idx")).rowsBetween(W.unboundedPreceding, W.currentRow)
     return rows.withColumn("next_filled", F.min(F.when(~p.is_blank(F.col("cells")), F.col("row_idx"))).over(ahead))
 
 
@@ -38,11 +40,9 @@ def stop_at_footnote(rows: DataFrame) -> DataFrame:
 
 def data_start(rows: DataFrame) -> DataFrame:
     """(sheet, data_start): the first data row; else the first ordinal category or row with a number; else -1."""
-    cells = F.col("cells")
-    ordinal = F.coalesce(p.first_filled(cells).rlike(t.ORDINAL), F.lit(False))
-    other = ordinal | F.exists(F.slice(cells, 2, F.greatest(F.size(cells), F.lit(1))), lambda c: F.coalesce(p.is_data_number(c), F.lit(False)))
-    first = F.min(F.when(p.is_data_like(cells) & ~(ordinal & ~other), F.col("row_idx")))
-    return rows.groupBy("sheet").agg(F.coalesce(first, F.min(F.when(other, F.col("row_idx"))), F.lit(-1)).cast("int").alias("data_start"))
+    data, other = layout.data_start(F.col("cells"))
+    first, second = F.min(F.when(data, F.col("row_idx"))), F.min(F.when(other, F.col("row_idx")))
+    return rows.groupBy("sheet").agg(F.coalesce(first, second, F.lit(-1)).cast("int").alias("data_start"))
 
 
 def header_start_from_end(rows: DataFrame, header_end: DataFrame) -> DataFrame:
@@ -57,33 +57,9 @@ def header_start_from_end(rows: DataFrame, header_end: DataFrame) -> DataFrame:
 
 
 def header_range(rows: DataFrame) -> DataFrame:
-    """(sheet, header_start, header_end): the header block above the data; (0, 0) if there is none.
-
-    Its end is the last row above the data that is neither blank, a title, nor a lone Chinese text (unless a row of
-    several cells stands over that, which it then supplements).  Its start is the topmost row that belongs to it: up from
-    the end, titles are passed over, lone texts belong if the row below has several cells, and a lone text of more than
-    four characters that does not belong stops the search.
-    """
-    cells, w = F.col("cells"), sheet_window()
-    start = data_start(rows)
-    first = p.first_filled(cells)
-    lone = p.n_filled(cells) == 1
-    flags = rows.where(~p.is_blank(cells)).select(
-        "sheet", "row_idx", p.n_filled(cells).alias("n"), p.is_title(cells).alias("title"), lone.alias("lone"),
-        (lone & first.rlike(f"^{t.CJK}{{1,4}}$")).alias("short"), (lone & (F.length(first) > 4)).alias("long"), (lone & first.rlike(f"^{t.CJK}") & (F.length(first) > 4)).alias("long_cjk"),
-    )
-    flags = flags.join(start, "sheet").where(F.col("row_idx") < F.col("data_start"))
-    flags = flags.withColumn("above", F.coalesce(F.lag("n").over(w), F.lit(0))).withColumn("below", F.lead("n").over(w))
-    passed = F.col("title") | ((F.col("short") | F.col("long_cjk")) & (F.col("above") <= 1))
-    ends = flags.where(~passed).groupBy("sheet").agg(F.max("row_idx").alias("header_end"))
-    block = flags.join(ends, "sheet").where(F.col("row_idx") <= F.col("header_end"))
-    fits = F.coalesce(F.col("below") > 1, F.lit(False)) & (F.col("row_idx") < F.col("header_end"))
-    own = F.col("row_idx") == F.col("header_end")
-    stop = F.max(F.when(F.col("long") & ~fits & ~own, F.col("row_idx"))).over(W.partitionBy("sheet"))
-    joins = own | (~F.col("title") & ~((F.col("short") | F.col("long")) & ~fits))
-    found = block.withColumn("stop", F.coalesce(stop, F.lit(-1))).withColumn("joins", joins).where(F.col("joins") & (F.col("row_idx") > F.col("stop")))
-    found = found.groupBy("sheet", "header_end").agg(F.min("row_idx").alias("header_start"))
-    return start.join(found, "sheet", "left").select("sheet", F.coalesce("header_start", F.lit(0)).alias("header_start"), F.coalesce("header_end", F.lit(0)).alias("header_end"))
+    """(sheet, header_start, header_end): as layout.with_header_range tells each row."""
+    told = layout.with_header_range(layout.with_data_start(rows))
+    return told.groupBy("sheet").agg(F.min("header_start").alias("header_start"), F.min("header_end").alias("header_end"))
 
 
 def repeated_header(rows: DataFrame, widest: int = 12) -> DataFrame:
@@ -98,10 +74,7 @@ def repeated_header(rows: DataFrame, widest: int = 12) -> DataFrame:
 
 def retreat_header(rows: DataFrame, header_end: DataFrame) -> DataFrame:
     """(sheet, header_end): one row less where that row holds two, and 30 %, data numbers after its first cell."""
-    cells = F.col("cells")
-    numbers = F.size(F.filter(F.slice(cells, 2, F.greatest(F.size(cells), F.lit(1))), lambda c: F.coalesce(p.is_data_number(c), F.lit(False))))
-    data = numbers >= F.greatest(F.lit(2.0), 0.3 * p.n_filled(cells))
-    at = rows.select("sheet", F.col("row_idx").alias("header_end"), data.alias("data"))
+    at = rows.select("sheet", F.col("row_idx").alias("header_end"), layout.numbers_in(F.col("cells")).alias("data"))
     return header_end.join(at, ["sheet", "header_end"], "left").select("sheet", F.when(F.col("data") & (F.col("header_end") > 0), F.col("header_end") - 1).otherwise(F.col("header_end")).alias("header_end"))
 
 
@@ -116,19 +89,12 @@ def vertical_splits(rows: DataFrame) -> DataFrame:
         "sheet", "row_idx", p.is_blank(cells).alias("blank"), p.is_footnote(cells).alias("note"),
         ((p.n_filled(cells) == 1) & ~p.is_footnote(cells)).alias("lone"), (p.is_header_like(cells) & (p.n_filled(cells) > 1)).alias("header"),
     )
+    flags = flags.withColumn("gap", F.last(F.when(F.col("blank"), row), ignorenulls=True).over(layout.below()))  # the next blank row
     content = flags.where(~F.col("blank") & ~F.col("note"))
     w = sheet_window()
-    content = content.select(
-        "sheet", "row_idx", "lone", "header", F.lead("header").over(w).alias("header_next"),
-        F.lag("row_idx").over(w).alias("before"), F.lag("lone").over(w).alias("lone_before"),
-    )
-    begins = content.where(
-        F.col("before").isNotNull()
-        & ((F.col("header") & ~F.coalesce(F.col("lone_before"), F.lit(False))) | (F.col("lone") & F.coalesce(F.col("header_next"), F.lit(False))))
-    )
-    blanks = flags.where("blank").select(F.col("sheet").alias("s"), F.col("row_idx").alias("b"))
-    met = begins.join(blanks, (F.col("sheet") == F.col("s")) & (F.col("b") > F.col("before")) & (F.col("b") < row))
-    return met.groupBy("sheet", "row_idx").agg(F.min("b").alias("split")).select("sheet", "split")
+    content = content.select("sheet", "row_idx", "lone", "header", F.lead("header").over(w).alias("header_next"), F.lag("gap").over(w).alias("split"), F.lag("lone").over(w).alias("lone_before"))
+    begins = (F.col("header") & ~F.coalesce(F.col("lone_before"), F.lit(False))) | (F.col("lone") & F.coalesce(F.col("header_next"), F.lit(False)))
+    return content.where((F.col("split") < row) & begins).select("sheet", "split")
 
 
 def splits_under_header(rows: DataFrame, header_end: DataFrame) -> DataFrame:
@@ -161,6 +127,13 @@ def split_column(columns: DataFrame) -> DataFrame:
     return runs.join(last, "sheet").where(F.col("last") > F.col("b")).groupBy("sheet").agg(F.min("a").alias("split_col"))
 
 
+def blank_runs(columns: DataFrame, least: int = 2) -> DataFrame:
+    """(sheet, col_idx): where each run of ``least`` or more blank columns begins that a column with content follows."""
+    w = W.partitionBy("sheet").orderBy("col_idx")
+    full = columns.where(~F.col("is_blank")).select("sheet", "col_idx", (F.coalesce(F.lag("col_idx").over(w), F.lit(-1)) + 1).alias("begin"))
+    return full.where(F.col("col_idx") - F.col("begin") >= least).select("sheet", F.col("begin").alias("col_idx"))
+
+
 def best_overlap(left: DataFrame, right: DataFrame) -> DataFrame:
     """(sheet, start, end, hint, overlap): for each interval the hint with most columns in common; the first of equals."""
     h = right.select("sheet", F.col("start").alias("hs"), F.col("end").alias("he"), "hint")

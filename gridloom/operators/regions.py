@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gridloom.functions import text as t
+from gridloom.operators import grid, layout, ranges
 from gridloom.operators import predicates as p
 
 
@@ -26,9 +27,55 @@ def regions_of_splits(splits: DataFrame, widths: DataFrame) -> DataFrame:
 
 
 def sliced(rows: DataFrame, regions: DataFrame) -> DataFrame:
-    """(sheet, sub_idx, row_idx, cells): each row's cells in each region of (sheet, sub_idx, start, end), end included."""
+    """(sheet, sub_idx, row_idx, cells, …): each row's cells in each region of (sheet, sub_idx, start, end), end included."""
     cells = F.slice("cells", F.col("start") + 1, F.col("end") - F.col("start") + 1)
-    return rows.join(regions, "sheet").select("sheet", "sub_idx", "row_idx", cells.alias("cells"))
+    return rows.join(regions, "sheet").withColumn("cells", cells).drop("start", "end")
+
+
+def side_by_side(rows: DataFrame, split_cols: DataFrame | None = None, hints: DataFrame | None = None) -> DataFrame:
+    """(sheet, sub_idx, label, start, end, hint, judged): the column regions of each sheet, by the first signal that it has.
+
+    The signals, in this order: hints that say where a header is; split columns of borders, two or more regions; other
+    hints; two or more blank columns before one with content, in four or more; a repeated header; nothing, one region.
+    hint is a struct of the rows that a hint names, judged says that the region is a hint's own.  Where borders part a sheet,
+    a hint lends its label and rows to the border region with which it has most columns in common.
+    """
+    cells = F.col("cells")
+    widths = rows.groupBy("sheet").agg(F.max(F.size(cells)).alias("width"))
+    row_of = "struct<header_start: int, header_end: int, data_start: int>"
+    nothing = F.lit(None).cast(row_of).alias("hint")
+    found = []
+
+    def parted(splits: DataFrame, rank: int) -> DataFrame:
+        own = regions_of_splits(splits, widths.join(splits.select("sheet").distinct(), "sheet"))
+        named = F.concat(F.lit("p"), (F.col("sub_idx") + 1).cast("string"))
+        return own.select(F.lit(rank).alias("rank"), "sheet", "sub_idx", named.alias("label"), "start", "end", nothing, F.lit(False).alias("judged"))
+
+    if hints is not None:
+        at = F.struct(*(F.col(c).cast("int").alias(c) for c in ("header_start", "header_end", "data_start")))
+        start = F.greatest(F.least(F.coalesce("col_start", F.lit(0)), F.col("width") - 1), F.lit(0))
+        end = F.least(F.coalesce(F.col("col_end"), F.col("width") - 1), F.col("width") - 1)
+        given = hints.join(widths.where("width > 0"), "sheet").withColumn("hint", at).withColumn("start", start)
+        given = given.withColumn("end", F.greatest(end, F.col("start"))).withColumn("named", F.coalesce("label", F.concat(F.lit("p"), (F.col("sub_idx") + 1).cast("string"))))
+        told = F.max(F.coalesce("header_start", "header_end", "data_start").isNotNull().cast("int")).over(layout.whole()) == 1
+        found.append(given.select(F.when(told, 0).otherwise(2).alias("rank"), "sheet", "sub_idx", F.col("named").alias("label"), "start", "end", "hint", F.lit(True).alias("judged")))
+    if split_cols is not None:
+        own = parted(split_cols, 1)
+        if hints is not None:
+            met = ranges.best_overlap(own.select("sheet", "start", "end"), given.select("sheet", "start", "end", F.struct("sub_idx", "label", "hint").alias("hint")))
+            met = met.select("sheet", "start", "end", F.col("hint.label").alias("given_label"), F.col("hint.hint").alias("given"))
+            own = own.join(met, ["sheet", "start", "end"], "left").withColumn("label", F.coalesce("given_label", "label")).withColumn("hint", F.coalesce("given", "hint")).drop("given_label", "given")
+        found.append(own)
+    wide = widths.where(F.col("width") >= 4).select("sheet")
+    gaps = ranges.blank_runs(ranges.blank_columns(grid.to_cells(rows.join(wide, "sheet", "left_semi"))))
+    found.append(parted(gaps, 3))
+    found.append(parted(ranges.repeated_header(rows.withColumn("row_idx", F.col("row_idx") - F.col("trim_start")) if "trim_start" in rows.columns else rows).select("sheet", F.col("split_col").alias("col_idx")), 4))
+    one = widths.where("width > 0").select(F.lit(5).alias("rank"), "sheet", F.lit(0).alias("sub_idx"), F.lit("whole").alias("label"), F.lit(0).alias("start"), (F.col("width") - 1).alias("end"), nothing, F.lit(False).alias("judged"))
+    every = one
+    for signal in found:
+        every = every.unionByName(signal)
+    best = every.withColumn("best", F.min("rank").over(layout.whole()))
+    return best.where(F.col("rank") == F.col("best")).drop("rank", "best")
 
 
 def worth_keeping(names: DataFrame, counts: DataFrame) -> DataFrame:
@@ -56,9 +103,8 @@ def subtable_totals(counts: DataFrame) -> DataFrame:
 def begins_of_subtables(rows: DataFrame, splits: DataFrame) -> DataFrame:
     """(sheet, split, data_start): after each split row, the first row that is no blank, footnote, title, header or category."""
     cells = F.col("cells")
-    parts = rows.join(splits, "sheet").where(F.col("row_idx") > F.col("split"))
-    ahead = F.min(F.col("split")).over(W.partitionBy("sheet", "row_idx").orderBy(F.desc("split")).rowsBetween(W.unboundedPreceding, -1))
-    own = parts.withColumn("later", ahead).where(F.col("later").isNull())  # of the nearest split above
     lone = p.n_filled(cells) == 1
     data = ~p.is_blank(cells) & ~p.is_footnote(cells) & ~p.is_title(cells) & ~lone & ~p.is_header_like(cells)
-    return own.groupBy("sheet", "split").agg(F.min(F.when(data, F.col("row_idx"))).alias("data_start"))
+    marked = rows.select("sheet", "row_idx", data.alias("data")).join(splits.select("sheet", F.col("split").alias("row_idx"), F.col("split").alias("own")).distinct(), ["sheet", "row_idx"], "left")
+    held = marked.withColumn("split", F.last("own", ignorenulls=True).over(layout.above())).where(F.col("split").isNotNull())
+    return held.groupBy("sheet", "split").agg(F.min(F.when(F.col("data"), F.col("row_idx"))).alias("data_start"))

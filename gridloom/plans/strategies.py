@@ -1,99 +1,245 @@
-"""Strategies: grids of many sheets at once to relations in long form, (sheet, row_no, cells) with header names beside them."""
+"""Strategies: grids of many sheets at once to relations in long form, (sheet, sub_idx, label, names, row_no, cells).
+
+Rows are (sheet, row_idx, cells) and, where borders are known, ``border`` and the columns of borders.row_edges; split
+columns and hints go with them in ``Extras``.  names are those of the cells of each row's own sub-table.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gridloom.functions import text as t
-from gridloom.operators import fill, grid, naming, pairs, ranges
+from gridloom.operators import fill, grid, headers, layout, pairs, ranges, regions, subtables
 from gridloom.operators import predicates as p
+from gridloom.session import cut
 
-Strategy = Callable[[DataFrame], DataFrame]
 
+@dataclass
+class Extras:
+    """What a decision or the borders add to a sheet's rows; each may be missing.
 
-def _numbered(rows: DataFrame, keys: tuple[str, ...] = ("sheet",)) -> DataFrame:
-    return rows.withColumn("row_no", F.row_number().over(W.partitionBy(*keys).orderBy("row_idx")).cast("long"))
+    split_cols: (sheet, col_idx), columns that a border says open a region.  hints: (sheet, sub_idx, label, col_start,
+    col_end, header_start, header_end, data_start, data_end), regions of a decision, any of these NULL; col_end included,
+    data_end not, rows counted in the sheet as it is.  advised: (sheet, sub_idx, advised array<string>, confidence).
+    """
 
+    split_cols: DataFrame | None = None
+    hints: DataFrame | None = None
+    advised: DataFrame | None = None
 
-def _cleaned(rows: DataFrame) -> DataFrame:
-    return rows.withColumn("cells", F.transform("cells", t.clean))
+    def keyed_names(self) -> DataFrame | None:
+        return None if self.advised is None else layout.by_subtable(self.advised)
 
 
-def standard(rows: DataFrame) -> DataFrame:
-    """Row 0 is the header; data up to the first footnote."""
-    return _numbered(_cleaned(ranges.stop_at_footnote(rows.where(F.col("row_idx") > 0))))
+Strategy = Callable[..., DataFrame]
+OUT = ("sheet", "sub_idx", "label", "names", "row_no", "cells")
 
 
-def simple_header(rows: DataFrame) -> DataFrame:
-    """Blank ends and footnotes go; the row before the data is the header; first cells are filled down; blank rows go."""
-    part = ranges.truncate_footnotes(grid.trim_blank_rows(rows))
-    start = ranges.data_start(part).withColumn("header", F.greatest(F.col("data_start") - 1, F.lit(0)))
-    heads = part.join(start, "sheet")
-    width = heads.where(F.col("row_idx") == F.col("header")).select("sheet", p.n_filled(F.col("cells")).alias("width"))
-    body = fill.forward_fill(heads.where(F.col("row_idx") > F.col("header")).where(~p.is_blank(F.col("cells"))).select("sheet", "row_idx", "cells"))
-    merged = _cleaned(body).join(width, "sheet").withColumn("cells", p.merge_thousands(F.col("cells"), F.col("width")))
-    return _numbered(merged.withColumn("cells", F.slice("cells", 1, F.col("width")))).drop("width")
+def _whole(rows: DataFrame, names: Column) -> DataFrame:
+    """One relation a sheet, its rows numbered from 1."""
+    row_no = F.row_number().over(W.partitionBy("sheet").orderBy("row_idx")).cast("long")
+    return rows.select("sheet", F.lit(0).alias("sub_idx"), F.lit("p1").alias("label"), names.alias("names"), row_no.alias("row_no"), "cells")
 
 
-def multi_header(rows: DataFrame) -> DataFrame:
-    """Data from its start on, categories pushed down and first cells filled; names come from header_names."""
-    part = grid.trim_blank_columns(ranges.truncate_footnotes(grid.trim_blank_rows(rows)))
-    body = part.join(ranges.data_start(part), "sheet").where(F.col("row_idx") >= F.greatest(F.col("data_start"), F.lit(0))).select("sheet", "row_idx", "cells")
-    filled = fill.forward_fill(fill.push_down_categories(body)).where(~p.is_blank(F.col("cells")))
-    return _numbered(_cleaned(filled))
+def _header_names(condition: Column) -> Column:
+    """The names of a sheet's one header row, told to all its rows (no work if nobody asks for them)."""
+    return F.max(F.when(condition, headers.block_names(F.array("cells"), F.lit(False)))).over(layout.whole())
 
 
-def header_names(rows: DataFrame) -> DataFrame:
-    """(sheet, pos, name, unique_name): the header block above the data, merged by column and made unique."""
-    part = grid.trim_blank_columns(ranges.truncate_footnotes(grid.trim_blank_rows(rows)))
-    end = ranges.data_start(part).select("sheet", F.greatest(F.col("data_start") - 1, F.lit(0)).alias("header_end"))
-    block = ranges.header_start_from_end(part, ranges.retreat_header(part, end))
-    cells = grid.to_cells(part.join(block, "sheet").where(F.col("row_idx").between(F.col("header_start"), F.col("header_end"))).select("sheet", "row_idx", "cells"))
-    return naming.unique_names(naming.merged_header(cells).withColumnRenamed("col_idx", "pos"))
+def standard(rows: DataFrame, extras: Extras | None = None) -> DataFrame:
+    """Row 0 is the header; data up to the first footnote; cells as many as the header's."""
+    named = rows.withColumn("names", _header_names(F.col("row_idx") == 0)).withColumn("width", F.max(F.when(F.col("row_idx") == 0, F.size("cells"))).over(layout.whole()))
+    body = ranges.stop_at_footnote(named.where(F.col("row_idx") > 0))
+    cells = F.transform(F.sequence(F.lit(0), F.col("width") - 1), lambda i: t.clean(F.get("cells", i)))
+    return _whole(body.where(F.col("width") > 0).withColumn("cells", cells), headers.distinct_names(F.col("names")))
 
 
-def horizontal_split(rows: DataFrame) -> DataFrame:
-    """Side-by-side tables, one for each island of columns: (sheet, sub_idx, row_no, cells)."""
-    islands = ranges.column_islands(ranges.blank_columns(grid.to_cells(rows)))
-    sub = F.row_number().over(W.partitionBy("sheet").orderBy("start")) - 1
-    parts = rows.join(islands.withColumn("sub_idx", sub), "sheet").withColumn("cells", F.slice("cells", F.col("start") + 1, F.col("end") - F.col("start") + 1))
-    body = parts.where((F.col("row_idx") > 0) & ~p.is_blank(F.col("cells"))).select("sheet", "sub_idx", "row_idx", "cells")
-    return _numbered(_cleaned(body), ("sheet", "sub_idx"))
-
-
-def vertical_subtable(rows: DataFrame) -> DataFrame:
-    """Stacked tables, one after each split: (sheet, sub_idx, row_no, cells).
-
-    Each goes without the rows before its own data, the footnotes at its end, and blank rows.  Where no row looks like data,
-    it starts after the first row of several cells that is no title.
+def simple_header(rows: DataFrame, extras: Extras | None = None) -> DataFrame:
+    """Blank ends and footnotes go; the row before the data is the header; first cells are filled down; blank rows go."""
+    cells = F.col("cells")
+    told = layout.with_data_start(layout.prepared(rows.select("sheet", "row_idx", "cells")))
+    header = F.col("row_idx") == F.greatest(F.col("data_start") - 1, F.col("trim_start"))
+    told = told.withColumn("is_header", header).withColumn("width", F.max(F.when(header, p.n_filled(cells))).over(layout.whole())).withColumn("names", _header_names(header))
+    under = (F.col("row_idx") > F.greatest(F.col("data_start") - 1, F.col("trim_start"))) & ~p.is_blank(cells)
+    body = fill.forward_fill(told.where(under))
+    cleaned = body.withColumn("cells", F.transform("cells", t.clean))
+    merged = cleaned.withColumn("cells", F.slice(p.merge_thousands(cells, F.col("width")), 1, F.col("width")))
+    return _whole(merged, headers.distinct_names(F.slice("names", 1, F.greatest(F.col("width"), F.lit(0)))))
+
+
+def multi_header(rows: DataFrame, extras: Extras | None = None) -> DataFrame:
+    """A header of several rows over the data, and further tables under it.
+
+    The header ends where borders say, else where its texts end, rows of units (several cells, none of them the first)
+    under it included; data that begins before that cuts it short.  Tables after a gap have their own header, or the last
+    one's.
     """
-    splits = ranges.vertical_splits(rows).withColumn("is_split", F.lit(1))
-    w = ranges.sheet_window()
-    marked = rows.join(splits.withColumnRenamed("split", "row_idx"), ["sheet", "row_idx"], "left")
+    extras = extras or Extras()
+    told = layout.with_header_range(layout.with_data_start(layout.prepared(rows, columns=True)))
+    if "is_solid" in rows.columns:
+        told = layout.with_start_above(layout.with_border_header(_bounded(told)), "border_end", "border_start")
+        told = told.withColumn("header_start", F.coalesce("border_start", "header_start")).withColumn("header_end", F.coalesce("border_end", "header_end"))
+    units = t.blank(F.get("cells", F.lit(0))) & (p.n_filled(F.col("cells")) > 1) & (F.col("row_idx") > F.col("header_end")) & (F.col("row_idx") < F.col("data_start"))
+    told = told.withColumn("header_end", F.coalesce(F.max(F.when(units, F.col("row_idx"))).over(layout.whole()), F.col("header_end")))
+    early = (F.col("data_start") >= 0) & (F.col("data_start") <= F.col("header_end"))
+    first = F.when(early, F.col("data_start")).otherwise(F.col("header_end") + 1)
+    told = told.withColumn("data_start", F.greatest(first, F.lit(0))).withColumn("header_end", F.greatest(F.col("data_start") - 1, F.col("trim_start")))
+    told = told.withColumn("header_start", F.greatest(F.least("header_start", "header_end"), F.col("trim_start")))
+    keep = [c for c in ("border",) if c in rows.columns]
+    return _stacked(told.select("sheet", "row_idx", "cells", *keep, "header_start", "header_end", "data_start"), extras)
+
+
+def _bounded(rows: DataFrame) -> DataFrame:
+    from gridloom.operators import borders
+
+    return rows.withColumn("boundary", borders.is_boundary(F.col("bottom_ratio"), F.col("is_solid"), F.col("is_dash")))
+
+
+def _stacked(told: DataFrame, extras: Extras) -> DataFrame:
+    """Reads rows told where their sheet's header and data are; further tables begin after gaps under the header."""
+    under = told.where(F.col("row_idx") >= F.col("data_start"))
+    splits = ranges.vertical_splits(under.select("sheet", "row_idx", "cells")).select("sheet", F.col("split").alias("row_idx"), F.lit(1).alias("begin"))
     cells = F.col("cells")
-    numbered = marked.withColumn("sub_idx", F.sum(F.coalesce("is_split", F.lit(0))).over(w.rowsBetween(W.unboundedPreceding, W.currentRow)))
-    parts = ranges.truncate_footnotes(numbered.select(F.struct("sheet", "sub_idx").alias("sheet"), "row_idx", "cells"))
-    head = parts.groupBy("sheet").agg(F.min(F.when((p.n_filled(cells) > 1) & ~p.is_title(cells), F.col("row_idx"))).alias("head"))
-    begin = F.when(F.col("data_start") >= 0, F.col("data_start")).otherwise(F.coalesce(F.col("head") + 1, F.lit(0)))
-    body = parts.join(ranges.data_start(parts), "sheet").join(head, "sheet").where((F.col("row_idx") >= begin) & ~p.is_blank(cells))
-    return _numbered(_cleaned(body.select("sheet.sheet", "sheet.sub_idx", "row_idx", "cells")), ("sheet", "sub_idx"))
-
+    marked = told.join(splits, ["sheet", "row_idx"], "left").withColumn("sub_idx", F.sum(F.coalesce("begin", F.lit(0))).over(layout.down()).cast("int"))
+    like = p.is_header_like(cells)
+    data = ~p.is_blank(cells) & ~p.is_footnote(cells) & (p.n_filled(cells) > 1) & ~p.is_title(cells) & ~like
+    marked = marked.withColumn("like", like).withColumn("is_data", data)
+    by = marked.groupBy("sheet", "sub_idx").agg(
+        F.min("header_start").alias("h0"), F.min("header_end").alias("h1"), F.min("data_start").alias("d0"), F.min(F.when(F.col("is_data"), F.col("row_idx"))).alias("d1"),
+        F.min(F.when(F.col("like"), F.col("row_idx"))).alias("begin"), (F.max("row_idx") + 1).alias("data_end"),
+    )
+    zero, own = F.col("sub_idx") == 0, F.col("begin") < F.coalesce("d1", F.col("data_end"))
+    found = by.select(
+        "sheet", "sub_idx", F.concat(F.lit("p"), (F.col("sub_idx") + 1).cast("string")).alias("label"),
+        F.when(zero, F.col("h0")).otherwise(F.when(own, F.col("begin"))).alias("header_start"),
+        F.when(zero, F.col("h1")).otherwise(F.when(own, F.coalesce("d1", F.col("data_end")) - 1)).alias("header_end"),
+        F.when(zero, F.col("d0")).otherwise(F.coalesce("d1", F.col("data_end"))).alias("data_start"), "data_end",
+    )
+    keep = [c for c in ("border",) if c in told.columns]
+    regions_found = cut(subtables.inherited(found).drop("many"))  # a row a sub-table
+    parts = cut(subtables.regions_of_rows(told.select("sheet", "row_idx", "cells", *keep), regions_found))
+    return subtables.read_out(parts, subtables.named_rows(parts, advised=extras.keyed_names()))
 
-def paired_row_bilingual(rows: DataFrame) -> DataFrame:
-    """Records of several rows under a header row, folded into one: main cells, then each column's continuations.
 
-    Each sheet is folded by its own span, as the scores of its rows tell, and over its whole width.
+def header_names(rows: DataFrame) -> DataFrame:
+    """(sheet, pos, name, unique_name): the header block above the data, merged by column and made unique."""
+    told = layout.with_data_start(layout.prepared(rows.select("sheet", "row_idx", "cells"), columns=True))
+    told = told.withColumn("end", F.greatest(F.col("data_start") - 1, F.col("trim_start")))
+    told = layout.with_start_above(told, "end", "start").where(F.col("row_idx").between(F.col("start"), F.col("end")))
+    block = F.transform(F.array_sort(F.collect_list(F.struct("row_idx", "cells"))), lambda r: r.cells)
+    made = told.groupBy("sheet").agg(block.alias("block")).select("sheet", headers.block_names(F.col("block"), F.lit(False)).alias("names"))
+    both = made.select("sheet", F.posexplode(F.arrays_zip("names", headers.distinct_names(F.col("names")).alias("unique"))).alias("pos", "n"))
+    return both.select("sheet", "pos", F.col("n.names").alias("name"), F.col("n.unique").alias("unique_name"))
+
+
+def horizontal_split(rows: DataFrame, extras: Extras | None = None) -> DataFrame:
+    """Side-by-side tables, each with its own header.
+
+    A sheet's regions are, in this order: a decision's that say where headers are; what borders part; any other ones of a
+    decision, which otherwise name the border's regions that they cover most; what two blank columns or more part; what a
+    header that says its own beginning again parts; the whole sheet.  Blank columns at a region's sides go.  A region's
+    header is the decision's, or ends at the widest gap between the first borders, or is found by content.  Of a decision's
+    regions those worth keeping stay (two rows, and 30 % of names of their own).
     """
-    under = rows.where(F.col("row_idx") > 0).withColumn("row_idx", F.col("row_idx") - 1)
+    extras = extras or Extras()
+    part = layout.prepared(rows)
+    found = cut(regions.side_by_side(part, extras.split_cols, extras.hints))  # a row a region
+    sliced = regions.trim_sides(regions.sliced(part, found), ("sheet", "sub_idx")).drop("left")
+    told = layout.with_header_range(layout.with_data_start(layout.by_subtable(sliced)))
+    if "border" in rows.columns:
+        told = layout.with_border_header(told.withColumn("boundary", F.col("border")), first=15, most=9)
+        told = layout.with_start_above(told, "border_end", "border_start", supplements=False)
+    else:
+        told = told.withColumn("border_end", F.lit(None).cast("int")).withColumn("border_start", F.lit(None).cast("int"))
+    hint_end = F.when(F.col("hint.data_start") > 0, F.least(F.coalesce("hint.header_end", F.col("hint.data_start") - 1), F.col("hint.data_start") - 1)).otherwise(F.col("hint.header_end"))
+    hinted = F.col("hint.header_start").isNotNull() & hint_end.isNotNull()
+    end = F.when(hinted, hint_end).otherwise(F.coalesce("border_end", "header_end"))
+    start = F.when(hinted, F.col("hint.header_start")).otherwise(F.coalesce("border_start", "header_start"))
+    told = told.withColumn("h1", F.greatest(end, F.col("trim_start"))).withColumn("h0", F.greatest(F.least(start, F.col("h1")), F.col("trim_start")))
+    first = F.when((F.col("data_start") >= 0) & (F.col("data_start") <= F.col("h1")), F.col("data_start")).otherwise(F.col("h1") + 1)
+    keep = [c for c in ("border",) if c in rows.columns]
+    both = F.array(F.when(F.col("row_idx").between(F.col("h0"), F.col("h1")), "header"), F.when(F.col("row_idx") >= first, "data"))
+    parts = cut(told.withColumn("first", first).select("sheet", "row_idx", "cells", *keep, "label", "judged", F.explode(F.array_compact(both)).alias("kind")))
+    out = subtables.read_out(parts.drop("judged"), subtables.named_rows(parts, advised=extras.keyed_names()), drop_blank=True)
+    if extras.hints is None:
+        return out
+    judged = layout.of_sheet(parts.where("judged").select("sheet").distinct())
+    counts = out.groupBy("sheet", "sub_idx").agg(F.count(F.lit(1)).alias("n_rows"), F.first("names").alias("names"))
+    names = counts.select("sheet", "sub_idx", F.explode("names").alias("name"))
+    poor = judged.join(regions.worth_keeping(names, counts), ["sheet", "sub_idx"], "left_anti")
+    return out.join(poor, ["sheet", "sub_idx"], "left_anti")
+
+
+def vertical_subtable(rows: DataFrame, extras: Extras | None = None) -> DataFrame:
+    """Stacked tables, each with its own header or the last one's: a decision's regions, else those that borders and content show.
+
+    A sheet with less than two is read as one table with a multi-row header.
+    """
+    extras = extras or Extras()
+    part = layout.prepared(rows)
+    found = cut(subtables.vertical_regions(part))  # a row a sub-table
+    if extras.hints is not None:
+        given = cut(_given(part, extras.hints))
+        found = given.unionByName(found.join(given.select("sheet").distinct(), "sheet", "left_anti"))
+    keep = [c for c in ("border",) if c in rows.columns]
+    parts = cut(subtables.regions_of_rows(part.select("sheet", "row_idx", "cells", *keep), found))
+    out = subtables.read_out(parts, subtables.named_rows(parts, advised=extras.keyed_names()))
+    rest = rows.join(found.select("sheet").distinct(), "sheet", "left_anti")
+    return out.unionByName(multi_header(rest, extras))
+
+
+def _given(part: DataFrame, hints: DataFrame) -> DataFrame:
+    """A decision's stacked regions, each with a header (the last one's, if it has none) and its data up to the next one."""
+    ends = part.groupBy("sheet").agg((F.max("row_idx") + 1).alias("n"))
+    w = W.partitionBy("sheet").orderBy("sub_idx")
+    known = hints.where(F.coalesce("data_start", "header_end").isNotNull()).join(ends, "sheet")
+    start = F.coalesce("data_start", F.col("header_end") + 1)
+    head_end = F.least(F.coalesce("header_end", F.when(F.col("header_start").isNotNull(), start - 1)), start - 1)
+    following = F.lead(F.coalesce("header_start", start)).over(w)
+    made = known.select(
+        "sheet", "sub_idx", F.coalesce(ranges.label(F.col("label")), F.concat(F.lit("p"), (F.col("sub_idx") + 1).cast("string"))).alias("label"),
+        F.when(head_end.isNotNull(), F.coalesce("header_start", head_end)).alias("header_start"), head_end.alias("header_end"), start.alias("data_start"),
+        F.least(F.coalesce("data_end", following, "n"), F.col("n")).alias("data_end"),
+    )
+    return subtables.inherited(made).drop("many")
+
+
+def paired_row_bilingual(rows: DataFrame, extras: Extras | None = None) -> DataFrame:
+    """Records of several rows under a header row, folded into one: main cells, then those columns' continuations that have any.
+
+    The header is where borders say, else the first row of texts under the titles.  Each sheet is folded by its own span,
+    as the scores of its rows tell.  Continuations are called after their column, with 续 behind.
+    """
+    told = layout.prepared(rows)
+    head = headers.paired_header(told).select("sheet", "header_row")
+    told = told.join(head, "sheet")
+    if "is_solid" in rows.columns:
+        told = layout.with_border_header(_bounded(told)).withColumn("header_row", F.coalesce("border_end", "header_row"))
+    name_of = headers.block_names(F.array("cells"), F.lit(False))
+    named = told.withColumn("names", F.max(F.when(F.col("row_idx") == F.col("header_row"), name_of)).over(layout.whole()))
+    filled = fill.forward_fill(named.where(F.col("row_idx") > F.col("header_row")))
+    width = F.size("names")
+    under = filled.select("sheet", (F.col("row_idx") - F.col("header_row") - 1).alias("row_idx"), F.transform(F.sequence(F.lit(0), width - 1), lambda i: F.get("cells", i)).alias("cells"), "names")
     spans = pairs.record_span(pairs.record_span_scores(under))
-    return _numbered(pairs.fold_each(fill.forward_fill(under).join(spans, "sheet")).withColumnRenamed("rec", "row_idx"))
-
-
-#: By name; a new one is a callable from grid rows to a relation.
+    spanned = under.join(spans, "sheet")
+    folded = pairs.fold_each(spanned.drop("names"))
+    more = pairs.continuations(spanned)
+    facts = named.where(F.col("row_idx") == F.col("header_row")).select("sheet", headers.distinct_names(F.col("names")).alias("names")).join(more, "sheet", "left")
+    facts = facts.withColumn("more", F.coalesce("more", F.array().cast("array<int>")))
+    longer = F.transform("more", lambda i: F.concat(F.get("names", i), F.lit("_续")))
+    facts = facts.select("sheet", "more", width.alias("width"), pairs.unique_after(F.col("names"), longer).alias("names"))
+    joined = folded.join(facts, "sheet")
+    own = F.concat(F.slice("cells", F.lit(1), F.col("width")), F.transform("more", lambda i: F.get("cells", F.col("width") + i)))
+    kept = joined.withColumn("cells", own).where(~p.is_blank(F.col("cells"))).withColumnRenamed("rec", "row_idx")
+    return _whole(kept, F.col("names"))
+
+
+#: By name; a new one is a callable from grid rows and extras to a relation.
 REGISTRY: dict[str, Strategy] = {f.__name__: f for f in (standard, simple_header, multi_header, horizontal_split, vertical_subtable, paired_row_bilingual)}
 
 
@@ -103,7 +249,7 @@ def get(name: str) -> Strategy:
     return REGISTRY[name]
 
 
-def run_all(rows: DataFrame, decisions: DataFrame) -> dict[str, DataFrame]:
+def run_all(rows: DataFrame, decisions: DataFrame, extras: Extras | None = None) -> dict[str, DataFrame]:
     """One relation for each strategy that the decisions (sheet, strategy) name, over all its sheets at once."""
     used = [r[0] for r in decisions.where(F.col("strategy").isin(*REGISTRY)).select("strategy").distinct().collect()]  # six at most
-    return {name: get(name)(rows.join(decisions.where(F.col("strategy") == name).select("sheet"), "sheet", "left_semi")) for name in sorted(used)}
+    return {name: get(name)(rows.join(decisions.where(F.col("strategy") == name).select("sheet"), "sheet", "left_semi"), extras) for name in sorted(used)}

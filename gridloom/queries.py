@@ -387,8 +387,9 @@ def border_col_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""
 WITH s AS ({_edge_sql("l_linenumber", "l_orderkey").format(name="col_idx")})
-SELECT DISTINCT sheet, col_idx FROM (SELECT *, lag(ratio) OVER (PARTITION BY sheet ORDER BY col_idx) AS before FROM s)
-WHERE (is_dash AND ratio >= 0.3) OR (ratio < 0.3 AND before > 0.5)
+SELECT DISTINCT sheet, col_idx FROM (SELECT *, lag(ratio) OVER w AS before, count(*) OVER (PARTITION BY sheet) AS n,
+  arg_min(ratio, col_idx) FILTER (WHERE ratio >= 0.3) OVER (PARTITION BY sheet ORDER BY col_idx ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS after FROM s WINDOW w AS (PARTITION BY sheet ORDER BY col_idx))
+WHERE (is_dash AND ratio >= 0.3) OR (n >= 4 AND ratio < 0.3 AND before > 0.5 AND coalesce(after, 1) > 0.5)
 """)
 def border_split_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return borders.split_columns(borders.edge_stats(edges(spark, sf_dir), "col_idx", "edge"))
@@ -509,19 +510,51 @@ def fuse_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat(read(spark, sf_dir, "part").select("p_partkey", fused.alias("cells")), 2, "p_partkey")
 
 
-@query("SELECT p_partkey, 'size_' || p_size AS name, 'size_' || p_size AS kept FROM part")
+@query(r"""
+WITH n AS (SELECT p_partkey, p_name,
+  CASE p_partkey % 5 WHEN 0 THEN '第' || p_size || '组' || (p_partkey % 7) || '班' WHEN 1 THEN (1950 + p_size) || ' ' || (2000 + p_size % 9) || CASE WHEN p_size % 2 = 0 THEN '产量' ELSE '人口' END
+    WHEN 2 THEN '人口' || (1990 + p_size) WHEN 3 THEN p_name ELSE '规格' || p_size || '号' || (p_size + 3) END AS src,
+  CASE p_partkey % 6 WHEN 0 THEN 'class_' || (p_partkey % 9) || '_group' WHEN 1 THEN 'growth_' || (1951 + p_size) || '_x' WHEN 2 THEN replace(p_name, ' ', '_') || '_' WHEN 3 THEN 'Pop_' || (1990 + p_size) || '_v2' WHEN 4 THEN 'size_' || p_size ELSE '_' || p_size || 'a' || p_size || 'b7' END AS en FROM part),
+w AS (SELECT *, regexp_extract_all(src, '\d+') AS w, regexp_extract_all(en, '\d+') AS f, string_split_regex(en, '\d+') AS gaps FROM n),
+k AS (SELECT *, list_filter(w, lambda x: length(x) = 4) AS years, regexp_extract(en, '^([a-z_]+?)_?\d', 1) AS letters, CASE WHEN trim(regexp_replace(src, '\d+', '', 'g')) = '产量' THEN 'output' ELSE 'col' END AS part FROM w)
+SELECT p_partkey, CASE WHEN len(w) = 0 THEN en
+  WHEN len(years) > 0 AND len(list_filter(years, lambda y: contains(en, y))) = 0 THEN array_to_string(list_filter(list_concat([CASE WHEN letters = '' THEN part ELSE rtrim(letters, '_') END], w), lambda x: x <> ''), '_')
+  WHEN len(f) = 0 THEN rtrim(en, '_') || '_' || array_to_string(w, '_')
+  WHEN len(f) >= len(w) THEN array_to_string(list_transform(gaps, lambda g, i: g || coalesce(w[i], f[i], '')), '')
+  ELSE list_reduce(list_concat([en], w), lambda a, x: CASE WHEN contains(a, x) THEN a ELSE rtrim(a, '_') || '_' || x END) END AS name FROM k
+""")
 def numeric_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
-    source = F.concat(F.lit("规格"), F.col("p_size").cast("string"))
-    right = F.concat(F.lit("size_"), F.col("p_size").cast("string"))
-    return read(spark, sf_dir, "part").select("p_partkey", naming.repair_digits(source, F.lit("size_77")).alias("name"), naming.repair_digits(source, right).alias("kept"))
+    key, size = F.col("p_partkey"), F.col("p_size")
+    text = lambda *parts: F.concat(*(F.lit(x) if isinstance(x, str) else x.cast("string") for x in parts))
+    source = (
+        F.when(key % 5 == 0, text("第", size, "组", key % 7, "班")).when(key % 5 == 1, text(size + 1950, " ", size % 9 + 2000, F.when(size % 2 == 0, "产量").otherwise("人口")))
+        .when(key % 5 == 2, text("人口", size + 1990)).when(key % 5 == 3, F.col("p_name")).otherwise(text("规格", size, "号", size + 3))
+    )
+    english = (
+        F.when(key % 6 == 0, text("class_", key % 9, "_group")).when(key % 6 == 1, text("growth_", size + 1951, "_x")).when(key % 6 == 2, text(F.replace("p_name", F.lit(" "), F.lit("_")), "_"))
+        .when(key % 6 == 3, text("Pop_", size + 1990, "_v2")).when(key % 6 == 4, text("size_", size)).otherwise(text("_", size, "a", size, "b7"))
+    )
+    return read(spark, sf_dir, "part").select("p_partkey", naming.repair_digits(source, english).alias("name"))
 
 
-@query("SELECT c_custkey, CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') THEN 'population_growth' WHEN c_mktsegment = 'HOUSEHOLD' THEN 'total_population' ELSE 'x_' || lower(c_mktsegment) END AS name FROM customer")
+@query(rf"""
+WITH m AS (SELECT unnest({list(naming.KEYWORDS)}) AS k, unnest({list(naming.KEYWORDS.values())}) AS v, unnest(range({len(naming.KEYWORDS)})) AS pos),
+n AS (SELECT p_partkey, (SELECT k FROM m WHERE pos = p_size % 31) || CASE p_partkey % 3 WHEN 0 THEN '' WHEN 1 THEN '_' || (SELECT k FROM m WHERE pos = p_partkey % 31) ELSE (1980 + p_size)::VARCHAR END AS src,
+  CASE p_partkey % 4 WHEN 0 THEN 'Total_' || (SELECT v FROM m WHERE pos = p_size % 31) WHEN 1 THEN 'x_' || (1980 + p_size) WHEN 2 THEN 'something_of_' || p_partkey || '_detail' ELSE lower(split_part(p_name, ' ', 1)) END AS en FROM part),
+h AS (SELECT p_partkey, list(v ORDER BY pos) AS parts FROM n JOIN m ON contains(src, k) OR contains(replace(src, '_', ''), k) GROUP BY p_partkey),
+w AS (SELECT n.*, coalesce(parts, []) AS parts, regexp_extract_all(src, '\d+') AS num FROM n LEFT JOIN h ON n.p_partkey = h.p_partkey)
+SELECT p_partkey, CASE WHEN len(list_filter(num, lambda x: contains(en, x))) > 0 OR len(parts) = 0 OR len(list_filter(parts, lambda x: contains(lower(en), x))) > 0
+  OR (length(en) >= 15 AND length(en) - length(replace(en, '_', '')) >= 2) THEN en ELSE array_to_string(list_concat(parts, list_filter(num, lambda x: NOT contains(en, x))), '_') END AS name FROM w
+""")
 def semantic_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
-    segment = F.col("c_mktsegment")
-    source = F.when(segment.isin("BUILDING", "MACHINERY"), "人口增长").when(segment == "HOUSEHOLD", "人口").otherwise("其他")
-    english = F.when(segment == "HOUSEHOLD", "total_population").otherwise(F.concat(F.lit("x_"), F.lower(segment)))
-    return read(spark, sf_dir, "customer").select("c_custkey", naming.repair_meaning(source, english, {"人口": "population", "增长": "growth"}).alias("name"))
+    key, size = F.col("p_partkey"), F.col("p_size")
+    word, english_word = (F.array(*map(F.lit, x)) for x in (naming.KEYWORDS, naming.KEYWORDS.values()))
+    end = F.when(key % 3 == 0, "").when(key % 3 == 1, F.concat(F.lit("_"), F.get(word, (key % 31).cast("int")))).otherwise((size + 1980).cast("string"))
+    english = (
+        F.when(key % 4 == 0, F.concat(F.lit("Total_"), F.get(english_word, size % 31))).when(key % 4 == 1, F.concat(F.lit("x_"), (size + 1980).cast("string")))
+        .when(key % 4 == 2, F.concat(F.lit("something_of_"), key.cast("string"), F.lit("_detail"))).otherwise(F.lower(F.substring_index("p_name", " ", 1)))
+    )
+    return read(spark, sf_dir, "part").select("p_partkey", naming.repair_meaning(F.concat(F.get(word, size % 31), end), english).alias("name"))
 
 
 # --- planning and logging ------------------------------------------------------------------------------------------
@@ -592,7 +625,7 @@ def recovered_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    from gridloom import queries_layout  # noqa: F401  (it adds its own)
+    from gridloom import queries_layout, queries_tables  # noqa: F401  (they add their own)
 
     return dict(QUERIES)
 

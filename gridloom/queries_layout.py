@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from gridloom.operators import borders, headers, ingest_log, ranges, regions
+from gridloom.operators import borders, headers, ingest_log, naming, ranges, regions
 from gridloom.plans import decision
 from gridloom.queries import EVENTS, GAPPED, GRID, _edge_sql, edges, event_rows, gapped, orders_grid, query, read
 
@@ -88,19 +88,19 @@ def paired_header(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 HEADER_CELLS = """
-c AS (SELECT l_orderkey AS sheet, r AS row_idx, l_linenumber AS col_idx, CASE WHEN r = 0 THEN l_returnflag WHEN l_suppkey % 3 > 0 THEN l_linestatus || CAST(l_suppkey % 2 AS VARCHAR) END AS value
-  FROM (SELECT * FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_suppkey, l_partkey) = 1), range(2) t(r)),
+c AS (SELECT l_orderkey AS sheet, r AS row_idx, col_idx, CASE WHEN r = 0 THEN l_returnflag WHEN l_suppkey % 3 > 0 THEN l_linestatus || CAST(l_suppkey % 2 AS VARCHAR) END AS value
+  FROM (SELECT *, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_suppkey, l_partkey, l_extendedprice, l_shipdate) - 1 AS INTEGER) AS col_idx FROM lineitem), range(2) t(r)),
 n AS (SELECT *, CASE WHEN lag(col_idx) OVER w = col_idx - 1 THEN lag(value) OVER w END AS beside FROM c WINDOW w AS (PARTITION BY sheet, row_idx ORDER BY col_idx)),
 m AS (SELECT *, coalesce(value = beside AND max(CASE WHEN value IS NOT NULL AND (beside IS NULL OR beside <> value) THEN 1 END) OVER (PARTITION BY sheet, col_idx ORDER BY row_idx ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) = 1, FALSE) AS repeats FROM n)"""
 
 
 def header_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two header rows of an order's lines: return flags, which neighbours share, and status with a digit, or nothing."""
-    one = F.row_number().over(W.partitionBy("l_orderkey", "l_linenumber").orderBy("l_suppkey", "l_partkey"))
-    lines = read(spark, sf_dir, "lineitem").withColumn("one", one).where("one = 1")
+    number = F.row_number().over(W.partitionBy("l_orderkey").orderBy("l_linenumber", "l_suppkey", "l_partkey", "l_extendedprice", "l_shipdate")) - 1
     low = F.when(F.col("l_suppkey") % 3 > 0, F.concat("l_linestatus", (F.col("l_suppkey") % 2).cast("string")))
     both = F.explode(F.array(F.struct(F.lit(0).alias("row_idx"), F.col("l_returnflag").alias("value")), F.struct(F.lit(1).alias("row_idx"), low.alias("value")))).alias("v")
-    return lines.select(F.col("l_orderkey").alias("sheet"), F.col("l_linenumber").alias("col_idx"), both).select("sheet", "v.row_idx", "col_idx", "v.value")
+    lines = read(spark, sf_dir, "lineitem").withColumn("col_idx", number)
+    return lines.select(F.col("l_orderkey").alias("sheet"), "col_idx", both).select("sheet", "v.row_idx", "col_idx", "v.value")
 
 
 @query(f"WITH {HEADER_CELLS} SELECT sheet, CAST(row_idx AS INTEGER) AS row_idx, col_idx, value, repeats FROM m")
@@ -133,7 +133,7 @@ SELECT c_custkey, CASE c_mktsegment WHEN 'BUILDING' THEN 'price' WHEN 'MACHINERY
 """)
 def header_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     segment, key = F.col("c_mktsegment"), F.col("c_nationkey")
-    part = headers.english_part(F.when(segment == "BUILDING", " 价格 ").when(segment == "MACHINERY", "增长率（）").when(segment == "HOUSEHOLD", "合 计").otherwise("别的"))
+    part = naming.english_part(F.when(segment == "BUILDING", " 价格 ").when(segment == "MACHINERY", "增长率（）").when(segment == "HOUSEHOLD", "合 计").otherwise("别的"))
     base = F.concat(F.lit("ods_"), F.lower(segment), F.when(key % 4 == 0, "").otherwise("x" * 60))
     given = F.when(key % 2 == 0, F.array("c_name", F.lit("b"))).otherwise(F.array("c_name"))
     names = headers.overridden(F.array(F.lit("col_0"), F.lit("col_1")), given)

@@ -168,7 +168,9 @@ def test_records_are_folded_by_their_span_and_width(spark, span):
     found = strategies.run_all(df, spark.createDataFrame([(df.first()["sheet"], "paired_row_bilingual")], "sheet string, strategy string"))
     got = cells(found["paired_row_bilingual"].orderBy("row_no"))
     assert [r[:5] for r in got] == [[f"n{k}", "1", "2", "3", f"x{k}"] for k in range(6)]
-    assert [r[9] for r in got] == [" ".join(f"y{k}{j}" for j in range(1, span)) for k in range(6)]
+    names = found["paired_row_bilingual"].first()["names"]
+    assert names == ["a", "b", "c", "d", "e", "a_续", "e_续"]  # the first cell is filled down before
+    assert [r[6] for r in got] == [" ".join(f"y{k}{j}" for j in range(1, span)) for k in range(6)]
 
 
 def test_log(spark, tmp_path):
