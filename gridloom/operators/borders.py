@@ -118,8 +118,10 @@ def split_columns(columns: DataFrame) -> DataFrame:
 
 
 def pre_classify(rows: DataFrame, columns: DataFrame) -> DataFrame:
-    """(sheet, strategy, confidence): vertical where a dashed row edge follows open rows, else horizontal at a dashed column edge."""
-    vertical = dash_streak(rows).select("sheet").distinct().withColumn("rank", F.lit(0)).withColumn("strategy", F.lit("vertical_subtable"))
-    horizontal = columns.where(F.col("is_dash") & (F.col("ratio") >= 0.3)).select("sheet").distinct().withColumn("rank", F.lit(1)).withColumn("strategy", F.lit("horizontal_split"))
-    both = vertical.unionByName(horizontal).groupBy("sheet").agg(F.min_by("strategy", "rank").alias("strategy"))
-    return both.withColumn("confidence", F.lit(0.9))
+    """(sheet, strategy, confidence, split_col): vertical where a dashed row edge follows open rows, else horizontal at a dashed column
+    edge, the first of which is split_col."""
+    vertical = dash_streak(rows).select("sheet").distinct().select("sheet", F.lit(0).alias("rank"), F.lit("vertical_subtable").alias("strategy"), F.lit(None).cast("int").alias("split_col"))
+    dashed = columns.where(F.col("is_dash") & (F.col("ratio") >= 0.3)).groupBy("sheet").agg(F.min("col_idx").cast("int").alias("split_col"))
+    horizontal = dashed.select("sheet", F.lit(1).alias("rank"), F.lit("horizontal_split").alias("strategy"), "split_col")
+    best = vertical.unionByName(horizontal).groupBy("sheet").agg(F.min(F.struct("rank", "strategy", "split_col")).alias("b"))
+    return best.select("sheet", "b.strategy", F.lit(0.9).alias("confidence"), "b.split_col")

@@ -45,6 +45,14 @@ def group_fill(rows: DataFrame) -> DataFrame:
     return rows.withColumn("only", only).withColumn("cells", filled).drop("only")
 
 
+def fill_down(rows: DataFrame) -> DataFrame:
+    """First cells down their bordered groups (needs border and gid) in sheets with any border, down to all rows below in the others."""
+    bordered = F.max(F.col("border").cast("int")).over(W.partitionBy("sheet")) == 1
+    told = rows.withColumn("bordered", F.coalesce(bordered, F.lit(False)))
+    filled = forward_fill(told.withColumn("own", F.col("cells"))).withColumnsRenamed({"cells": "down"}).withColumnsRenamed({"own": "cells"})
+    return group_fill(filled).withColumn("cells", F.when(F.col("bordered"), F.col("cells")).otherwise(F.col("down"))).drop("down", "bordered")
+
+
 def push_down_categories(rows: DataFrame, blanks: bool = True) -> DataFrame:
     """A row with its first cell only gives that to the next row that is not blank, if that has none.  blanks: whether rows can be blank."""
     cells = F.col("cells")

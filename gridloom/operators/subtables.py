@@ -215,7 +215,7 @@ def read_out(rows: DataFrame, named: DataFrame, drop_blank: bool = False) -> Dat
     if "border" in rows.columns:
         data = fill.bordered_groups(data)
     body = fill.push_down_categories(data.where(~p.is_blank(F.col("cells"))), blanks=False)
-    body = fill.group_fill(body) if "border" in rows.columns else fill.forward_fill(body)
+    body = fill.fill_down(body) if "border" in rows.columns else fill.forward_fill(body)
     names = named.select("sheet", "names").where(F.size("names") > 0)
     fitted = body.join(names, "sheet").select("sheet", "row_idx", "label", "names", F.transform(F.sequence(F.lit(0), F.size("names") - 1), lambda i: t.clean(F.get("cells", i))).alias("cells"))
     if drop_blank:

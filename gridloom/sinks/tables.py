@@ -31,10 +31,11 @@ def comment(text: str, limit: int = 1024) -> str:
     return text.encode()[:limit].decode(errors="ignore")
 
 
-def relation(rows: DataFrame, names: Sequence[str], source_file: str, sheet_name: str, description: str = "") -> DataFrame:
-    """Cells as columns, and where they come from.  Sanitised names come in; a comment keeps the description."""
+def relation(rows: DataFrame, names: Sequence[str], source_file: str, sheet_name: str, description: str = "", comments: Sequence[str] | None = None) -> DataFrame:
+    """Cells as columns, and where they come from.  Sanitised names come in; each column has a comment (its name, if none is given)."""
     width = len(names)
-    columns = [F.get("cells", F.lit(i)).alias(n, metadata={"comment": comment(n)}) for i, n in enumerate(column_names(names))]
+    said = comments or names
+    columns = [F.get("cells", F.lit(i)).alias(n, metadata={"comment": comment(c)}) for i, (n, c) in enumerate(zip(column_names(names), said, strict=True))]
     where = [t.source_file(F.lit(source_file)).alias("_source_file"), F.lit(sheet_name).alias("_sheet_name"), F.col("row_no").cast("int").alias("_row_number")]
     if width > MOST_COLUMNS:
         raise ValueError(f"{width} columns; at most {MOST_COLUMNS} can be loaded")
@@ -46,6 +47,26 @@ def publish(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def publish_table(df: DataFrame, name: str, description: str = "", database: str = "default") -> None:
+    """Replaces a table of the catalogue, with comments on its columns (from their metadata) and on itself.
+
+    Rows are written under a scratch name first, and the table takes the place of the old one only when they are whole: a
+    load that fails leaves the old table as it was.
+    """
+    spark = df.sparkSession
+    scratch, target = (f"{quoted(database)}.{quoted(n)}" for n in (f"{name}__new", name))
+    spark.sql(f"DROP TABLE IF EXISTS {scratch}")
+    df.write.saveAsTable(scratch)
+    if description:
+        spark.sql(f"COMMENT ON TABLE {scratch} IS '{comment(description).translate({39: chr(92) + chr(39), 92: chr(92) * 2})}'")
+    spark.sql(f"DROP TABLE IF EXISTS {target}")
+    spark.sql(f"ALTER TABLE {scratch} RENAME TO {target}")
+
+
 def publish_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str], batch: int = 500) -> None:
     """Replaces a table of a database, in batches; text columns are as wide as their longest value needs."""
     texts = [f.name for f in df.schema.fields if f.dataType.simpleString() == "string"]

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import os
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -16,7 +17,8 @@ os.environ["PYTHONPATH"] = os.pathsep.join([ROOT, *filter(None, [os.environ.get(
 def spark():
     session = (
         SparkSession.builder.master("local[4]").config("spark.sql.shuffle.partitions", "4").config("spark.driver.memory", "4g").config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false").config("spark.sql.session.timeZone", "UTC").getOrCreate()
+        .config("spark.ui.showConsoleProgress", "false").config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="spark-")).getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import json
 import time
 import zipfile
 
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 
 from gridloom import ingest
 from gridloom.operators import ingest_log
+from gridloom.sinks import tables
 from gridloom.sources import files, xlsx
 from gridloom.streaming import workbooks
 
@@ -109,6 +111,70 @@ def test_load(spark, tmp_path):
     assert sorted(r["count"] for r in held) == [3, 3]
 
 
+BOOKS = {
+    "WB1": ([["年份", "地区", "产量"], [2020, "北京", 1234.5], [2021, "上海", 5678.5], [2022, "广州", 999.5]], (), [("p1", ["年份", "地区", "产量"], 3)]),
+    "WB2": ([["测试报表标题", None, None], ["年份", "地区", "产量"], [2020, "北京", 1.5], [2021, "上海", 2.5]], ("A1:C1",), [("p1", ["年份", "地区", "产量"], 2)]),
+    "WB3": ([[None, None], ["年份", "GDP"], [2020, 1000.5], [2021, 1100.7], [None, None], ["资料来源：国家统计局", None], [None, None]], (), [("p1", ["年份", "GDP"], 2)]),
+    "WB4": ([["指标", "1990", "2000"], [None, "万人", "万人"], ["人口", 1100.5, 1200.7], ["GDP", 5000.2, 6000.1], ["农业", 1000.3, 1100.4]], (), [("p1", ["指标", "1990万人", "2000万人"], 3)]),
+    "WB5": ([["年份", "GDP", "人口"], [2020, 1000.5, 14.1], [2021, 1100.7, 14.2], [2022, 1200.5, 14.3]], (), [("p1", ["年份", "GDP", "人口"], 3)]),
+    "WB6": (
+        [["指标A", "1990", "2000", None, "指标B", "1990", "2000"], ["人口", 1100.5, 1200.7, None, "GDP", 5000.5, 6000.7], ["农业", 1000.5, 1100.7, None, "工业", 7000.5, 8000.7], ["服务", 1500.5, 1700.7, None, "建筑", 3000.5, 3200.7]],
+        (), [("left", ["指标A", "y_1990", "y_2000"], 3), ("right", ["指标B", "y_1990", "y_2000"], 3)],
+    ),
+    "WB7": ([["对应表号", "内地名词", "香港名词"], ["1,8,12", "建筑业", "建造业"], [None, None, "Construction"], ["2,3", "工业", "工業"], [None, None, "Industry"]], (), [("p1", ["对应表号", "内地名词", "香港名词", "对应表号_续", "香港名词_续"], 2)]),
+    "WB8": ([["年份", "GDP"], [2020, 1000.5], [2021, 1100.5]], (), [("p1", ["年份", "GDP"], 2)]),
+    "stacked": (
+        [["人口统计", None, None], ["指标", "1990", "2000"], ["人口", 1100.5, 1200.7], ["农业", 1000.5, 1100.7], [None] * 3, ["工业统计", None, None], ["项目", "2001", "2002"], [None, "万元", "万元"], ["钢", 5.5, 6.5], ["煤", 7.5, 8.5]],
+        (), [("人口统计", ["指标", "y_1990", "y_2000"], 2), ("工业统计", ["项目", "2001万元", "2002万元"], 2)],
+    ),
+}
+
+
+def test_workbooks_become_tables(spark, tmp_path):
+    """The fixtures end to end: named tables with comments, rows, and a log that says all of it; then a second run."""
+    (tmp_path / "in").mkdir()
+    for name, (rows, merges, _) in BOOKS.items():
+        book(tmp_path / "in" / f"{name}.xlsx", {"S1": rows}, merges)
+    paths = {r["file"].removesuffix(".xlsx"): r["path"] for r in files.scan(spark, str(tmp_path / "in")).select("file", "path").collect()}
+    region = '{"label": "%s", "col_start": %d, "col_end": %d, "header_start": 0, "header_end": 0, "data_start": 1}'
+    raw = '{"strategy": "horizontal_split", "confidence": 0.95, "regions": [%s, %s]}' % (region % ("left", 0, 2), region % ("right", 4, 6))
+    unsure = '{"strategy": "standard", "confidence": 0.5}'
+    paired = '{"strategy": "paired_row_bilingual", "confidence": 0.9, "table_name_hint": "Terms of both"}'
+    advice = spark.createDataFrame([(f"{paths['WB6']}#0", raw), (f"{paths['WB4']}#0", unsure), (f"{paths['WB7']}#0", paired)], "sheet string, raw string")
+    log = ingest.load(spark, str(tmp_path / "in"), str(tmp_path / "out"), advice).collect()
+    by = {(r["source_filename"].removesuffix(".xlsx"), r["subtable_label"]): r for r in log}
+    assert set(by) == {(name, label) for name, (_, _, found) in BOOKS.items() for label, _, _ in found}
+    for name, (rows, merges, found) in BOOKS.items():
+        for k, (label, columns, n) in enumerate(found):
+            r = by[name, label]
+            said = spark.sql(f"DESCRIBE `{r['table_name']}`").collect()
+            assert [x["comment"] for x in said[: len(columns)]] == columns, name
+            assert [x["col_name"] for x in said[len(columns) :]] == ["_source_file", "_sheet_name", "_row_number", "_created_at", "_table_description"]
+            assert spark.table(r["table_name"]).count() == r["actual_row_count"] == n
+            assert (r["status"], r["sheet_name"], r["sheet_index"], r["subtable_index"], r["column_count"]) == ("SUCCESS", "S1", 0, k, len(columns))
+            assert json.loads(r["column_names"]) == dict(zip([x["col_name"] for x in said], columns, strict=False))
+            assert r["original_row_count"] <= len(rows) and r["merged_cells_count"] == len(merges) and r["file_size_bytes"] > 0 and r["parse_time_ms"] > 0
+            assert r["table_description"].endswith(f"{name}.xlsx") and r["agent"] == ("advisor" if name in ("WB6", "WB7") else "rules")
+    assert len({r["table_name"] for r in log}) == len(log)
+    assert by["WB7", "p1"]["table_name"] == "terms_of_both" and by["WB6", "right"]["table_name"].endswith("_p2")
+    first = spark.table(by["WB1", "p1"]["table_name"])
+    assert first.columns[:3] == ["year", "region", "output"] and first.orderBy("_row_number").first()[:3] == ("2020", "北京", "1234.5")
+    book(tmp_path / "in" / "more.xlsx", {"S1": BOOKS["WB8"][0]})
+    again = ingest.load(spark, str(tmp_path / "in"), str(tmp_path / "out")).collect()
+    assert len(again) == len(log) + 1 and {r["table_name"] for r in log} < {r["table_name"] for r in again}
+
+
+def test_a_table_is_replaced_whole(spark):
+    df = spark.range(3).select(F.col("id").alias("年份", metadata={"comment": "it's"}))
+    tables.publish_table(df, "replaced", "it's \\ here")
+    tables.publish_table(df.limit(1), "replaced")
+    assert spark.table("replaced").count() == 1 and not spark.catalog.tableExists("replaced__new")
+    tables.publish_table(df, "replaced", "it's \\ here")
+    assert spark.sql("DESCRIBE replaced").first()["comment"] == "it's"
+    said = {r["col_name"]: r["data_type"] for r in spark.sql("DESCRIBE EXTENDED replaced").collect()}
+    assert said["Comment"] == "it's \\ here"
+
+
 def test_stream(spark, tmp_path):
     (tmp_path / "in").mkdir()
     book(tmp_path / "in" / "a.xlsx", {"Data": BASIC})
