@@ -7,9 +7,12 @@
 4. A class is sent, as a query, to every block that can hold a partner.  A list can't if the query is further from its
    centre than its radius and the threshold's distance together, or further than the latter from the plane half-way
    between its centre and the query's own, as members lie on their own centre's side.  A pair of blocks meets one way.
-5. In a block, queries meet the members' decoded codes.  A pair goes on if that distance less the member's own coding
-   error can be within the threshold, which loses no pair, and is then decided by its cosine in double precision.
-6. A task returns a row a class: its links there and one class it hangs together with.  These are summed and joined up.
+5. In a block, a query works out its product with every code word once, a table a subspace, and reads its distance to each
+   member off these tables by the member's codes.  A pair goes on if that distance less the member's own coding error can
+   be within the threshold, which loses no pair, and is then decided by its cosine in double precision.
+6. Queries of a block that very many visit are dealt out in shares, each with the block's members: a share for so many of
+   the block's own visits, so that members are copied no more often than a fixed part of the visits.
+7. A task returns a row a class: its links there and one class it hangs together with.  These are summed and joined up.
 
 No pair is lost.  The bounds prune as far as lists are tight and apart; vectors without structure, and large groups of
 near copies, meet all of their like.
@@ -36,6 +39,8 @@ from gridloom.llm.vectors import k_means, nearest, stacked, usable
 #: Classes in the training sample; members of a block; queries at a time.
 TRAIN, BLOCK, QUERIES = 20_000, 2048, 256
 SUBSPACES, CODEWORDS, MOST_LISTS = 8, 256, 65_536
+#: Queries in a share of a block, in blocks; blocks up to which the busy ones' shares are broadcast (two numbers each).
+VISITS, MOST_SHARED = 16, 1_000_000
 #: Above the rounding of distances between unit vectors in double and of their squares in single precision.
 SLACK, SLACK_32 = 1e-6, 1e-4
 
@@ -60,10 +65,19 @@ class Quantiser:
         coded = [nearest(rest[:, p], b) for p, b in zip(self.parts, self.books, strict=True)]
         return which, np.sqrt(far), np.stack([c for c, _ in coded], 1).astype(np.uint8), np.sqrt(sum(d for _, d in coded))
 
-    def decode(self, which: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    def squares(self, which: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """Squared lengths of coded vectors."""
         out = self.centres[which].copy()
         for k, (p, b) in enumerate(zip(self.parts, self.books, strict=True)):
             out[:, p] += b[codes[:, k]]
+        return (out**2).sum(1)
+
+    def products(self, x: np.ndarray, which: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """(rows of x, coded vectors): their products, read off a table for each row and subspace."""
+        lists, place = np.unique(which, return_inverse=True)
+        out = np.take((x @ self.centres[lists].T).astype(np.float32), place, axis=1)
+        for k, (p, b) in enumerate(zip(self.parts, self.books, strict=True)):
+            out += np.take((x[:, p] @ b.T).astype(np.float32), codes[:, k], axis=1)
         return out
 
     def possible(self, x: np.ndarray, home: np.ndarray, radius: np.ndarray, reach: float) -> np.ndarray:
@@ -183,13 +197,19 @@ def _met(classes: DataFrame, n: int, size: int, threshold: float, quantiser: Qua
                 yield pa.RecordBatch.from_arrays([*batch.columns[:7], *columns], [*batch.schema.names[:7], "own", "visits"])
 
     placed = cut(coded.withColumn("of", F.abs(F.xxhash64("mark") % 1_000_003)).mapInArrow(visit, fields + ", own int, visits array<int>"))
-    shares = max(1, math.ceil(n / (16 * BLOCK)))  # of a block's queries, about half of all classes at most
-    share = F.pmod(F.xxhash64(F.lit(7), "mark"), F.lit(shares)).cast("int")
+    visited = placed.select(F.explode("visits").alias("block")).groupBy("block").agg(F.count(F.lit(1)).alias("visits"))
+    # blocks that more than so many queries visit: no more than all visits divided by that
+    each = VISITS * BLOCK
+    busy = cut(visited.where(F.col("visits") > each).select("block", F.ceil(F.col("visits") / each).cast("int").alias("shares")))
+    busy = F.broadcast(busy) if blocks <= MOST_SHARED else busy
+    share = F.pmod(F.xxhash64(F.lit(7), "mark"), F.coalesce("shares", F.lit(1))).cast("int")
     body = ["mark", "copies", "embedding"]
     codes = ["home", "codes", "error"]
     # among themselves, a block's members are queries of one share each
-    members = placed.select(F.col("own").alias("block"), F.explode(F.sequence(F.lit(0), F.lit(shares - 1))).alias("share"), F.lit(0).alias("kind"), share.alias("asks"), *body, *codes)
-    queries = placed.select(F.explode("visits").alias("block"), share.alias("share"), F.lit(1).alias("kind"), F.lit(-1).alias("asks"), *body, *(F.lit(None).cast(t).alias(c) for c, t in zip(codes, ("int", "binary", "double"), strict=True)))
+    own = placed.withColumn("block", F.col("own")).join(busy, "block", "left")
+    members = own.select("block", F.explode(F.sequence(F.lit(0), F.coalesce("shares", F.lit(1)) - 1)).alias("share"), F.lit(0).alias("kind"), share.alias("asks"), *body, *codes)
+    asked = placed.select(F.explode("visits").alias("block"), *body).join(busy, "block", "left")
+    queries = asked.select("block", share.alias("share"), F.lit(1).alias("kind"), F.lit(-1).alias("asks"), *body, *(F.lit(None).cast(t).alias(c) for c, t in zip(codes, ("int", "binary", "double"), strict=True)))
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held, parts = None, None, []
@@ -228,9 +248,9 @@ class _Block:
         rows = pa.Table.from_batches(parts).combine_chunks().to_batches(max_chunksize=2**31 - 1)[0]
         self.asks, self.copies = rows.column(3).to_numpy(), rows.column(5).to_numpy()
         self.marks, self.x = np.array(rows.column(4).to_pylist(), object), _matrix(rows.column(6), size)
-        codes = np.frombuffer(b"".join(rows.column(8).to_pylist()), np.uint8).reshape(rows.num_rows, -1)
-        self.decoded = quantiser.decode(rows.column(7).to_numpy(), codes).astype(np.float32)
-        self.error, self.square = rows.column(9).to_numpy(), (self.decoded**2).sum(1)
+        self.quantiser, self.home = quantiser, rows.column(7).to_numpy()
+        self.codes = np.frombuffer(b"".join(rows.column(8).to_pylist()), np.uint8).reshape(rows.num_rows, -1)
+        self.error, self.square = rows.column(9).to_numpy(), quantiser.squares(self.home, self.codes)
 
 
 def _among(held: _Block, share: int, threshold: float) -> Iterator[pa.RecordBatch]:
@@ -243,9 +263,9 @@ def _among(held: _Block, share: int, threshold: float) -> Iterator[pa.RecordBatc
 
 def _links_of(held: _Block, marks: np.ndarray, copies: np.ndarray, x: np.ndarray, places: np.ndarray | None, threshold: float) -> Iterator[pa.RecordBatch]:
     """Links of some queries with a block.  places: theirs, if they are its members."""
-    q = _unit(x).astype(np.float32)
+    q = _unit(x)
     reach = math.sqrt(max(0.0, 2 - 2 * threshold)) + held.error + SLACK  # the threshold's distance, and the code's
-    near = (held.square - reach**2 - SLACK_32 + 1).astype(np.float32)[None, :] <= 2 * q @ held.decoded.T
+    near = (held.square - reach**2 - SLACK_32 + 1).astype(np.float32)[None, :] <= 2 * held.quantiser.products(q, held.home, held.codes)
     if places is not None:
         near[np.arange(len(places)), places] = False
     i, j = np.nonzero(near)

@@ -156,6 +156,32 @@ def test_embedding_links(spark, monkeypatch):
     assert embedding_dedup.links(df.where("vec_id = 1002")).collect() == [(1002, 0, 1002, True)]
 
 
+def test_tables_give_the_distances_of_the_codes():
+    """Products read off the tables are those with the vectors that the codes stand for."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(0, 1, (600, 18))
+    x /= np.sqrt((x**2).sum(1))[:, None]
+    index = embedding_dedup.Quantiser(x, 9)
+    home, far, codes, error = index.encode(x)
+    decoded = index.centres[home] + np.concatenate([b[codes[:, k]] for k, b in enumerate(index.books)], 1)
+    assert np.allclose(index.products(x[:50], home, codes), x[:50] @ decoded.T, atol=1e-5)
+    assert np.allclose(index.squares(home, codes), (decoded**2).sum(1)) and np.allclose(error, np.sqrt(((x - decoded) ** 2).sum(1)))
+    assert np.allclose(far, np.sqrt(((x - index.centres[home]) ** 2).sum(1)))
+
+
+def test_blocks_in_shares(spark, monkeypatch):
+    """Small blocks whose visits are dealt out in many shares: all links all the same."""
+    monkeypatch.setattr(embedding_dedup, "BLOCK", 64)
+    monkeypatch.setattr(embedding_dedup, "VISITS", 1)
+    rng = np.random.default_rng(3)
+    centres = rng.normal(0, 1, (200, 32))
+    for n in (2_000, 8_000):
+        x = (centres[np.arange(n) % 200] + rng.normal(0, 0.02, (n, 32))).astype(np.float32)
+        df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+        found = {r["vec_id"]: r["n_links"] for r in embedding_dedup.links(df).collect()}
+        assert found == {i: n // 200 - 1 for i in range(n)}
+
+
 def test_recall_of_the_index(spark):
     rows = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
     near = rows.selectExpr("vec_id + 1000000 as vec_id", "transform(embedding, (x, i) -> cast(x + 0.05 * sin(vec_id * 64 + i) as float)) as embedding")
