@@ -29,14 +29,15 @@ def read(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFr
     sheet without content, or whose content or merged ranges go beyond WIDEST columns.  The others have no row or cell of these.
     """
     found = files.scan(spark, folder, extensions=(".xlsx",))
-    cells = cut(xlsx.cells(found).withColumn("sheet", xlsx.sheet_key()))
-    merged = cut(xlsx.merges(found).withColumn("sheet", xlsx.sheet_key()))
-    broken = cells.where(F.col("error").isNotNull()).select("path").distinct()
+    held = cut(xlsx.contents(found).withColumn("sheet", xlsx.sheet_key()))  # each workbook is opened once
+    cells = held.where("kind = 'cell'").drop("kind", "r1", "c1")
+    merged = held.where("kind = 'merge'").select("sheet", "path", F.col("row_idx").alias("r0"), F.col("col_idx").alias("c0"), "r1", "c1")
+    broken = held.where("kind = 'error'").select("path").distinct()
     cells, merged = (x.join(broken, "path", "left_anti") for x in (cells, merged))
     reach = cells.where(~t.blank(F.col("value"))).select("sheet", "col_idx").unionByName(merged.select("sheet", F.col("c1").alias("col_idx")))
     wide = reach.groupBy("sheet").agg((F.max("col_idx") + 1).cast("int").alias("width")).where(F.col("width") > WIDEST)
     errors = broken.select(F.col("path").alias("sheet"), F.lit("ERROR").alias("status"), F.lit(None).cast("int").alias("width"))
-    every = xlsx.sheets(found).where(F.col("error").isNull()).join(broken, "path", "left_anti").select(xlsx.sheet_key().alias("sheet"))
+    every = held.where("kind = 'sheet'").join(broken, "path", "left_anti").select("sheet")
     empty = every.join(reach, "sheet", "left_anti").select("sheet", F.lit("SKIP").alias("status"), F.lit(0).alias("width"))
     refused = cut(errors.unionByName(wide.select("sheet", F.lit("SKIP").alias("status"), "width")).unionByName(empty))
     cells, merged = (x.join(refused.select("sheet"), "sheet", "left_anti") for x in (cells, merged))

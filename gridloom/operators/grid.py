@@ -51,9 +51,12 @@ def fill_merged(cells: DataFrame, merges: DataFrame) -> DataFrame:
     return cells.join(anchors, inside, "left").select("sheet", "row_idx", "col_idx", value.alias("value"))
 
 
-def preview(rows: DataFrame, n: int = 20) -> DataFrame:
-    """The first n rows of each sheet, with its number of rows and widest row."""
+def preview(rows: DataFrame, n: int = 20, merges: DataFrame | None = None) -> DataFrame:
+    """The first n rows of each sheet, with its number of rows and widest row, and, of (sheet, …) of merged ranges, their number."""
     dims = rows.groupBy("sheet").agg(F.count(F.lit(1)).alias("max_row"), F.max(F.size("cells")).cast("long").alias("max_col"))
+    if merges is not None:
+        counted = merges.groupBy("sheet").agg(F.count(F.lit(1)).alias("merged_count"))
+        dims = dims.join(counted, "sheet", "left").withColumn("merged_count", F.coalesce("merged_count", F.lit(0)))
     return rows.where(F.col("row_idx") < n).join(dims, "sheet")
 
 

@@ -99,9 +99,11 @@ def scan_filter_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.wanted(urls, skip_dirs=("tmp", "backup"), extensions=None).select(F.col("path").alias("url"), "file", "is_xls")
 
 
-@query(f"WITH {GRID} SELECT * FROM (SELECT sheet, row_idx, label AS c0, priority AS c1, amount AS c2, day AS c3, count(*) OVER (PARTITION BY sheet) AS max_row, CAST(4 AS BIGINT) AS max_col FROM grid) WHERE row_idx < 3")
+@query(f"WITH {GRID} SELECT * FROM (SELECT sheet, row_idx, label AS c0, priority AS c1, amount AS c2, day AS c3, count(*) OVER (PARTITION BY sheet) AS max_row, CAST(4 AS BIGINT) AS max_col, count(*) FILTER (WHERE priority[1] = '1') OVER (PARTITION BY sheet) AS merged_count FROM grid) WHERE row_idx < 3")
 def preview_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flat(grid.preview(orders_grid(spark, sf_dir), 3), 4, "sheet", "row_idx", "max_row", "max_col")
+    rows = orders_grid(spark, sf_dir)
+    merges = rows.where(F.get("cells", F.lit(1)).startswith("1")).select("sheet", F.col("row_idx").alias("r0"))
+    return flat(grid.preview(rows, 3, merges), 4, "sheet", "row_idx", "max_row", "max_col", "merged_count")
 
 
 @query(f"""

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from gridloom.operators import borders, fill, grid, ingest_log, naming, pairs, ranges
 from gridloom.operators import predicates as p
-from gridloom.plans import decision, strategies
+from gridloom.plans import decision, strategies, table_function
 from gridloom.sinks import tables
 
 FIELDS = "sheet string, row_idx int, cells array<string>"
@@ -184,3 +184,12 @@ def test_log(spark, tmp_path):
     assert sorted(r["x"] for r in back.collect()) == ["1", "2"]
     with pytest.raises(ValueError, match="columns"):
         tables.relation(rel, [f"c{i}" for i in range(101)], "f", "s")
+
+
+def test_table_function(spark):
+    table_function.register(spark)
+    sheet(spark, ["年份", "产量"], ["2020", "1.5"], [None, None], ["2021"]).createOrReplaceTempView("one_sheet")
+    got = spark.sql("SELECT `产量`, `年份`, row_no FROM sheet_table(TABLE(one_sheet) PARTITION BY sheet ORDER BY (row_idx), array('产量', '年份', 'x')) ORDER BY row_no").collect()
+    assert [tuple(r) for r in got] == [("1.5", "2020", 1), (None, "2021", 2)]
+    with pytest.raises(Exception, match="constant array"):
+        spark.sql("SELECT * FROM sheet_table(TABLE(one_sheet), array())")

@@ -164,6 +164,28 @@ def test_workbooks_become_tables(spark, tmp_path):
     assert len(again) == len(log) + 1 and {r["table_name"] for r in log} < {r["table_name"] for r in again}
 
 
+def test_limits_reach_the_scan(spark, tmp_path):
+    """A preview of 20 rows parses 20 rows, and the shared texts that they ask for."""
+    path = tmp_path / "long.xlsx"
+    book(path, {"first": [["x"]], "long": [[f"t{k}", k, k + 1, k + 2] for k in range(100_000)]})
+    texts = "".join(f"<si><t>text {k}</t></si>" for k in range(50_000))
+    with zipfile.ZipFile(path) as a, zipfile.ZipFile(tmp_path / "shared.xlsx", "w") as b:
+        for n in a.namelist():
+            data = a.read(n) if "shared" not in n else f"<sst>{texts}</sst>".encode()
+            b.writestr(n, data.replace(b'<c r="B3"><v>2</v></c>', b'<c r="B3" t="s"><v>7</v></c>'))
+    held = xlsx.Workbook((tmp_path / "shared.xlsx").read_bytes())
+    target = held.sheets[1][1]
+    got = list(held.rows(target, 20, 2))
+    assert [r for r, _ in got] == list(range(20)) and got[2][1] == ["t2", "text 7"] and got[5][1] == ["t5", "5"]
+    assert held.rows_read == 20 and len(held.strings.known) == 8
+    assert sum(1 for _ in held.rows(target)) == 100_000
+    found = files.scan(spark, str(tmp_path)).where("file = 'long.xlsx'")
+    named, numbered = (xlsx.rows(found, 3, 1, sheet).select("row_idx", "cells").orderBy("row_idx").collect() for sheet in ("long", 1))
+    assert named == numbered == [(k, [f"t{k}"]) for k in range(3)]
+    assert xlsx.rows(found, 5).count() == 6
+    assert xlsx.rows(found, sheet="none").first()["error"].startswith("LookupError")
+
+
 def test_a_table_is_replaced_whole(spark):
     df = spark.range(3).select(F.col("id").alias("年份", metadata={"comment": "it's"}))
     tables.publish_table(df, "replaced", "it's \\ here")
