@@ -233,3 +233,36 @@ def test_pipeline(spark):
                 assert docs.join(before, "doc_id", "left_anti").count() == 0
     assert docs.count() > 0
     assert corpus_pipeline.run(spark, SF).columns == docs.columns
+
+
+STAGE_ROWS = [
+    (1, None, "en", None, 0), (2, "", None, "a", 0), (3, " \n\t\n ", "en", "a", 5), (4, "word " * 60_000, "en", "b", 300_000), (5, "The same short text, twice over and once again.", "en", "b", 47),
+    (5, "The same short text, twice over and once again.", "en", "b", 47), (6, "The same short text, twice over and once again.", "en", None, 47), (None, "nobody's text", "fr", "c", 13),
+    (None, "nobody's text", "fr", "c", 13), (None, None, None, None, None), (7, "\n".join(["a line that many documents hold, and more"] * 3), "de", "c", 130),
+    (8, "a line that many documents hold, and more\nown words of eight", "de", "c", 60), (9, "A LINE that many documents hold, and more \nown words of nine", "de", "c", 60),
+]
+
+
+def test_stages_on_odd_rows(spark):
+    """Nulls, empty and very long texts, ties, repeated rows, clashing columns and empty tables, stage by stage."""
+    names = "doc_id long, text string, lang string, source string, n_chars long, score string, size int, label string"
+    docs = spark.createDataFrame([(*r, "mine", 1, "x") for r in STAGE_ROWS], names)
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs.limit(0), SF).count() == 0, name
+    toxicity, lines, near, mixing, packing = (f for _, f in corpus_pipeline.STAGES)
+    rows = lambda df: sorted((r["doc_id"] or 0, r["text"] or "", r["score"]) for r in df.collect())
+    assert rows(toxicity(spark, docs, SF)) == rows(docs)  # none of these is insulting
+    done = lines(spark, docs, SF)
+    assert done.columns == docs.columns and done.count() == docs.count()
+    texts = {r["doc_id"]: r["text"] for r in done.where("doc_id >= 7").collect()}
+    assert texts == {7: "", 8: "own words of eight", 9: STAGE_ROWS[-1][1]}
+    assert all(r["n_chars"] == len(r["text"]) for r in done.collect())
+    kept = near(spark, docs, SF).select("doc_id", "text").collect()
+    assert sorted(r["doc_id"] for r in kept if (r["text"] or "").startswith("The same")) == [5]
+    assert sorted((r["doc_id"] or 0) for r in kept if not (r["text"] or "").strip()) == [0, 1, 2, 3]
+    assert [r["doc_id"] for r in kept if r["text"] == "nobody's text"] == [None]
+    mixed = mixing(spark, docs, SF)
+    assert mixed.columns == docs.columns and mixed.where("text is null or trim(text) = ''").count() == 0
+    packed = packing(spark, docs, SF).collect()
+    assert sum(r["length"] for r in packed if r["doc_id"] in (1, 2)) == 2 and max(r["offset"] + r["length"] for r in packed) <= 2048
+    assert len({(r["sequence_id"], r["offset"]) for r in packed}) == len(packed)
