@@ -43,25 +43,34 @@ def let(value: Column, f: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), f), 0)
 
 
+def _seamless(parts: Column, least: int = 1) -> Column:
+    """The parts of a split number put together, where every seam lies between digits, the parts inside have ``least``
+    characters or more, and the whole is a number; else NULL."""
+    last = F.size(parts) - 1
+    fits = F.transform(parts, lambda x, i: ((i == 0) | x.rlike(r"^\d")) & ((i == last) | x.rlike(r"\d$")) & ((i == 0) | (i == last) | (F.length(x) >= least)))
+    return F.when(~F.exists(fits, lambda ok: ~ok), let(F.array_join(parts, ""), lambda whole: F.when(whole.rlike(NUMBER), whole)))
+
+
 def clean(c: Column) -> Column:
-    """A cell's value: NULL if blank or nan; numbers without thousands commas or grouping spaces."""
+    """A cell's value: NULL if blank or nan; a number without what parts its digits, a text as it is.
 
-    def spaces(s: Column) -> Column:
-        strict = F.regexp_replace(s, r"(\d{1,3})\s+(?=\d{3}(\b|$|\.))", "$1")
-        loose = F.regexp_replace(s, r"(\d{1,3})\s+(?=\d)", "$1")
-        enough = F.length(F.regexp_replace(s, r"\D", "")) >= 4
-        return (
-            F.when(~s.rlike(r"\d\s+\d"), s)
-            .when(strict.rlike(NUMBER), strict)
-            .when(loose.rlike(NUMBER) & enough, loose)
-            .when(s.rlike(r"^\d+\s+\d{1,2}$"), F.regexp_replace(s, r"^(\d+)\s+(\d{1,2})$", "$1.$2"))
-            .otherwise(s)
-        )
+    Commas go if each of them stands between two digits of its own.  Spaces go from a number of four digits or more; two
+    groups of digits, the second of one or two, are a number that has lost its point.
+    """
 
     def commas(s: Column) -> Column:
-        return let(F.regexp_replace(s, r"(\d),(\d)", "$1$2"), lambda joined: F.when(joined.rlike(NUMBER), joined).otherwise(s))
+        return F.when(s.contains(","), F.coalesce(_seamless(F.split(s, ",", -1), least=2), s)).otherwise(s)
+
+    def spaces(s: Column) -> Column:
+        return F.when(s.rlike(r"\s"), let(F.split(s, r"\s+", -1), lambda parts: grouped(s, parts))).otherwise(s)
+
+    def grouped(s: Column, parts: Column) -> Column:
+        two = (F.size(parts) == 2) & F.get(parts, F.lit(0)).rlike(r"^\d+$") & F.get(parts, F.lit(1)).rlike(r"^\d{1,2}$")
+        long = F.length(F.translate(s, "0123456789", "")) <= F.length(s) - 4
+        return F.coalesce(F.when(long, _seamless(parts)), F.when(two, F.array_join(parts, ".")), s)
 
-    return let(uni_trim(c), lambda s: F.when((s == "") | (F.lower(s) == "nan"), F.lit(None).cast("string")).otherwise(let(commas(s), spaces)))
+    none = F.lit(None).cast("string")
+    return let(uni_trim(c), lambda s: F.when((s == "") | (F.lower(s) == "nan"), none).otherwise(let(commas(s), spaces)))
 
 
 def normalise(c: Column) -> Column:

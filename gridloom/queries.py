@@ -140,11 +140,21 @@ def merged_fill_range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- cells and rows ------------------------------------------------------------------------------------------------
 
 
-@query("SELECT o_orderkey, format('{:.2f}', o_totalprice) AS commas, format('{:.2f}', o_totalprice) AS spaces, NULL::VARCHAR AS nan, '34.5' AS decimals, o_orderpriority AS words FROM orders")
+@query("""
+WITH g AS (SELECT *, (o_orderkey % 1000)::VARCHAR AS a, (o_custkey % 1000)::VARCHAR AS b FROM orders)
+SELECT o_orderkey, format('{:.2f}', o_totalprice) AS commas, format('{:.2f}', o_totalprice) AS spaces, CASE o_orderstatus WHEN 'O' THEN 'nano' END AS nan,
+  CASE WHEN length(a) + length(b) >= 4 THEN a || b WHEN length(b) <= 2 THEN a || '.' || b ELSE a || ' ' || b END AS decimals,
+  CASE WHEN o_custkey % 3 = 0 THEN a || ',' || o_orderstatus WHEN length(b) >= 2 THEN '-' || a || b || '7' ELSE '-' || a || ',' || b || ',7' END AS seams, o_orderpriority AS words FROM g
+""")
 def clean_cell(spark: SparkSession, sf_dir: str) -> DataFrame:
-    amount = F.format_number("o_totalprice", 2)
+    amount, status = F.format_number("o_totalprice", 2), F.col("o_orderstatus")
+    a, b = (F.col(c) % 1000 for c in ("o_orderkey", "o_custkey"))
     padded = F.concat(F.lit(" "), F.replace(amount, F.lit(","), F.lit(" ")), F.lit("　"))
-    return read(spark, sf_dir, "orders").select("o_orderkey", t.clean(amount).alias("commas"), t.clean(padded).alias("spaces"), t.clean(F.lit(" NaN ")).alias("nan"), t.clean(F.lit("34 5")).alias("decimals"), t.clean(F.col("o_orderpriority")).alias("words"))
+    nan = F.when(status == "F", " NaN ").when(status == "O", "nano　").otherwise("　 \t")
+    two = F.concat_ws(" ", a.cast("string"), b.cast("string"))
+    seams = F.when(F.col("o_custkey") % 3 == 0, F.concat_ws(",", a.cast("string"), status)).otherwise(F.concat(F.lit("-"), a.cast("string"), F.lit(","), b.cast("string"), F.lit(",7")))
+    cells = {"commas": amount, "spaces": padded, "nan": nan, "decimals": two, "seams": seams, "words": F.col("o_orderpriority")}
+    return read(spark, sf_dir, "orders").select("o_orderkey", *(t.clean(c).alias(n) for n, c in cells.items()))
 
 
 @query(rf"""
@@ -419,9 +429,14 @@ def blank_column_islands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranges.column_islands(ranges.blank_columns(gapped(spark, sf_dir)))
 
 
-@query(f"WITH {GAPPED} SELECT DISTINCT sheet, CAST(2 AS INTEGER) AS split_col FROM cols")
+@query("SELECT DISTINCT o_custkey AS sheet, CAST(2 + o_custkey % 3 AS INTEGER) AS split_col FROM orders WHERE o_custkey % 3 < 2")
 def split_column(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ranges.split_column(ranges.blank_columns(gapped(spark, sf_dir)))
+    """Sheets with two blank columns, with one and then three, and with blank columns at their end only."""
+    none, kind = F.lit(None).cast("string"), F.col("sheet") % 3
+    rows = orders_grid(spark, sf_dir, lambda: [F.col("o_orderpriority"), F.format_number("o_totalprice", 2)])
+    at = lambda i: F.get("cells", F.lit(i))
+    cells = F.when(kind == 0, F.array(at(0), at(1), none, none, at(1))).when(kind == 1, F.array(at(0), none, at(0), none, none, none, at(1))).otherwise(F.array(at(0), at(1), none, none))
+    return ranges.split_column(ranges.blank_columns(grid.to_cells(rows.withColumn("cells", cells))))
 
 
 @query("""
