@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import uuid
 from functools import reduce
 from itertools import accumulate
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,7 +21,7 @@ ASCII_SPACE = " \t\n\x0b\x0c\r"
 #: A word is a longest run of anything else.
 WORD = "[^\\x20\\x09-\\x0D]+"
 HIDDEN = "__gl_"
-__all__ = ["ASCII_SPACE", "HIDDEN", "WORD", "cut", "doc_fold", "hash128", "join_hot", "labelled_sample", "n_shuffle", "shared_dir", "shared_path", "table"]
+__all__ = ["ASCII_SPACE", "HIDDEN", "WORD", "cut", "doc_fold", "give_back", "hash128", "join_hot", "labelled_sample", "n_shuffle", "shared_dir", "shared_path", "table"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,6 +53,14 @@ def join_hot(many: DataFrame, few: DataFrame, keys: list[str], weight: str, tota
     return many.join(F.broadcast(loud), keys).unionByName(many.join(names, keys, "left_anti").join(rest, keys))
 
 
+def give_back() -> None:
+    """Free memory of this process back to the system: a driver that has trained a model keeps none of what that took."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not this C library
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def n_shuffle(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import labelled_sample
+from gridloom.llm.common import give_back, labelled_sample
 
 DECAY, SPAN = 0.6, 5
 #: Places of the second and third letter after the first.
@@ -422,7 +422,12 @@ def logistic(value: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 def fit(docs: DataFrame, labels: DataFrame, usable: Column, label: str = "toxic") -> Model | None:
     """Trains on at most TRAIN_TOXIC toxic and TRAIN_CLEAN clean labelled documents, chosen by a hash of the doc_id."""
     got = labelled_sample(docs, labels.where(usable), label, {1: TRAIN_TOXIC, 0: TRAIN_CLEAN}, 23)
-    return train(got["text"].tolist(), got["label"].tolist())
+    texts, known = got["text"].tolist(), got["label"].tolist()
+    del got
+    model = train(texts, known)
+    del texts
+    give_back()
+    return model
 
 
 class Scores(dict):
