@@ -14,7 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gridloom.functions import text as t
-from gridloom.operators import fill, grid, headers, layout, pairs, ranges, regions, subtables
+from gridloom.operators import borders, fill, headers, layout, pairs, ranges, regions, subtables
 from gridloom.operators import predicates as p
 from gridloom.session import cut
 
@@ -95,8 +95,6 @@ def multi_header(rows: DataFrame, extras: Extras | None = None) -> DataFrame:
 
 
 def _bounded(rows: DataFrame) -> DataFrame:
-    from gridloom.operators import borders
-
     return rows.withColumn("boundary", borders.is_boundary(F.col("bottom_ratio"), F.col("is_solid"), F.col("is_dash")))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import shutil
 import tempfile
 from pathlib import Path
@@ -20,5 +21,7 @@ def ship(spark: SparkSession) -> None:
     package = Path(__file__).resolve().parent
     with tempfile.TemporaryDirectory() as folder:
         clean = shutil.copytree(package, Path(folder, "tree", package.name), ignore=shutil.ignore_patterns("__pycache__"))
-        archive = shutil.make_archive(str(Path(tempfile.mkdtemp(), package.name)), "zip", clean.parent, package.name)
+        place = tempfile.mkdtemp()
+        atexit.register(shutil.rmtree, place, ignore_errors=True)  # Spark reads it as long as executors may come
+        archive = shutil.make_archive(str(Path(place, package.name)), "zip", clean.parent, package.name)
     context.addPyFile(archive)
