@@ -1,8 +1,9 @@
 """Token ids of many texts with a public tokenizer file, a batch at a time inside tasks.
 
 The two BPE files cut a text into pieces before any merge, and no merge crosses a piece.  So each distinct piece is
-encoded once by the library and remembered, and a text's ids are gathered from its pieces.  That holds for texts of
-plain characters only, for which the cutting rule below is the library's; any other text is encoded by the library whole,
+encoded once by the library and remembered, and a text's ids are gathered from its pieces.  New words go through the
+library side by side in one text, and their ids are told apart by the tokens that begin or end a word.  That holds for
+texts of plain characters only, for which the cutting rule below is the library's; any other text is encoded by the library whole,
 as is one that holds the string of a special token, which the library reads as that token.
 """
 
@@ -60,6 +61,10 @@ class Encoder:
         self.library = Tokenizer.from_file(path)
         self.special = [x.content for x in self.library.get_added_tokens_decoder().values()]
         self.rule, self.lower = PIECES.get(PurePath(path).name, (None, False))
+        #: By id: whether the token begins a word after a space (ends a word, in a file that drops case and spaces).
+        self.edge = np.zeros(self.library.get_vocab_size(), bool)
+        for token, i in self.library.get_vocab().items():
+            self.edge[i] = token.endswith("</w>") if self.lower else token.startswith("Ġ")
         self.pieces = Pieces()
         self.starts = self.lengths = self.uses = np.zeros(0, np.int32)
         self.ids = np.zeros(0, np.uint32)
@@ -76,19 +81,40 @@ class Encoder:
         self.lengths, self.uses = self.lengths[keep], self.uses[keep] // 2  # what was used long ago counts less
         self.starts = (np.cumsum(self.lengths) - self.lengths).astype(np.int32)
 
+    def word(self, piece: str) -> bool:
+        """Whether the piece is a word that stays a piece of its own beside others like it."""
+        return piece.isalpha() if self.lower else piece[0] == " " and piece[1:].isalpha()
+
+    def side_by_side(self, words: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
+        """(lengths, ids) of words that the library reads as one text; None if the edges don't tell as many words."""
+        ids = np.array(self.library.encode_batch_fast([(" " if self.lower else "").join(words)], add_special_tokens=False)[0].ids, np.uint32)
+        edges = np.flatnonzero(self.edge[ids])
+        if len(edges) != len(words):
+            return None
+        return np.diff(edges, prepend=-1) if self.lower else np.diff(edges, append=len(ids)), ids
+
+    def one_by_one(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        coded = [x.ids for x in self.library.encode_batch_fast(pieces, add_special_tokens=False)]
+        lengths = np.fromiter(map(len, coded), np.int64, len(coded))
+        return lengths, np.fromiter((i for x in coded for i in x), np.uint32, int(lengths.sum()))
+
     def learn(self) -> None:
         new, self.pieces.new = self.pieces.new, []
-        ids, sizes = [], []
-        for a in range(0, len(new), self.at_once):
-            coded = [x.ids for x in self.library.encode_batch_fast(new[a : a + self.at_once], add_special_tokens=False)]
-            sizes.append(np.fromiter(map(len, coded), np.int32, len(coded)))
-            ids.append(np.fromiter((i for x in coded for i in x), np.uint32, int(sizes[-1].sum())))
+        lengths, starts, ids, size = np.zeros(len(new), np.int32), np.zeros(len(new), np.int32), [self.ids], len(self.ids)
+        words = [k for k, p in enumerate(new) if self.word(p)]
+        known = set(words)
+        for numbers, joint in ((words, True), ([k for k in range(len(new)) if k not in known], False)):
+            for a in range(0, len(numbers), self.at_once):
+                at = numbers[a : a + self.at_once]
+                block = [new[k] for k in at]
+                sizes, coded = (self.side_by_side(block) if joint else None) or self.one_by_one(block)
+                lengths[at], starts[at] = sizes, size + np.cumsum(sizes) - sizes
+                ids.append(coded)
+                size += len(coded)
         if new:
-            lengths = np.concatenate(sizes)
-            self.starts = np.concatenate([self.starts, (len(self.ids) + np.cumsum(lengths) - lengths).astype(np.int32)])
-            self.lengths = np.concatenate([self.lengths, lengths])
-            self.uses = np.concatenate([self.uses, np.zeros(len(lengths), np.int32)])
-            self.ids = np.concatenate([self.ids, *ids])
+            self.starts, self.lengths = np.concatenate([self.starts, starts]), np.concatenate([self.lengths, lengths])
+            self.uses = np.concatenate([self.uses, np.zeros(len(new), np.int32)])
+            self.ids = np.concatenate(ids)
 
     def gathered(self, numbers: np.ndarray) -> np.ndarray:
         """The ids of these pieces, one after the other."""
@@ -107,7 +133,7 @@ class Encoder:
         for i, text in enumerate(texts):
             text = text or ""
             if self.rule is not None and PLAIN.match(text) and not any(s in text for s in self.special):
-                cut.append((i, np.array([number(p) for p in self.rule.findall(text.lower() if self.lower else text)], np.int32)))
+                cut.append((i, np.fromiter(map(number, self.rule.findall(text.lower() if self.lower else text)), np.int32)))
             else:
                 out[i] = np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
         self.learn()
