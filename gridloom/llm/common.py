@@ -75,7 +75,12 @@ SAMPLE_CHARS = 64_000_000
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most: dict[int, int], seed: int) -> pd.DataFrame:
-    """(doc_id, text, label) on the driver: ``most[v]`` labelled documents of each label v, the first by a hash of the doc_id.
+    """The rows of ``labelled_rows`` on the driver, by doc_id."""
+    return labelled_rows(docs, labels, label, most, seed).orderBy("doc_id", "label").toPandas()
+
+
+def labelled_rows(docs: DataFrame, labels: DataFrame, label: str, most: dict[int, int], seed: int) -> DataFrame:
+    """(doc_id, text, label): ``most[v]`` labelled documents of each label v, the first by a hash of the doc_id.
 
     Rows that repeat a doc_id count as one, the one with the least text hash.  So rows are bounded by ``most``, and
     characters by SAMPLE_CHARS.
@@ -89,4 +94,4 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most: dict[i
     sizes = sorted((r[1], r[0]) for r in one.select("doc_id", "t.size").collect())  # two numbers a row of chosen
     fits = [i for (_, i), total in zip(sizes, accumulate(n for n, _ in sizes), strict=True) if total <= SAMPLE_CHARS]
     kept = one.select("doc_id", "t.text").where(F.col("doc_id").isin(fits) if len(fits) < len(sizes) else F.lit(True))
-    return kept.join(chosen, "doc_id").orderBy("doc_id", "label").toPandas()
+    return kept.join(chosen, "doc_id")

@@ -23,6 +23,7 @@ doc_id, count as they stand; an empty table gives an empty one; other columns pl
 from __future__ import annotations
 
 import math
+import pickle
 import re
 from array import array
 from collections import Counter
@@ -35,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import give_back, labelled_sample
+from gridloom.llm.common import give_back, labelled_rows
 
 DECAY, SPAN = 0.6, 5
 #: Places of the second and third letter after the first.
@@ -420,14 +421,26 @@ def logistic(value: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 
 def fit(docs: DataFrame, labels: DataFrame, usable: Column, label: str = "toxic") -> Model | None:
-    """Trains on at most TRAIN_TOXIC toxic and TRAIN_CLEAN clean labelled documents, chosen by a hash of the doc_id."""
-    got = labelled_sample(docs, labels.where(usable), label, {1: TRAIN_TOXIC, 0: TRAIN_CLEAN}, 23)
-    texts, known = got["text"].tolist(), got["label"].tolist()
-    del got
-    model = train(texts, known)
-    del texts
-    give_back()
-    return model
+    """Trains on at most TRAIN_TOXIC toxic and TRAIN_CLEAN clean labelled documents, chosen by a hash of the doc_id.
+
+    One task trains, on rows bounded by these and characters bounded by SAMPLE_CHARS, so that the driver holds the model
+    only, and a lost executor costs another training of the same model.
+    """
+    rows = labelled_rows(docs, labels.where(usable), label, {1: TRAIN_TOXIC, 0: TRAIN_CLEAN}, 23)
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts, known = [], []
+        for batch in batches:
+            texts += batch.column(0).to_pylist()
+            known += batch.column(1).to_pylist()
+        model = train(texts, known)
+        del texts
+        give_back()
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
+
+    sample = rows.repartition(1).sortWithinPartitions("doc_id", "label").select("text", "label")
+    trained = sample.mapInArrow(learn, "model binary").collect()
+    return pickle.loads(trained[0]["model"]) if trained else None
 
 
 class Scores(dict):
