@@ -100,6 +100,38 @@ def test_mixing(spark):
     assert mixed.count() == sum(r["times"] for r in got)
 
 
+def test_mixing_serves_a_plain_queue(spark):
+    """What is taken is the merged sequence of all sources' queues, cut at the budget, entry for entry."""
+    rng = np.random.default_rng(8)
+    rows = [(i, "w " * int(rng.integers(0, 50)), "abcd"[min(3, int(rng.exponential(0.6)))]) for i in range(1500)] + ODD
+    docs = documents(spark, rows)
+    entries: dict = defaultdict(int)
+    for r in mixing.queue(docs, 7).collect():
+        entries[r["doc_id"], r["source"], r["mark"], r["size"], r["u"]] += 1
+    sources = sorted({e[1] for e in entries}, key=lambda s: (s is None, s))
+    place = lambda e: (e[0] is not None, e[0] or 0, e[2], e[3])
+    sequence, budget = [], sum(e[3] * n for e, n in entries.items())
+    for k, source in enumerate(sources):
+        own = sorted((e for e in entries if e[1] == source), key=lambda e: (e[4], *place(e)))
+        size = sum(e[3] * entries[e] for e in own)
+        for epoch in range(3):
+            upto = 0
+            for e in own:
+                words = e[3] * entries[e]
+                upto += words
+                if words:
+                    sequence.append(((epoch * size + upto - words / 2) / (k % 3 + 1), k, place(e), words, e))
+    times: dict = defaultdict(int)
+    run = 0
+    for _, _, _, words, e in sorted(sequence, key=lambda x: x[:3]):
+        run += words
+        if run > budget:
+            break
+        times[e[:4]] += 1
+    got = {(r["doc_id"], r["source"], r["mark"], r["size"]): r["times"] for r in mixing.plan(docs).collect()}
+    assert got == {e[:4]: times[e[:4]] for e in entries}
+
+
 # --- classifiers
 
 
@@ -188,6 +220,65 @@ def test_string_kernel_against_definition():
     assert np.allclose(got, expected)
 
 
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.text("abcdé$^1", min_size=1, max_size=30), min_size=1, max_size=8), st.integers(0, 1000))
+def test_scores_by_subsequence_are_the_machine_on_kernel_values(words, seed):
+    marks = ["^idiot$", "^aaa$", "^abcd", "^dé$"]
+    share = np.random.default_rng(seed).normal(size=len(marks))
+    alphabet = toxicity.Alphabet(marks)
+    model = toxicity.Model(alphabet, toxicity._by_subsequence(alphabet, marks, share), 0.25, 1.0, 0.0)
+    assert np.allclose(model.values(words), toxicity.kernel(alphabet, words, marks) @ share + 0.25)
+
+
+def test_quality_against_a_plain_version():
+    rng = np.random.default_rng(2)
+    good, bad = "The river runs past old mills and quiet fields .".split(), "buy NOW !!! click click 100 $$$ here x9".split()
+    labels = [int(k % 3 > 0) for k in range(90)]
+    texts = [" ".join(rng.choice(good if rng.random() < 0.9 else bad, 25) if v else rng.choice(bad, 25)) for v in labels]
+    model = quality.train(texts, labels)
+    vectors, network = model.vectors, model.network
+    names = list(vectors.number)
+    of = lambda w: vectors.number.get(w, vectors.number.get(quality.shape(w), 1))
+    # random indexing: a word's own vector and, at unit length, the sum of its neighbours' by their distance
+    own = quality.index_vectors(names)
+    context = np.zeros(own.shape)
+    for text in texts:
+        ids = [of(w) for w in quality.words_of(text)]
+        for i, a in enumerate(ids):
+            for j, b in enumerate(ids):
+                if 0 < abs(i - j) <= quality.WINDOW:
+                    context[a] += own[b] / abs(i - j)
+    length = np.linalg.norm(context, axis=1, keepdims=True)
+    assert np.allclose(vectors.table, own / np.sqrt(quality.ONES) + context / np.maximum(length, 1e-6), atol=1e-4)
+    # pooling and both layers, word by word and unit by unit
+    a, b, c, d = network.parts
+    for text in [*texts[:6], "", None, "one", "again again again other"]:
+        words = quality.words_of(text)
+        x = np.zeros(2 * quality.SIZE + 4)
+        x[-1] = np.log1p(len(words)) / 5
+        if words:
+            rows = np.array([vectors.table[of(w)] for w in words], np.float64)
+            again = sum(v == w for v, w in zip(words, words[1:], strict=False))
+            x[: quality.SIZE] = (rows.sum(0) + again * vectors.table[0]) / (len(words) + again)
+            x[quality.SIZE : -4] = rows.std(0)
+            x[-4:-1] = again / len(words), len(set(words)) / len(words), max(map(words.count, words)) / len(words)
+        assert np.allclose(vectors.pooled([text])[0], x, atol=2e-3)
+        z = (vectors.pooled([text])[0].astype(np.float64) - network.mean) / network.scale
+        logit = sum(np.tanh(sum(z * a[:, k]) + b[k]) * c[k] for k in range(len(c))) + d[0]
+        assert model.score([text])[0] == pytest.approx(1 / (1 + np.exp(-np.clip(logit / network.temperature, -30, 30))), abs=1e-6)
+    # no temperature of the grid has less loss on the documents given
+    x, y = vectors.pooled(texts).astype(np.float64), np.array(labels)
+    network.calibrate(x, y)
+    chosen = network.temperature
+
+    def loss(t):
+        network.temperature = t
+        p = network.probability(x)
+        return -np.mean(np.where(y == 1, np.log(p), np.log(1 - p)))
+
+    assert loss(chosen) <= min(map(loss, np.geomspace(0.25, 16, 121))) + 1e-9
+
+
 @pytest.mark.parametrize(("module", "empty"), [(toxicity, 0.0), (quality, 0.5)])
 def test_classifiers_on_odd_rows(spark, module, empty):
     docs = documents(spark, ODD)
