@@ -105,9 +105,13 @@ def is_header_supplement(c: Column) -> Column:
     return F.coalesce(c.rlike(r"\d{4}年") & c.rlike("[为比％%]"), F.lit(False))
 
 
+#: What a float parser takes has this shape (not the other way round).
+FLOAT = r"(?i)^[\x00-\x20]*[+-]?(nan|inf(inity)?|0x[\da-f.]+p[+-]?\d+|(\d+\.?\d*|\.\d+)(e[+-]?\d+)?)[fd]?[\x00-\x20]*$"
+
+
 def is_numeric_text(c: Column) -> Column:
-    """Whether a float parser takes it."""
-    return c.try_cast("double").isNotNull()
+    """Whether a float parser takes it; texts that can't be numbers don't reach it, for it is slow to say no."""
+    return F.when(c.rlike(FLOAT), c.try_cast("double").isNotNull()).otherwise(False)
 
 
 def sanitise(c: Column) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gridloom.functions import text as t
-from gridloom.operators import naming, ranges
+from gridloom.operators import layout, naming, ranges
 from gridloom.operators import predicates as p
 
 
@@ -32,6 +32,14 @@ def paired_header(rows: DataFrame) -> DataFrame:
     return full.join(heads, "sheet").groupBy("sheet", "header_row").agg(F.coalesce(title, F.lit(0)).alias("title_row"))
 
 
+def with_paired_header(rows: DataFrame) -> DataFrame:
+    """Rows with ``header_row``, told by windows: as paired_header finds it; NULL for a sheet without one."""
+    looked = t.let(p.filled(F.col("cells")), lambda f: F.struct(((F.size(f) > 0) & ~p.is_title(f)).alias("plain"), (F.size(F.filter(f, lambda c: ~t.is_numeric_text(c))) >= 0.5 * F.size(f)).alias("texts")))
+    marked = rows.withColumn("looked", looked)
+    first = F.min(F.when(F.col("looked.plain") & F.col("looked.texts"), F.col("row_idx"))).over(layout.whole())
+    return marked.withColumn("header_row", F.coalesce(first, F.min(F.when(F.col("looked.plain"), F.col("row_idx"))).over(layout.whole()))).drop("looked")
+
+
 def repeated_by_merge(cells: DataFrame) -> DataFrame:
     """Header cells (sheet, row_idx, col_idx, value) with ``repeats``: a value that its left neighbour has too, in a column
     that lower header rows tell from that neighbour's (they have a value here that the left lacks, or another one)."""

@@ -46,18 +46,43 @@ def fold(rows: DataFrame, span: int = 2, width: int = 3) -> DataFrame:
     return folded.where(~p.is_blank(F.col("cells")))
 
 
-def fold_each(rows: DataFrame) -> DataFrame:
-    """As fold, for sheets with a span of their own in the column span, each over its widest row."""
-    width = rows.groupBy("sheet").agg(F.max(F.size("cells")).alias("width"))
+def with_record_span(rows: DataFrame) -> DataFrame:
+    """Rows with their sheet's ``span``, told by windows: as record_span of record_span_scores."""
+    w, whole = W.partitionBy("sheet").orderBy("row_idx"), W.partitionBy("sheet")
+    row, n = F.col("row_idx"), F.col("n")
+    marked = rows.withColumn("n", p.n_filled(F.col("cells")))
+    marked = marked.select("*", F.lag("row_idx").over(w).alias("before"), *(F.lead(F.struct("row_idx", "n"), k).over(w).alias(f"next{k}") for k in (1, 2, 3)))
+    scores = []
+    for span in (2, 3, 4):
+        group = F.floor(row / span)
+        begins = F.col("before").isNull() | (F.floor(F.col("before") / span) < group)
+        good = (F.pmod(row, F.lit(span)) == 0) & (n >= 2)
+        for k in range(1, span):
+            good = good & (F.col(f"next{k}.row_idx") == row + k) & p.is_continuation(F.col(f"next{k}.n"), n)
+        scored = lambda c, group=group: F.sum(F.when((group < SCORED_GROUPS) & c, 1).otherwise(0)).over(whole)
+        marked = marked.withColumn(f"good{span}", scored(good)).withColumn(f"groups{span}", scored(begins))
+        scores.append(F.struct(F.coalesce(F.try_divide(f"good{span}", f"groups{span}"), F.lit(0.0)).alias("score"), F.lit(-span).alias("less")))
+    best = F.array_max(F.array(*scores))
+    span = F.when(best["score"] >= 0.7, -best["less"]).otherwise(2).cast("int")
+    return marked.select(*rows.columns, span.alias("span"))
+
+
+def records(rows: DataFrame) -> DataFrame:
+    """(sheet, rec, names, main, rest) of rows with span and names: the main row's cells, and each column's continuations joined by spaces."""
     off = F.pmod(F.col("row_idx"), F.col("span")).alias("off")
-    keyed = rows.select("sheet", F.floor(F.col("row_idx") / F.col("span")).alias("rec"), F.struct(off, "cells").alias("r"))
-    records = keyed.groupBy("sheet", "rec").agg(F.array_sort(F.collect_list("r")).alias("rs")).join(width, "sheet")
-    every = F.sequence(F.lit(0), F.col("width") - 1)
+    keyed = rows.select("sheet", F.floor(F.col("row_idx") / F.col("span")).alias("rec"), "names", F.struct(off, "cells").alias("r"))
+    by = keyed.groupBy("sheet", "rec").agg(F.first("names").alias("names"), F.array_sort(F.collect_list("r")).alias("rs"))
+    every = F.sequence(F.lit(0), F.size("names") - 1)
     main, rest = F.filter("rs", lambda r: r.off == 0), F.filter("rs", lambda r: r.off > 0)
-    firsts = F.transform(every, lambda i: F.coalesce(F.get(F.get(main, F.lit(0)).cells, i), F.lit("")))
-    others = F.transform(every, lambda i: F.array_join(F.filter(F.transform(rest, lambda r: F.get(r.cells, i)), lambda v: ~t.blank(v)), " "))
-    folded = records.where(F.col("width") > 0).select("sheet", "rec", F.concat(firsts, others).alias("cells"))
-    return folded.where(~p.is_blank(F.col("cells")))
+    firsts = t.let(F.get(main, F.lit(0)).cells, lambda row: F.transform(every, lambda i: F.coalesce(F.get(row, i), F.lit(""))))
+    others = t.let(rest, lambda x: F.transform(every, lambda i: F.array_join(F.filter(F.transform(x, lambda r: F.get(r.cells, i)), lambda v: ~t.blank(v)), " ")))
+    return by.select("sheet", "rec", "names", firsts.alias("main"), others.alias("rest"))
+
+
+def with_continuations(folded: DataFrame, groups: int = 20) -> DataFrame:
+    """Records with ``more``: in ascending order the columns with content in the continuations of a sheet's first records."""
+    held = F.when(F.col("rec") < groups, F.filter(F.transform("rest", lambda v, i: F.when(v != "", i)), lambda i: i.isNotNull()))
+    return folded.withColumn("more", F.array_sort(F.array_distinct(F.flatten(F.collect_list(held).over(W.partitionBy("sheet"))))))
 
 
 def continuation_columns(rows: DataFrame, span: int = 2, groups: int = 20) -> DataFrame:
@@ -66,13 +91,6 @@ def continuation_columns(rows: DataFrame, span: int = 2, groups: int = 20) -> Da
     return part.select("sheet", F.posexplode("cells").alias("col_idx", "value")).where(~t.blank(F.col("value"))).select("sheet", "col_idx").distinct()
 
 
-def continuations(rows: DataFrame, groups: int = 20) -> DataFrame:
-    """(sheet, more): in ascending order the columns with content in the continuation rows of a sheet's first groups (needs span)."""
-    part = rows.where((F.col("row_idx") < F.col("span") * groups) & (F.pmod(F.col("row_idx"), F.col("span")) > 0))
-    held = part.select("sheet", F.posexplode("cells").alias("col_idx", "value")).where(~t.blank(F.col("value")))
-    return held.groupBy("sheet").agg(F.sort_array(F.collect_set("col_idx")).alias("more"))
-
-
 def unique_after(names: Column, more: Column) -> Column:
     """The names and those that follow them, which get _2, _3 … where an earlier one is the same."""
 

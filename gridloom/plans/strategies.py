@@ -213,28 +213,21 @@ def paired_row_bilingual(rows: DataFrame, extras: Extras | None = None) -> DataF
     The header is where borders say, else the first row of texts under the titles.  Each sheet is folded by its own span,
     as the scores of its rows tell.  Continuations are called after their column, with 续 behind.
     """
-    told = layout.prepared(rows)
-    head = headers.paired_header(told).select("sheet", "header_row")
-    told = told.join(head, "sheet")
+    told = headers.with_paired_header(layout.prepared(rows)).where(F.col("header_row").isNotNull())
     if "is_solid" in rows.columns:
         told = layout.with_border_header(_bounded(told)).withColumn("header_row", F.coalesce("border_end", "header_row"))
-    name_of = headers.block_names(F.array("cells"), F.lit(False))
-    named = told.withColumn("names", F.max(F.when(F.col("row_idx") == F.col("header_row"), name_of)).over(layout.whole()))
+    name_of = headers.distinct_names(headers.block_names(F.array("cells"), F.lit(False)))
+    named = told.withColumn("names", F.max(F.when(F.col("row_idx") == F.col("header_row"), name_of)).over(layout.whole())).where(F.size("names") > 0)
     filled = fill.forward_fill(named.where(F.col("row_idx") > F.col("header_row")))
-    width = F.size("names")
-    under = filled.select("sheet", (F.col("row_idx") - F.col("header_row") - 1).alias("row_idx"), F.transform(F.sequence(F.lit(0), width - 1), lambda i: F.get("cells", i)).alias("cells"), "names")
-    spans = pairs.record_span(pairs.record_span_scores(under))
-    spanned = under.join(spans, "sheet")
-    folded = pairs.fold_each(spanned.drop("names"))
-    more = pairs.continuations(spanned)
-    facts = named.where(F.col("row_idx") == F.col("header_row")).select("sheet", headers.distinct_names(F.col("names")).alias("names")).join(more, "sheet", "left")
-    facts = facts.withColumn("more", F.coalesce("more", F.array().cast("array<int>")))
+    fitted = F.transform(F.sequence(F.lit(0), F.size("names") - 1), lambda i: F.get("cells", i))
+    under = filled.select("sheet", (F.col("row_idx") - F.col("header_row") - 1).alias("row_idx"), fitted.alias("cells"), "names")
+    records = pairs.with_continuations(pairs.records(pairs.with_record_span(under)))
     longer = F.transform("more", lambda i: F.concat(F.get("names", i), F.lit("_续")))
-    facts = facts.select("sheet", "more", width.alias("width"), pairs.unique_after(F.col("names"), longer).alias("names"))
-    joined = folded.join(facts, "sheet")
-    own = F.concat(F.slice("cells", F.lit(1), F.col("width")), F.transform("more", lambda i: F.get("cells", F.col("width") + i)))
-    kept = joined.withColumn("cells", own).where(~p.is_blank(F.col("cells"))).withColumnRenamed("rec", "row_idx")
-    return _whole(kept, F.col("names"))
+    own = F.concat("main", F.transform("more", lambda i: F.get("rest", i)))
+    kept = records.withColumn("cells", own).where(~p.is_blank(F.col("cells"))).withColumnRenamed("rec", "row_idx")
+    first = F.row_number().over(W.partitionBy("sheet").orderBy("row_idx")) == 1
+    told = kept.withColumn("first", first).withColumn("names", F.max(F.when(F.col("first"), pairs.unique_after(F.col("names"), longer))).over(layout.whole()))
+    return _whole(told, F.col("names"))
 
 
 #: By name; a new one is a callable from grid rows and extras to a relation.

@@ -13,12 +13,13 @@ from pyspark.sql import functions as F
 from gridloom.operators import borders, headers, subtables
 from gridloom.plans import strategies, table_function
 from gridloom.queries import _sanitise, query, read
+from gridloom.session import dealt
 
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(sheet, status, key, priority, amount) with n, the order's number in its sheet from 0."""
     number = F.row_number().over(W.partitionBy("o_custkey").orderBy("o_orderkey")) - 1
-    return read(spark, sf_dir, "orders").select(F.col("o_custkey").alias("sheet"), F.col("o_orderstatus").alias("status"), F.col("o_orderkey").alias("key"), F.col("o_orderpriority").alias("priority"), F.format_number("o_totalprice", 2).alias("amount"), number.alias("n"))
+    return dealt(read(spark, sf_dir, "orders"), "o_custkey").select(F.col("o_custkey").alias("sheet"), F.col("o_orderstatus").alias("status"), F.col("o_orderkey").alias("key"), F.col("o_orderpriority").alias("priority"), F.format_number("o_totalprice", 2).alias("amount"), number.alias("n"))
 
 
 ORDERS = """

@@ -33,6 +33,16 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def dealt(df: DataFrame, *keys: str, each: int = 50_000) -> DataFrame:
+    """The rows dealt by their keys to as many tasks as it takes for about ``each`` rows a task, cores at least.
+
+    A number given like this is not coalesced, so what a task holds does not grow with the table.  It takes a count: for
+    tables and checkpoints, not for steps that would be worked out twice.
+    """
+    parts = max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // each))
+    return df.repartition(parts, *keys)
+
+
 def deleted_at_exit(spark: SparkSession, path: str) -> str:
     """The path, which its file system removes when the application ends."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
