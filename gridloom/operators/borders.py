@@ -108,13 +108,13 @@ def split_columns(columns: DataFrame) -> DataFrame:
     """(sheet, col_idx): columns with a dashed right edge (0.3), and where thin runs (below 0.3) begin, in four columns or more:
     runs between two full columns (over 0.5), or after one at the sheet's end."""
     w = W.partitionBy("sheet").orderBy("col_idx")
-    dash = columns.where(F.col("is_dash") & (F.col("ratio") >= 0.3)).select("sheet", "col_idx")
+    dash = F.col("is_dash") & (F.col("ratio") >= 0.3)
     edge = F.when(F.col("ratio") >= 0.3, F.struct("ratio"))
     after = F.last(edge, ignorenulls=True).over(W.partitionBy("sheet").orderBy(F.desc("col_idx")).rowsBetween(W.unboundedPreceding, -1))
     told = columns.withColumn("before", F.lag("ratio").over(w)).withColumn("after", after).withColumn("n", F.count(F.lit(1)).over(W.partitionBy("sheet")))
     enclosed = F.col("after").isNull() | (F.col("after.ratio") > 0.5)
-    runs = told.where((F.col("n") >= 4) & (F.col("ratio") < 0.3) & (F.col("before") > 0.5) & enclosed).select("sheet", "col_idx")
-    return dash.union(runs).distinct()
+    runs = (F.col("n") >= 4) & (F.col("ratio") < 0.3) & (F.col("before") > 0.5) & enclosed
+    return told.where(dash | runs).select("sheet", "col_idx").distinct()
 
 
 def pre_classify(rows: DataFrame, columns: DataFrame) -> DataFrame:

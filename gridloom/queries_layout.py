@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from gridloom.operators import borders, headers, ingest_log, naming, ranges, regions
 from gridloom.plans import decision
 from gridloom.queries import EVENTS, GAPPED, GRID, _edge_sql, edges, event_rows, gapped, orders_grid, query, read
+from gridloom.session import dealt
 
 KEYED = GRID + ", k AS (SELECT sheet, row_idx, priority[1] AS x, status, amount FROM grid)"
 
@@ -99,7 +100,7 @@ def header_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     number = F.row_number().over(W.partitionBy("l_orderkey").orderBy("l_linenumber", "l_suppkey", "l_partkey", "l_extendedprice", "l_shipdate")) - 1
     low = F.when(F.col("l_suppkey") % 3 > 0, F.concat("l_linestatus", (F.col("l_suppkey") % 2).cast("string")))
     both = F.explode(F.array(F.struct(F.lit(0).alias("row_idx"), F.col("l_returnflag").alias("value")), F.struct(F.lit(1).alias("row_idx"), low.alias("value")))).alias("v")
-    lines = read(spark, sf_dir, "lineitem").withColumn("col_idx", number)
+    lines = dealt(read(spark, sf_dir, "lineitem"), "l_orderkey", each=100_000).withColumn("col_idx", number)
     return lines.select(F.col("l_orderkey").alias("sheet"), "col_idx", both).select("sheet", "v.row_idx", "col_idx", "v.value")
 
 

@@ -201,7 +201,7 @@ def enclosed_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Columns of thin edges: between full ones, beside half ones, at the end."""
     number = (F.row_number().over(W.partitionBy("l_orderkey").orderBy("l_linenumber", "l_suppkey", "l_partkey", "l_extendedprice", "l_shipdate")) - 1).cast("int")
     ratio = F.when(F.col("l_suppkey") % 3 == 0, 0.1).when(F.col("l_suppkey") % 3 == 1, 0.4).otherwise(0.9)
-    lines = read(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("sheet"), number.alias("col_idx"), ratio.alias("ratio"), ((F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F")).alias("is_dash"))
+    lines = dealt(read(spark, sf_dir, "lineitem"), "l_orderkey", each=100_000).select(F.col("l_orderkey").alias("sheet"), number.alias("col_idx"), ratio.alias("ratio"), ((F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F")).alias("is_dash"))
     return borders.split_columns(lines)
 
 

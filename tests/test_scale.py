@@ -43,3 +43,11 @@ def test_numeric_text_is_what_the_parser_takes(spark):
 
 def test_parts_grow_with_rows(spark):
     assert [dealt(spark.range(n), "id", each=10).rdd.getNumPartitions() for n in (0, 100, 1000)] == [spark.sparkContext.defaultParallelism, 10, 100]
+
+
+def test_lines_are_dealt_once(spark):
+    import __spark_entry__
+
+    for name in ("enclosed_runs", "repeated_by_merge", "merged_header_names"):
+        found = plan(__spark_entry__.queries()[name](spark, "/root/testdata/sf0.001"))
+        assert found.count("Exchange hashpartitioning") == found.count("REPARTITION_BY_NUM") == 1, name
