@@ -177,10 +177,10 @@ def regions_of_rows(rows: DataFrame, regions: DataFrame) -> DataFrame:
     facts = F.struct("sub_idx", "label", "data_end").alias("region")
     marked = rows.join(regions.select("sheet", F.col("data_start").alias("row_idx"), facts), ["sheet", "row_idx"], "left")
     held = marked.withColumn("region", F.last("region", ignorenulls=True).over(down())).where(at() < F.col("region.data_end"))
-    data = layout.by_subtable(held.select(*rows.columns, "region.sub_idx", "region.label").withColumn("kind", F.lit("data")))
+    data = held.select(*rows.columns, "region.sub_idx", "region.label").withColumn("kind", F.lit("data"))
     cells = F.col("cells")
-    content = F.max(F.when(~p.is_blank(cells) & ~p.is_footnote(cells), at())).over(whole())
-    return data.withColumn("content", content).where(at() <= F.col("content")).drop("content").unionByName(layout.by_subtable(heads))
+    content = F.max(F.when(~p.is_blank(cells) & ~p.is_footnote(cells), at())).over(W.partitionBy("sheet", "sub_idx"))  # keeps to the sheets' exchange
+    return layout.by_subtable(data.withColumn("content", content).where(at() <= F.col("content")).drop("content")).unionByName(layout.by_subtable(heads))
 
 
 def named_rows(rows: DataFrame, gaps: bool = False, advised: DataFrame | None = None) -> DataFrame:

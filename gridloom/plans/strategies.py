@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from gridloom.functions import text as t
 from gridloom.operators import borders, fill, headers, layout, pairs, ranges, regions, subtables
 from gridloom.operators import predicates as p
-from gridloom.session import cut
+from gridloom.session import cut, dealt
 
 
 @dataclass
@@ -120,7 +120,7 @@ def _stacked(told: DataFrame, extras: Extras) -> DataFrame:
     )
     keep = [c for c in ("border",) if c in told.columns]
     regions_found = cut(subtables.inherited(found).drop("many"))  # a row a sub-table
-    parts = cut(subtables.regions_of_rows(told.select("sheet", "row_idx", "cells", *keep), regions_found))
+    parts = dealt(cut(subtables.regions_of_rows(told.select("sheet", "row_idx", "cells", *keep), regions_found)), "sheet")
     return subtables.read_out(parts, subtables.named_rows(parts, advised=extras.keyed_names()))
 
 
@@ -185,7 +185,7 @@ def vertical_subtable(rows: DataFrame, extras: Extras | None = None) -> DataFram
         given = cut(_given(part, extras.hints))
         found = given.unionByName(found.join(given.select("sheet").distinct(), "sheet", "left_anti"))
     keep = [c for c in ("border",) if c in rows.columns]
-    parts = cut(subtables.regions_of_rows(part.select("sheet", "row_idx", "cells", *keep), found))
+    parts = dealt(cut(subtables.regions_of_rows(part.select("sheet", "row_idx", "cells", *keep), found)), "sheet")
     out = subtables.read_out(parts, subtables.named_rows(parts, advised=extras.keyed_names()))
     rest = rows.join(found.select("sheet").distinct(), "sheet", "left_anti")
     return out.unionByName(multi_header(rest, extras))

@@ -51,3 +51,11 @@ def test_lines_are_dealt_once(spark):
     for name in ("enclosed_runs", "repeated_by_merge", "merged_header_names"):
         found = plan(__spark_entry__.queries()[name](spark, "/root/testdata/sf0.001"))
         assert found.count("Exchange hashpartitioning") == found.count("REPARTITION_BY_NUM") == 1, name
+
+
+def test_sheets_of_orders_are_dealt_by_number(spark):
+    from gridloom import queries_tables
+
+    rows = queries_tables.numbered(queries_tables.orders(spark, "/root/testdata/sf0.001").withColumn("rows", F.array(queries_tables.row("a"))), ["n"])
+    found = plan(rows)
+    assert found.count("Exchange hashpartitioning") == found.count("REPARTITION_BY_NUM") == 1
