@@ -165,17 +165,19 @@ def block_header(block: Column, first_texts: Column, advised: Column | None = No
     """
 
     n = F.size(block)
-    both = F.transform(F.array(block, F.slice(block, F.lit(1), F.greatest(n - 1, F.lit(1)))), lambda rows: distinct_names(block_names(rows, first_texts, gaps)))
+    made = lambda rows: distinct_names(block_names(rows, first_texts, gaps))
 
-    def chosen(made: Column) -> Column:
-        less = p.numeric_names(F.get(made, F.lit(0))) & (n > 1)
-        return F.struct(F.get(made, less.cast("int")).alias("names"), (n - less.cast("int")).alias("rows"))
+    def chosen(names: Column) -> Column:
+        """The shorter block's names are made only where they are asked for."""
+        less = F.coalesce(p.numeric_names(names) & (n > 1), F.lit(False))
+        shorter = F.when(less, made(F.slice(block, F.lit(1), F.greatest(n - 1, F.lit(1)))))
+        return F.struct(F.when(less, shorter).otherwise(names).alias("names"), (n - less.cast("int")).alias("rows"))
 
     def fused(x: Column) -> Column:
         names = F.when(x.rows > 1, distinct_names(naming.fuse(x.names, advised, confidence))).otherwise(x.names)
         return F.struct(names.alias("names"), x.rows.alias("rows"))
 
-    out = t.let(both, chosen)
+    out = t.let(made(block), chosen)
     return out if advised is None else t.let(out, fused)
 
 

@@ -2,20 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gridloom.functions import text as t
-from gridloom.operators import grid, layout, ranges
+from gridloom.operators import ranges
 from gridloom.operators import predicates as p
 
 
 def trim_sides(rows: DataFrame, keys: tuple[str, ...] = ("sheet",)) -> DataFrame:
     """Cut to the columns from the first to the last that hold anything; (…, left): the first of them.  Blank regions go."""
-    place = F.transform("cells", lambda c, i: F.when(~t.blank(c), i))
-    ends = rows.groupBy(*keys).agg(F.min(F.array_min(place)).alias("left"), F.max(F.array_max(place)).alias("right")).where(F.col("left").isNotNull())
-    return rows.join(ends, list(keys)).withColumn("cells", F.slice("cells", F.col("left") + 1, F.col("right") - F.col("left") + 1)).drop("right")
+    place, w = F.transform("cells", lambda c, i: F.when(~t.blank(c), i)), W.partitionBy(*keys)
+    ends = rows.withColumn("left", F.min(F.array_min(place)).over(w)).withColumn("right", F.max(F.array_max(place)).over(w)).where(F.col("left").isNotNull())
+    return ends.withColumn("cells", F.slice("cells", F.col("left") + 1, F.col("right") - F.col("left") + 1)).drop("right")
 
 
 def regions_of_splits(splits: DataFrame, widths: DataFrame) -> DataFrame:
@@ -40,42 +40,57 @@ def side_by_side(rows: DataFrame, split_cols: DataFrame | None = None, hints: Da
     hint is a struct of the rows that a hint names, judged says that the region is a hint's own.  Where borders part a sheet,
     a hint lends its label and rows to the border region with which it has most columns in common.
     """
-    cells = F.col("cells")
-    widths = rows.groupBy("sheet").agg(F.max(F.size(cells)).alias("width"))
-    row_of = "struct<header_start: int, header_end: int, data_start: int>"
-    nothing = F.lit(None).cast(row_of).alias("hint")
-    found = []
+    facts = _columns(rows).join(ranges.repeated_header(rows.withColumn("row_idx", F.col("row_idx") - F.col("trim_start")) if "trim_start" in rows.columns else rows), "sheet", "left")
+    width, wide = F.col("width"), F.col("width") >= 4
+    kind = "struct<sub_idx: int, label: string, start: int, end: int, hint: struct<header_start: int, header_end: int, data_start: int>, judged: boolean>"
+
+    def parted(splits: Column) -> Column:
+        opened = t.let(F.array_sort(F.filter(F.array_union(splits, F.array(F.lit(0))), lambda c: c < width)), lambda x: F.transform(x, lambda c, k: F.struct(k.alias("k"), c.alias("c"), (F.coalesce(F.get(x, k + 1), width) - 1).alias("end"))))
+        return F.transform(opened, lambda r: F.struct(r.k.alias("sub_idx"), F.concat(F.lit("p"), (r.k + 1).cast("string")).alias("label"), r.c.alias("start"), r.end.alias("end"), F.lit(None).cast("struct<header_start: int, header_end: int, data_start: int>").alias("hint"), F.lit(False).alias("judged")))
 
-    def parted(splits: DataFrame, rank: int) -> DataFrame:
-        own = regions_of_splits(splits, widths.join(splits.select("sheet").distinct(), "sheet"))
-        named = F.concat(F.lit("p"), (F.col("sub_idx") + 1).cast("string"))
-        return own.select(F.lit(rank).alias("rank"), "sheet", "sub_idx", named.alias("label"), "start", "end", nothing, F.lit(False).alias("judged"))
+    def lent(region: Column) -> Column:
+        """With the label and the rows of the hint that has most columns in common, the first of equals."""
+        shared = F.transform("given", lambda g: F.struct((F.greatest(region.start, g.start) - F.least(region.end, g.end) - 1).alias("less"), F.struct(g.sub_idx.alias("sub_idx"), g.own_label.alias("label"), g.hint.alias("hint")).alias("of")))
+        best = lambda b: F.struct(region.sub_idx.alias("sub_idx"), F.coalesce(b.of.label, region.label).alias("label"), region.start.alias("start"), region.end.alias("end"), F.coalesce(b.of.hint, region.hint).alias("hint"), region.judged.alias("judged"))
+        return t.let(F.array_min(F.filter(shared, lambda x: x.less < 0)), best)
 
+    signals = []
     if hints is not None:
-        at = F.struct(*(F.col(c).cast("int").alias(c) for c in ("header_start", "header_end", "data_start")))
-        start = F.greatest(F.least(F.coalesce("col_start", F.lit(0)), F.col("width") - 1), F.lit(0))
-        end = F.least(F.coalesce(F.col("col_end"), F.col("width") - 1), F.col("width") - 1)
-        given = hints.join(widths.where("width > 0"), "sheet").withColumn("hint", at).withColumn("start", start)
-        given = given.withColumn("end", F.greatest(end, F.col("start"))).withColumn("named", F.coalesce("label", F.concat(F.lit("p"), (F.col("sub_idx") + 1).cast("string"))))
-        told = F.max(F.coalesce("header_start", "header_end", "data_start").isNotNull().cast("int")).over(layout.whole()) == 1
-        found.append(given.select(F.when(told, 0).otherwise(2).alias("rank"), "sheet", "sub_idx", F.col("named").alias("label"), "start", "end", "hint", F.lit(True).alias("judged")))
+        of = F.struct(*(F.col(c).cast("int").alias(c) for c in ("header_start", "header_end", "data_start")))
+        told = F.coalesce("header_start", "header_end", "data_start").isNotNull()
+        by = hints.groupBy("sheet").agg(F.collect_list(F.struct("sub_idx", "label", "col_start", "col_end", of.alias("hint"))).alias("given"), F.max(told).alias("told"))
+
+        def placed(g: Column) -> Column:
+            start = F.greatest(F.least(F.coalesce(g.col_start, F.lit(0)), width - 1), F.lit(0))
+            end = F.greatest(F.least(F.coalesce(g.col_end, width - 1), width - 1), start)
+            return F.struct(g.sub_idx.alias("sub_idx"), g.label.alias("own_label"), start.alias("start"), end.alias("end"), g.hint.alias("hint"))
+
+        facts = facts.join(by, "sheet", "left").withColumn("given", F.transform("given", placed))
+        named = lambda g: F.coalesce(g.own_label, F.concat(F.lit("p"), (g.sub_idx + 1).cast("string")))
+        own = F.transform("given", lambda g: F.struct(g.sub_idx.alias("sub_idx"), named(g).alias("label"), g.start.alias("start"), g.end.alias("end"), g.hint.alias("hint"), F.lit(True).alias("judged")))
+        signals.append(F.when(F.col("told"), own))
     if split_cols is not None:
-        own = parted(split_cols, 1)
-        if hints is not None:
-            met = ranges.best_overlap(own.select("sheet", "start", "end"), given.select("sheet", "start", "end", F.struct("sub_idx", "label", "hint").alias("hint")))
-            met = met.select("sheet", "start", "end", F.col("hint.label").alias("given_label"), F.col("hint.hint").alias("given"))
-            own = own.join(met, ["sheet", "start", "end"], "left").withColumn("label", F.coalesce("given_label", "label")).withColumn("hint", F.coalesce("given", "hint")).drop("given_label", "given")
-        found.append(own)
-    wide = widths.where(F.col("width") >= 4).select("sheet")
-    gaps = ranges.blank_runs(ranges.blank_columns(grid.to_cells(rows.join(wide, "sheet", "left_semi"))))
-    found.append(parted(gaps, 3))
-    found.append(parted(ranges.repeated_header(rows.withColumn("row_idx", F.col("row_idx") - F.col("trim_start")) if "trim_start" in rows.columns else rows).select("sheet", F.col("split_col").alias("col_idx")), 4))
-    one = widths.where("width > 0").select(F.lit(5).alias("rank"), "sheet", F.lit(0).alias("sub_idx"), F.lit("whole").alias("label"), F.lit(0).alias("start"), (F.col("width") - 1).alias("end"), nothing, F.lit(False).alias("judged"))
-    every = one
-    for signal in found:
-        every = every.unionByName(signal)
-    best = every.withColumn("best", F.min("rank").over(layout.whole()))
-    return best.where(F.col("rank") == F.col("best")).drop("rank", "best")
+        facts = facts.join(split_cols.groupBy("sheet").agg(F.collect_set(F.col("col_idx").cast("int")).alias("splits")), "sheet", "left")
+        bordered = parted(F.col("splits"))
+        signals.append(F.when(F.col("splits").isNotNull(), bordered if hints is None else F.when(F.col("given").isNotNull(), F.transform(bordered, lent)).otherwise(bordered)))
+    if hints is not None:
+        signals.append(F.when(~F.col("told"), own))
+    signals.append(F.when(wide & (F.size("gaps") > 0), parted(F.col("gaps"))))
+    signals.append(F.when(F.col("split_col").isNotNull(), parted(F.array("split_col"))))
+    whole = F.struct(F.lit(0).alias("sub_idx"), F.lit("whole").alias("label"), F.lit(0).alias("start"), (width - 1).alias("end"), F.lit(None).cast("struct<header_start: int, header_end: int, data_start: int>").alias("hint"), F.lit(False).alias("judged"))
+    found = F.coalesce(*(s.cast(f"array<{kind}>") for s in signals), F.array(whole).cast(f"array<{kind}>"))
+    return facts.select("sheet", F.explode(found).alias("r")).select("sheet", "r.*")
+
+
+def _columns(rows: DataFrame) -> DataFrame:
+    """(sheet, width, gaps): a row a sheet that has cells; gaps: where two blank columns or more begin that one with content follows."""
+    by = rows.select("sheet", F.posexplode("cells").alias("col_idx", "value")).groupBy("sheet", "col_idx").agg(F.count_if(t.blank(F.col("value"))).alias("blanks"), F.count(F.lit(1)).alias("n"))
+    columns = by.groupBy("sheet").agg(F.sort_array(F.collect_list(F.struct("col_idx", "blanks", "n"))).alias("columns"))
+    n = F.get("columns", F.lit(0)).n  # every row with cells has the first column
+    full = F.transform(F.filter("columns", lambda c: c.blanks / n <= 0.8), lambda c: c.col_idx)
+    begins = t.let(full, lambda x: F.transform(x, lambda c, k: F.struct(c.alias("c"), (F.when(k > 0, F.get(x, k - 1)).otherwise(-1) + 1).alias("begin"))))
+    gaps = F.transform(F.filter(begins, lambda b: b.c - b.begin >= 2), lambda b: b.begin)
+    return columns.select("sheet", F.size("columns").alias("width"), gaps.alias("gaps"))
 
 
 def worth_keeping(names: DataFrame, counts: DataFrame) -> DataFrame:

@@ -205,11 +205,12 @@ def named_rows(rows: DataFrame, gaps: bool = False, advised: DataFrame | None =
     return by.select("sheet", "label", F.when(F.size("head") > 0, made).alias("made"), F.col("head.row_idx").alias("header_rows")).select("sheet", "label", "header_rows", "made.names", F.col("made.rows").alias("n_header"))
 
 
-def read_out(rows: DataFrame, named: DataFrame, drop_blank: bool = False) -> DataFrame:
-    """(sheet, sub_idx, label, names, row_no, cells) from rows (key, row_idx, cells, label, kind[, border]) and their names.
+def read_out(rows: DataFrame, named: DataFrame, drop_blank: bool = False, judged: bool = False) -> DataFrame:
+    """(sheet, sub_idx, label, names, row_no, cells) from rows (key, row_idx, cells, label, kind[, border, judged]) and their names.
 
     Categories go down to the next row, first cells down their bordered group (with ``border``) or to all below; blank
-    rows go; cells are cleaned, and are as many as the names.  drop_blank: columns without name and content go.
+    rows go; cells are cleaned, and are as many as the names.  drop_blank: columns without name and content go.  judged:
+    of the sub-tables marked so those worth keeping stay (regions.worth_keeping).
     """
     data = rows.where(F.col("kind") == "data")
     if "border" in rows.columns:
@@ -217,13 +218,23 @@ def read_out(rows: DataFrame, named: DataFrame, drop_blank: bool = False) -> Dat
     body = fill.push_down_categories(data.where(~p.is_blank(F.col("cells"))), blanks=False)
     body = fill.fill_down(body) if "border" in rows.columns else fill.forward_fill(body)
     names = named.select("sheet", "names").where(F.size("names") > 0)
-    fitted = body.join(names, "sheet").select("sheet", "row_idx", "label", "names", F.transform(F.sequence(F.lit(0), F.size("names") - 1), lambda i: t.clean(F.get("cells", i))).alias("cells"))
     if drop_blank:
-        place = F.explode(F.filter(F.transform("cells", lambda c, i: F.when(c.isNotNull(), i)), lambda i: i.isNotNull())).alias("i")
-        held = fitted.select("sheet", place).groupBy("sheet").agg(F.collect_set("i").alias("held"))  # no more than a row's columns
-        fitted = fitted.join(held, "sheet", "left").withColumn("held", F.coalesce("held", F.array().cast("array<int>")))
-        stays = F.transform("names", lambda n, i: F.array_contains("held", i) | ~n.rlike(r"^(col_\d+|col_empty)$"))
+        unnamed = lambda n: n.rlike(r"^(col_\d+|col_empty)$")
+        # a column holds something as the sub-table stands if it does before first cells are filled: what fills comes from it
+        spots = names.select("sheet", F.explode(F.filter(F.transform("names", lambda n, i: F.when(unnamed(n), i)), lambda i: i.isNotNull())).alias("i"))
+        held = rows.where(F.col("kind") == "data").join(spots, "sheet").where(t.clean(F.get("cells", F.col("i"))).isNotNull()).select("sheet", "i").distinct()
+        held = held.groupBy("sheet").agg(F.collect_set("i").alias("held"))  # no more than a row's columns
+        stays = F.transform("names", lambda n, i: ~unnamed(n) | F.coalesce(F.array_contains("held", i), F.lit(False)))
+        names = names.join(held, "sheet", "left").select("sheet", "names", stays.alias("stays"))
+    kept = [*names.columns[1:], *(["judged"] if judged else [])]
+    fitted = body.join(names, "sheet").select("sheet", "row_idx", "label", *kept, F.transform(F.sequence(F.lit(0), F.size("names") - 1), lambda i: t.clean(F.get("cells", i))).alias("cells"))
+    if drop_blank:
         keep = lambda c: F.filter(F.col(c), lambda _, i: F.get("stays", i))
-        fitted = fitted.withColumn("stays", stays).select("sheet", "row_idx", "label", keep("names").alias("names"), keep("cells").alias("cells"))
-    row_no = F.row_number().over(W.partitionBy("sheet").orderBy("row_idx")).cast("long").alias("row_no")
-    return layout.of_sheet(fitted.select("sheet", "label", "names", row_no, "cells")).select("sheet", "sub_idx", "label", "names", "row_no", "cells")
+        fitted = fitted.select("sheet", "row_idx", "label", *kept[2:], keep("names").alias("names"), keep("cells").alias("cells"))
+    row_no = F.row_number().over(W.partitionBy("sheet").orderBy("row_idx")).cast("long")
+    out = fitted.withColumn("row_no", row_no)
+    if judged:
+        columns, own = F.size("names"), F.size(F.filter("names", lambda n: ~n.rlike(r"^col_\d+$")))
+        worth = (F.count(F.lit(1)).over(whole()) >= 2) & (columns > 0) & ((columns <= 2) | (own >= 0.3 * columns))
+        out = out.withColumn("worth", ~F.coalesce("judged", F.lit(False)) | worth).where("worth")
+    return layout.of_sheet(out.select("sheet", "label", "names", "row_no", "cells")).select("sheet", "sub_idx", "label", "names", "row_no", "cells")

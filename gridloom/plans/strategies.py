@@ -145,10 +145,11 @@ def horizontal_split(rows: DataFrame, extras: Extras | None = None) -> DataFrame
     regions those worth keeping stay (two rows, and 30 % of names of their own).
     """
     extras = extras or Extras()
-    part = layout.prepared(rows)
+    part = dealt(cut(layout.prepared(rows)), "sheet")
     found = cut(regions.side_by_side(part, extras.split_cols, extras.hints))  # a row a region
+    n = part.select("sheet").join(found.select("sheet"), "sheet").count()
     sliced = regions.trim_sides(regions.sliced(part, found), ("sheet", "sub_idx")).drop("left")
-    told = layout.with_header_range(layout.with_data_start(layout.by_subtable(sliced)))
+    told = layout.with_header_range(layout.with_data_start(dealt(layout.by_subtable(sliced), "sheet", n=n)))
     if "border" in rows.columns:
         told = layout.with_border_header(told.withColumn("boundary", F.col("border")), first=15, most=9)
         told = layout.with_start_above(told, "border_end", "border_start", supplements=False)
@@ -162,15 +163,9 @@ def horizontal_split(rows: DataFrame, extras: Extras | None = None) -> DataFrame
     first = F.when((F.col("data_start") >= 0) & (F.col("data_start") <= F.col("h1")), F.col("data_start")).otherwise(F.col("h1") + 1)
     keep = [c for c in ("border",) if c in rows.columns]
     both = F.array(F.when(F.col("row_idx").between(F.col("h0"), F.col("h1")), "header"), F.when(F.col("row_idx") >= first, "data"))
-    parts = cut(told.withColumn("first", first).select("sheet", "row_idx", "cells", *keep, "label", "judged", F.explode(F.array_compact(both)).alias("kind")))
-    out = subtables.read_out(parts.drop("judged"), subtables.named_rows(parts, advised=extras.keyed_names()), drop_blank=True)
-    if extras.hints is None:
-        return out
-    judged = layout.of_sheet(parts.where("judged").select("sheet").distinct())
-    counts = out.groupBy("sheet", "sub_idx").agg(F.count(F.lit(1)).alias("n_rows"), F.first("names").alias("names"))
-    names = counts.select("sheet", "sub_idx", F.explode("names").alias("name"))
-    poor = judged.join(regions.worth_keeping(names, counts), ["sheet", "sub_idx"], "left_anti")
-    return out.join(poor, ["sheet", "sub_idx"], "left_anti")
+    parts = dealt(cut(told.withColumn("first", first).select("sheet", "row_idx", "cells", *keep, "label", "judged", F.explode(F.array_compact(both)).alias("kind"))), "sheet")
+    named = subtables.named_rows(parts, advised=extras.keyed_names())
+    return subtables.read_out(parts, named, drop_blank=True, judged=extras.hints is not None)
 
 
 def vertical_subtable(rows: DataFrame, extras: Extras | None = None) -> DataFrame:

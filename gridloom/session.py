@@ -33,13 +33,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def dealt(df: DataFrame, *keys: str, each: int = 50_000) -> DataFrame:
+def dealt(df: DataFrame, *keys: str, each: int = 50_000, n: int | None = None) -> DataFrame:
     """The rows dealt by their keys to as many tasks as it takes for about ``each`` rows a task, cores at least.
 
-    A number given like this is not coalesced, so what a task holds does not grow with the table.  It takes a count: for
-    tables and checkpoints, not for steps that would be worked out twice.
+    A number given like this is not coalesced, so what a task holds does not grow with the table.  It takes a count, if
+    their number ``n`` is not known: for tables and checkpoints, not for steps that would be worked out twice.
     """
-    parts = max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // each))
+    parts = max(df.sparkSession.sparkContext.defaultParallelism, -(-(df.count() if n is None else n) // each))
     return df.repartition(parts, *keys)
 
 

@@ -13,6 +13,18 @@ from gridloom.plans import strategies
 from gridloom.session import dealt
 
 
+def counted(rows):
+    """The rows, and a count of how many of them were made, however often."""
+    seen = rows.sparkSession.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    return rows.mapInArrow(count, rows.schema), seen
+
+
 def plan(df):
     with contextlib.redirect_stdout(out := io.StringIO()):
         df.explain()
@@ -59,3 +71,22 @@ def test_sheets_of_orders_are_dealt_by_number(spark):
     rows = queries_tables.numbered(queries_tables.orders(spark, "/root/testdata/sf0.001").withColumn("rows", F.array(queries_tables.row("a"))), ["n"])
     found = plan(rows)
     assert found.count("Exchange hashpartitioning") == found.count("REPARTITION_BY_NUM") == 1
+
+
+def test_side_by_side_tables_are_prepared_once(spark):
+    made = [["指标A", "1990", None, None, "指标B", "类别"], ["a", "1.5", None, None, "b", "2.5"], ["c", "3.5", None, None, "d", "4.5"]]
+    rows, seen = counted(spark.createDataFrame([(s, i, cells) for s in range(4) for i, cells in enumerate(made)], "sheet int, row_idx int, cells array<string>"))
+    hints = spark.createDataFrame([(0, 0, "left", 0, 1), (0, 1, "right", 4, 5)], "sheet int, sub_idx int, label string, col_start int, col_end int")
+    told = hints.select("*", *(F.lit(None).cast("int").alias(c) for c in ("header_start", "header_end", "data_start", "data_end")))
+    out = strategies.horizontal_split(rows, strategies.Extras(hints=told))
+    assert {(r.sheet, r.sub_idx, r.label, r.row_no, tuple(r.cells)) for r in out.collect()} == {
+        (s, k, ("left", "right")[k] if s == 0 else f"p{k + 1}", n, cells) for s in range(4) for k, n, cells in ((0, 1, ("a", "1.5")), (0, 2, ("c", "3.5")), (1, 1, ("b", "2.5")), (1, 2, ("d", "4.5")))
+    }
+    assert seen.value == 12
+
+
+def test_names_of_side_by_side_tables_are_made_in_dealt_tasks(spark):
+    import __spark_entry__
+
+    found = plan(__spark_entry__.queries()["side_by_side_tables"](spark, "/root/testdata/sf0.001"))
+    assert found.count("Exchange hashpartitioning") == found.count("REPARTITION_BY_NUM") > 0
