@@ -72,10 +72,13 @@ def data_start(cells: Column) -> tuple[Column, Column]:
 
 def with_data_start(rows: DataFrame) -> DataFrame:
     """With ``data_start``: the sheet's first data row, else the first that starts data all the same, else -1."""
-    data, other = data_start(F.col("cells"))
-    marked = rows.withColumn("is_data", data).withColumn("starts", other)
-    first, second = (F.min(F.when(F.col(c), at())).over(whole()) for c in ("is_data", "starts"))
-    return marked.withColumn("data_start", F.coalesce(first, second, F.lit(-1)).cast("int")).drop("is_data", "starts")
+    cells = F.col("cells")
+    number = F.exists(F.slice(cells, 2, F.greatest(F.size(cells), F.lit(1))), lambda c: F.coalesce(p.is_data_number(c), F.lit(False)))
+    # as data_start, with one look at the cells
+    starts = lambda f: t.let(number, lambda k: F.struct((k & p.is_measured(f)).alias("data"), (k | F.coalesce(F.get(f, 0).rlike(t.ORDINAL), F.lit(False))).alias("other")))
+    marked = rows.withColumn("starts", t.let(p.filled(cells), starts))
+    first, second = (F.min(F.when(F.col(f"starts.{c}"), at())).over(whole()) for c in ("data", "other"))
+    return marked.withColumn("data_start", F.coalesce(first, second, F.lit(-1)).cast("int")).drop("starts")
 
 
 def numbers_in(cells: Column) -> Column:

@@ -76,13 +76,19 @@ def is_data_number(c: Column) -> Column:
     return bare.rlike(t.LOOSE_NUMBER) & (~bare.rlike(t.YEAR) | apart)
 
 
-def is_data_like(cells: Column, units: str = "^(%|％|元|万元|亿元|人|万人|吨|万吨|公顷|千米|个|户|次|件)$") -> Column:
-    """At least two cells; not a row of units; a data number after the first cell."""
-    f = filled(cells)
+UNITS = "^(%|％|元|万元|亿元|人|万人|吨|万吨|公顷|千米|个|户|次|件)$"
+
+
+def is_measured(f: Column, units: str = UNITS) -> Column:
+    """Of filled cells: at least two, less than half of them units."""
     n = F.size(f)
-    unit_row = (n >= 2) & (F.size(F.filter(f, lambda c: c.rlike(units))) >= 0.5 * n)
+    return (n >= 2) & (F.size(F.filter(f, lambda c: c.rlike(units))) < 0.5 * n)
+
+
+def is_data_like(cells: Column, units: str = UNITS) -> Column:
+    """At least two cells; not a row of units; a data number after the first cell."""
     numbers = F.exists(F.slice(cells, 2, F.greatest(F.size(cells), F.lit(1))), lambda c: F.coalesce(is_data_number(c), F.lit(False)))
-    return (n >= 2) & ~unit_row & numbers
+    return is_measured(filled(cells), units) & numbers
 
 
 def is_continuation(n: Column, n_main: Column) -> Column:

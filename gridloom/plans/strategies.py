@@ -84,7 +84,7 @@ def multi_header(rows: DataFrame, extras: Extras | None = None) -> DataFrame:
     if "is_solid" in rows.columns:
         told = layout.with_start_above(layout.with_border_header(_bounded(told)), "border_end", "border_start")
         told = told.withColumn("header_start", F.coalesce("border_start", "header_start")).withColumn("header_end", F.coalesce("border_end", "header_end"))
-    units = t.blank(F.get("cells", F.lit(0))) & (p.n_filled(F.col("cells")) > 1) & (F.col("row_idx") > F.col("header_end")) & (F.col("row_idx") < F.col("data_start"))
+    units = (F.col("row_idx") > F.col("header_end")) & (F.col("row_idx") < F.col("data_start")) & t.blank(F.get("cells", F.lit(0))) & (p.n_filled(F.col("cells")) > 1)
     told = told.withColumn("header_end", F.coalesce(F.max(F.when(units, F.col("row_idx"))).over(layout.whole()), F.col("header_end")))
     early = (F.col("data_start") >= 0) & (F.col("data_start") <= F.col("header_end"))
     first = F.when(early, F.col("data_start")).otherwise(F.col("header_end") + 1)
@@ -99,28 +99,45 @@ def _bounded(rows: DataFrame) -> DataFrame:
 
 
 def _stacked(told: DataFrame, extras: Extras) -> DataFrame:
-    """Reads rows told where their sheet's header and data are; further tables begin after gaps under the header."""
-    under = told.where(F.col("row_idx") >= F.col("data_start"))
-    splits = ranges.vertical_splits(under.select("sheet", "row_idx", "cells")).select("sheet", F.col("split").alias("row_idx"), F.lit(1).alias("begin"))
-    cells = F.col("cells")
-    marked = told.join(splits, ["sheet", "row_idx"], "left").withColumn("sub_idx", F.sum(F.coalesce("begin", F.lit(0))).over(layout.down()).cast("int"))
-    like = p.is_header_like(cells)
-    data = ~p.is_blank(cells) & ~p.is_footnote(cells) & (p.n_filled(cells) > 1) & ~p.is_title(cells) & ~like
-    marked = marked.withColumn("like", like).withColumn("is_data", data)
-    by = marked.groupBy("sheet", "sub_idx").agg(
-        F.min("header_start").alias("h0"), F.min("header_end").alias("h1"), F.min("data_start").alias("d0"), F.min(F.when(F.col("is_data"), F.col("row_idx"))).alias("d1"),
-        F.min(F.when(F.col("like"), F.col("row_idx"))).alias("begin"), (F.max("row_idx") + 1).alias("data_end"),
-    )
-    zero, own = F.col("sub_idx") == 0, F.col("begin") < F.coalesce("d1", F.col("data_end"))
-    found = by.select(
-        "sheet", "sub_idx", F.concat(F.lit("p"), (F.col("sub_idx") + 1).cast("string")).alias("label"),
-        F.when(zero, F.col("h0")).otherwise(F.when(own, F.col("begin"))).alias("header_start"),
-        F.when(zero, F.col("h1")).otherwise(F.when(own, F.coalesce("d1", F.col("data_end")) - 1)).alias("header_end"),
-        F.when(zero, F.col("d0")).otherwise(F.coalesce("d1", F.col("data_end"))).alias("data_start"), "data_end",
-    )
+    """Reads rows told where their sheet's header and data are; further tables begin after gaps under the header.
+
+    All by windows over the sheets' one exchange: no row is made twice.  A gap, a run of blank rows, parts tables as
+    ranges.vertical_splits says; a table's header goes with the tables after it that have none of their own.
+    """
+    at, sub, cells = layout.at(), W.partitionBy("sheet", "sub_idx"), F.col("cells")
+    looks = told.withColumn("looks", t.let(p.filled(cells), lambda f: F.struct(F.size(f).alias("n"), t.is_footnote_text(F.get(f, 0)).alias("note"))))
+    n, note = F.col("looks.n"), F.col("looks.note")
+    looked = looks.select("*", (n == 0).alias("blank"), ((n > 0) & ~note).alias("full"), ((n == 1) & ~note).alias("lone")).drop("looks")
+    content = F.col("full") & (at >= F.col("data_start"))
+    seen = looked.withColumn("gap", F.last(F.when(F.col("blank"), at), ignorenulls=True).over(layout.below()))
+    seen = seen.withColumn("before", F.last(F.when(content, F.struct("lone", "gap")), ignorenulls=True).over(layout.above())).drop("gap")
+    parted = content & F.coalesce(F.col("before.gap") < at, F.lit(False))
+    near = F.coalesce(F.last(F.when(content, F.col("parted")), ignorenulls=True).over(layout.above()), F.lit(False))
+    # whether a row is like a header is looked at near gaps only
+    seen = seen.withColumn("parted", parted).withColumn("near", near).withColumn("like", F.when(content & (F.col("parted") | F.col("near")), p.is_header_like(cells)).otherwise(False))
+    ahead = F.last(F.when(content, F.col("like")), ignorenulls=True).over(layout.below())
+    begins = F.col("parted") & ((F.col("like") & ~F.col("before.lone")) | (F.col("lone") & F.coalesce(F.col("ahead"), F.lit(False))))
+    opened = F.last(F.when(begins, F.col("before.gap")), ignorenulls=True).over(layout.below())  # the split row of the next table
+    marked = seen.withColumn("ahead", ahead).withColumn("begin", F.coalesce(opened == at, F.lit(False))).drop("ahead", "before", "parted", "near", "like")
+    marked = marked.withColumn("sub_idx", F.sum(F.col("begin").cast("int")).over(layout.down()).cast("int")).withColumn("n_subs", F.sum(F.col("begin").cast("int")).over(layout.whole()) + 1)
+    marked = marked.withColumn("k", F.when((F.col("sub_idx") > 0) & ~F.col("blank"), p.kinds(cells)))
+    like = F.coalesce(F.col("k.is_header_like"), F.lit(False))
+    marked = marked.withColumn("like", like).withColumn("is_data", F.coalesce(F.col("full") & ~F.col("lone") & ~F.col("k.is_title") & ~like, F.lit(False))).drop("k", "lone")
+    first, top, end = F.min(F.when(F.col("is_data"), at)).over(sub), F.min(F.when(F.col("like"), at)).over(sub), F.max(at).over(sub) + 1
+    by = marked.withColumn("d1", first).withColumn("top", top).withColumn("end", end).withColumn("d1", F.coalesce("d1", "end"))
+    zero = F.col("sub_idx") == 0
+    own = F.when(zero, F.struct(F.col("header_start").alias("a"), F.col("header_end").alias("b"))).when(F.col("top") < F.col("d1"), F.struct(F.col("top").alias("a"), (F.col("d1") - 1).alias("b")))
+    by = by.withColumn("own", own).withColumn("from", F.when(zero, F.col("data_start")).otherwise(F.col("d1")))
+    by = by.withColumn("content", F.max(F.when(F.col("full") & (at >= F.col("from")), at)).over(sub))
+    following = F.last(F.when(F.col("begin") & F.col("own").isNotNull(), F.col("sub_idx")), ignorenulls=True).over(layout.below())
+    by = by.withColumn("following", F.coalesce(following, F.col("n_subs")).cast("int"))
+    heads = F.when(at.between(F.col("own.a"), F.col("own.b")), F.transform(F.sequence("sub_idx", F.col("following") - 1), lambda k: F.struct(F.lit("header").alias("kind"), k.alias("k"))))
+    data = F.when(at.between(F.col("from"), F.col("content")), F.array(F.struct(F.lit("data").alias("kind"), F.col("sub_idx").alias("k"))))
+    none = F.array().cast("array<struct<kind: string, k: int>>")
     keep = [c for c in ("border",) if c in told.columns]
-    regions_found = cut(subtables.inherited(found).drop("many"))  # a row a sub-table
-    parts = dealt(cut(subtables.regions_of_rows(told.select("sheet", "row_idx", "cells", *keep), regions_found)), "sheet")
+    each = by.select("sheet", "row_idx", "cells", *keep, F.explode(F.concat(F.coalesce(heads, none), F.coalesce(data, none))).alias("of"))
+    label = F.concat(F.lit("p"), (F.col("of.k") + 1).cast("string")).alias("label")
+    parts = dealt(cut(each.select(F.struct("sheet", F.col("of.k").alias("sub_idx")).alias("sheet"), "row_idx", "cells", *keep, label, "of.kind")), "sheet")
     return subtables.read_out(parts, subtables.named_rows(parts, advised=extras.keyed_names()))
 
 

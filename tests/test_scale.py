@@ -90,3 +90,15 @@ def test_names_of_side_by_side_tables_are_made_in_dealt_tasks(spark):
 
     found = plan(__spark_entry__.queries()["side_by_side_tables"](spark, "/root/testdata/sf0.001"))
     assert found.count("Exchange hashpartitioning") == found.count("REPARTITION_BY_NUM") > 0
+
+
+def test_sheets_under_headers_of_several_rows_are_prepared_once(spark):
+    stacked = [["指标", "1990"], ["a", "1.5"], ["b", "2.5"], [None, None], ["来源类", None], ["项目", "年份"], ["c", "3.5"]]
+    late = [[None, None], [None, None], ["x", "1.5"], ["y", "2.5"]]  # data at once, under blank rows: its first row is header and data
+    made = [(s, i, cells) for s, sheet in ((0, stacked), (1, stacked), (2, late)) for i, cells in enumerate(sheet)]
+    rows, seen = counted(spark.createDataFrame(made, "sheet int, row_idx int, cells array<string>"))
+    out = {(r.sheet, r.sub_idx, r.label, tuple(r.names), r.row_no, tuple(r.cells)) for r in strategies.multi_header(rows).collect()}
+    both = [(0, "p1", ("指标", "y_1990"), 1, ("a", "1.5")), (0, "p1", ("指标", "y_1990"), 2, ("b", "2.5")), (1, "p2", ("项目", "年份"), 1, ("c", "3.5"))]
+    assert {r for r in out if r[0] < 2} == {(s, *r) for s in (0, 1) for r in both}
+    assert {r[5] for r in out if r[0] == 2} == {("x", "1.5"), ("y", "2.5")}
+    assert seen.value == len(made)
