@@ -70,7 +70,7 @@ def clean(c: Column) -> Column:
         return F.coalesce(F.when(long, _seamless(parts)), F.when(two, F.array_join(parts, ".")), s)
 
     none = F.lit(None).cast("string")
-    return let(uni_trim(c), lambda s: F.when((s == "") | (F.lower(s) == "nan"), none).otherwise(let(commas(s), spaces)))
+    return let(uni_trim(c), lambda s: F.when((s == "") | ((F.length(s) == 3) & (F.lower(s) == "nan")), none).otherwise(let(commas(s), spaces)))
 
 
 def normalise(c: Column) -> Column:
