@@ -120,6 +120,9 @@ def begins_of_subtables(rows: DataFrame, splits: DataFrame) -> DataFrame:
     cells = F.col("cells")
     lone = p.n_filled(cells) == 1
     data = ~p.is_blank(cells) & ~p.is_footnote(cells) & ~p.is_title(cells) & ~lone & ~p.is_header_like(cells)
-    marked = rows.select("sheet", "row_idx", data.alias("data")).join(splits.select("sheet", F.col("split").alias("row_idx"), F.col("split").alias("own")).distinct(), ["sheet", "row_idx"], "left")
-    held = marked.withColumn("split", F.last("own", ignorenulls=True).over(layout.above())).where(F.col("split").isNotNull())
+    # a split is a row of its own under the one it names, so that it counts where that one is missing or the sheet is NULL
+    ends = splits.select("sheet", F.col("split").alias("row_idx"), F.lit(None).cast("boolean").alias("data"), F.col("split").alias("own"))
+    marked = rows.select("sheet", "row_idx", data.alias("data"), F.lit(None).cast("int").alias("own")).unionByName(ends)
+    w = W.partitionBy("sheet").orderBy("row_idx", F.col("own").isNotNull()).rowsBetween(W.unboundedPreceding, -1)
+    held = marked.withColumn("split", F.last("own", ignorenulls=True).over(w)).where(F.col("own").isNull() & F.col("split").isNotNull())
     return held.groupBy("sheet", "split").agg(F.min(F.when(F.col("data"), F.col("row_idx"))).alias("data_start"))

@@ -102,3 +102,9 @@ def test_sheets_under_headers_of_several_rows_are_prepared_once(spark):
     assert {r for r in out if r[0] < 2} == {(s, *r) for s in (0, 1) for r in both}
     assert {r[5] for r in out if r[0] == 2} == {("x", "1.5"), ("y", "2.5")}
     assert seen.value == len(made)
+
+
+def test_splits_meet_their_rows_without_a_join(spark):
+    import __spark_entry__
+
+    assert "Join" not in plan(__spark_entry__.queries()["begins_of_subtables"](spark, "/root/testdata/sf0.001"))

@@ -3,7 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from gridloom.operators import borders, fill, grid, ingest_log, naming, pairs, ranges
+from gridloom.operators import borders, fill, grid, ingest_log, naming, pairs, ranges, regions
 from gridloom.operators import predicates as p
 from gridloom.plans import decision, strategies, table_function
 from gridloom.sinks import tables
@@ -104,6 +104,16 @@ def test_splits(spark):
     assert sorted((r["start"], r["end"]) for r in ranges.column_islands(columns).collect()) == [(0, 1), (4, 4)]
 
 
+def test_begins_of_subtables(spark):
+    data, head = ["北京", "1.5"], ["指标", "年份"]
+    made = {"a": {0: data, 1: data, 2: head, 3: data, 5: head, 6: ["单位", None], 7: data, 8: data}, "b": {0: data, 1: data, 2: head}, None: {0: head, 1: head, 2: data}}
+    rows = spark.createDataFrame([(s, i, c) for s, sheet in made.items() for i, c in sheet.items()], FIELDS)
+    # the row 4 is missing; a split row belongs to what stands over it; nothing follows the last one of b
+    splits = spark.createDataFrame([("a", 1), ("a", 1), ("a", 4), ("b", 0), ("b", 1), ("b", 2), (None, 0), ("c", 0)], "sheet string, split int")
+    out = regions.begins_of_subtables(rows, splits)
+    assert sorted((tuple(r) for r in out.collect()), key=str) == [("a", 1, 3), ("a", 4, 7), ("b", 0, 1), ("b", 1, None), (None, 0, 2)]
+
+
 def test_borders(spark):
     c = spark.createDataFrame([("s", 0, i, e) for i, e in enumerate(["thin", "dashed", "dashed", None])], "sheet string, row_idx int, col_idx int, edge string")
     row = borders.edge_stats(c, "row_idx", "edge").first()
